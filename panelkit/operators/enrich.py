@@ -1,0 +1,72 @@
+"""Lookups written back onto the panel: created dates, slug fallbacks, filters."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import scalars as S
+
+SLUG_SOURCES = ("channel_slug", "channel_name", "display_name")
+
+
+def status_filter(panel: DataFrame, statuses: list[str]) -> DataFrame:
+    return panel.where(F.col("status").isin(*statuses))
+
+
+def slug_column(df: DataFrame, host_pattern: str | None = None):
+    """Login slug from the first existing column of channel_slug, channel_name,
+    display_name (chosen on the schema, no job)."""
+    for c in SLUG_SOURCES:
+        if c in df.columns:
+            return S.slug_norm_url(c, host_pattern) if host_pattern else S.slug_norm(c)
+    raise ValueError(f"none of {SLUG_SOURCES} present")
+
+
+def created_missing(df: DataFrame) -> DataFrame:
+    return df.where(S.blank(F.col("created")))
+
+
+def distinct_logins(df: DataFrame, only_missing: bool = True) -> DataFrame:
+    """Distinct non-blank logins (of rows missing created, by default)."""
+    src = created_missing(df) if only_missing else df
+    return src.select(slug_column(df).alias("login")).where(F.col("login") != "").distinct()
+
+
+def enrich_created(panel: DataFrame, users: DataFrame) -> DataFrame:
+    """Fill blank ``created`` from a (login, created_at) lookup by login.
+
+    The lookup is reduced to distinct logins with one value each (newest
+    non-blank wins on duplicates) before the join, so the join is 1:1 on the
+    panel side and never multiplies rows. Blank text counts as missing too.
+    """
+    u = (users.where(F.col("login").isNotNull() & (F.col("login") != "") & ~S.blank(F.col("created_at")))
+              .groupBy(F.lower(F.col("login")).alias("_login"))
+              .agg(F.max("created_at").alias("_created_at")))
+    j = panel.withColumn("_login", slug_column(panel)).join(u, "_login", "left")
+    return (j.withColumn("created", F.when(S.blank(F.col("created")), F.coalesce(F.col("_created_at"), F.col("created")))
+                                     .otherwise(F.col("created")))
+             .drop("_login", "_created_at"))
+
+
+def slug_fallback_join(rows: DataFrame, lookup: DataFrame, value_cols: list[str],
+                       slug_col: str = "channel_slug", name_col: str = "display_name",
+                       fallback_on_miss: bool = True) -> DataFrame:
+    """Look values up by normalised slug; where that misses, by slugified
+    display name. ``lookup`` has a ``login`` column plus ``value_cols``."""
+    lk = lookup.select(F.col("login").alias("_k1"), *[F.col(c).alias(f"_a_{c}") for c in value_cols])
+    lk2 = lookup.select(F.col("login").alias("_k2"), *[F.col(c).alias(f"_b_{c}") for c in value_cols])
+    j = rows.withColumn("_k1", S.slug_norm(slug_col)).join(lk, "_k1", "left")
+    hit = F.col(f"_a_{value_cols[0]}").isNotNull()
+    for c in value_cols[1:]:
+        hit = hit | F.col(f"_a_{c}").isNotNull()
+    j = j.withColumn("_hit1", hit)
+    if fallback_on_miss:
+        j = j.withColumn("_k2", F.when(~F.col("_hit1"), S.slugify(name_col))).join(lk2, "_k2", "left")
+        out = {c: F.when(F.col("_hit1"), F.col(f"_a_{c}")).otherwise(F.col(f"_b_{c}")) for c in value_cols}
+        via = F.when(F.col("_hit1"), F.lit("slug")).when(F.col(f"_b_{value_cols[0]}").isNotNull(), F.lit("name"))
+    else:
+        out = {c: F.col(f"_a_{c}") for c in value_cols}
+        via = F.when(F.col("_hit1"), F.lit("slug"))
+    j = j.withColumns(out).withColumn("matched_by", via)
+    return j.drop(*[c for c in j.columns if c.startswith("_")])
