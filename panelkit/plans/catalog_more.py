@@ -602,7 +602,7 @@ UNION ALL
 SELECT 'created_year', CAST(year(try_cast(replace(created, 'Z', '') AS TIMESTAMP)) AS VARCHAR), CAST(count(*) AS DOUBLE)
 FROM enriched WHERE try_cast(replace(created, 'Z', '') AS TIMESTAMP) IS NOT NULL GROUP BY 2
 UNION ALL
-SELECT 'missing', column, CAST(missing AS DOUBLE) FROM ({_MISS_SQL})"""
+SELECT 'missing', "column", CAST(missing AS DOUBLE) FROM ({_MISS_SQL})"""
 
 
 @register("report_long", O.sql(_REPORT_LONG, "enriched"))

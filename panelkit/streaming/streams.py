@@ -21,9 +21,11 @@ from ..sources.sinks import scratch_path
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Stream over a Parquet file or folder (schema taken from the files)."""
     schema = spark.read.parquet(path).schema
-    r = spark.readStream.format("parquet").schema(schema)
     if os.path.isfile(path):
-        r = r.option("basePath", os.path.dirname(path))
+        # a single landed file: watch it through a glob that matches only it
+        # (a plain file path would be taken as the partition base folder)
+        path = f"{path[:-1]}[{path[-1]}]"
+    r = spark.readStream.format("parquet").schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(path)
