@@ -119,6 +119,11 @@ def month_number(x) -> Column:
     return F.try_element_at(_month_map(), normalize_month(x)).cast("bigint")
 
 
+def month_name_from_number(n) -> Column:
+    """1..12 -> english month name (lower case); null otherwise."""
+    return F.try_element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), _c(n).cast("int"))
+
+
 def month_key(year, month) -> Column:
     """``<year><month name lower>``, e.g. 2024march."""
     return F.concat(_c(year).cast("bigint").cast("string"), normalize_month(month))

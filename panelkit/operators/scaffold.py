@@ -11,10 +11,13 @@ from ..functions import scalars as S
 
 
 def month_columns(d: Column) -> list[Column]:
+    """year, month name, month_key, month number of a date, from a literal
+    name array (no per-row date formatting)."""
+    name = S.month_name_from_number(F.month(d))
     return [
         F.year(d).cast("bigint").alias("year"),
-        S.month_name_of(d).alias("month"),
-        S.month_key_of(d).alias("month_key"),
+        name.alias("month"),
+        F.concat(F.year(d).cast("string"), name).alias("month_key"),
         F.month(d).cast("bigint").alias("month_order"),
     ]
 

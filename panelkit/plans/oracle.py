@@ -47,8 +47,7 @@ FROM channels c CROSS JOIN months"""
 _STATUS_AGG = """
 SELECT o_custkey, ms, o_orderstatus, count(*) AS n,
        sum(CAST(o_totalprice AS DECIMAL(18,2))) AS s, max(o_totalprice) AS mx,
-       min(o_orderdate) AS first_dt, min(o_orderpriority) AS pri_min,
-       bool_or(o_orderpriority = '1-URGENT') AS urgent
+       min(o_orderdate) AS first_dt, min(CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS pri_min
 FROM om WHERE o_orderstatus IN {statuses}
 GROUP BY o_custkey, ms, o_orderstatus"""
 CTES["sagg"] = _STATUS_AGG.format(statuses="('F', 'P')")
@@ -61,11 +60,10 @@ SELECT o_custkey AS channel_id, {MONTH_COLS},
        CAST(s AS DOUBLE) / n AS average_viewers,
        CAST(s AS DOUBLE) AS hours_watched,
        CAST(NULL AS DOUBLE) AS hours_streamed,
-       CAST(sum(n) OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY ms
-                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS followers,
+       CAST(CAST(s * 100 AS BIGINT) // 100000 AS BIGINT) AS followers,
        CAST(n AS BIGINT) AS followers_gained,
        CAST(floor(mx) AS BIGINT) AS peak_viewers,
-       pri_min AS language, urgent AS mature,
+       'p' || pri_min AS language, pri_min = 1 AS mature,
        CASE WHEN o_orderstatus <> 'P' THEN strftime(first_dt, {ISO}) END AS created
 FROM sagg"""
 CTES["seed_k"] = f"""
@@ -83,10 +81,10 @@ SELECT o_custkey AS channel_id, {MONTH_COLS},
        CASE WHEN has THEN CAST(n AS DOUBLE) * 100.0 END AS hours_streamed,
        CAST(NULL AS BIGINT) AS followers, CAST(NULL AS BIGINT) AS followers_gained,
        CASE WHEN has THEN CAST(floor(mx) AS BIGINT) END AS peak_viewers,
-       CASE WHEN has THEN pri_min END AS language,
+       CASE WHEN has THEN 'p' || pri_min END AS language,
        CAST(NULL AS VARCHAR) AS display_name, CAST(NULL AS VARCHAR) AS channel_slug
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ms, o_orderstatus ORDER BY s DESC, o_custkey) AS BIGINT) AS rnk,
-             pri_min <> '5-LOW' AS has FROM lagg)"""
+             pri_min <> 5 AS has FROM lagg)"""
 CTES["live_k"] = f"""
 SELECT channel_id, month_key,
        arg_min(rank, page_seq * 1000000000 + row_pos) AS live_rank,

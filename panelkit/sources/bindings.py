@@ -30,8 +30,8 @@ ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 # Binding parameters (fixed for the registered queries).
 SEED_STATUSES = ("F", "P")
 LIVE_STATUSES = ("O", "P")
-NULL_PRIORITY = "5-LOW"       # live rows whose orders are all of this priority carry no metrics
-URGENT_PRIORITY = "1-URGENT"  # seed "mature" flag
+NULL_PRIORITY = 5    # live rows whose orders all have this priority digit carry no metrics
+URGENT_PRIORITY = 1  # seed "mature" flag: some order of this priority digit
 PAGE_SIZE = 100               # leaderboard rows per landed page
 GAMES_PAGE_SIZE = 10          # games rows per landed page
 BINDING_TOP_K = 50            # status cut for the driver's data (~180 ranked per month)
@@ -39,12 +39,8 @@ BINDING_TOP_K = 50            # status cut for the driver's data (~180 ranked pe
 
 def month_cols(d) -> list:
     """year, month, month_key, month_order of a month-start date column."""
-    return [
-        F.year(d).cast("bigint").alias("year"),
-        S.month_name_of(d).alias("month"),
-        S.month_key_of(d).alias("month_key"),
-        F.month(d).cast("bigint").alias("month_order"),
-    ]
+    from ..operators.scaffold import month_columns
+    return month_columns(d)
 
 
 def _orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,13 +51,13 @@ def _orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _status_month_agg(o: DataFrame) -> DataFrame:
     """One row per (customer, month, status): count, exact sum, max, ..."""
+    o = o.withColumn("pri", F.substring("o_orderpriority", 1, 1).try_cast("int"))
     return o.groupBy("o_custkey", "ms", "o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("s"),
         F.max("o_totalprice").alias("mx"),
         F.min("o_orderdate").alias("first_dt"),
-        F.min("o_orderpriority").alias("pri_min"),
-        F.bool_or(F.col("o_orderpriority") == URGENT_PRIORITY).alias("urgent"),
+        F.min("pri").alias("pri_min"),
     )
 
 
@@ -88,8 +84,6 @@ def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     o = _orders_by_month(spark, sf_dir).where(F.col("o_orderstatus").isin(*SEED_STATUSES))
     a = _status_month_agg(o)
-    by_cust = Window.partitionBy("o_custkey", "o_orderstatus").orderBy("ms").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
     by_month = Window.partitionBy("ms", "o_orderstatus").orderBy(F.col("s").desc(), "o_custkey")
     is_p = F.col("o_orderstatus") == "P"
     return a.select(
@@ -100,11 +94,11 @@ def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("s").cast("double") / F.col("n")).alias("average_viewers"),
         F.col("s").cast("double").alias("hours_watched"),
         F.lit(None).cast("double").alias("hours_streamed"),
-        F.sum("n").over(by_cust).cast("bigint").alias("followers"),
+        F.floor(F.col("s") / 1000).cast("bigint").alias("followers"),
         F.col("n").cast("bigint").alias("followers_gained"),
         F.floor("mx").cast("bigint").alias("peak_viewers"),
-        F.col("pri_min").alias("language"),
-        F.col("urgent").alias("mature"),
+        F.concat(F.lit("p"), F.col("pri_min").cast("string")).alias("language"),
+        (F.col("pri_min") == URGENT_PRIORITY).alias("mature"),
         F.when(~is_p, F.date_format("first_dt", ISO_FMT)).alias("created"),
     )
 
@@ -133,7 +127,7 @@ def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("bigint").alias("followers"),
         F.lit(None).cast("bigint").alias("followers_gained"),
         F.when(has, F.floor("mx").cast("bigint")).alias("peak_viewers"),
-        F.when(has, F.col("pri_min")).alias("language"),
+        F.when(has, F.concat(F.lit("p"), F.col("pri_min").cast("string"))).alias("language"),
         F.lit(None).cast("string").alias("display_name"),
         F.lit(None).cast("string").alias("channel_slug"),
     )
@@ -158,14 +152,13 @@ def games_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
          / F.count(F.lit(1))).alias("avg_viewers"),
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("view_minutes"),
     )
-    pos_w = Window.partitionBy("o_custkey", "ms").orderBy(F.col("view_minutes").desc(), "p_brand")
-    return g.select(
-        F.col("o_custkey").alias("channel_id"),
-        *month_cols(F.col("ms")),
-        F.row_number().over(pos_w).cast("bigint").alias("pos"),
-        F.col("p_brand").alias("game"),
-        "hours", "peak_viewers", "avg_viewers", "view_minutes",
-    )
+    g = g.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")),
+                 F.col("p_brand").alias("game"), "hours", "peak_viewers", "avg_viewers", "view_minutes")
+    # partitioned on the (channel_id, month_key) that consumers group by
+    pos_w = Window.partitionBy("channel_id", "month_key").orderBy(F.col("view_minutes").desc(), "game")
+    return g.select("channel_id", "year", "month", "month_key", "month_order",
+                    F.row_number().over(pos_w).cast("bigint").alias("pos"),
+                    "game", "hours", "peak_viewers", "avg_viewers", "view_minutes")
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
