@@ -39,9 +39,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# ASCII whitespace removed by strip() (same set as the regex class \s).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def py_strip(x) -> Column:
-    """Python ``str.strip()``: remove leading/trailing whitespace (not only spaces)."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    """Python ``str.strip()`` on ASCII whitespace (not only spaces); a plain
+    ``btrim`` with a character set, no regex per row."""
+    return F.btrim(_c(x), F.lit(WHITESPACE))
 
 
 def slug_norm(x) -> Column:
@@ -216,11 +221,24 @@ def all_null(*cols) -> Column:
     return ~any_not_null(*cols)
 
 
-def blank(x) -> Column:
-    """null or whitespace-only text."""
+def blank(x, is_text: bool = True) -> Column:
+    """null or whitespace-only text (for non-text columns: null)."""
+    if not is_text:
+        return _c(x).isNull()
     return F.coalesce(py_strip(_c(x).cast("string")), F.lit("")) == F.lit("")
 
 
+def cents(x) -> Column:
+    """Money-like double with at most 2 decimals -> exact integer cents."""
+    return F.round(_c(x) * 100.0).cast("bigint")
+
+
+def sum_2dp(x) -> Column:
+    """Exact sum of 2-decimal values as a double: integer cents added on a
+    long (fast hash aggregate), then one correctly rounded division."""
+    return F.sum(cents(x)) / 100.0
+
+
 def exact_sum(x, scale: int = 6) -> Column:
     """Order-independent sum of doubles: add as decimal, return double."""
     return F.sum(_c(x).cast(f"decimal(38,{scale})")).cast("double")

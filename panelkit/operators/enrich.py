@@ -44,8 +44,8 @@ def enrich_created(panel: DataFrame, users: DataFrame) -> DataFrame:
               .groupBy(F.lower(F.col("login")).alias("_login"))
               .agg(F.max("created_at").alias("_created_at")))
     j = panel.withColumn("_login", slug_column(panel)).join(u, "_login", "left")
-    return (j.withColumn("created", F.when(S.blank(F.col("created")), F.coalesce(F.col("_created_at"), F.col("created")))
-                                     .otherwise(F.col("created")))
+    return (j.withColumn("created", F.when(S.blank(F.col("created")) & F.col("_created_at").isNotNull(),
+                                           F.col("_created_at")).otherwise(F.col("created")))
              .drop("_login", "_created_at"))
 
 

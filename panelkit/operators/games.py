@@ -92,7 +92,7 @@ def enrich_games(panel: DataFrame, agg: DataFrame, overwrite: bool = False) -> D
         if overwrite:
             cols[c] = F.when(got, v).otherwise(old)
         else:
-            empty = old.isNull() if c in ("all_games", "games_by_stream_time", "games_by_avg_viewers") else S.blank(old)
+            empty = S.blank(old, is_text=j.schema[c].dataType.typeName() == "string")
             cols[c] = F.when(got & empty, v).otherwise(old)
     out = j.withColumns(cols)
     return out.drop(*[c for c in out.columns if c.startswith("_n_")])

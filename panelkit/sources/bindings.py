@@ -54,7 +54,7 @@ def _status_month_agg(o: DataFrame) -> DataFrame:
     o = o.withColumn("pri", F.substring("o_orderpriority", 1, 1).try_cast("int"))
     return o.groupBy("o_custkey", "ms", "o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("s"),
+        S.sum_2dp("o_totalprice").alias("s"),
         F.max("o_totalprice").alias("mx"),
         F.min("o_orderdate").alias("first_dt"),
         F.min("pri").alias("pri_min"),
@@ -91,10 +91,10 @@ def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         *month_cols(F.col("ms")),
         F.when(is_p, 1).otherwise(0).cast("bigint").alias("row_seq"),
         (F.row_number().over(by_month) - F.when(is_p, 1).otherwise(0)).cast("bigint").alias("rank_position"),
-        (F.col("s").cast("double") / F.col("n")).alias("average_viewers"),
-        F.col("s").cast("double").alias("hours_watched"),
+        (F.col("s") / F.col("n")).alias("average_viewers"),
+        F.col("s").alias("hours_watched"),
         F.lit(None).cast("double").alias("hours_streamed"),
-        F.floor(F.col("s") / 1000).cast("bigint").alias("followers"),
+        F.floor(S.cents("s") / 100000).cast("bigint").alias("followers"),
         F.col("n").cast("bigint").alias("followers_gained"),
         F.floor("mx").cast("bigint").alias("peak_viewers"),
         F.concat(F.lit("p"), F.col("pri_min").cast("string")).alias("language"),
@@ -121,8 +121,8 @@ def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (board + F.floor((F.col("rank") - 1) / PAGE_SIZE)).cast("bigint").alias("page_seq"),
         F.col("rank").alias("row_pos"),
         "rank",
-        F.when(has, F.col("s").cast("double") / F.col("n")).alias("average_viewers"),
-        F.when(has, F.col("s").cast("double") / 60.0).alias("hours_watched"),
+        F.when(has, F.col("s") / F.col("n")).alias("average_viewers"),
+        F.when(has, F.col("s") / 60.0).alias("hours_watched"),
         F.when(has, F.col("n").cast("double") * 100.0).alias("hours_streamed"),
         F.lit(None).cast("bigint").alias("followers"),
         F.lit(None).cast("bigint").alias("followers_gained"),
@@ -146,11 +146,10 @@ def games_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(p, li.l_partkey == p.p_partkey)
            .withColumn("ms", F.trunc(F.to_date("o_orderdate"), "month")))
     g = j.groupBy("o_custkey", "ms", "p_brand").agg(
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("hours"),
+        S.sum_2dp("l_quantity").alias("hours"),
         F.floor(F.max("l_extendedprice")).cast("bigint").alias("peak_viewers"),
-        (F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
-         / F.count(F.lit(1))).alias("avg_viewers"),
-        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("view_minutes"),
+        (S.sum_2dp("l_extendedprice") / F.count(F.lit(1))).alias("avg_viewers"),
+        S.sum_2dp("l_extendedprice").alias("view_minutes"),
     )
     g = g.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")),
                  F.col("p_brand").alias("game"), "hours", "peak_viewers", "avg_viewers", "view_minutes")
