@@ -15,5 +15,13 @@ TABLES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The landed table as a DataFrame, projected to ``cols``.
+
+    The relation (file listing + footer schema) is resolved once per session
+    and path and reused; every query still reads the files when it runs."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    cache = spark.__dict__.setdefault("_panelkit_relations", {})
+    df = cache.get(path)
+    if df is None:
+        df = cache[path] = spark.read.parquet(path)
     return df.select(*cols) if cols else df
