@@ -129,6 +129,11 @@ def month_name_from_number(n) -> Column:
     return F.try_element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), _c(n).cast("int"))
 
 
+def month_key_of_month_start(d) -> Column:
+    """month_key of a date without per-row formatting (same text as month_key_of)."""
+    return F.concat(F.year(_c(d)).cast("string"), month_name_from_number(F.month(_c(d))))
+
+
 def month_key(year, month) -> Column:
     """``<year><month name lower>``, e.g. 2024march."""
     return F.concat(_c(year).cast("bigint").cast("string"), normalize_month(month))

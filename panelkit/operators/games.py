@@ -14,21 +14,25 @@ GAME_COLUMNS = [
 ]
 
 
-def games_agg(games: DataFrame, with_lists: bool = True) -> DataFrame:
+def games_agg(games: DataFrame, with_lists: bool = True, order=None) -> DataFrame:
     """One row per (channel, month): totals, count, top game and the lists.
 
-    ``games`` has (channel_id, month_key, pos, game, hours, peak_viewers,
-    avg_viewers, view_minutes); ``pos`` is the game's place in its source table.
+    ``games`` has (channel_id, month_key, game, hours, peak_viewers,
+    avg_viewers, view_minutes) and the source-table order of each game:
+    ``order`` is an ascending sortable Column (default ``pos``), so callers
+    whose source order is a sort key need no position window.
     The top game is the first in source order among the most hours (a stable
-    descending sort), found with ``max_by`` on (hours, -pos): no sort needed.
-    Lists are collected per channel-month, bounded by the games one channel
-    streams in one month.
+    descending sort), found with ``min_by`` on (-hours, order): no sort needed.
+    The lists are collected per channel-month (bounded by the games one
+    channel streams in one month) and sorted within the row.
     """
+    o = F.col("pos") if order is None else order
     h0 = F.coalesce(F.col("hours"), F.lit(0.0))
+    a0 = F.coalesce(F.col("avg_viewers"), F.lit(0.0))
     aggs = [
         F.sum(h0.cast("decimal(38,6)")).cast("double").alias("total_hours"),
         F.count(F.lit(1)).alias("game_count"),
-        F.max_by(F.col("game"), F.struct(h0, -F.col("pos"))).alias("top_game"),
+        F.min_by(F.col("game"), F.struct((-h0).alias("h"), o.alias("o"))).alias("top_game"),
         S.round_dp(F.max(h0), 2).alias("top_game_hours"),
     ]
     if with_lists:
@@ -36,26 +40,25 @@ def games_agg(games: DataFrame, with_lists: bool = True) -> DataFrame:
             F.col("game"),
             S.round_dp(h0, 2).alias("hours"),
             F.coalesce(F.col("peak_viewers"), F.lit(0)).cast("bigint").alias("peak_viewers"),
-            F.coalesce(F.col("avg_viewers"), F.lit(0.0)).alias("avg_viewers"),
+            a0.alias("avg_viewers"),
             F.coalesce(F.col("view_minutes"), F.lit(0.0)).alias("view_minutes"),
         )
-        aggs.append(F.collect_list(F.struct(F.col("pos").alias("k1"), F.col("pos").alias("k2"),
-                                            item.alias("g"))).alias("_by_pos"))
-        aggs.append(F.collect_list(F.struct((-h0).alias("k1"), F.col("pos").alias("k2"),
-                                            item.alias("g"))).alias("_by_time"))
-        aggs.append(F.collect_list(F.struct((-F.coalesce(F.col("avg_viewers"), F.lit(0.0))).alias("k1"),
-                                            F.col("pos").alias("k2"), item.alias("g"))).alias("_by_avg"))
+        by_time = F.struct(F.col("game"), S.round_dp(h0, 2).alias("hours"))
+        by_avg = F.struct(F.col("game"), a0.alias("avg_viewers"))
+        # each list is collected with its sort key in front, sorted with the
+        # code-generated sort_array and unwrapped by field access (no lambdas)
+        aggs += [
+            F.collect_list(F.struct(o.alias("k"), item.alias("v"))).alias("_all"),
+            F.collect_list(F.struct((-h0).alias("k"), o.alias("o"), by_time.alias("v"))).alias("_time"),
+            F.collect_list(F.struct((-a0).alias("k"), o.alias("o"), by_avg.alias("v"))).alias("_avg"),
+        ]
     a = games.groupBy(*KEY).agg(*aggs)
     if with_lists:
         a = a.select(
             *[c for c in a.columns if not c.startswith("_")],
-            F.transform(F.array_sort("_by_pos"), lambda x: x["g"]).alias("all_games"),
-            F.transform(F.array_sort("_by_time"),
-                        lambda x: F.struct(x["g"]["game"].alias("game"),
-                                           x["g"]["hours"].alias("hours"))).alias("games_by_stream_time"),
-            F.transform(F.array_sort("_by_avg"),
-                        lambda x: F.struct(x["g"]["game"].alias("game"),
-                                           x["g"]["avg_viewers"].alias("avg_viewers"))).alias("games_by_avg_viewers"),
+            F.sort_array("_all")["v"].alias("all_games"),
+            F.sort_array("_time")["v"].alias("games_by_stream_time"),
+            F.sort_array("_avg")["v"].alias("games_by_avg_viewers"),
         )
     return a
 

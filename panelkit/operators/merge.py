@@ -76,10 +76,41 @@ def live_first_last(live: DataFrame) -> DataFrame:
     )
 
 
+def keyed_sources(tagged: DataFrame) -> DataFrame:
+    """Seed and live reduced per key in ONE hash/sort aggregate.
+
+    ``tagged`` holds (channel_id, month_key, is_seed, is_live, seed_row,
+    live_row); the result has the columns of :func:`last_per_key` and
+    :func:`live_first_last` together, so the scaffold needs a single join.
+    Same rules: last seed row wins whole, last positive seed rank wins, first
+    live rank, last live row with a value wins whole.
+    """
+    sr, lr = F.col("seed_row"), F.col("live_row")
+    seed_struct = F.struct(*[(sr[f] if f in _SEED_ROW_FIELDS else F.lit(None).cast(_TYPES[f])).alias(f)
+                             for f in SEED_METRICS])
+    pos_rank = F.col("is_seed") & (sr["rank_position"] > 0)
+    live_struct = F.struct(*[lr[f].alias(f) for f in LIVE_METRICS])
+    order = F.struct(lr["page_seq"].alias("page_seq"), lr["row_pos"].alias("row_pos"))
+    has = F.col("is_live") & S.any_not_null(*[lr[f] for f in LIVE_METRICS])
+    cnt = F.count_if("is_seed")
+    return tagged.groupBy(*KEY).agg(
+        F.max_by(seed_struct, F.when(F.col("is_seed"), sr["row_seq"])).alias("seed"),
+        F.max_by(F.when(pos_rank, sr["rank_position"]), F.when(pos_rank, sr["row_seq"])).alias("seed_rank"),
+        F.when(cnt > 0, cnt).alias("seed_rows"),
+        F.min_by(F.when(F.col("is_live"), lr["rank"]), F.when(F.col("is_live"), order)).alias("live_rank"),
+        F.max_by(live_struct, F.when(has, order)).alias("live"),
+        F.bool_or(has).alias("live_has"),
+    )
+
+
+_SEED_ROW_FIELDS = {"average_viewers", "hours_watched", "hours_streamed", "followers", "followers_gained",
+                    "peak_viewers", "language", "mature", "created"}
+
+
 def merge_sources(
     scaffold: DataFrame,
     seed_k: DataFrame,
-    live_k: DataFrame,
+    live_k: DataFrame | None,
     top_k: int = S.DEFAULT_TOP_K,
     active_rule: str = "row_present",
 ) -> DataFrame:
@@ -91,7 +122,9 @@ def merge_sources(
     * status: from presence of metrics (``active_rule`` 'row_present' as the
       seed row counts even with all-null metrics, or 'any_metric') and rank.
     """
-    j = (scaffold.join(seed_k, KEY, "left").join(live_k, KEY, "left"))
+    j = scaffold.join(seed_k, KEY, "left")
+    if live_k is not None:
+        j = j.join(live_k, KEY, "left")
     live_has = F.coalesce(F.col("live_has"), F.lit(False))
     has_seed = F.col("seed_rows").isNotNull()
     out = {}

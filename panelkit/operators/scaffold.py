@@ -65,17 +65,25 @@ def first_per_channel(rows: DataFrame, order_cols: list, key: str = "channel_id"
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def panel_scaffold(channels: DataFrame, months: Column | list[_dt.date]) -> DataFrame:
+def panel_scaffold(channels: DataFrame, months: Column | list[_dt.date],
+                   partitions: int | None = None) -> DataFrame:
     """Every channel x every month, generated per channel row.
 
     ``months`` is either an array Column of month-start dates (e.g. from
     :func:`month_sequence` over scalar subqueries) or an explicit list. The
     month list is a bounded calendar span, so the scaffold is produced by a
     narrow ``explode`` on the channel side: no join, no shuffle, output linear
-    in channels x months and partitioned like the channel scan.
+    in channels x months.
+
+    The explode multiplies rows by the number of months, so with
+    ``partitions`` the (much smaller) channel table is first spread by
+    channel_id over that many tasks: each task then generates a bounded slice
+    of the scaffold, whatever the input file layout.
     """
     if isinstance(months, list):
         months = F.array(*[F.lit(m) for m in months])
+    if partitions:
+        channels = channels.repartition(partitions, "channel_id")
     return (channels.select("*", F.explode(months).alias("month_start"))
             .select(*channels.columns, *month_columns(F.col("month_start"))))
 

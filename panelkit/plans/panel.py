@@ -27,10 +27,12 @@ def build_panel(
     if months is None:
         first, last = B.month_bounds(spark, sf_dir)
         months = SC.month_sequence(first, last)
-    scaffold = SC.panel_scaffold(B.channels(spark, sf_dir), months)
-    seed_k = M.last_per_key(B.seed_rows(spark, sf_dir))
-    live_k = M.live_first_last(B.live_rows(spark, sf_dir))
-    return M.merge_sources(scaffold, seed_k, live_k, top_k=top_k, active_rule=active_rule)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    scaffold = SC.panel_scaffold(B.channels(spark, sf_dir), months, partitions=parts)
+    # seed and live share one orders scan/aggregate/window and one keyed
+    # aggregate, so the scaffold is joined once
+    keyed = M.keyed_sources(B.tagged_sources(spark, sf_dir))
+    return M.merge_sources(scaffold, keyed, None, top_k=top_k, active_rule=active_rule)
 
 
 def enriched_panel(
@@ -44,7 +46,7 @@ def enriched_panel(
     panel = build_panel(spark, sf_dir, top_k=top_k)
     if status_filter:
         panel = E.status_filter(panel, status_filter)
-    agg = G.games_agg(B.games_rows(spark, sf_dir), with_lists=True)
+    agg = G.games_agg(B.games_rows(spark, sf_dir, with_pos=False), with_lists=True, order=B.games_order())
     panel = G.enrich_games(panel, agg, overwrite=overwrite)
     return E.enrich_created(panel, B.users(spark, sf_dir))
 

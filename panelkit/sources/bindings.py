@@ -71,26 +71,28 @@ def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def month_bounds(spark: SparkSession, sf_dir: str) -> tuple:
-    """(first, last) month-start dates as scalar-subquery Columns (no join, no collect)."""
-    o = _orders_by_month(spark, sf_dir)
-    return o.select(F.min("ms")).scalar(), o.select(F.max("ms")).scalar()
+def status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders reduced to one row per (customer, month, status) with the row's
+    place on its (month, status) leaderboard. Seed (F, P) and live (O, P)
+    rows are both projections of this one scan, aggregate and window."""
+    a = _status_month_agg(_orders_by_month(spark, sf_dir))
+    board = Window.partitionBy("ms", "o_orderstatus").orderBy(F.col("s").desc(), "o_custkey")
+    return a.withColumn("board_rank", F.row_number().over(board).cast("bigint"))
 
 
-def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed fact table as landed: possibly several rows per (channel, month).
+def month_bounds(spark: SparkSession, sf_dir: str) -> tuple:
+    """(first, last) month-start dates as scalar-subquery Columns (no join, no
+    collect); computed over the per-(customer, month, status) aggregate, whose
+    shuffle the panel build reuses."""
+    a = _status_month_agg(_orders_by_month(spark, sf_dir))
+    return a.select(F.min("ms")).scalar(), a.select(F.max("ms")).scalar()
 
-    ``row_seq`` is the landing order of rows sharing a key (F before P).
-    """
-    o = _orders_by_month(spark, sf_dir).where(F.col("o_orderstatus").isin(*SEED_STATUSES))
-    a = _status_month_agg(o)
-    by_month = Window.partitionBy("ms", "o_orderstatus").orderBy(F.col("s").desc(), "o_custkey")
+
+def _seed_fields() -> list:
     is_p = F.col("o_orderstatus") == "P"
-    return a.select(
-        F.col("o_custkey").alias("channel_id"),
-        *month_cols(F.col("ms")),
+    return [
         F.when(is_p, 1).otherwise(0).cast("bigint").alias("row_seq"),
-        (F.row_number().over(by_month) - F.when(is_p, 1).otherwise(0)).cast("bigint").alias("rank_position"),
+        (F.col("board_rank") - F.when(is_p, 1).otherwise(0)).cast("bigint").alias("rank_position"),
         (F.col("s") / F.col("n")).alias("average_viewers"),
         F.col("s").alias("hours_watched"),
         F.lit(None).cast("double").alias("hours_streamed"),
@@ -100,27 +102,16 @@ def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("p"), F.col("pri_min").cast("string")).alias("language"),
         (F.col("pri_min") == URGENT_PRIORITY).alias("mature"),
         F.when(~is_p, F.date_format("first_dt", ISO_FMT)).alias("created"),
-    )
+    ]
 
 
-def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live leaderboard rows: (channel_id, month_key, page_seq, row_pos, rank, metrics...).
-
-    Two leaderboards per month (status O, then P); pages of ``PAGE_SIZE``.
-    Rows whose orders are all ``NULL_PRIORITY`` carry a rank but no metrics.
-    """
-    o = _orders_by_month(spark, sf_dir).where(F.col("o_orderstatus").isin(*LIVE_STATUSES))
-    a = _status_month_agg(o)
-    by_month = Window.partitionBy("ms", "o_orderstatus").orderBy(F.col("s").desc(), "o_custkey")
-    a = a.withColumn("rank", F.row_number().over(by_month).cast("bigint"))
+def _live_fields() -> list:
     has = F.col("pri_min") != NULL_PRIORITY
     board = F.when(F.col("o_orderstatus") == "O", 0).otherwise(1000)
-    return a.select(
-        F.col("o_custkey").alias("channel_id"),
-        *month_cols(F.col("ms")),
-        (board + F.floor((F.col("rank") - 1) / PAGE_SIZE)).cast("bigint").alias("page_seq"),
-        F.col("rank").alias("row_pos"),
-        "rank",
+    return [
+        (board + F.floor((F.col("board_rank") - 1) / PAGE_SIZE)).cast("bigint").alias("page_seq"),
+        F.col("board_rank").alias("row_pos"),
+        F.col("board_rank").alias("rank"),
         F.when(has, F.col("s") / F.col("n")).alias("average_viewers"),
         F.when(has, F.col("s") / 60.0).alias("hours_watched"),
         F.when(has, F.col("n").cast("double") * 100.0).alias("hours_streamed"),
@@ -130,10 +121,46 @@ def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(has, F.concat(F.lit("p"), F.col("pri_min").cast("string"))).alias("language"),
         F.lit(None).cast("string").alias("display_name"),
         F.lit(None).cast("string").alias("channel_slug"),
+    ]
+
+
+def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seed fact table as landed: possibly several rows per (channel, month).
+
+    ``row_seq`` is the landing order of rows sharing a key (F before P).
+    """
+    a = status_rows(spark, sf_dir).where(F.col("o_orderstatus").isin(*SEED_STATUSES))
+    return a.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")), *_seed_fields())
+
+
+def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live leaderboard rows: (channel_id, month_key, page_seq, row_pos, rank, metrics...).
+
+    Two leaderboards per month (status O, then P); pages of ``PAGE_SIZE``.
+    Rows whose orders are all ``NULL_PRIORITY`` carry a rank but no metrics.
+    """
+    a = status_rows(spark, sf_dir).where(F.col("o_orderstatus").isin(*LIVE_STATUSES))
+    return a.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")), *_live_fields())
+
+
+def tagged_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seed and live rows in one frame, tagged, for a single keyed aggregate:
+    (channel_id, month_key, is_seed, is_live, seed_row, live_row)."""
+    a = status_rows(spark, sf_dir)
+    st = F.col("o_orderstatus")
+    return a.select(
+        F.col("o_custkey").alias("channel_id"), S.month_key_of_month_start(F.col("ms")).alias("month_key"),
+        st.isin(*SEED_STATUSES).alias("is_seed"), st.isin(*LIVE_STATUSES).alias("is_live"),
+        F.struct(*_seed_fields()).alias("seed_row"), F.struct(*_live_fields()).alias("live_row"),
     )
 
 
-def games_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def games_order():
+    """Source-table order of the games rows: by view minutes desc, then name."""
+    return F.struct((-F.col("view_minutes")).alias("v"), F.col("game").alias("g"))
+
+
+def games_rows(spark: SparkSession, sf_dir: str, with_pos: bool = True) -> DataFrame:
     """Per (channel, month, game) rows with the position of the game in its table.
 
     hours = sum of quantities, avg_viewers = mean extended price,
@@ -153,6 +180,8 @@ def games_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     g = g.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")),
                  F.col("p_brand").alias("game"), "hours", "peak_viewers", "avg_viewers", "view_minutes")
+    if not with_pos:
+        return g
     # partitioned on the (channel_id, month_key) that consumers group by
     pos_w = Window.partitionBy("channel_id", "month_key").orderBy(F.col("view_minutes").desc(), "game")
     return g.select("channel_id", "year", "month", "month_key", "month_order",
