@@ -68,3 +68,16 @@ def test_streaming_matches_batch(spark):
         .withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     dd = ST.stream_dedupe(ev, ["user_id", "day"], "ts", "1 day", "t-dedupe")
     assert dd.count() == spark.read.parquet(path).select("user_id", F.to_date("ts")).distinct().count()
+
+
+def test_csv_and_append_sinks(spark):
+    df = spark.createDataFrame([(1, "a,b", "x")], "channel_id bigint, name string, extra string")
+    out = SK.scratch_path(spark, "t-csv")
+    SK.write_csv(df.select("channel_id", "name"), out)
+    back = spark.read.option("header", True).csv(out)
+    assert back.columns == ["channel_id", "name"] and back.first()["name"] == "a,b"
+    app = SK.scratch_path(spark, "t-append")
+    for _ in range(2):
+        SK.append_records(df, app, ["channel_id", "name", "status"])
+    got = spark.read.parquet(app)
+    assert got.columns == ["channel_id", "name", "status"] and got.count() == 2

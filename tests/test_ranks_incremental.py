@@ -69,3 +69,4 @@ def test_planning_anti_joins(spark):
     months = spark.createDataFrame([("b",)], "month_key string")
     assert rows(I.missing_pairs(sc, done)) == [(1, "b"), (2, "a"), (2, "b")]
     assert rows(I.incremental_todo(sc, done, months), "channel_id", "month_key") == [(2, "a")]
+
