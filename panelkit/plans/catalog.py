@@ -16,7 +16,6 @@ from ..operators import enrich as E
 from ..operators import games as G
 from ..operators import merge as M
 from ..operators import quality as Q
-from ..operators import ranks as R
 from ..operators import report as RP
 from ..operators import scaffold as SC
 from ..sources import bindings as B
@@ -36,7 +35,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-SCALAR_PANEL = [c for c in M.PANEL_COLUMNS]
+
 
 
 # --- scaffold / merge -------------------------------------------------------

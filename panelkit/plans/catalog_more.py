@@ -3,7 +3,6 @@ bookkeeping, time rules, sinks and streaming runs."""
 
 from __future__ import annotations
 
-import datetime as _dt
 
 from pyspark.sql import functions as F
 
