@@ -12,6 +12,17 @@ from ..operators import scaffold as SC
 from ..sources import bindings as B
 
 
+def _plan_cache(spark: SparkSession, key: tuple, build):
+    """Reuse the *plan* (a lazy DataFrame, already analysed) built for the same
+    session, inputs and arguments: report queries over one panel skip
+    rebuilding and re-analysing it. No data is cached; every action still
+    reads the landed files and recomputes the panel."""
+    cache = spark.__dict__.setdefault("_panelkit_plans", {})
+    if key not in cache:
+        cache[key] = build()
+    return cache[key]
+
+
 def build_panel(
     spark: SparkSession,
     sf_dir: str,
@@ -24,6 +35,13 @@ def build_panel(
     ``months``: explicit list of month-start dates; default is every month
     from the first to the last order month (scalar subqueries, evaluated once).
     """
+    key = ("panel", sf_dir, top_k, active_rule, tuple(months) if isinstance(months, list) else None)
+    if months is None or isinstance(months, list):
+        return _plan_cache(spark, key, lambda: _build_panel(spark, sf_dir, top_k, active_rule, months))
+    return _build_panel(spark, sf_dir, top_k, active_rule, months)
+
+
+def _build_panel(spark, sf_dir, top_k, active_rule, months):
     if months is None:
         first, last = B.month_bounds(spark, sf_dir)
         months = SC.month_sequence(first, last)
@@ -43,6 +61,11 @@ def enriched_panel(
     status_filter: list[str] | None = None,
 ) -> DataFrame:
     """Panel + games features (fill blanks / overwrite) + created lookups."""
+    key = ("enriched", sf_dir, top_k, overwrite, tuple(status_filter or ()))
+    return _plan_cache(spark, key, lambda: _enriched_panel(spark, sf_dir, top_k, overwrite, status_filter))
+
+
+def _enriched_panel(spark, sf_dir, top_k, overwrite, status_filter):
     panel = build_panel(spark, sf_dir, top_k=top_k)
     if status_filter:
         panel = E.status_filter(panel, status_filter)
@@ -53,4 +76,5 @@ def enriched_panel(
 
 def final_panel(spark: SparkSession, sf_dir: str, top_k: int = B.BINDING_TOP_K) -> DataFrame:
     """Enriched panel with the four cohort ranks recomputed per (year, month)."""
-    return R.cohort_ranks(enriched_panel(spark, sf_dir, top_k=top_k))
+    return _plan_cache(spark, ("final", sf_dir, top_k),
+                       lambda: R.cohort_ranks(enriched_panel(spark, sf_dir, top_k=top_k)))
