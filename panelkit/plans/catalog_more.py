@@ -587,6 +587,13 @@ def q_write_read_partitioned(spark, d):
     return spark.read.parquet(path).select("channel_id", "month_key", "rank", "status")
 
 
+@register("incremental_run", O.sql("SELECT * FROM panel", "panel"))
+def q_incremental_run(spark, d):
+    path = SK.scratch_path(spark, "panel-incremental")
+    back = P.incremental_run(spark, d, path, months_per_run=12)
+    return back.select(*M.PANEL_COLUMNS)
+
+
 _REPORT_LONG = f"""
 SELECT 'overview' AS section, k AS key, CAST(v AS DOUBLE) AS value FROM (
   SELECT unnest(['total_rows', 'unique_channels', 'columns_seen', 'rows_with_rank', 'rows_with_any_metric',
