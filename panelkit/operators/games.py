@@ -22,7 +22,8 @@ def games_agg(games: DataFrame, with_lists: bool = True, order=None) -> DataFram
     ``order`` is an ascending sortable Column (default ``pos``), so callers
     whose source order is a sort key need no position window.
     The top game is the first in source order among the most hours (a stable
-    descending sort), found with ``min_by`` on (-hours, order): no sort needed.
+    descending sort): the head of the by-time list, or ``min_by`` on
+    (-hours, order) when no lists are wanted.
     The lists are collected per channel-month (bounded by the games one
     channel streams in one month) and sorted within the row.
     """
@@ -32,9 +33,10 @@ def games_agg(games: DataFrame, with_lists: bool = True, order=None) -> DataFram
     aggs = [
         F.sum(h0.cast("decimal(38,6)")).cast("double").alias("total_hours"),
         F.count(F.lit(1)).alias("game_count"),
-        F.min_by(F.col("game"), F.struct((-h0).alias("h"), o.alias("o"))).alias("top_game"),
         S.round_dp(F.max(h0), 2).alias("top_game_hours"),
     ]
+    if not with_lists:
+        aggs.append(F.min_by(F.col("game"), F.struct((-h0).alias("h"), o.alias("o"))).alias("top_game"))
     if with_lists:
         item = F.struct(
             F.col("game"),
@@ -54,10 +56,14 @@ def games_agg(games: DataFrame, with_lists: bool = True, order=None) -> DataFram
         ]
     a = games.groupBy(*KEY).agg(*aggs)
     if with_lists:
+        # the top game is the head of the by-time list (most hours, then source
+        # order), so the aggregate holds only list buffers and runs hash-based
+        by_time_sorted = F.sort_array("_time")
         a = a.select(
             *[c for c in a.columns if not c.startswith("_")],
+            by_time_sorted[0]["v"]["game"].alias("top_game"),
             F.sort_array("_all")["v"].alias("all_games"),
-            F.sort_array("_time")["v"].alias("games_by_stream_time"),
+            by_time_sorted["v"].alias("games_by_stream_time"),
             F.sort_array("_avg")["v"].alias("games_by_avg_viewers"),
         )
     return a
