@@ -17,7 +17,8 @@ COHORT_RANKS = {
 
 
 def cohort_ranks(df: DataFrame, metrics: dict[str, str] = COHORT_RANKS,
-                 cohort: tuple[str, str] = ("year", "month")) -> DataFrame:
+                 cohort: tuple[str, str] = ("year", "month"), method: str = "window",
+                 partitions: int | None = None) -> DataFrame:
     """Rank every row within its (year, month): highest value = 1, ties share
     the best rank (1,2,2,4), missing values share the last place (non-null
     count + 1), rows with a null cohort key get 0.
@@ -25,7 +26,21 @@ def cohort_ranks(df: DataFrame, metrics: dict[str, str] = COHORT_RANKS,
     All four windows share one partitioning, so Spark shuffles once and sorts
     per metric. A balanced panel has the same row count in every month, so the
     window partitions are even by construction.
+
+    ``method='range'`` is for cohorts too large for one task: per metric, rows
+    are range-partitioned on (cohort, value desc) so one cohort spans many
+    tasks; the partitioned rows are checkpointed (reliable checkpoint under
+    ``spark.checkpoint.dir``) so partition ids are stable; each task ranks its
+    slice and adds the count of the cohort's rows in earlier slices (a table of
+    partitions x cohorts, broadcast as its size is bounded by configuration).
+    Equal values always share a range partition, so ties keep one rank.
     """
+    if method == "range":
+        out = df
+        for metric, rank_col in metrics.items():
+            if metric in df.columns:
+                out = _range_rank(out, list(cohort), metric, rank_col, partitions)
+        return out
     w = Window.partitionBy(*cohort)
     key_null = F.col(cohort[0]).isNull() | F.col(cohort[1]).isNull()
     cols = {}
@@ -43,3 +58,27 @@ def monthly_leaderboard(df: DataFrame, metric: str, partition: list[str], key: s
     """Position in a leaderboard sorted by ``metric`` desc, ties by key."""
     w = Window.partitionBy(*partition).orderBy(F.col(metric).desc_nulls_last(), F.col(key))
     return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+
+
+def _range_rank(df: DataFrame, keys: list[str], metric: str, out: str, partitions: int | None) -> DataFrame:
+    """rank() of ``metric`` desc (nulls last) within ``keys``, split by value range."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key_null = F.col(keys[0]).isNull()
+    for k in keys[1:]:
+        key_null = key_null | F.col(k).isNull()
+    keep = [c for c in df.columns if c != out]
+    base = df.select(*keep, S.nan_to_null(F.col(metric).cast("double")).alias("_v"))
+    ranged = (base.where(~key_null)
+              .repartitionByRange(n, *[F.col(k) for k in keys], F.col("_v").desc_nulls_last())
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    local = ranged.withColumn("_lr", F.rank().over(
+        Window.partitionBy("_pid", *keys).orderBy(F.col("_v").desc_nulls_last())))
+    counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", *keys, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
+    ranked = local.join(F.broadcast(offsets), ["_pid", *keys]).select(
+        *keep, (F.col("_off") + F.col("_lr")).cast("bigint").alias(out))
+    no_key = base.where(key_null).select(*keep, F.lit(0).cast("bigint").alias(out))
+    return ranked.unionByName(no_key)

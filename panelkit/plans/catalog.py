@@ -187,6 +187,14 @@ def q_cohort_ranks(spark, d):
                                           "follower_rank", "follower_gain_rank")
 
 
+@register("cohort_ranks_range", SQL["cohort_ranks"])
+def q_cohort_ranks_range(spark, d):
+    """Same ranks, computed with the range-split strategy for huge cohorts."""
+    from ..operators import ranks as R
+    return R.cohort_ranks(P.enriched_panel(spark, d), method="range").select(
+        "channel_id", "month_key", "avg_viewer_rank", "peak_viewer_rank", "follower_rank", "follower_gain_rank")
+
+
 # --- report -----------------------------------------------------------------
 
 _ACTIVE = "coalesce(status, 'inactive') <> 'inactive'"

@@ -70,3 +70,19 @@ def test_planning_anti_joins(spark):
     assert rows(I.missing_pairs(sc, done)) == [(1, "b"), (2, "a"), (2, "b")]
     assert rows(I.incremental_todo(sc, done, months), "channel_id", "month_key") == [(2, "a")]
 
+
+
+def test_range_rank_equals_window(spark):
+    import random
+    rnd = random.Random(7)
+    data = []
+    for i in range(3000):
+        y = rnd.choice([2023, 2024, None]) if i % 97 else None
+        m = rnd.choice(["march", "april"])
+        v = rnd.choice([None, float(rnd.randint(0, 40)), rnd.random() * 10])
+        data.append((i, y, m, v))
+    df = spark.createDataFrame(data, "id int, year bigint, month string, average_viewers double")
+    spec = {"average_viewers": "avg_viewer_rank"}
+    a = rows(R.cohort_ranks(df, spec), "id", "avg_viewer_rank")
+    b = rows(R.cohort_ranks(df, spec, method="range", partitions=7), "id", "avg_viewer_rank")
+    assert a == b
