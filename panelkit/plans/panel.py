@@ -107,3 +107,27 @@ def incremental_run(spark: SparkSession, sf_dir: str, path: str, months_per_run:
     for i in range(0, len(months), months_per_run):
         write_panel(build_panel(spark, sf_dir, top_k=top_k, months=months[i:i + months_per_run]), path)
     return spark.read.parquet(path)
+
+
+def report_tables(panel: DataFrame, top_n: int = 20, materialize_to: str | None = None) -> dict[str, DataFrame]:
+    """All report sections of one panel (JB-3), as DataFrames.
+
+    With ``materialize_to`` the panel is first written there (partitioned by
+    month_key, e.g. under ``spark.checkpoint.dir``) and every section reads the
+    written table, so the panel is computed once for the whole report."""
+    from ..operators import report as RP
+    if materialize_to:
+        write_panel(panel, materialize_to)
+        panel = panel.sparkSession.read.parquet(materialize_to)
+    return {
+        "overview": RP.overview(panel),
+        "status_distribution": RP.status_distribution(panel),
+        "missingness": RP.missingness(panel),
+        "monthly_summary": RP.monthly_summary(panel),
+        "created_cohorts": RP.created_cohorts(panel),
+        "top_channels_by_avg_viewers": RP.top_channels(panel, top_n, "avg_viewers"),
+        "top_channels_by_hours_watched": RP.top_channels(panel, top_n, "hours_watched"),
+        "top_games_by_hours": RP.top_games(panel, top_n, "hours") if "all_games" in panel.columns else None,
+        "rank_histogram": RP.rank_histogram(panel),
+        "report_long": RP.report_long(panel),
+    }

@@ -68,3 +68,12 @@ def test_game_hours_conserved(spark):
     exploded = RP.game_rows(a).agg(F.sum("hours")).first()[0]
     assert round(total_rows, 6) == round(total_agg, 6) == round(exploded, 6)
     assert a.agg(F.sum("game_count")).first()[0] == g.count()
+
+
+def test_report_tables_from_written_panel(spark):
+    from panelkit.sources import sinks as SK
+    e = P.enriched_panel(spark, SMALL)
+    direct = P.report_tables(e)
+    written = P.report_tables(e, materialize_to=SK.scratch_path(spark, "t-report"))
+    for name in ("overview", "status_distribution", "monthly_summary", "top_games_by_hours"):
+        assert rows(direct[name]) == rows(written[name]), name
