@@ -66,3 +66,14 @@ def test_scans_are_pruned(spark):
     bursts = _plan(ent.queries()["error_bursts"](spark, SMALL))
     assert "EqualTo(event_type,error)" in bursts
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in bursts
+
+
+PLAN_ONLY = [n for n in ent.queries() if not n.startswith("stream_")
+             and n not in ("write_read_partitioned", "incremental_run", "cohort_ranks_range")]
+
+
+@pytest.mark.parametrize("name", PLAN_ONLY)
+def test_no_udf_or_cartesian_anywhere(spark, name):
+    plan = _plan(ent.queries()[name](spark, SMALL))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, (name, bad)
