@@ -263,10 +263,17 @@ def parse_games_text(df: DataFrame, col: str, keep: list[str], dict_zero_as_miss
     array [game, hours, _, avg, ...] or an object (game|title|name,
     hours|streamtime, avg_viewers|avgviewers). Unparsable text gives no rows.
     With ``dict_zero_as_missing`` an object's 0 falls through to the next
-    alias (and so to missing), like a Python ``or`` chain."""
+    alias (and so to missing), like a Python ``or`` chain. Python tuple
+    literals are read as lists."""
     t = F.col(col)
     inner = F.coalesce(F.get_json_object(t, "$.rows"), F.get_json_object(t, "$.data"), t)
-    items = df.select(*keep, F.posexplode(F.from_json(inner, "array<string>")).alias("p0", "item"))
+    # Python tuple literals ('A', 1.5): brackets for the tuple parens that
+    # open after '[' or ',' and close before ',' or ']'; tried only when the
+    # text is not valid (lenient) JSON as it stands
+    as_lists = F.regexp_replace(F.regexp_replace(inner, r"([\[,]\s*)\(", "$1["),
+                                r"(?<=['\"\]\d])\s*\)(?=\s*[,\]])", "]")
+    parsed = F.coalesce(F.from_json(inner, "array<string>"), F.from_json(as_lists, "array<string>"))
+    items = df.select(*keep, F.posexplode(parsed).alias("p0", "item"))
     arr = F.from_json("item", "array<string>")
     obj = F.from_json("item", "map<string,string>")
     pick = py_or if dict_zero_as_missing else (lambda m, ks: F.coalesce(*[m[k] for k in ks]))

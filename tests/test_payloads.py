@@ -75,8 +75,10 @@ def test_games_text(spark):
         "[['Chess',1.5]]",
         '', 'junk', None, '5',
         '[{"title":"Café \\"A|B\\"","streamtime":2}]',
+        "[('Go (2019)', 2.5, 1, 4.0), ('Chess', 1)]",
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     got = rows(PL.parse_games_text(df, "t", ["id"]), "id", "game", "hours", "avg_viewers")
     assert got == [(0, "Chess", 1.5, 100.0), (1, "Chess", 1.5, None), (2, "Chess", 1.0, 3.5),
-                   (3, "Chess", 1.5, None), (8, 'Café "A|B"', 2.0, None)]
+                   (3, "Chess", 1.5, None), (8, 'Café "A|B"', 2.0, None),
+                   (9, "Chess", 1.0, None), (9, "Go (2019)", 2.5, 4.0)]
