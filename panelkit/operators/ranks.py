@@ -60,25 +60,39 @@ def monthly_leaderboard(df: DataFrame, metric: str, partition: list[str], key: s
     return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
 
 
-def _range_rank(df: DataFrame, keys: list[str], metric: str, out: str, partitions: int | None) -> DataFrame:
-    """rank() of ``metric`` desc (nulls last) within ``keys``, split by value range."""
+def _range_window(df: DataFrame, keys: list[str], order: list, out: str, fn, partitions: int | None) -> DataFrame:
+    """``fn()`` (rank / row_number) over ``order`` within ``keys``, with the
+    keys' rows spread over many tasks by range partitioning on (keys, order);
+    rows with a null key get 0. The partitioned rows are checkpointed so the
+    partition ids used by the local ranks and by the offsets are the same."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_null = F.col(keys[0]).isNull()
     for k in keys[1:]:
         key_null = key_null | F.col(k).isNull()
     keep = [c for c in df.columns if c != out]
-    base = df.select(*keep, S.nan_to_null(F.col(metric).cast("double")).alias("_v"))
-    ranged = (base.where(~key_null)
-              .repartitionByRange(n, *[F.col(k) for k in keys], F.col("_v").desc_nulls_last())
+    ranged = (df.where(~key_null)
+              .repartitionByRange(n, *[F.col(k) for k in keys], *order)
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
-    local = ranged.withColumn("_lr", F.rank().over(
-        Window.partitionBy("_pid", *keys).orderBy(F.col("_v").desc_nulls_last())))
+    local = ranged.withColumn("_lr", fn().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
     counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", *keys, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
     ranked = local.join(F.broadcast(offsets), ["_pid", *keys]).select(
         *keep, (F.col("_off") + F.col("_lr")).cast("bigint").alias(out))
-    no_key = base.where(key_null).select(*keep, F.lit(0).cast("bigint").alias(out))
+    no_key = df.where(key_null).select(*keep, F.lit(0).cast("bigint").alias(out))
     return ranked.unionByName(no_key)
+
+
+def range_row_number(df: DataFrame, keys: list[str], order: list, out: str,
+                     partitions: int | None = None) -> DataFrame:
+    """row_number() over a total ``order`` within ``keys``, range-split (see
+    :func:`cohort_ranks` ``method='range'``)."""
+    return _range_window(df, keys, order, out, F.row_number, partitions)
+
+
+def _range_rank(df: DataFrame, keys: list[str], metric: str, out: str, partitions: int | None) -> DataFrame:
+    """rank() of ``metric`` desc (nulls last) within ``keys``, split by value range."""
+    base = df.withColumn("_v", S.nan_to_null(F.col(metric).cast("double")))
+    return _range_window(base, keys, [F.col("_v").desc_nulls_last()], out, F.rank, partitions).drop("_v")

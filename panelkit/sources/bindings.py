@@ -35,6 +35,9 @@ URGENT_PRIORITY = 1  # seed "mature" flag: some order of this priority digit
 PAGE_SIZE = 100               # leaderboard rows per landed page
 GAMES_PAGE_SIZE = 10          # games rows per landed page
 BINDING_TOP_K = 50            # status cut for the driver's data (~180 ranked per month)
+# "window": one window partition per (month, status) board; "range": boards
+# split over many tasks (operators.ranks.range_row_number) for huge boards.
+BOARD_RANK_METHOD = "window"
 
 
 def month_cols(d) -> list:
@@ -76,6 +79,9 @@ def status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     place on its (month, status) leaderboard. Seed (F, P) and live (O, P)
     rows are both projections of this one scan, aggregate and window."""
     a = _status_month_agg(_orders_by_month(spark, sf_dir))
+    if BOARD_RANK_METHOD == "range":
+        from ..operators.ranks import range_row_number
+        return range_row_number(a, ["ms", "o_orderstatus"], [F.col("s").desc(), F.col("o_custkey")], "board_rank")
     board = Window.partitionBy("ms", "o_orderstatus").orderBy(F.col("s").desc(), "o_custkey")
     return a.withColumn("board_rank", F.row_number().over(board).cast("bigint"))
 

@@ -86,3 +86,15 @@ def test_range_rank_equals_window(spark):
     a = rows(R.cohort_ranks(df, spec), "id", "avg_viewer_rank")
     b = rows(R.cohort_ranks(df, spec, method="range", partitions=7), "id", "avg_viewer_rank")
     assert a == b
+
+
+def test_board_rank_methods_agree(spark):
+    from panelkit.sources import bindings as B
+    from conftest import SMALL
+    a = rows(B.status_rows(spark, SMALL), "o_custkey", "ms", "o_orderstatus", "board_rank")
+    B.BOARD_RANK_METHOD = "range"
+    try:
+        b = rows(B.status_rows(spark, SMALL), "o_custkey", "ms", "o_orderstatus", "board_rank")
+    finally:
+        B.BOARD_RANK_METHOD = "window"
+    assert a == b
