@@ -172,7 +172,8 @@ def coverage_pcts(panel: DataFrame) -> DataFrame:
 
 def rank_histogram(panel: DataFrame, bins: int = 50) -> DataFrame:
     """Histogram of channels' best rank over equal-width bins between the
-    smallest and largest best rank (last bin closed; one bin when equal).
+    smallest and largest best rank (last bin closed; one bin when equal);
+    all bins are listed, empty ones with 0.
 
     The bounds are scalar subqueries, computed once and inlined; bins are
     counted by an ordinary aggregate."""
@@ -182,7 +183,12 @@ def rank_histogram(panel: DataFrame, bins: int = 50) -> DataFrame:
     width = hi - lo
     b = F.when(width > 0, F.least(F.floor((F.col("rank_min") - lo) / width * bins), F.lit(bins - 1))) \
          .otherwise(F.lit(0)).cast("bigint")
-    return best.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("channels"))
+    counts = best.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("channels"))
+    # every bin is reported (empty ones with 0) once any channel has a rank;
+    # the bin spine is a fixed 50-row range, the counts are at most 50 rows
+    spine = best.sparkSession.range(bins).select(F.col("id").alias("bin")).where(lo.isNotNull())
+    return spine.join(counts, "bin", "left").select(
+        "bin", F.coalesce(F.col("channels"), F.lit(0)).cast("bigint").alias("channels"))
 
 
 def scan_coverage(panel: DataFrame) -> DataFrame:

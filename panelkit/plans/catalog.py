@@ -330,11 +330,14 @@ def q_coverage_pcts(spark, d):
 
 
 @register("rank_histogram", O.sql("""
-SELECT CAST(CASE WHEN hi - lo > 0 THEN least(floor((rank_min - lo) / (hi - lo) * 50), 49) ELSE 0 END AS BIGINT) AS bin,
-       count(*) AS channels
-FROM (SELECT rank_min FROM channel_stats WHERE rank_min IS NOT NULL) b,
-     (SELECT min(rank_min) AS lo, max(rank_min) AS hi FROM channel_stats) m
-GROUP BY 1""", "channel_stats"))
+SELECT s.bin, coalesce(c.channels, 0) AS channels
+FROM (SELECT range AS bin FROM range(50) WHERE (SELECT count(rank_min) FROM channel_stats) > 0) s
+LEFT JOIN (
+  SELECT CAST(CASE WHEN hi - lo > 0 THEN least(floor((rank_min - lo) / (hi - lo) * 50), 49) ELSE 0 END AS BIGINT)
+           AS bin, count(*) AS channels
+  FROM (SELECT rank_min FROM channel_stats WHERE rank_min IS NOT NULL) b,
+       (SELECT min(rank_min) AS lo, max(rank_min) AS hi FROM channel_stats) m
+  GROUP BY 1) c ON s.bin = c.bin""", "channel_stats"))
 def q_rank_histogram(spark, d):
     return RP.rank_histogram(P.enriched_panel(spark, d))
 
