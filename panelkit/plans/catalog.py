@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import enrich as E
+from ..operators import lookups as E
 from ..operators import games as G
 from ..operators import merge as M
 from ..operators import quality as Q

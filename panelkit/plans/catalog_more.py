@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import enrich as E
+from ..operators import lookups as E
 from ..operators import games as G
 from ..operators import incremental as I
 from ..operators import merge as M

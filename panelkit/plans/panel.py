@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import games as G
-from ..operators import enrich as E
+from ..operators import lookups as E
 from ..operators import merge as M
 from ..operators import ranks as R
 from ..operators import scaffold as SC
