@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import decontaminate, exact_dedup, line_dedup
+from panelkit.llm import decontaminate, exact_dedup, line_dedup, packing, sharding
 from panelkit.llm.common import documents
 
 QUERIES: dict = {}
@@ -40,6 +40,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query()
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, sf_dir))
+
+
 @query(rf"""
 WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS pts, regexp_replace(coalesce(text, ''), '{_WS}', '', 'g') AS t FROM documents),
 g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY t ORDER BY pts DESC, doc_id) AS keep_id,
@@ -49,6 +54,17 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer_path()).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query(rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
