@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import decontaminate, exact_dedup, line_dedup, packing, sharding
+from panelkit.llm import decontaminate, exact_dedup, line_dedup, packing, quality, sharding, toxicity
 from panelkit.llm.common import documents
 
 QUERIES: dict = {}
@@ -22,6 +22,20 @@ def query(sql: str | None = None):
     return add
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+
+
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
 _WS = r"[\x20\x09-\x0D]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
