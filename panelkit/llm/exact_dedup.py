@@ -66,8 +66,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     done = level.filter("ended").select("doc_id", "grp")
     open_ = level.filter("not ended").select("doc_id", "grp")
     if open_.limit(1).count():
-        rest = write_table(rows.join(open_.select("doc_id"), "doc_id", "left_semi")
-                           .mapInArrow(_rest, "doc_id long, rest binary").dropDuplicates(["doc_id"]), "radix")
+        # the ids grow with the corpus, so they are never broadcast; one row per id needs no further shuffle
+        rest = write_table(rows.join(open_.select("doc_id").hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+                           .mapInArrow(_rest, "doc_id long, rest binary"), "radix")
         at, width = 0, FIRST_RANGE * RANGE_GROWTH
         while open_.limit(1).count():
             parts = open_.join(rest.select("doc_id", F.substring("rest", at + 1, width).alias("part")), "doc_id")
