@@ -129,11 +129,33 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each range of 64-bit values (equal values, equal hash)."""
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _power(_BASE, len(values)), out=total[1:])
+    return mix((total[ends] - total[starts]) * _power(_BASE_INV, len(values) + 1)[starts] + (ends - starts).astype(np.uint64))
+
+
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span (equal bytes, equal hash)."""
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * _power(_BASE, len(buf)), out=total[1:])
-    return mix((total[ends] - total[starts]) * _power(_BASE_INV, len(buf) + 1)[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hash of each byte span."""
+    return range_hashes(_BYTE[buf], starts, ends)
+
+
+def gram_hashes(buf: np.ndarray, size: int) -> np.ndarray:
+    """64-bit rolling hash of every run of ``size`` bytes."""
+    starts = np.arange(max(0, len(buf) - size + 1))
+    return span_hashes(buf, starts, starts + size)
+
+
+def triggers(grams: np.ndarray, grams_in_window: int, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions whose gram is the smallest of some valid window (all of equal ones), and the
+    smallest gram of every window. Which positions of a window are triggers because of it
+    depends on the window's content alone, so equal windows share a trigger."""
+    least = run_minima(grams, grams_in_window)
+    padded = np.zeros(len(grams) + grams_in_window - 1, np.uint64)
+    padded[grams_in_window - 1: grams_in_window - 1 + len(least)] = np.where(valid[: len(least)], least, 0)
+    most = ~run_minima(~padded, grams_in_window)
+    return np.flatnonzero(most == grams), least
 
 
 def runs(h: np.ndarray, n: int) -> np.ndarray:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import decontaminate, exact_dedup, line_dedup, near_dedup, packing, quality, sharding, toxicity
+from panelkit.llm import decontaminate, exact_dedup, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity
 from panelkit.llm.common import documents
 
 QUERIES: dict = {}
@@ -116,3 +116,26 @@ SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = compon
 FROM c LEFT JOIN n ON n.doc_id = c.doc_id""")
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), size=3, percent=85)
+
+
+@query(rf"""
+WITH w AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+v AS MATERIALIZED (
+  SELECT doc_id, i, md5(array_to_string(list_slice(ws, i, i + 49), ' ')) AS win
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS i FROM w WHERE len(ws) >= 50)),
+f AS (SELECT win, min(doc_id) AS source FROM v GROUP BY win HAVING count(DISTINCT doc_id) > 1),
+g AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(generate_series(i, i + 49)) AS p FROM v JOIN f USING (win) WHERE source < doc_id)),
+a AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+k AS (SELECT a.doc_id, count(g.p) AS n_removed, string_agg(word, ' ' ORDER BY a.p) FILTER (WHERE g.p IS NULL) AS kept
+      FROM a LEFT JOIN g ON g.doc_id = a.doc_id AND g.p = a.p GROUP BY a.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON k.doc_id = w.doc_id""")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
