@@ -202,3 +202,11 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def binary(blobs) -> pa.Array:
     return pa.array(blobs, pa.binary())
+
+
+def filter_rows(docs: DataFrame, mask, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, for which ``mask(texts)`` holds; no shuffle."""
+    def run(batches):
+        for b in slices(batches, text_col):
+            yield b.filter(pa.array(mask(b.column(text_col)), pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)

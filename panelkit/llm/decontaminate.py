@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import ALNUM, LOWER, buffer_of, covered, narrow, public_id, runs, slices, span_hashes, words
+from panelkit.llm.common import ALNUM, LOWER, buffer_of, covered, filter_rows, narrow, public_id, runs, slices, span_hashes, words
 
 WINDOW = 10
 SLICE_LIMIT = 8 << 20
@@ -114,19 +114,35 @@ def _union(batches):
                                pa.array(out, b.schema.field("spans").type), b.column("items")], b.schema.names)
 
 
+def _indexes(benchmark: DataFrame, window: int, slice_limit: int):
+    """Broadcast windows of the benchmark, one after another, each from about ``slice_limit`` bytes of items."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    n_slices = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // slice_limit))
+    for k in range(n_slices):
+        own = items.filter(F.pmod(F.xxhash64("text"), F.lit(n_slices)) == k) if n_slices > 1 else items
+        yield benchmark.sparkSession.sparkContext.broadcast(
+            window_index([(r["item_id"], r["text"]) for r in own.toLocalIterator()], window))
+
+
+def drop_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
+                   window: int = WINDOW, slice_limit: int = SLICE_LIMIT) -> DataFrame:
+    """The rows, with all their columns, in which no window of the benchmark occurs."""
+    for index in _indexes(benchmark, window, slice_limit):
+        def clean(texts, index=index):
+            found = np.ones(len(texts), bool)
+            for d, _, _, _ in _hits(index.value, *_words_of(*buffer_of(texts))):
+                found[d] = False
+            return found
+        docs = filter_rows(docs, clean, text_col)
+    return docs
+
+
 def scan_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    window: int = WINDOW, slice_limit: int = SLICE_LIMIT) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, spans of hit words [start, end), and the items found (sorted)."""
     rows = narrow(docs, id_col, text_col)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_slices = max(1, -(-size // slice_limit))
-    sc, parts = docs.sparkSession.sparkContext, []
-    for k in range(n_slices):
-        own = items.filter(F.pmod(F.xxhash64("text"), F.lit(n_slices)) == k) if n_slices > 1 else items
-        index = sc.broadcast(window_index([(r["item_id"], r["text"]) for r in own.toLocalIterator()], window))
-        parts.append(rows.mapInArrow(_scan(index), SCHEMA))
-    if n_slices == 1:
+    parts = [rows.mapInArrow(_scan(index), SCHEMA) for index in _indexes(benchmark, window, slice_limit)]
+    if len(parts) == 1:
         return parts[0].select(public_id(), "n_words", "n_hit", "spans", "items")
     merged = parts[0]
     for p in parts[1:]:

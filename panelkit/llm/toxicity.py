@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import ALNUM, LOWER, binary, buffer_of, mix, narrow, public_id, runs, slices, span_hashes, words
+from panelkit.llm.common import ALNUM, LOWER, binary, buffer_of, filter_rows, mix, narrow, public_id, runs, slices, span_hashes, words
 from panelkit.llm.learning import about, fold, known_labels, packed, sigmoid, train, with_text
 
 SAMPLE = 20_000
@@ -116,22 +116,32 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
     return {"bias": float(w[0]) if n[0] else -30.0, "coords": coords[keep], "weights": w[keep]}
 
 
+def scores(model: dict, texts) -> np.ndarray:
+    """Score of each text: the weights of its distinct features."""
+    coord, where, n = _features(texts)
+    marks = np.zeros(1 << 20, bool)
+    marks[model["coords"] & 0xFFFFF] = True
+    near = np.flatnonzero(marks[coord & 0xFFFFF])
+    at = np.minimum(np.searchsorted(model["coords"], coord[near]), max(0, len(model["coords"]) - 1))
+    hit = model["coords"][at] == coord[near] if len(model["coords"]) else np.zeros(0, bool)
+    pairs = np.unique((where[near][hit] << 32) | at[hit])
+    total = np.bincount(pairs >> 32, model["weights"][pairs & 0xFFFFFFFF], n) if len(pairs) else np.zeros(n)
+    return sigmoid(total + model["bias"])
+
+
 def _score(model):
     def run(batches):
-        m = model.value
-        marks = np.zeros(1 << 20, bool)
-        marks[m["coords"] & 0xFFFFF] = True
         for b in slices(batches):
-            coord, where, n = _features(b.column("text"))
-            near = np.flatnonzero(marks[coord & 0xFFFFF])
-            at = np.minimum(np.searchsorted(m["coords"], coord[near]), max(0, len(m["coords"]) - 1))
-            hit = m["coords"][at] == coord[near] if len(m["coords"]) else np.zeros(0, bool)
-            pairs = np.unique((where[near][hit] << 32) | at[hit])
-            total = np.bincount(pairs >> 32, m["weights"][pairs & 0xFFFFFFFF], n) if len(pairs) else np.zeros(n)
-            yield pa.record_batch([b.column("doc_id"), pa.array(sigmoid(total + m["bias"]))], ["doc_id", "score"])
+            yield pa.record_batch([b.column("doc_id"), pa.array(scores(model.value, b.column("text")))], ["doc_id", "score"])
     return run
 
 
+def drop_toxic(docs: DataFrame, model: dict, cut: float = CUT) -> DataFrame:
+    """The rows, with all their columns, that score below ``cut``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_rows(docs, lambda texts: scores(sent.value, texts) < cut)
+
+
 def score_documents(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and score (0 to 1, higher: toxic) of every row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
