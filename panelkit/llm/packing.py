@@ -10,7 +10,9 @@ a pattern, used as often as the histogram allows. Pieces find their place in
 parallel, by their rank among the pieces of their length.
 
 Words repeat, so a task encodes each distinct run of non-white bytes once: the
-tokenizer drops white space and none of its tokens crosses it.
+tokenizer folds case, drops white space, and none of its tokens crosses it. (This
+holds for tokenizers of that kind, as the one of the query; ``encode`` is tested
+against it on whole texts.)
 
 Defined cases: null text counts as empty (one end id); a null doc_id stays null;
 every row is packed, repeated ones too; other columns are ignored; an empty table
@@ -20,6 +22,7 @@ gives no rows.
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,7 @@ WINDOW = 4096
 END_ID = 2
 BUCKET_ROWS = 2000
 CACHE_ENTRIES = 1 << 19   # distinct words a Python worker remembers
+_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \t\n\x0b\x0c\r]|\Z)")
 _loaded: dict = {}
 
 
@@ -43,10 +47,19 @@ def _encoder(path: str):
     return _loaded[path]
 
 
+def _parts(text: bytes) -> list[bytes]:
+    """Pieces of a text that can be encoded apart: its words, folded as the tokenizer's
+    normaliser does, with a final stop or comma after a letter or digit of ASCII split off,
+    as its pattern does. A text that may hold a special token keeps its capitals."""
+    if b"<|" in text:
+        return text.split()
+    return _STOP.sub(rb" \1", text.lower()).split()
+
+
 def encode(texts: list[bytes], path: str, end_id: int = END_ID) -> list[bytes]:
     """Ids of each text and the end id, as little-endian unsigned 32-bit numbers."""
     tokenizer, known = _encoder(path)
-    split = [t.split() for t in texts]
+    split = [_parts(t) for t in texts]
     new = list(set().union(*split) - known.keys())
     if len(known) + len(new) > CACHE_ENTRIES:
         known.clear()
