@@ -96,8 +96,8 @@ def read_leaderboard(pages: DataFrame) -> DataFrame:
     m = F.from_json(F.col("item"), "map<string,string>")
     rows = items.select("month_key", "page_seq", (F.col("pos") + 1).cast("bigint").alias("row_pos"), m.alias("m")) \
                 .where(F.col("m").isNotNull())
-    cid = S.safe_int(py_or(F.col("m"), ID_KEYS))
-    rank = S.safe_int(py_or(F.col("m"), RANK_KEYS))
+    cid = S.safe_int(py_or(F.col("m"), ID_KEYS), strip_commas=False)
+    rank = S.safe_int(py_or(F.col("m"), RANK_KEYS), strip_commas=False)
     vm = S.clean_number(F.col("m")["viewminutes"], strip_commas=False)
     sm = S.clean_number(F.col("m")["streamedminutes"], strip_commas=False)
     out = rows.select(

@@ -23,15 +23,9 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "month_key"
     Rows are range-partitioned on (partition column, sort columns): a large
     partition value is split over several tasks by the sampled range bounds,
     and each task writes sorted files into few partition folders."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        keys = [partition_col, *(sort_cols or [])]
-        out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        out.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    keys = [partition_col, *(sort_cols or [])]
+    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

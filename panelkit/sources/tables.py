@@ -14,39 +14,8 @@ TABLES = (
 )
 
 
-# Inputs above this size but with fewer splits than task slots get spread.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin a poorly split input over all task slots.
-
-    A file written as one row group is one split, so its scan and every
-    narrow step after it (joins against broadcast sides, partial aggregates,
-    generators) would run in a single task. When the relation is larger than
-    ``SPREAD_MIN_BYTES`` (size from the file listing, no job) and has fewer
-    splits than the cluster has slots, it is repartitioned; a large table
-    landed as many files already has enough splits and is left alone.
-    Filters and column pruning still reach the scan below the repartition."""
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a remote (Connect) session: leave the layout as is
-        return df
-    if size >= SPREAD_MIN_BYTES and splits < slots:
-        return df.repartition(slots)
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """The landed table as a DataFrame, projected to ``cols``.
-
-    The relation (file listing + footer schema) is resolved once per session
-    and path and reused; every query still reads the files when it runs."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cache = spark.__dict__.setdefault("_panelkit_relations", {})
-    df = cache.get(path)
-    if df is None:
-        df = cache[path] = _spread(spark, spark.read.parquet(path))
+    """The landed table as a DataFrame, projected to ``cols``; the files are listed
+    anew on every call, so those landed since are read."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
