@@ -1,0 +1,39 @@
+"""Registered queries against DuckDB, and the pipeline against its stages' definitions."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from panelkit.llm import exact_dedup, near_dedup, queries
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "labels"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    want = con.sql(queries.SQL[name])
+    found = queries.QUERIES[name](spark, SMALL).select(*want.columns)
+    assert sorted(map(tuple, found.collect())) == sorted(want.fetchall())
+
+
+def test_all_ten_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_pipeline(spark):
+    docs = queries.documents(spark, SMALL)
+    columns, before = docs.columns, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SMALL)
+        assert kept.columns == columns, name
+        assert 0 < kept.count() <= before
+        docs, before = kept, kept.count()
+    assert exact_dedup.exact_groups(docs).filter("not kept").count() == 0
+    assert near_dedup.near_duplicates(docs).filter("not kept").count() == 0
+    packed = corpus_pipeline.run(spark, SMALL)
+    assert {r[0] for r in packed.select("doc_id").distinct().collect()} == {r[0] for r in docs.select("doc_id").collect()}
