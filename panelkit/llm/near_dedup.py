@@ -8,8 +8,8 @@ probability that makes a pair at the threshold keep about one common branch) sen
 a document to the child of its minwise token. After DEPTHS[0] levels, a node of at
 most LEAF documents is compared exhaustively by signature; a larger node goes
 deeper to the next of DEPTHS, after its documents were paired with the node's
-most typical members (those sharing their minwise tokens with most others), so
-that the copies of one text meet its centre however many they are. All candidate
+most typical members (those with most company further down), so that the copies of
+one text meet its centre however many they are. All candidate
 pairs are then confirmed on the full sets, and components of the confirmed links
 are found by star contraction.
 
@@ -42,7 +42,6 @@ TREES = 9
 DEPTHS = (4, 8, 16, 32)
 LEAF = 32
 PIVOTS = 4
-TYPICAL_COORDS = 16
 MARGIN = 0.12     # signature estimates this far below the threshold are dropped: over three standard errors
 
 _rng = np.random.Generator(np.random.PCG64(9))
@@ -178,37 +177,41 @@ def _confirm(percent: int):
     return run
 
 
+def _sized(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """Rows (doc_id, node) of the nodes with two documents or more, with the node's size and the signature."""
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    return write_table(rows.join(sizes, "node").join(reps.select("doc_id", "sig"), "doc_id"), "nodes")
+
+
 def _candidates(reps: DataFrame, percent: int, trees: int) -> DataFrame:
     """Distinct candidate pairs (a < b) of the representatives (doc_id, sig)."""
+    rows = _sized(reps.mapInArrow(_paths(trees, 100.0 / percent - 1.0), "doc_id long, node long"), reps)
     found = None
-    rows = reps.mapInArrow(_paths(trees, 100.0 / percent - 1.0), "doc_id long, node long")
     for depth, deeper in zip(DEPTHS, (*DEPTHS[1:], None), strict=True):
-        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        rows = write_table(rows.join(sizes, "node").join(reps.select("doc_id", "sig"), "doc_id"), "nodes")
         small = (rows.filter(F.col("size") <= LEAF).repartition("node").sortWithinPartitions("node", "doc_id")
                  .mapInArrow(_compare(percent / 100 - MARGIN), "a long, b long"))
         found = small if found is None else found.unionByName(small)
         big = rows.filter(F.col("size") > LEAF)
         if not big.limit(1).count():
             break
-        found = found.unionByName(_with_typical(big))
         if deeper:
-            rows = big.select("doc_id", "node", "sig").mapInArrow(_deeper(depth, deeper - depth), "doc_id long, node long")
+            rows = _sized(big.select("doc_id", "node", "sig").mapInArrow(_deeper(depth, deeper - depth), "doc_id long, node long"), reps)
+        found = found.unionByName(_with_typical(big, rows))
     return found.distinct()
 
 
-def _with_typical(big: DataFrame) -> DataFrame:
-    """Each document of a large node with the node's PIVOTS most typical members."""
-    tokens = big.select("doc_id", "sig").dropDuplicates(["doc_id"]).select("doc_id", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(TYPICAL_COORDS - 1)), lambda i: F.substring("sig", i * 4 + 1, 4))).alias("c", "v"))
-    common = tokens.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
-    typical = tokens.join(common, ["c", "v"]).groupBy("doc_id").agg(F.sum("n").alias("typical"))
+def _with_typical(big: DataFrame, deeper: DataFrame) -> DataFrame:
+    """Each document of a large node with the node's PIVOTS most typical members: those that keep
+    most company further down their paths, as the centre of a group of copies does."""
+    company = deeper.groupBy("doc_id").agg(F.sum("size").alias("company"))
     lot = F.pmod(F.xxhash64("doc_id", F.lit("pivot")), F.lit(PIVOTS))
-    rows = big.select("doc_id", "node").join(typical, "doc_id")
-    pivots = (rows.groupBy("node", lot.alias("lot")).agg(F.max(F.struct("typical", (-F.col("doc_id")).alias("minus"))).alias("best"))
-              .select("node", (-F.col("best.minus")).alias("pivot")))
-    return (rows.join(pivots, "node").filter("doc_id <> pivot")
-            .select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct())
+    rows = big.select("doc_id", "node").join(company, "doc_id", "left").withColumn("company", F.coalesce("company", F.lit(0)))
+    pivots = (rows.groupBy("node", lot.alias("lot")).agg(F.max(F.struct("company", (-F.col("doc_id")).alias("minus"))).alias("best"))
+              .groupBy("node").agg(F.collect_list(-F.col("best.minus")).alias("pivots")))  # PIVOTS at most
+    # a document's nodes share most of their pivots: one row per node, then each pivot once
+    own = (rows.join(pivots, "node").groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_set("pivots"))).alias("pivots"))
+           .select("doc_id", F.explode("pivots").alias("pivot")).filter("doc_id <> pivot"))
+    return own.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
