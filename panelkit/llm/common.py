@@ -143,8 +143,11 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 def gram_hashes(buf: np.ndarray, size: int) -> np.ndarray:
     """64-bit rolling hash of every run of ``size`` bytes."""
-    starts = np.arange(max(0, len(buf) - size + 1))
-    return span_hashes(buf, starts, starts + size)
+    if len(buf) < size:
+        return np.zeros(0, np.uint64)
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_BYTE[buf] * _power(_BASE, len(buf)), out=total[1:])
+    return mix((total[size:] - total[:-size]) * _power(_BASE_INV, len(buf) - size + 1))
 
 
 def triggers(grams: np.ndarray, grams_in_window: int, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

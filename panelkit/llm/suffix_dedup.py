@@ -39,12 +39,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import (binary, buffer_of, covered, gram_hashes, narrow, public_id, slices, text_bytes, triggers,
+from panelkit.llm.common import (binary, buffer_of, covered, gram_hashes, mix, narrow, public_id, slices, text_bytes, triggers,
                                  write_table)
 
 WINDOW = 50
 GRAM = 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SHARD_BYTES = 8 << 20    # text per group of a dealing, so that a group's memory is bounded
 HASH_BYTES = 6
 
@@ -73,10 +73,11 @@ class _Block:
         self.valid = np.arange(n) + window <= room
         if self.valid.any():
             grams = gram_hashes(self.buf, gram)
-            at, self.least = triggers(grams, window - gram + 1, self.valid)
-            at = at[at < len(grams)]
+            at, least = triggers(grams, window - gram + 1, self.valid)
             self.doc = np.searchsorted(self.off, at, "right") - 1
-            self.hashes, inverse = np.unique(grams[at], return_inverse=True)
+            # smallest hashes crowd at zero: mixed again (one to one), they deal out evenly
+            self.least = mix(least)
+            self.hashes, inverse = np.unique(mix(grams[at]), return_inverse=True)
             low, high = np.full(len(self.hashes), np.iinfo(np.int64).max), np.full(len(self.hashes), np.iinfo(np.int64).min)
             np.minimum.at(low, inverse, self.ids[self.doc])
             np.maximum.at(high, inverse, self.ids[self.doc])
@@ -122,8 +123,8 @@ def _repeated(block: _Block, answers, bits: int) -> np.ndarray:
     out = block.shared.copy()
     shard = block.shards(block.hashes, bits)
     for a in answers or ():
-        mine = np.flatnonzero(shard == a["shard"])
-        out[mine] |= np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=len(mine)).view(bool)
+        lo, hi = np.searchsorted(shard, [a["shard"], a["shard"] + 1])   # hashes are in order, so are shards
+        out[lo:hi] |= np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=hi - lo).view(bool)
     return out
 
 
@@ -196,8 +197,11 @@ def _sort_windows(window: int):
         owner = np.repeat(np.arange(len(size)), count)
         at = _spread(np.cumsum(size) - size, count)
         suffixes = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, window)[at])
-        order = np.argsort(suffixes.view(f"S{window}").ravel())   # the suffix array, to the depth of a window
-        new = np.r_[True, (suffixes[order[1:]] != suffixes[order[:-1]]).any(1)]
+        suffixes = suffixes.view(f"S{window}").ravel()   # all of one length, so zero bytes at the end count too
+        order = np.argsort(suffixes)   # the suffix array, to the depth of a window
+        suffixes = suffixes[order]
+        new = np.r_[True, suffixes[1:] != suffixes[:-1]]
+        del suffixes
         least = np.minimum.reduceat(first[owner[order]], np.flatnonzero(new))[np.cumsum(new) - 1]
         source = np.empty(len(at), np.int64)
         source[order] = least
@@ -220,8 +224,8 @@ def _remove(window: int, gram: int, bits: int):
                 elsewhere = np.zeros(int(count.sum()), bool)
                 shard, at = block.shards(head, bits), np.cumsum(count) - count
                 for a in row["windows"] or ():
-                    mine = np.flatnonzero(shard == a["shard"])
-                    where = _spread(at[mine], count[mine])
+                    lo, hi = np.searchsorted(shard, [a["shard"], a["shard"] + 1])   # phrases are in order of trigger
+                    where = _spread(at[lo:hi], count[lo:hi])
                     elsewhere[where] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=len(where)).view(bool)
                 n = count[phrase]
                 start = _spread(begin, n)
