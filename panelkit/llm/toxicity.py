@@ -67,17 +67,17 @@ def _epoch(state, y, sizes, x):
     """FTRL over one shard; state is (coordinates, z, n) with the bias as coordinate -1."""
     coords, z0, n0 = state
     x = np.frombuffer(x, np.uint32)
-    local, index, df = np.unique(x, return_inverse=True, return_counts=True)
-    use = df >= MIN_DOCS
-    slot = np.cumsum(use) - 1
-    names = np.r_[-1, local[use].astype(np.int64)]
+    found, df = np.unique(x, return_counts=True)
+    names = np.r_[-1, found[df >= MIN_DOCS].astype(np.int64)]
+    used = np.r_[found[df >= MIN_DOCS], np.uint32(0xFFFFFFFF)]  # the last equals no coordinate
     at = np.searchsorted(coords, names)
     have = (at < len(coords)) & (coords[np.minimum(at, len(coords) - 1)] == names)
     z, n = np.where(have, z0[np.minimum(at, len(z0) - 1)], 0.0), np.where(have, n0[np.minimum(at, len(n0) - 1)], 0.0)
     ends = np.cumsum(sizes // 4)
     for k in range(len(y)):
-        part = index[ends[k] - sizes[k] // 4: ends[k]]
-        j = np.r_[0, slot[part[use[part]]] + 1]
+        part = x[ends[k] - sizes[k] // 4: ends[k]]
+        place = np.searchsorted(used, part)
+        j = np.r_[0, place[used[place] == part] + 1]
         w = _weights(z[j], n[j])
         g = sigmoid(w.sum()) - y[k]
         step = (np.sqrt(n[j] + g * g) - np.sqrt(n[j])) / ALPHA
