@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from panelkit.session import ensure_checkpoint_dir
 
 NULL_ID = (1 << 63) - 1  # stands for a null doc_id inside an operator; sorts last
-SLICE_BYTES = 2 << 20    # text handled at once inside a task; bounds numpy's working arrays
+SLICE_BYTES = 1 << 19    # text handled at once inside a task; bounds numpy's working arrays
+POWERS_KEPT = 8 << 20    # longest table of powers that a worker keeps
 WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -116,7 +117,7 @@ def _power(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if size <= 4 * SLICE_BYTES:
+        if size <= POWERS_KEPT:
             _powers[base] = have
     return have[:n]
 
