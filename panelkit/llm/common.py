@@ -20,6 +20,8 @@ from panelkit.session import ensure_checkpoint_dir
 NULL_ID = (1 << 63) - 1  # stands for a null doc_id inside an operator; sorts last
 SLICE_BYTES = 1 << 19    # text handled at once inside a task; bounds numpy's working arrays
 POWERS_KEPT = 8 << 20    # longest table of powers that a worker keeps
+BATCH_BYTES = 8 << 20    # Arrow batch sent to a task's Python worker, unless the session sets its own bound
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -27,9 +29,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes: the usual 10,000 rows of long texts take an executor's memory
+    outside the heap several times over. A bound set on the session stays."""
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) of any input: other columns (and their names) never enter an operator;
     a null id becomes NULL_ID, a null text stays null."""
+    bound_batches(docs.sparkSession)
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
@@ -213,4 +223,5 @@ def filter_rows(docs: DataFrame, mask, text_col: str = "text") -> DataFrame:
     def run(batches):
         for b in slices(batches, text_col):
             yield b.filter(pa.array(mask(b.column(text_col)), pa.bool_()))
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
