@@ -194,24 +194,13 @@ def variety_flag(top_pct, game_count, pct_limit: float = 75.0, min_games: int =
 
 
 def rank_band(offset, bands=RANK_BANDS) -> Column:
-    """Index of the [start, end) band holding ``offset``; null past the last."""
+    """Index of the [start, end) band holding ``offset``; offsets past the last form one more, open band."""
     o = _c(offset)
     expr = None
     for i, (lo, hi) in enumerate(bands):
         cond = (o >= lo) & (o < hi)
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr.cast("bigint")
-
-
-def retry_tier(offset, retry_limit: int = 4) -> Column:
-    """Retries by depth: deep-but-valuable band gets ``retry_limit``."""
-    o = _c(offset)
-    return (
-        F.when((o >= 8_000) & (o <= 14_000), F.lit(retry_limit))
-        .when((o > 14_000) & (o <= 20_000), F.lit(2))
-        .otherwise(F.lit(1))
-        .cast("bigint")
-    )
+    return expr.when(o >= bands[-1][1], F.lit(len(bands))).cast("bigint")
 
 
 def any_not_null(*cols) -> Column:

@@ -82,11 +82,13 @@ def keyed_sources(tagged: DataFrame) -> DataFrame:
     ``tagged`` holds (channel_id, month_key, is_seed, is_live, seed_row,
     live_row); the result has the columns of :func:`last_per_key` and
     :func:`live_first_last` together, so the scaffold needs a single join.
+    Seed fields absent from ``seed_row``'s schema are null.
     Same rules: last seed row wins whole, last positive seed rank wins, first
     live rank, last live row with a value wins whole.
     """
     sr, lr = F.col("seed_row"), F.col("live_row")
-    seed_struct = F.struct(*[(sr[f] if f in _SEED_ROW_FIELDS else F.lit(None).cast(_TYPES[f])).alias(f)
+    present = set(tagged.schema["seed_row"].dataType.fieldNames())
+    seed_struct = F.struct(*[(sr[f] if f in present else F.lit(None)).cast(_TYPES[f]).alias(f)
                              for f in SEED_METRICS])
     pos_rank = F.col("is_seed") & (sr["rank_position"] > 0)
     live_struct = F.struct(*[lr[f].alias(f) for f in LIVE_METRICS])
@@ -103,10 +105,6 @@ def keyed_sources(tagged: DataFrame) -> DataFrame:
     )
 
 
-_SEED_ROW_FIELDS = {"average_viewers", "hours_watched", "hours_streamed", "followers", "followers_gained",
-                    "peak_viewers", "language", "mature", "created"}
-
-
 def merge_sources(
     scaffold: DataFrame,
     seed_k: DataFrame,

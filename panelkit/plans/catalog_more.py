@@ -327,15 +327,12 @@ def q_first_nonempty(spark, d):
 
 @register("rank_bands", O.sql("""
 SELECT CAST(CASE WHEN event_id < 500 THEN 0 WHEN event_id < 2000 THEN 1 WHEN event_id < 5000 THEN 2
-            WHEN event_id < 10000 THEN 3 WHEN event_id < 20000 THEN 4 END AS BIGINT) AS band,
-       CAST(CASE WHEN event_id BETWEEN 8000 AND 14000 THEN 4 WHEN event_id > 14000 AND event_id <= 20000 THEN 2
-            ELSE 1 END AS BIGINT) AS retry_tier,
+            WHEN event_id < 10000 THEN 3 WHEN event_id < 20000 THEN 4 WHEN event_id >= 20000 THEN 5 END AS BIGINT) AS band,
        count(*) AS rows
-FROM events GROUP BY 1, 2"""))
+FROM events GROUP BY 1"""))
 def q_rank_bands(spark, d):
     e = B.events(spark, d, "event_id")
-    return e.groupBy(S.rank_band("event_id").alias("band"), S.retry_tier("event_id").alias("retry_tier")).agg(
-        F.count(F.lit(1)).alias("rows"))
+    return e.groupBy(S.rank_band("event_id").alias("band")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 # --- scan bookkeeping over events ----------------------------------------------------
@@ -360,7 +357,7 @@ LEFT JOIN (SELECT scope, page_seq, count(*) AS n_new
   ON pp.scope = fs.scope AND pp.page_seq = fs.page_seq"""
 O.CTES["plog_b"] = """
 SELECT *, CAST(CASE WHEN "offset" < 500 THEN 0 WHEN "offset" < 2000 THEN 1 WHEN "offset" < 5000 THEN 2
-       WHEN "offset" < 10000 THEN 3 WHEN "offset" < 20000 THEN 4 END AS BIGINT) AS band FROM plog"""
+       WHEN "offset" < 10000 THEN 3 WHEN "offset" < 20000 THEN 4 WHEN "offset" >= 20000 THEN 5 END AS BIGINT) AS band FROM plog"""
 O.CTES["cutoffs"] = """
 SELECT scope, min(CASE WHEN run >= 10 THEN page_seq END) AS cutoff_zero_run,
        min(CASE WHEN i >= 5 AND recent < 3 THEN page_seq END) AS cutoff_recent, count(*) AS pages

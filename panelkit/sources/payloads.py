@@ -137,6 +137,10 @@ def land_games_pages(games: DataFrame, page_size: int = 10) -> DataFrame:
 
 
 def _games_items(pages: DataFrame) -> DataFrame:
+    """Items of the landed pages. A page landed more than once counts once: the newest by
+    ``landed_at`` where the pages have it, else the greatest payload."""
+    newest = F.max_by("payload", "landed_at") if "landed_at" in pages.columns else F.max("payload")
+    pages = pages.groupBy("channel_id", "month_key", "page").agg(newest.alias("payload"))
     items = pages.select("channel_id", "month_key", "page",
                          F.get_json_object("payload", "$.recordsTotal").try_cast("bigint").alias("records_total"),
                          F.posexplode(envelope_items(F.col("payload"))).alias("idx", "item"))

@@ -97,3 +97,14 @@ def test_validate_panel_raises(spark):
 def test_first_per_channel(spark):
     df = spark.createDataFrame([(3, 2, "B"), (3, 1, "A"), (4, 5, "Z")], "channel_id bigint, seq int, name string")
     assert rows(SC.first_per_channel(df, ["seq"]), "channel_id", "name") == [(3, "A"), (4, "Z")]
+
+
+def test_keyed_sources_keeps_all_seed_fields(spark):
+    row = spark.createDataFrame([(1, "2024march")], "channel_id bigint, month_key string").select(
+        "*", F.lit(True).alias("is_seed"), F.lit(False).alias("is_live"),
+        F.struct(F.lit(0).cast("bigint").alias("row_seq"), F.lit(3).cast("bigint").alias("rank_position"),
+                 F.lit("Chess").alias("top_game"), F.lit(7).cast("bigint").alias("follower_rank")).alias("seed_row"),
+        F.struct(F.lit(0).alias("page_seq"), F.lit(0).alias("row_pos"), F.lit(None).cast("bigint").alias("rank"),
+                 *[F.lit(None).cast(M._TYPES[c]).alias(c) for c in M.LIVE_METRICS]).alias("live_row"))
+    got = M.keyed_sources(row).select("seed.top_game", "seed.follower_rank", "seed.followers", "seed_rank").first()
+    assert tuple(got) == ("Chess", 7, None, 3)

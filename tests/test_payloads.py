@@ -82,3 +82,13 @@ def test_games_text(spark):
     assert got == [(0, "Chess", 1.5, 100.0), (1, "Chess", 1.5, None), (2, "Chess", 1.0, 3.5),
                    (3, "Chess", 1.5, None), (8, 'Café "A|B"', 2.0, None),
                    (9, "Chess", 1.0, None), (9, "Go (2019)", 2.5, 4.0)]
+
+
+def test_games_page_landed_twice(spark):
+    page = '{"recordsTotal":4,"data":[{"gamesplayed":"A","streamtime":60},{"gamesplayed":"B","streamtime":60}]}'
+    newer = page.replace('"A"', '"C"')
+    df = spark.createDataFrame([(1, "2024march", 0, page, 1), (1, "2024march", 0, newer, 2)],
+                               "channel_id bigint, month_key string, page bigint, payload string, landed_at bigint")
+    assert sorted(r["game"] for r in PL.read_games(df).collect()) == ["B", "C"]
+    assert PL.games_pages_complete(df).first()["complete"] is False
+    assert PL.read_games(df.drop("landed_at")).count() == 2
