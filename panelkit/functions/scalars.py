@@ -98,6 +98,12 @@ def safe_int(x, strip_commas: bool = True) -> Column:
     return clean_number(x, strip_commas).try_cast("bigint")
 
 
+def flag(x) -> Column:
+    """Text -> boolean: the usual words, or a number that is not 0; else null."""
+    t = py_strip(_c(x).cast("string"))
+    return F.coalesce(t.try_cast("boolean"), clean_number(t) != 0)
+
+
 def first_nonempty(*cols) -> Column:
     """First value whose stripped text is non-empty, else ''."""
     parts = [F.nullif(py_strip(_c(c).cast("string")), F.lit("")) for c in cols]
@@ -203,6 +209,13 @@ def rank_band(offset, bands=RANK_BANDS) -> Column:
     return expr.when(o >= bands[-1][1], F.lit(len(bands))).cast("bigint")
 
 
+def pinned(df, name: str, value: Column):
+    """``df`` with ``value`` as column ``name``, worked out once per row: a
+    one-element generator keeps Catalyst from copying a costly expression into
+    every place that reads the column."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def any_not_null(*cols) -> Column:
     out = None
     for c in cols:

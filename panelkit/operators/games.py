@@ -145,17 +145,22 @@ def pie_top5_other(pies: DataFrame, keys: list[str], top: int = 5, divisor: floa
              .select(*keys, "slot", "label", S.round_dp(F.col("_s"), 2).alias("value")))
 
 
-def pie_top5_other_array(labels, values, top: int = 5, divisor: float = 4.0, other: str = "Other"):
-    """Same rule inside one row: arrays of labels/values -> array<struct<label,value>>."""
-    zipped = F.arrays_zip(labels.alias("label"), values.alias("value"))
-    keyed = F.transform(zipped, lambda x, i: F.struct((-(x["value"] / divisor)).alias("k"), i.alias("i"),
-                                                       x["label"].alias("label"),
-                                                       (x["value"] / divisor).alias("value")))
-    srt = F.array_sort(keyed)
-    head = F.transform(F.slice(srt, 1, top), lambda x: F.struct(x["label"].alias("label"),
-                                                                S.round_dp(x["value"], 2).alias("value")))
-    rest = F.aggregate(F.slice(srt, top + 1, F.greatest(F.size(srt), F.lit(1))), F.lit(0.0),
-                       lambda acc, x: acc + x["value"])
-    tail = F.when(F.size(srt) > top, F.when(rest != 0, F.array(F.struct(F.lit(other).alias("label"),
-                                                                        S.round_dp(rest, 2).alias("value")))))
-    return F.concat(head, F.coalesce(tail, F.array().cast("array<struct<label:string,value:double>>")))
+def pie_tops(pies: DataFrame, slices: str, out: str, top: int = 5, divisor: float = 4.0,
+             other: str = "Other") -> DataFrame:
+    """The rule of :func:`pie_top5_other` inside one row: ``slices``
+    (array<struct<label, value>> in source order) -> column ``out`` of the same
+    type, sorted; null slices give null."""
+    keyed = F.transform(F.col(slices), lambda x, i: F.struct(
+        (-x["value"]).alias("k"), i.alias("i"), x["label"].alias("label"), (x["value"] / divisor).alias("value")))
+    p = S.pinned(pies, "_sorted", F.sort_array(keyed))
+    head = F.transform(F.slice("_sorted", 1, top), lambda x: F.struct(
+        x["label"].alias("label"), S.round_dp(x["value"], 2).alias("value")))
+    # added as decimals: the same sum in any engine and order
+    rest = F.aggregate(F.slice("_sorted", top + 1, 1 << 30), F.lit(0).cast("decimal(38,6)"),
+                       lambda acc, x: (acc + F.coalesce(x["value"], F.lit(0.0)).cast("decimal(38,6)"))
+                       .cast("decimal(38,6)")).cast("double")
+    p = S.pinned(p, "_rest", rest)
+    tail = F.when(F.col("_rest") != 0, F.array(F.struct(F.lit(other).alias("label"),
+                                                        S.round_dp("_rest", 2).alias("value"))))
+    none = F.array().cast("array<struct<label:string,value:double>>")
+    return p.withColumn(out, F.concat(head, F.coalesce(tail, none))).drop("_sorted", "_rest")

@@ -116,13 +116,30 @@ def error_bursts(errors: DataFrame, key: str, ts: str, span_seconds: int = 60, t
                           (F.col("_n") >= threshold).alias("burst"))
 
 
-def failure_runs(events: DataFrame, key: str, order: list[str], is_fail: Column) -> DataFrame:
-    """Longest run of consecutive failures per key (gaps-and-islands)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    ok_seen = F.sum(F.when(is_fail, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    e = events.withColumn("_fail", is_fail).withColumn("_grp", ok_seen)
-    runs = e.where("_fail").groupBy(key, "_grp").agg(F.count(F.lit(1)).alias("run"))
-    return runs.groupBy(key).agg(F.max("run").cast("bigint").alias("longest_run"))
+def failure_runs(events: DataFrame, key: str, order: list[str], is_fail: Column, ts: str = "ts") -> DataFrame:
+    """Longest run of consecutive failures per key; keys without a failure give
+    no row. ``order`` starts with ``ts``.
+
+    A key's history is cut into days, each ordered in its own window partition
+    and reduced to (events, failures at its start, at its end, longest run);
+    the days are then joined into one run across midnight by folding the key's
+    day rows, as many as the calendar has."""
+    part = [key, "_day"]
+    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    e = events.select(key, *[c for c in dict.fromkeys([ts, *order]) if c != key], is_fail.alias("_fail")) \
+        .withColumn("_day", F.to_date(ts))
+    e = e.withColumn("_grp", F.sum(F.when(F.col("_fail"), 0).otherwise(1)).over(w))
+    # group g holds the g-th success and the failures after it; group 0 has no success
+    runs = e.groupBy(*part, "_grp").agg(F.count_if("_fail").alias("_run"), F.count(F.lit(1)).alias("_n"))
+    days = runs.groupBy(*part).agg(
+        F.sum("_n").alias("n"), F.coalesce(F.sum(F.when(F.col("_grp") == 0, F.col("_run"))), F.lit(0)).alias("head"),
+        F.max_by("_run", "_grp").alias("tail"), F.max("_run").alias("best"))
+    days = days.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_day", "n", "head", "tail", "best"))).alias("_d"))
+    start = F.struct(F.lit(0).cast("bigint").alias("open"), F.lit(0).cast("bigint").alias("best"))
+    folded = F.aggregate("_d", start, lambda a, x: F.struct(
+        F.when(x["head"] == x["n"], a["open"] + x["n"]).otherwise(x["tail"]).alias("open"),
+        F.greatest(a["best"], x["best"], a["open"] + x["head"]).alias("best")))
+    return days.select(key, folded["best"].alias("longest_run")).where("longest_run > 0")
 
 
 def ttl_latest(writes: DataFrame, key: str, payload: str, created_at: str, ttl_seconds: Column | int,

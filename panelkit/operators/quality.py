@@ -39,6 +39,13 @@ def validate_panel(panel: DataFrame, expected_rows: Column | int | None = None)
     return out
 
 
+def require_rows(df: DataFrame, message: str) -> DataFrame:
+    """``df`` itself; raises when it holds no row (reads at most one)."""
+    if df.isEmpty():
+        raise ValueError(message)
+    return df
+
+
 def assert_valid(report: DataFrame) -> dict:
     """Raise on the three hard failures; the fourth (ranked rows without
     metrics) is returned for logging only. Collects the single report row."""

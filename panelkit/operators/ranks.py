@@ -1,8 +1,16 @@
-"""Cohort ranks and positions within monthly leaderboards."""
+"""Cohort ranks and positions within monthly leaderboards.
+
+A cohort or board may hold any share of the rows, so neither is ever sorted in
+one task. Values are cut into buckets by a fixed, order-keeping function of
+the value alone (:func:`value_bucket`): rows are ordered within a bucket, and
+the rows in the buckets above are counted by a small aggregate and added.
+Nothing is sampled, so a task that runs again after a lost executor produces
+the same buckets and the result needs no checkpoint.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -14,85 +22,103 @@ COHORT_RANKS = {
     "followers": "follower_rank",
     "followers_gained": "follower_gain_rank",
 }
+# Buckets between a value and its double: 64 make each about 1.1 % wide.
+BUCKETS_PER_OCTAVE = 64
+NULL_SALTS = 1 << 20
+_MAX_EXPONENT = 1100.0  # beyond the exponents of any finite double
+
+
+def value_bucket(value: Column, per_octave: int = BUCKETS_PER_OCTAVE) -> Column:
+    """Bucket of a number: never smaller for a greater value, equal for equal
+    values, null for null. Logarithmic, so its count depends on the span of the
+    values (at most some 280,000 for all doubles), not on the rows."""
+    size = F.floor(F.least(F.log2(F.abs(value)), F.lit(_MAX_EXPONENT)) * per_octave) \
+        + F.lit(int(_MAX_EXPONENT) * per_octave)
+    return F.when(value > 0, size).when(value < 0, -size).when(value == 0, F.lit(0)).cast("bigint")
+
+
+def _rows_above(buckets: DataFrame, keys: list[str], order: list[str], count: str, out: str) -> DataFrame:
+    """Per bucket the rows of its group in the buckets above it."""
+    above = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order]) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    return buckets.select(*keys, *order, F.coalesce(F.sum(count).over(above), F.lit(0)).alias(out))
 
 
 def cohort_ranks(df: DataFrame, metrics: dict[str, str] = COHORT_RANKS,
-                 cohort: tuple[str, str] = ("year", "month"), method: str = "window",
-                 partitions: int | None = None) -> DataFrame:
+                 cohort: tuple[str, str] = ("year", "month"),
+                 per_octave: int = BUCKETS_PER_OCTAVE, key: str = "channel_id") -> DataFrame:
     """Rank every row within its (year, month): highest value = 1, ties share
     the best rank (1,2,2,4), missing values share the last place (non-null
     count + 1), rows with a null cohort key get 0.
 
-    All four windows share one partitioning, so Spark shuffles once and sorts
-    per metric. A balanced panel has the same row count in every month, so the
-    window partitions are even by construction.
-
-    ``method='range'`` is for cohorts too large for one task: per metric, rows
-    are range-partitioned on (cohort, value desc) so one cohort spans many
-    tasks; the partitioned rows are checkpointed (reliable checkpoint under
-    ``spark.checkpoint.dir``) so partition ids are stable; each task ranks its
-    slice and adds the count of the cohort's rows in earlier slices (a table of
-    partitions x cohorts, broadcast as its size is bounded by configuration).
-    Equal values always share a range partition, so ties keep one rank.
+    Rows are first reduced to one count per (cohort, metric, value), so any
+    number of equal values is one row from the map side on; the counts are
+    summed in value order within their bucket. Missing values take no part:
+    their place comes from one row per cohort. Rows find their place by the
+    value; rows without one are spread by a hash of ``key`` (of
+    all plain columns where there is none), not sent to one task.
     """
-    if method == "range":
-        out = df
-        for metric, rank_col in metrics.items():
-            if metric in df.columns:
-                out = _range_rank(out, list(cohort), metric, rank_col, partitions)
-        return out
-    w = Window.partitionBy(*cohort)
-    key_null = F.col(cohort[0]).isNull() | F.col(cohort[1]).isNull()
-    cols = {}
-    for metric, rank_col in metrics.items():
-        if metric not in df.columns:
-            continue
-        v = S.nan_to_null(F.col(metric).cast("double"))
-        r = F.rank().over(w.orderBy(v.desc_nulls_last()))
-        cols[rank_col] = F.when(key_null, F.lit(0)).otherwise(r).cast("bigint")
-    return df.withColumns(cols)
+    metrics = {m: r for m, r in metrics.items() if m in df.columns}
+    if not metrics:
+        return df
+    keys = list(cohort)
+    names = list(metrics)
+    key_null = F.col(keys[0]).isNull() | F.col(keys[1]).isNull()
+    value = {m: S.nan_to_null(F.col(m).cast("double")) for m in names}
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), value[m].alias("v")) for i, m in enumerate(names)])
+    counts = (df.where(~key_null).select(*keys, F.explode(pairs).alias("p"))
+              .where(F.col("p.v").isNotNull())
+              .groupBy(*keys, F.col("p.i").alias("_i"), F.col("p.v").alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_b", value_bucket(F.col("_v"), per_octave)))
+    buckets = counts.groupBy(*keys, "_i", "_b").agg(F.sum("_c").alias("_t"))
+    within = Window.partitionBy(*keys, "_i", "_b").orderBy(F.col("_v").desc()) \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    places = (counts.withColumn("_in", F.coalesce(F.sum("_c").over(within), F.lit(0)))
+              .join(_rows_above(buckets, [*keys, "_i"], ["_b"], "_t", "_off"), [*keys, "_i", "_b"])
+              .select(*keys, "_i", "_v", (F.col("_off") + F.col("_in") + 1).alias("_place")))
+    totals = buckets.groupBy(*keys).agg(
+        *[F.sum(F.when(F.col("_i") == i, F.col("_t"))).alias(f"_n{i}") for i in range(len(names))])
+
+    out = df.join(totals, keys, "left")
+    by = [key] if key in df.columns else [
+        f.name for f in df.schema.fields if f.dataType.typeName() not in ("array", "struct", "map", "variant")]
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(NULL_SALTS)) + 1
+    for i, m in enumerate(names):
+        mine = places.where(F.col("_i") == i).select(
+            *keys, F.col("_v").alias(f"_v{i}"), F.lit(0).cast("bigint").alias(f"_s{i}"),
+            F.col("_place").alias(f"_p{i}"))
+        out = out.withColumns({f"_v{i}": value[m],
+                               f"_s{i}": F.when(value[m].isNull(), spread).otherwise(0).cast("bigint")})
+        out = out.join(mine, [*keys, f"_v{i}", f"_s{i}"], "left")
+    ranks = {r: F.when(key_null, 0).when(F.col(f"_v{i}").isNull(), F.coalesce(F.col(f"_n{i}"), F.lit(0)) + 1)
+             .otherwise(F.col(f"_p{i}")).cast("bigint").alias(r)
+             for i, r in enumerate(metrics.values())}
+    kept = [ranks.pop(c) if c in ranks else F.col(c) for c in df.columns]
+    return out.select(*kept, *ranks.values())
 
 
 def monthly_leaderboard(df: DataFrame, metric: str, partition: list[str], key: str = "channel_id",
-                        rank_col: str = "rank") -> DataFrame:
-    """Position in a leaderboard sorted by ``metric`` desc, ties by key."""
-    w = Window.partitionBy(*partition).orderBy(F.col(metric).desc_nulls_last(), F.col(key))
-    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-
-
-def _range_window(df: DataFrame, keys: list[str], order: list, out: str, fn, partitions: int | None) -> DataFrame:
-    """``fn()`` (rank / row_number) over ``order`` within ``keys``, with the
-    keys' rows spread over many tasks by range partitioning on (keys, order);
-    rows with a null key get 0. The partitioned rows are checkpointed so the
-    partition ids used by the local ranks and by the offsets are the same."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key_null = F.col(keys[0]).isNull()
-    for k in keys[1:]:
-        key_null = key_null | F.col(k).isNull()
-    keep = [c for c in df.columns if c != out]
-    ranged = (df.where(~key_null)
-              .repartitionByRange(n, *[F.col(k) for k in keys], *order)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    local = ranged.withColumn("_lr", fn().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
-    counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *keys, F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"))
-    ranked = local.join(F.broadcast(offsets), ["_pid", *keys]).select(
-        *keep, (F.col("_off") + F.col("_lr")).cast("bigint").alias(out))
-    no_key = df.where(key_null).select(*keep, F.lit(0).cast("bigint").alias(out))
-    return ranked.unionByName(no_key)
-
-
-def range_row_number(df: DataFrame, keys: list[str], order: list, out: str,
-                     partitions: int | None = None) -> DataFrame:
-    """row_number() over a total ``order`` within ``keys``, range-split (see
-    :func:`cohort_ranks` ``method='range'``)."""
-    return _range_window(df, keys, order, out, F.row_number, partitions)
-
-
-def _range_rank(df: DataFrame, keys: list[str], metric: str, out: str, partitions: int | None) -> DataFrame:
-    """rank() of ``metric`` desc (nulls last) within ``keys``, split by value range."""
-    base = df.withColumn("_v", S.nan_to_null(F.col(metric).cast("double")))
-    return _range_window(base, keys, [F.col("_v").desc_nulls_last()], out, F.rank, partitions).drop("_v")
+                        rank_col: str = "rank", per_octave: int = BUCKETS_PER_OCTAVE) -> DataFrame:
+    """Position in a leaderboard sorted by ``metric`` desc (nulls last), ties by
+    the numeric ``key``; rows with a null in ``partition`` get a null position.
+
+    A board is split over tasks by the metric's bucket; rows without a metric
+    are ordered by key alone, so those are split by the key's bucket. Rows of
+    one board with the same metric value stay together.
+    """
+    v = S.nan_to_null(F.col(metric).cast("double"))
+    order = ["_b", "_kb"]
+    rows = df.withColumns({
+        "_b": value_bucket(v, per_octave),
+        "_kb": F.when(v.isNull(), -value_bucket(F.col(key).cast("double"), per_octave))})
+    sizes = rows.groupBy(*partition, *order).agg(F.count(F.lit(1)).alias("_t"))
+    # a null bucket (no metric, or a metric) takes part in the join under a value no bucket has
+    none = F.lit(-(1 << 40))
+    named = {c: F.coalesce(F.col(c), none) for c in order}
+    above = _rows_above(sizes, partition, order, "_t", "_off").withColumns(named)
+    local = Window.partitionBy(*partition, *order).orderBy(v.desc_nulls_last(), F.col(key))
+    return (rows.withColumns(named).withColumn("_at", F.row_number().over(local))
+            .join(above, [*partition, *order], "left")
+            .select(*[F.col(c) for c in df.columns if c != rank_col],
+                    (F.col("_off") + F.col("_at")).cast("bigint").alias(rank_col)))

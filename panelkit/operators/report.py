@@ -52,9 +52,10 @@ def overview(panel: DataFrame) -> DataFrame:
     )
 
 
-def status_distribution(panel: DataFrame) -> DataFrame:
+def status_distribution(panel: DataFrame, order: bool = True) -> DataFrame:
     st = S.py_strip(F.coalesce(F.col("status").cast("string"), F.lit("UNKNOWN")))
-    return panel.groupBy(st.alias("status")).agg(F.count(F.lit(1)).alias("count"))
+    out = panel.groupBy(st.alias("status")).agg(F.count(F.lit(1)).alias("count"))
+    return out.orderBy(F.col("count").desc(), "status") if order else out
 
 
 def _missing(df: DataFrame, c: str):
@@ -87,17 +88,19 @@ def missingness(panel: DataFrame, columns: list[str] = KEY_COLUMNS) -> DataFrame
     )
 
 
-def monthly_summary(panel: DataFrame) -> DataFrame:
-    """Per month_key: rows, rank and panel coverage, metric means (non-null rows)."""
+def monthly_summary(panel: DataFrame, order: bool = True) -> DataFrame:
+    """Per month_key, in its order: rows, rank and panel coverage, metric means
+    (non-null rows)."""
     mk = F.coalesce(F.nullif(S.safe_str("month_key"), F.lit("")), F.lit("UNKNOWN"))
     rows = F.count(F.lit(1))
-    return panel.groupBy(mk.alias("month_key")).agg(
+    out = panel.groupBy(mk.alias("month_key")).agg(
         rows.cast("bigint").alias("rows"),
         (F.count("rank") / rows).alias("rank_coverage"),
         (F.count_if(_active()) / rows).alias("panel_coverage"),
         S.exact_mean(F.col("average_viewers")).alias("avg_viewers_mean"),
         S.exact_mean(F.col("hours_watched")).alias("hours_watched_mean"),
     )
+    return out.orderBy("month_key") if order else out
 
 
 def channel_stats(panel: DataFrame) -> DataFrame:
@@ -124,10 +127,11 @@ def top_channels(panel: DataFrame, top_n: int = 20, metric: str = "avg_viewers")
 
     ``orderBy(...).limit(n)`` plans a TakeOrderedAndProject: each task keeps
     its own top N, so no full sort or shuffle of the channel stats happens."""
-    stats = channel_stats(panel)
-    score = {"avg_viewers": F.col("avg_viewers"), "hours_watched": F.col("hours_watched"),
-             "followers": F.col("followers_avg")}[metric]
-    return (stats.withColumn("score", score)
+    return _top(channel_stats(panel), {"followers": "followers_avg"}.get(metric, metric), top_n)
+
+
+def _top(stats: DataFrame, score: str, top_n: int) -> DataFrame:
+    return (stats.withColumn("score", F.col(score))
             .orderBy(F.col("score").desc_nulls_last(), F.col("channel_id")).limit(top_n))
 
 
@@ -153,10 +157,11 @@ def top_games(panel: DataFrame, top_n: int = 20, mode: str = "hours") -> DataFra
     return g.orderBy(key.desc(), F.col("game")).limit(top_n)
 
 
-def created_cohorts(panel: DataFrame) -> DataFrame:
+def created_cohorts(panel: DataFrame, order: bool = True) -> DataFrame:
     y = S.created_year("created")
-    return (panel.select(y.alias("created_year")).where(F.col("created_year").isNotNull())
-            .groupBy("created_year").agg(F.count(F.lit(1)).alias("count")))
+    out = (panel.select(y.alias("created_year")).where(F.col("created_year").isNotNull())
+           .groupBy("created_year").agg(F.count(F.lit(1)).alias("count")))
+    return out.orderBy(F.col("count").desc(), "created_year") if order else out
 
 
 def coverage_pcts(panel: DataFrame) -> DataFrame:
@@ -175,15 +180,17 @@ def rank_histogram(panel: DataFrame, bins: int = 50) -> DataFrame:
     smallest and largest best rank (last bin closed; one bin when equal);
     all bins are listed, empty ones with 0.
 
-    The bounds are scalar subqueries, computed once and inlined; bins are
-    counted by an ordinary aggregate."""
-    best = channel_stats(panel).select("rank_min").where(F.col("rank_min").isNotNull())
+    Channels are first reduced to one count per best rank; bounds and bins are
+    taken from these counts."""
+    best = (panel.groupBy(S.safe_int("channel_id").alias("c")).agg(F.min(F.col("rank").cast("double")).alias("rank_min"))
+            .where(F.col("c").isNotNull() & F.col("rank_min").isNotNull())
+            .groupBy("rank_min").agg(F.count(F.lit(1)).alias("_n")))
     lo = best.select(F.min("rank_min")).scalar()
     hi = best.select(F.max("rank_min")).scalar()
     width = hi - lo
     b = F.when(width > 0, F.least(F.floor((F.col("rank_min") - lo) / width * bins), F.lit(bins - 1))) \
          .otherwise(F.lit(0)).cast("bigint")
-    counts = best.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("channels"))
+    counts = best.groupBy(b.alias("bin")).agg(F.sum("_n").alias("channels"))
     # every bin is reported (empty ones with 0) once any channel has a rank;
     # the bin spine is a fixed 50-row range, the counts are at most 50 rows
     spine = best.sparkSession.range(bins).select(F.col("id").alias("bin")).where(lo.isNotNull())
@@ -218,27 +225,57 @@ def history_completeness(panel: DataFrame) -> DataFrame:
 
 def low_coverage_months(panel: DataFrame, ratio: float = 0.8) -> DataFrame:
     """Months whose panel coverage is below ``ratio`` x the mean monthly coverage."""
-    ms = monthly_summary(panel)
+    mk = F.coalesce(F.nullif(S.safe_str("month_key"), F.lit("")), F.lit("UNKNOWN"))
+    n = F.count(F.lit(1))
+    ms = panel.groupBy(mk.alias("month_key")).agg(n.alias("rows"), (F.count_if(_active()) / n).alias("panel_coverage"))
     mean_cov = ms.select(F.avg("panel_coverage")).scalar()
     return ms.where(F.col("panel_coverage") < mean_cov * ratio).select("month_key", "rows", "panel_coverage")
 
 
-def report_long(panel: DataFrame) -> DataFrame:
-    """Report sections in one long (section, key, value) table."""
-    ov = overview(panel)
-    ov_long = ov.select(F.lit("overview").alias("section"), F.expr(
-        "stack(8, 'total_rows', total_rows, 'unique_channels', unique_channels, 'columns_seen', columns_seen, "
-        "'rows_with_rank', rows_with_rank, 'rows_with_any_metric', rows_with_any_metric, "
-        "'active_rows', active_rows, 'inactive_rows', inactive_rows, 'top500_rows', top500_rows) as (key, value)"))
-    st = status_distribution(panel).select(F.lit("status").alias("section"), F.col("status").alias("key"),
-                                           F.col("count").alias("value"))
-    cy = created_cohorts(panel).select(F.lit("created_year").alias("section"),
-                                       F.col("created_year").cast("string").alias("key"),
-                                       F.col("count").alias("value"))
-    mi = missingness(panel).select(F.lit("missing").alias("section"), F.col("column").alias("key"),
-                                   F.col("missing").alias("value"))
-    parts = [ov_long, st, cy, mi]
-    out = parts[0].select("section", "key", F.col("value").cast("double").alias("value"))
+def report_input(panel: DataFrame) -> DataFrame:
+    """The panel's columns that some report section reads; of the two sorted
+    lists only whether they are there (null or empty)."""
+    wanted = {*KEY_COLUMNS, *NESTED_ALIASES.values(), *S.METRIC_FIELDS}
+    sorted_lists = {"games_by_stream_time", "games_by_avg_viewers"}
+    return panel.select(*[
+        F.when(F.col(c).isNotNull(), F.array().cast("array<string>")).alias(c) if c in sorted_lists else F.col(c)
+        for c in panel.columns if c in wanted])
+
+
+def _long(df: DataFrame, section: str, key: str, *values: str) -> DataFrame:
+    """One (section, key, item, value) row per value column."""
+    items = ", ".join(f"'{v}', cast({v} as double)" for v in values)
+    return df.select(F.lit(section).alias("section"), F.col(key).cast("string").alias("key"), *values).selectExpr(
+        "section", "key", f"stack({len(values)}, {items}) as (item, value)")
+
+
+def report_long(panel: DataFrame, top_n: int = 20, columns_seen: int | None = None) -> DataFrame:
+    """All report sections in one long (section, key, item, value) table:
+    overview, status, missing, monthly, created_year, the two channel tops and,
+    where the panel holds game lists, the games top.
+
+    Every section is its own small aggregate over ``panel``: pass a written
+    panel (see ``plans.panel.report_tables``), or the panel is computed for
+    each. ``columns_seen`` overrides the number of columns reported."""
+    over = overview(panel)
+    if columns_seen is not None:
+        over = over.withColumn("columns_seen", F.lit(columns_seen).cast("bigint"))
+    channels = channel_stats(panel)
+    parts = [
+        _long(over.withColumn("k", F.lit("panel")), "overview", "k", "total_rows", "unique_channels", "columns_seen",
+              "rows_with_rank", "rows_with_any_metric", "active_rows", "inactive_rows", "top500_rows"),
+        _long(status_distribution(panel, order=False), "status", "status", "count"),
+        _long(missingness(panel), "missing", "column", "missing", "missing_pct"),
+        _long(monthly_summary(panel, order=False), "monthly", "month_key", "rows", "rank_coverage", "panel_coverage",
+              "avg_viewers_mean", "hours_watched_mean"),
+        _long(created_cohorts(panel, order=False), "created_year", "created_year", "count"),
+        _long(_top(channels, "avg_viewers", top_n), "top_channels_by_avg_viewers", "channel_id", "avg_viewers"),
+        _long(_top(channels, "hours_watched", top_n), "top_channels_by_hours_watched", "channel_id", "hours_watched"),
+    ]
+    if "all_games" in panel.columns:
+        parts.append(_long(top_games(panel, top_n, "hours"), "top_games_by_hours", "game", "mentions", "total_hours",
+                           "avg_viewers_mean"))
+    out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p.select("section", "key", F.col("value").cast("double").alias("value")))
+        out = out.unionByName(p)
     return out

@@ -37,13 +37,14 @@ SEED_REQUIRED = [
 INT_COLUMNS = ["channel_id", "year", "month_order", "rank", "rank_position", "followers", "followers_gained",
                "peak_viewers", "game_count", "peak_viewer_rank", "avg_viewer_rank", "follower_rank",
                "follower_gain_rank"]
+BOOL_COLUMNS = ["mature", "is_variety_streamer"]
 FLOAT_COLUMNS = ["average_viewers", "hours_watched", "hours_streamed", "top_game_hours", "top_game_pct"]
 
 
 def require_columns(df: DataFrame, required: list[str]) -> None:
-    missing = sorted(set(required) - set(df.columns))
-    if missing:
-        raise ValueError(f"Input missing columns: {missing}")
+    absent = sorted(set(required).difference(df.columns))
+    if absent:
+        raise ValueError(f"required columns absent: {', '.join(absent)}")
 
 
 def final_projection(df: DataFrame, order: list[str] = FINAL_COLUMNS) -> DataFrame:
@@ -69,13 +70,16 @@ def ensure_columns(df: DataFrame, defaults: dict[str, tuple[object, str]]) -> Da
 
 
 def coerce_types(df: DataFrame, strip_commas: bool = True) -> DataFrame:
-    """Text columns -> final numeric types; unparsable text -> null."""
+    """Text columns -> final numeric types and flags (true/false, yes/no or a
+    number); unparsable text -> null."""
     cols = {}
     for c in df.columns:
         if c in INT_COLUMNS:
             cols[c] = S.safe_int(F.col(c), strip_commas)
         elif c in FLOAT_COLUMNS:
             cols[c] = S.clean_number(F.col(c), strip_commas)
+        elif c in BOOL_COLUMNS:
+            cols[c] = S.flag(F.col(c))
     return df.withColumns(cols) if cols else df
 
 
@@ -85,17 +89,23 @@ def fill_defaults(df: DataFrame, text_defaults: dict[str, str] | None = None) ->
     return df.fillna({k: v for k, v in d.items() if k in df.columns})
 
 
-def read_fact_csv(spark, path: str, required: list[str] = SEED_REQUIRED) -> DataFrame:
-    """Seed fact CSV: header, quoted multi-line fields, every column read as text
-    (no inference), required columns checked on the header, ids cleaned
-    (dropped when unparsable), slug/name normalised, month_key derived."""
+def read_fact_csv(spark, path: str, required: list[str] = SEED_REQUIRED, multi_line: bool = False) -> DataFrame:
+    """Seed fact CSV: header, every column read as text (no inference), required
+    columns checked on the header, ids cleaned (dropped when unparsable),
+    numbers and flags typed, slug/name normalised, month_key derived.
+
+    ``row_seq`` gives the landing order: file name, then place in the file.
+    ``multi_line`` allows line breaks inside quoted fields; such a file cannot
+    be split, so each is read by one task."""
     header = spark.read.option("header", True).csv(path).columns
     from pyspark.sql.types import StringType, StructField, StructType
     schema = StructType([StructField(c, StringType()) for c in header])
-    raw = (spark.read.schema(schema).option("header", True).option("multiLine", True)
+    raw = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
            .option("escape", '"').csv(path))
     require_columns(raw, required)
-    df = coerce_types(raw, strip_commas=False)
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("line"))
+    df = coerce_types(raw.withColumn("row_seq", order), strip_commas=False)
     df = df.where(F.col("channel_id").isNotNull())
     return df.withColumns({
         "channel_slug": S.slug_norm("channel_slug"),

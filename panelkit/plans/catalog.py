@@ -54,7 +54,7 @@ def q_panel_scaffold(spark, d):
 
 @register("panel_full", O.sql("SELECT * FROM panel", "panel"))
 def q_panel_full(spark, d):
-    return P.build_panel(spark, d)
+    return P.landed_panel(spark, d)
 
 
 @register("last_per_key", O.sql("""
@@ -100,7 +100,7 @@ def q_panel_rank(spark, d):
 SELECT channel_id, month_key, source, has_metrics, average_viewers, hours_watched, hours_streamed,
        followers, peak_viewers, language FROM merged""", "merged"))
 def q_merge_sources(spark, d):
-    p = P.build_panel(spark, d)
+    p = P.landed_panel(spark, d)
     return p.select("channel_id", "month_key", "source",
                     (F.col("status") != S.STATUS_INACTIVE).alias("has_metrics"),
                     "average_viewers", "hours_watched", "hours_streamed", "followers", "peak_viewers", "language")
@@ -110,14 +110,20 @@ def q_merge_sources(spark, d):
 SELECT channel_id, month_key, status,
        CASE WHEN NOT (average_viewers IS NOT NULL OR hours_watched IS NOT NULL OR hours_streamed IS NOT NULL
                       OR followers IS NOT NULL OR followers_gained IS NOT NULL OR peak_viewers IS NOT NULL)
-            THEN 'inactive' WHEN rank <= 50 THEN 'active_top500' WHEN rank IS NOT NULL THEN 'active_not_top500'
+            THEN 'inactive' WHEN rank <= 500 THEN 'active_top500' WHEN rank IS NOT NULL THEN 'active_not_top500'
             ELSE 'active_unranked' END AS status_any_metric
 FROM panel""", "panel"))
 def q_panel_status(spark, d):
-    a = P.build_panel(spark, d).select("channel_id", "month_key", "status")
-    b = P.build_panel(spark, d, active_rule="any_metric").select(
-        "channel_id", "month_key", F.col("status").alias("status_any_metric"))
-    return a.join(b, M.KEY)
+    p = P.landed_panel(spark, d)
+    by_metric = S.panel_status(S.any_not_null(*S.METRIC_FIELDS), F.col("rank"))
+    return p.select("channel_id", "month_key", "status", by_metric.alias("status_any_metric"))
+
+
+@register("panel_status_top50", O.sql(f"""
+SELECT channel_id, month_key, {O.status_case(50)} AS status FROM merged""", "merged"))
+def q_panel_status_top50(spark, d):
+    """A narrower top cut than the default 500."""
+    return P.landed_panel(spark, d, top_k=50).select("channel_id", "month_key", "status")
 
 
 @register("first_per_channel", O.sql("""
@@ -161,18 +167,19 @@ SELECT channel_id, month_key, 'by_avg', CAST(row_number() OVER (PARTITION BY cha
 def q_games_lists(spark, d):
     a = G.games_agg(B.games_rows(spark, d), with_lists=True)
     keep = ["channel_id", "month_key"]
-    all_ = G.explode_list(a, "all_games", keep).select(*keep, F.lit("all").alias("list"), "pos", "game",
-                                                       F.col("hours").alias("value"))
-    bt = G.explode_list(a, "games_by_stream_time", keep).select(*keep, F.lit("by_time").alias("list"), "pos",
-                                                               "game", F.col("hours").alias("value"))
-    ba = G.explode_list(a, "games_by_avg_viewers", keep).select(*keep, F.lit("by_avg").alias("list"), "pos",
-                                                               "game", F.col("avg_viewers").alias("value"))
-    return all_.unionByName(bt).unionByName(ba)
+    lists = {"all": ("all_games", "hours"), "by_time": ("games_by_stream_time", "hours"),
+             "by_avg": ("games_by_avg_viewers", "avg_viewers")}
+    # one array of all items: the lists are built and exploded in one pass
+    def tagged(name, col, value):
+        return F.transform(col, lambda x, i: F.struct(
+            F.lit(name).alias("list"), (i + 1).cast("bigint").alias("pos"), x["game"], x[value].alias("value")))
+    items = F.concat(*[tagged(name, col, value) for name, (col, value) in lists.items()])
+    return a.select(*keep, F.explode(items).alias("g")).select(*keep, "g.*")
 
 
 @register("enrich_created", O.sql("SELECT channel_id, month_key, created FROM enriched", "enriched"))
 def q_enrich_created(spark, d):
-    return E.enrich_created(P.build_panel(spark, d), B.users(spark, d)).select("channel_id", "month_key", "created")
+    return E.enrich_created(P.landed_panel(spark, d), B.users(spark, d)).select("channel_id", "month_key", "created")
 
 
 @register("cohort_ranks", O.sql("""
@@ -183,19 +190,22 @@ SELECT channel_id, month_key,
   CAST(rank() OVER (PARTITION BY year, month ORDER BY followers_gained DESC NULLS LAST) AS BIGINT) AS follower_gain_rank
 FROM enriched""", "enriched"))
 def q_cohort_ranks(spark, d):
-    return P.final_panel(spark, d).select("channel_id", "month_key", "avg_viewer_rank", "peak_viewer_rank",
-                                          "follower_rank", "follower_gain_rank")
+    from ..operators import ranks as R
+    return R.cohort_ranks(P.landed_panel(spark, d)).select(
+        "channel_id", "month_key", "avg_viewer_rank", "peak_viewer_rank", "follower_rank", "follower_gain_rank")
 
 
 @register("cohort_ranks_range", SQL["cohort_ranks"])
 def q_cohort_ranks_range(spark, d):
-    """Same ranks, computed with the range-split strategy for huge cohorts."""
+    """Same ranks over coarse value buckets (two per octave)."""
     from ..operators import ranks as R
-    return R.cohort_ranks(P.enriched_panel(spark, d), method="range").select(
+    return R.cohort_ranks(P.landed_panel(spark, d), per_octave=2).select(
         "channel_id", "month_key", "avg_viewer_rank", "peak_viewer_rank", "follower_rank", "follower_gain_rank")
 
 
 # --- report -----------------------------------------------------------------
+# Sections over rank, status and the six metrics read the panel before its
+# enrichment, which changes none of these.
 
 _ACTIVE = "coalesce(status, 'inactive') <> 'inactive'"
 _ANY_METRIC = ("(average_viewers IS NOT NULL OR hours_watched IS NOT NULL OR hours_streamed IS NOT NULL "
@@ -214,13 +224,13 @@ SELECT coalesce(nullif(trim(month_key), ''), 'UNKNOWN') AS month_key, count(*) A
        {_mean('hours_watched')} AS hours_watched_mean
 FROM enriched GROUP BY 1""", "enriched"))
 def q_monthly_summary(spark, d):
-    return RP.monthly_summary(P.enriched_panel(spark, d))
+    return RP.monthly_summary(P.landed_panel(spark, d))
 
 
 @register("status_distribution", O.sql("""
 SELECT trim(coalesce(status, 'UNKNOWN')) AS status, count(*) AS count FROM enriched GROUP BY 1""", "enriched"))
 def q_status_distribution(spark, d):
-    return RP.status_distribution(P.enriched_panel(spark, d))
+    return RP.status_distribution(P.landed_panel(spark, d))
 
 
 @register("overview", O.sql(f"""
@@ -273,14 +283,14 @@ O.CTES["channel_stats"] = _CHANNEL_STATS
 
 @register("channel_stats", O.sql("SELECT * FROM channel_stats", "channel_stats"))
 def q_channel_stats(spark, d):
-    return RP.channel_stats(P.enriched_panel(spark, d))
+    return RP.channel_stats(P.landed_panel(spark, d))
 
 
 for _metric, _score in (("avg_viewers", "avg_viewers"), ("hours_watched", "hours_watched"),
                         ("followers", "followers_avg")):
     def _mk(metric):
         def fn(spark, d):
-            return RP.top_channels(P.enriched_panel(spark, d), 20, metric)
+            return RP.top_channels(P.landed_panel(spark, d), 20, metric)
         return fn
     register(f"top_channels_by_{_metric}", O.sql(
         f"SELECT *, {_score} AS score FROM channel_stats ORDER BY score DESC NULLS LAST, channel_id LIMIT 20",
@@ -326,7 +336,7 @@ SELECT avg(CASE WHEN rank IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100.0 AS rank_fou
        avg(CASE WHEN average_viewers IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100.0 AS metrics_available_pct
 FROM panel""", "panel"))
 def q_coverage_pcts(spark, d):
-    return RP.coverage_pcts(P.build_panel(spark, d))
+    return RP.coverage_pcts(P.landed_panel(spark, d))
 
 
 @register("rank_histogram", O.sql("""
@@ -339,14 +349,14 @@ LEFT JOIN (
        (SELECT min(rank_min) AS lo, max(rank_min) AS hi FROM channel_stats) m
   GROUP BY 1) c ON s.bin = c.bin""", "channel_stats"))
 def q_rank_histogram(spark, d):
-    return RP.rank_histogram(P.enriched_panel(spark, d))
+    return RP.rank_histogram(P.landed_panel(spark, d))
 
 
 @register("scan_coverage", O.sql("""
 SELECT month_key, count(*) AS targets, count(rank) AS found,
        coalesce(count(rank) / nullif(count(*), 0), 0.0) AS coverage FROM panel GROUP BY month_key""", "panel"))
 def q_scan_coverage(spark, d):
-    return RP.scan_coverage(P.build_panel(spark, d))
+    return RP.scan_coverage(P.landed_panel(spark, d))
 
 
 @register("viewer_trend", O.sql(f"""
@@ -363,7 +373,7 @@ SELECT active_months, count(*) AS channels, count(*) / (SELECT count(DISTINCT ch
 FROM (SELECT channel_id, count(*) FILTER (WHERE {_ACTIVE}) AS active_months FROM enriched GROUP BY channel_id)
 GROUP BY active_months""", "enriched"))
 def q_history_completeness(spark, d):
-    return RP.history_completeness(P.enriched_panel(spark, d))
+    return RP.history_completeness(P.landed_panel(spark, d))
 
 
 O.CTES["month_cov"] = f"""
@@ -375,7 +385,7 @@ FROM enriched GROUP BY month_key"""
 SELECT month_key, rows, panel_coverage FROM month_cov
 WHERE panel_coverage < (SELECT avg(panel_coverage) FROM month_cov) * 0.8""", "month_cov"))
 def q_low_coverage_months(spark, d):
-    return RP.low_coverage_months(P.enriched_panel(spark, d))
+    return RP.low_coverage_months(P.landed_panel(spark, d))
 
 
 # --- quality ----------------------------------------------------------------
@@ -394,7 +404,7 @@ def q_validate_panel(spark, d):
     first, last = B.month_bounds(spark, d)
     months = SC.month_spine(spark, first, last)
     expected = B.channels(spark, d).select(F.count(F.lit(1))).scalar() * months.select(F.count(F.lit(1))).scalar()
-    return Q.validate_panel(P.build_panel(spark, d), expected).select(
+    return Q.validate_panel(P.landed_panel(spark, d), expected).select(
         "rows", "expected_rows", "duplicate_keys", "bad_ranks", "ranked_missing_metrics", "ranked_rows")
 
 
@@ -402,4 +412,4 @@ def q_validate_panel(spark, d):
 SELECT channel_id, month_key, rank, status FROM panel
 WHERE rank IS NOT NULL AND NOT {_ANY_METRIC}""", "panel"))
 def q_ranked_missing_metrics(spark, d):
-    return Q.ranked_missing_metrics(P.build_panel(spark, d)).select("channel_id", "month_key", "rank", "status")
+    return Q.ranked_missing_metrics(P.landed_panel(spark, d)).select("channel_id", "month_key", "rank", "status")

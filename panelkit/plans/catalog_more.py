@@ -4,6 +4,7 @@ bookkeeping, time rules, sinks and streaming runs."""
 from __future__ import annotations
 
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -11,6 +12,7 @@ from ..operators import lookups as E
 from ..operators import games as G
 from ..operators import incremental as I
 from ..operators import merge as M
+from ..operators import ranks as R
 from ..operators import report as RP
 from ..operators import scaffold as SC
 from ..operators import schema as SH
@@ -21,7 +23,7 @@ from ..sources.tables import table
 from ..streaming import streams as ST
 from . import oracle as O
 from . import panel as P
-from .catalog import _ACTIVE, _ANY_METRIC, _MISS_SQL, register
+from .catalog import _ACTIVE, _ANY_METRIC, _MISS_SQL, SQL, register
 
 O.CTES["final"] = """
 SELECT * REPLACE (
@@ -69,7 +71,7 @@ def q_drop_columns(spark, d):
 @register("ensure_columns", O.sql("""
 SELECT channel_id, month_key, CAST(0 AS BIGINT) AS streams, '' AS all_games_json, top_game FROM panel""", "panel"))
 def q_ensure_columns(spark, d):
-    p = SH.ensure_columns(P.build_panel(spark, d), {"streams": (0, "bigint"), "all_games_json": ("", "string"),
+    p = SH.ensure_columns(P.landed_panel(spark, d), {"streams": (0, "bigint"), "all_games_json": ("", "string"),
                                                     "top_game": (None, "string")})
     return p.select("channel_id", "month_key", "streams", "all_games_json", "top_game")
 
@@ -78,7 +80,7 @@ def q_ensure_columns(spark, d):
 SELECT channel_id, month_key, lower(regexp_replace(coalesce(display_name, ''), '^\s+|\s+$', '', 'g')) AS slug
 FROM panel""", "panel"))
 def q_slug_fallback_column(spark, d):
-    p = P.build_panel(spark, d).drop("channel_name")
+    p = P.landed_panel(spark, d).drop("channel_name")
     return p.select("channel_id", "month_key", E.slug_column(p).alias("slug"))
 
 
@@ -106,7 +108,7 @@ def q_coerce_types(spark, d):
 SELECT channel_id, month_key, coalesce(created, '') AS created, coalesce(display_name, '') AS display_name,
        coalesce(status, 'UNKNOWN') AS status FROM panel""", "panel"))
 def q_fill_defaults(spark, d):
-    return SH.fill_defaults(P.build_panel(spark, d)).select("channel_id", "month_key", "created", "display_name",
+    return SH.fill_defaults(P.landed_panel(spark, d)).select("channel_id", "month_key", "created", "display_name",
                                                            "status")
 
 
@@ -156,7 +158,7 @@ def q_month_scope(spark, d):
 @register("created_missing", O.sql("""
 SELECT channel_id, month_key FROM panel WHERE coalesce(trim(created), '') = ''""", "panel"))
 def q_created_missing(spark, d):
-    return E.created_missing(P.build_panel(spark, d)).select("channel_id", "month_key")
+    return E.created_missing(P.landed_panel(spark, d)).select("channel_id", "month_key")
 
 
 @register("needs_games", O.sql("SELECT channel_id, month_key FROM enriched WHERE game_count IS NULL", "enriched"))
@@ -172,14 +174,14 @@ def q_distinct_jobs(spark, d):
 
 @register("rows_with_any_metric", O.sql(f"SELECT channel_id, month_key FROM panel WHERE {_ANY_METRIC}", "panel"))
 def q_rows_with_any_metric(spark, d):
-    return P.build_panel(spark, d).where(S.any_not_null(*S.METRIC_FIELDS)).select("channel_id", "month_key")
+    return P.landed_panel(spark, d).where(S.any_not_null(*S.METRIC_FIELDS)).select("channel_id", "month_key")
 
 
 @register("distinct_logins", O.sql("""
 SELECT DISTINCT channel_name AS login FROM panel
 WHERE coalesce(trim(created), '') = '' AND channel_name <> ''""", "panel"))
 def q_distinct_logins(spark, d):
-    return E.distinct_logins(P.build_panel(spark, d))
+    return E.distinct_logins(P.landed_panel(spark, d))
 
 
 @register("target_semi", O.sql("""
@@ -201,8 +203,9 @@ def q_missing_pairs(spark, d):
     return I.missing_pairs(sc, B.seed_rows(spark, d), live_vals).select("channel_id", "month_key")
 
 
-O.CTES["months_done"] = "SELECT strftime(ms, '%Y') || lower(strftime(ms, '%B')) AS month_key FROM months " \
-                        "WHERE year(ms) < 1996"
+O.CTES["months_done"] = """
+SELECT strftime(ms, '%Y') || lower(strftime(ms, '%B')) AS month_key FROM om GROUP BY 1
+HAVING count(*) FILTER (WHERE o_orderstatus = 'F') > count(*) FILTER (WHERE o_orderstatus = 'O')"""
 
 
 @register("incremental_todo", O.sql("""
@@ -212,7 +215,12 @@ WHERE NOT EXISTS (SELECT 1 FROM seed k WHERE k.channel_id = s.channel_id AND k.m
 def q_incremental_todo(spark, d):
     first, last = B.month_bounds(spark, d)
     sc = SC.panel_scaffold(B.channels(spark, d), SC.month_sequence(first, last))
-    done_months = SC.month_spine(spark, first, last).where(F.col("year") < 1996).select("month_key")
+    status = F.col("o_orderstatus")
+    # done: months with more finished than open orders
+    done_months = (table(spark, d, "orders", "o_orderdate", "o_orderstatus")
+                   .groupBy(S.month_key_of_month_start(F.to_date("o_orderdate")).alias("month_key"))
+                   .agg(F.count_if(status == "F").alias("f"), F.count_if(status == "O").alias("o"))
+                   .where("f > o").select("month_key"))
     return I.incremental_todo(sc, B.seed_rows(spark, d), done_months).select("channel_id", "month_key")
 
 
@@ -480,10 +488,15 @@ def q_payload_games_ingest(spark, d):
 
 
 @register("games_pages_complete", O.sql("""
-SELECT channel_id, month_key, CAST(ceil(count(*) / 10.0) AS BIGINT) AS pages, count(*) AS rows,
-       count(*) AS records_total, true AS complete FROM games GROUP BY 1, 2""", "games"))
+SELECT channel_id, month_key, CAST(count(DISTINCT (pos - 1) // 10) AS BIGINT) AS pages, count(*) AS rows,
+       max(total) AS records_total, count(*) >= max(total) AS complete
+FROM (SELECT *, count(*) OVER (PARTITION BY channel_id, month_key) AS total FROM games)
+WHERE NOT (channel_id % 3 = 0 AND pos > 10) GROUP BY 1, 2""", "games"))
 def q_games_pages_complete(spark, d):
-    return PL.games_pages_complete(PL.land_games_pages(B.games_rows(spark, d), B.GAMES_PAGE_SIZE))
+    """Every first page is landed twice; every third channel lacks the pages after it."""
+    pages = PL.land_games_pages(B.games_rows(spark, d), B.GAMES_PAGE_SIZE)
+    pages = pages.where(~((F.col("channel_id") % 3 == 0) & (F.col("page") > 0)))
+    return PL.games_pages_complete(pages.unionByName(pages.where("page = 0")))
 
 
 @register("pie_top5_other", O.sql("""
@@ -495,8 +508,9 @@ SELECT channel_id, month_key, CAST(6 AS BIGINT), 'Other', round(CAST(sum(CAST(ho
 FROM (SELECT *, row_number() OVER (PARTITION BY channel_id, month_key ORDER BY hours DESC, game) AS rn FROM games)
 WHERE rn > 5 GROUP BY 1, 2 HAVING sum(hours) <> 0""", "games"))
 def q_pie_top5_other(spark, d):
-    pies = PL.read_pies(PL.land_pies(B.games_rows(spark, d)))
-    return G.pie_top5_other(pies, ["channel_id", "month_key"])
+    tops = PL.read_pie_tops(PL.land_pies(B.games_rows(spark, d, with_pos=False)))
+    return tops.select("channel_id", "month_key", F.posexplode("top").alias("p", "t")).select(
+        "channel_id", "month_key", (F.col("p") + 1).cast("bigint").alias("slot"), "t.label", "t.value")
 
 
 def _channel_payloads(spark, d):
@@ -504,16 +518,23 @@ def _channel_payloads(spark, d):
     seg = F.col("c_mktsegment")
     keep_nulls = {"ignoreNullFields": "false"}
     p = (F.when(seg == "AUTOMOBILE", F.to_json(F.struct(F.struct(
-            F.col("c_acctbal").alias("avgViewers"), F.col("c_custkey").cast("string").alias("followerCount"))
+            F.col("c_acctbal").alias("avgViewers"), F.col("c_custkey").cast("string").alias("followerCount"),
+            F.col("c_custkey").alias("avgViewerRank"), F.col("c_nationkey").alias("peak_viewer_rank"))
             .alias("result"))))
          .when(seg == "BUILDING", F.to_json(F.array(F.struct(
             F.col("c_acctbal").alias("avg_viewers"), F.col("c_custkey").alias("followers"),
-            F.col("c_nationkey").cast("string").alias("lang")))))
+            F.col("c_nationkey").cast("string").alias("lang"), F.lit(True).alias("mature"),
+            F.lit(1).alias("isVarietyStreamer"), F.col("c_nationkey").alias("follower_gain_rank")))))
          .when(seg == "FURNITURE", F.to_json(F.struct(F.struct(
             F.lit(None).cast("double").alias("average_viewers"), F.col("c_acctbal").alias("avg_viewers"),
             F.col("c_name").alias("language")).alias("data")), keep_nulls))
          .when(seg == "MACHINERY", F.to_json(F.array(F.struct(F.col("c_acctbal").alias("avg_viewers")),
                                                      F.struct(F.col("c_acctbal").alias("avg_viewers")))))
+         # no leaderboard metric at all: the game fields alone make a row
+         .when(F.col("c_custkey") % 2 == 0, F.to_json(F.struct(
+            F.col("c_name").alias("topGame"), F.col("c_acctbal").alias("top_game_hours"),
+            F.lit(12.5).alias("topGamePct"), F.col("c_nationkey").alias("gameCount"),
+            F.col("c_custkey").alias("followerRank"))))
          .otherwise(F.to_json(F.struct(F.col("c_acctbal").alias("hours_watched"),
                                        F.col("c_custkey").alias("new_followers")))))
     return c.select(F.col("c_custkey").alias("channel_id"), p.alias("payload"))
@@ -521,16 +542,27 @@ def _channel_payloads(spark, d):
 
 @register("payload_channel", O.sql("""
 SELECT c_custkey AS channel_id,
-       CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN c_acctbal END AS average_viewers,
-       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN c_acctbal END AS hours_watched,
+       CASE WHEN seg IN ('AUTOMOBILE', 'BUILDING') THEN c_acctbal END AS average_viewers,
+       CASE WHEN seg = 'HOUSEHOLD' THEN c_acctbal END AS hours_watched,
        CAST(NULL AS DOUBLE) AS hours_streamed,
-       CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN c_custkey END AS followers,
-       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN c_custkey END AS followers_gained,
+       CASE WHEN seg IN ('AUTOMOBILE', 'BUILDING') THEN c_custkey END AS followers,
+       CASE WHEN seg = 'HOUSEHOLD' THEN c_custkey END AS followers_gained,
        CAST(NULL AS BIGINT) AS peak_viewers,
-       CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(c_nationkey AS VARCHAR)
-            WHEN c_mktsegment = 'FURNITURE' THEN c_name END AS language,
-       CAST(NULL AS VARCHAR) AS created
-FROM customer WHERE c_mktsegment <> 'MACHINERY'"""))
+       CASE WHEN seg = 'GAMES' THEN c_name END AS top_game,
+       CASE WHEN seg = 'GAMES' THEN c_acctbal END AS top_game_hours,
+       CASE WHEN seg = 'GAMES' THEN CAST(12.5 AS DOUBLE) END AS top_game_pct,
+       CASE WHEN seg = 'GAMES' THEN CAST(c_nationkey AS BIGINT) END AS game_count,
+       CASE WHEN seg = 'BUILDING' THEN CAST(1 AS BIGINT) END AS is_variety_streamer,
+       CASE WHEN seg = 'BUILDING' THEN CAST(c_nationkey AS VARCHAR) WHEN seg = 'FURNITURE' THEN c_name END AS language,
+       CAST(NULL AS VARCHAR) AS created,
+       CASE WHEN seg = 'BUILDING' THEN 'true' END AS mature,
+       CASE WHEN seg = 'AUTOMOBILE' THEN CAST(c_nationkey AS BIGINT) END AS peak_viewer_rank,
+       CASE WHEN seg = 'AUTOMOBILE' THEN c_custkey END AS avg_viewer_rank,
+       CASE WHEN seg = 'GAMES' THEN c_custkey END AS follower_rank,
+       CASE WHEN seg = 'BUILDING' THEN CAST(c_nationkey AS BIGINT) END AS follower_gain_rank
+FROM (SELECT *, CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_custkey % 2 = 0 THEN 'GAMES' ELSE c_mktsegment END AS seg
+      FROM customer)
+WHERE seg <> 'MACHINERY'"""))
 def q_payload_channel(spark, d):
     return PL.read_channel(_channel_payloads(spark, d))
 
@@ -578,7 +610,7 @@ def q_games_json_roundtrip(spark, d):
 @register("write_read_partitioned", O.sql("SELECT channel_id, month_key, rank, status FROM panel", "panel"))
 def q_write_read_partitioned(spark, d):
     path = SK.scratch_path(spark, "panel-parquet")
-    panel = P.build_panel(spark, d).select("channel_id", "month_key", "year", "month_order", "rank", "status")
+    panel = P.landed_panel(spark, d).select("channel_id", "month_key", "year", "month_order", "rank", "status")
     for _ in range(2):  # a rerun replaces partitions instead of adding rows
         SK.write_partitioned(panel, path, "month_key", ["channel_id"])
     return spark.read.parquet(path).select("channel_id", "month_key", "rank", "status")
@@ -591,26 +623,105 @@ def q_incremental_run(spark, d):
     return back.select(*M.PANEL_COLUMNS)
 
 
-_REPORT_LONG = f"""
-SELECT 'overview' AS section, k AS key, CAST(v AS DOUBLE) AS value FROM (
-  SELECT unnest(['total_rows', 'unique_channels', 'columns_seen', 'rows_with_rank', 'rows_with_any_metric',
-                 'active_rows', 'inactive_rows', 'top500_rows']) AS k,
-         unnest([count(*), count(DISTINCT channel_id), 31, count(rank), count(*) FILTER (WHERE {_ANY_METRIC}),
-                 count(*) FILTER (WHERE {_ACTIVE}), count(*) - count(*) FILTER (WHERE {_ACTIVE}),
-                 count(*) FILTER (WHERE status = 'active_top500')]) AS v
-  FROM enriched)
-UNION ALL
-SELECT 'status', trim(coalesce(status, 'UNKNOWN')), CAST(count(*) AS DOUBLE) FROM enriched GROUP BY 2
-UNION ALL
-SELECT 'created_year', CAST(year(try_cast(replace(created, 'Z', '') AS TIMESTAMP)) AS VARCHAR), CAST(count(*) AS DOUBLE)
-FROM enriched WHERE try_cast(replace(created, 'Z', '') AS TIMESTAMP) IS NOT NULL GROUP BY 2
-UNION ALL
-SELECT 'missing', "column", CAST(missing AS DOUBLE) FROM ({_MISS_SQL})"""
+def _unpivot(section: str, key: str, source: str, *values: str) -> str:
+    names = ", ".join(f"'{v}'" for v in values)
+    cast = ", ".join(f"CAST({v} AS DOUBLE)" for v in values)
+    return (f"SELECT '{section}' AS section, CAST({key} AS VARCHAR) AS key, unnest([{names}]) AS item, "
+            f"unnest([{cast}]) AS value FROM ({source})")
+
+
+_OVERVIEW_SQL = f"""SELECT count(*) AS total_rows, count(DISTINCT channel_id) AS unique_channels, 31 AS columns_seen,
+  count(rank) AS rows_with_rank, count(*) FILTER (WHERE {_ANY_METRIC}) AS rows_with_any_metric,
+  count(*) FILTER (WHERE {_ACTIVE}) AS active_rows, count(*) - count(*) FILTER (WHERE {_ACTIVE}) AS inactive_rows,
+  count(*) FILTER (WHERE status = 'active_top500') AS top500_rows FROM enriched"""
+_REPORT_LONG = "\nUNION ALL\n".join([
+    _unpivot("overview", "'panel'", _OVERVIEW_SQL, "total_rows", "unique_channels", "columns_seen", "rows_with_rank",
+             "rows_with_any_metric", "active_rows", "inactive_rows", "top500_rows"),
+    _unpivot("status", "status", SQL["status_distribution"].split("\n)\n")[-1], "count"),
+    _unpivot("missing", '"column"', _MISS_SQL, "missing", "missing_pct"),
+    _unpivot("monthly", "month_key", SQL["monthly_summary"].split("\n)\n")[-1], "rows", "rank_coverage",
+             "panel_coverage", "avg_viewers_mean", "hours_watched_mean"),
+    _unpivot("created_year", "created_year", SQL["created_cohorts"].split("\n)\n")[-1], "count"),
+    *[_unpivot(f"top_channels_by_{m}", "channel_id",
+               f"SELECT * FROM channel_stats ORDER BY {m} DESC NULLS LAST, channel_id LIMIT 20", m)
+      for m in ("avg_viewers", "hours_watched")],
+    _unpivot("top_games_by_hours", "game", "SELECT * FROM game_stats ORDER BY total_hours DESC, game LIMIT 20",
+             "mentions", "total_hours", "avg_viewers_mean"),
+])
+
+
+@register("report_long", O.sql(_REPORT_LONG, "enriched", "channel_stats", "game_stats"))
+def q_report_long(spark, d):
+    """The enriched panel is computed once, written with the columns the report
+    reads, and all sections read that table."""
+    panel, path = P.enriched_panel(spark, d), SK.scratch_path(spark, "report-panel")
+    RP.report_input(panel).write.parquet(path)
+    return RP.report_long(spark.read.parquet(path), columns_seen=len(panel.columns))
 
 
-@register("report_long", O.sql(_REPORT_LONG, "enriched"))
-def q_report_long(spark, d):
-    return RP.report_long(P.enriched_panel(spark, d))
+# --- reading and building facts -------------------------------------------------------
+
+
+@register("read_fact", O.sql("""
+SELECT channel_id, year, month, month_key, month_order, rank_position, average_viewers, hours_watched, followers,
+       followers_gained, peak_viewers, language, mature, created, 'c-' || channel_id AS channel_slug,
+       '' AS display_name, row_number() OVER (PARTITION BY channel_id, month_key ORDER BY row_seq) AS place
+FROM seed""", "seed"))
+def q_read_fact(spark, d):
+    """Seed rows written as CSV (one folder per landing) and read back."""
+    root = SK.scratch_path(spark, "seed-csv")
+    seed = B.seed_rows(spark, d).withColumn(
+        "channel_slug", F.concat(F.lit("C-"), F.col("channel_id").cast("string")))
+    text = SH.ensure_columns(seed, {c: (None, "string") for c in SH.SEED_REQUIRED})
+    for landing in (0, 1):
+        SK.write_csv(text.where(F.col("row_seq") == landing).select(*SH.SEED_REQUIRED), f"{root}/{landing}")
+    back = SH.read_fact_csv(spark, f"{root}/*")
+    place = F.row_number().over(Window.partitionBy("channel_id", "month_key").orderBy("row_seq"))
+    return back.select("channel_id", "year", "month", "month_key", "month_order", "rank_position", "average_viewers",
+                       "hours_watched", "followers", "followers_gained", "peak_viewers", "language", "mature",
+                       "created", "channel_slug", "display_name", place.cast("bigint").alias("place"))
+
+
+@register("monthly_leaderboard", O.sql("""
+SELECT channel_id, month_key, row_number() OVER (PARTITION BY month_key ORDER BY average_viewers DESC NULLS LAST,
+       channel_id) AS position FROM panel""", "panel"))
+def q_monthly_leaderboard(spark, d):
+    panel = P.landed_panel(spark, d).select("channel_id", "month_key", "average_viewers")
+    return R.monthly_leaderboard(panel, "average_viewers", ["month_key"], rank_col="position").drop("average_viewers")
+
+
+@register("add_games", O.sql("""
+SELECT l.channel_id, l.year, l.month, l.month_key, c.channel_name AS channel_slug, c.display_name,
+       l.rank AS rank_position, l.average_viewers, l.peak_viewers, round(l.hours_streamed, 2) AS hours_streamed,
+       round(l.hours_watched, 2) AS hours_watched, l.language, u.created_at AS created,
+       coalesce(t.labels, '') AS top_labels, coalesce(t.games, '') AS games
+FROM (SELECT *, row_number() OVER (PARTITION BY channel_id, month_key ORDER BY page_seq, row_pos) AS rn FROM live) l
+JOIN channels c ON l.channel_id = c.channel_id
+LEFT JOIN users_k u ON c.channel_name = u.login
+LEFT JOIN (SELECT channel_id, month_key,
+                  string_agg(game, ',' ORDER BY by_hours) FILTER (WHERE by_hours <= 5)
+                    || CASE WHEN sum(hours) FILTER (WHERE by_hours > 5) <> 0 THEN ',Other' ELSE '' END AS labels,
+                  string_agg(game, ',' ORDER BY pos) AS games
+           FROM (SELECT *, row_number() OVER (PARTITION BY channel_id, month_key ORDER BY hours DESC, game) AS by_hours
+                 FROM games) GROUP BY 1, 2) t
+  ON l.channel_id = t.channel_id AND l.month_key = t.month_key
+WHERE l.rn = 1 AND l.channel_id > 0""", "live", "channels", "users_k", "games"))
+def q_add_games(spark, d):
+    """Fact table of landed leaderboard pages, pies, users and games pages."""
+    names = B.channels(spark, d).select("channel_id", "display_name", F.concat(
+        F.lit("/"), F.col("channel_name"), F.lit("/")).alias("channel_slug"))
+    live = B.live_rows(spark, d).drop("display_name", "channel_slug").join(names, "channel_id")
+    games = B.games_rows(spark, d)
+    fact = P.build_fact(PL.land_leaderboard_pages(live), pies_by_time=PL.land_pies(games), users=B.users(spark, d))
+    out = P.add_games(fact, PL.land_games_pages(games, B.GAMES_PAGE_SIZE))
+
+    def listed(col, field):
+        items = F.from_json(col, f"array<struct<{field}:string>>")
+        return F.array_join(F.transform(items, lambda x: x[field]), ",")
+    return out.select("channel_id", "year", "month", "month_key", "channel_slug", "display_name", "rank_position",
+                      "average_viewers", "peak_viewers", "hours_streamed", "hours_watched", "language", "created",
+                      listed("top5_games_by_stream_time_json", "label").alias("top_labels"),
+                      listed("all_games_json", "game").alias("games"))
 
 
 # --- streaming ----------------------------------------------------------------------
@@ -618,12 +729,11 @@ def q_report_long(spark, d):
 
 @register("stream_enrich", O.sql("""
 SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment FROM orders o
-LEFT JOIN customer c ON o.o_custkey = c.c_custkey WHERE o.o_orderstatus IN ('F', 'P')"""))
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""))
 def q_stream_enrich(spark, d):
-    s = ST.file_stream(spark, f"{d}/orders.parquet").where(F.col("o_orderstatus").isin("F", "P")) \
-          .select("o_orderkey", "o_custkey")
+    s = ST.file_stream(spark, f"{d}/orders.parquet").select("o_orderkey", "o_custkey")
     cust = table(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment").withColumnRenamed("c_custkey", "o_custkey")
-    return ST.stream_enrich(s, cust, ["o_custkey"])
+    return ST.stream_enrich(s, cust, ["o_custkey"], keys=["o_orderkey"])
 
 
 @register("stream_status_counts", O.sql("""
@@ -654,7 +764,7 @@ def q_stream_dedupe(spark, d):
     s = ST.file_stream(spark, f"{d}/events.parquet").select(
         "user_id", F.col("ts").cast("timestamp").alias("ts"))
     s = s.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    return ST.stream_dedupe(s, ["user_id", "day"], "ts", "1 day").select("user_id", "day")
+    return ST.stream_dedupe(s, ["user_id", "day"]).select("user_id", "day")
 
 
 @register("stream_error_bursts", O.sql("""

@@ -22,7 +22,7 @@ LIVE_STRUCT = ", ".join(f"'{c}': {c}" for c in LIVE_FIELDS)
 LIVE_ANY = " OR ".join(f"{c} IS NOT NULL" for c in LIVE_FIELDS)
 
 
-def status_case(top_k: int = 50) -> str:
+def status_case(top_k: int = 500) -> str:
     return (f"CASE WHEN NOT has_metrics THEN 'inactive' WHEN rank <= {top_k} THEN 'active_top500' "
             "WHEN rank IS NOT NULL THEN 'active_not_top500' ELSE 'active_unranked' END")
 
@@ -74,7 +74,7 @@ SELECT channel_id, month_key,
 FROM seed GROUP BY channel_id, month_key"""
 CTES["live"] = f"""
 SELECT o_custkey AS channel_id, {MONTH_COLS},
-       CAST(CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1000 END + (rnk - 1) // 100 AS BIGINT) AS page_seq,
+       CAST(CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1099511627776 END + (rnk - 1) // 100 AS BIGINT) AS page_seq,
        rnk AS row_pos, rnk AS rank,
        CASE WHEN has THEN CAST(s AS DOUBLE) / n END AS average_viewers,
        CASE WHEN has THEN CAST(s AS DOUBLE) / 60.0 END AS hours_watched,
@@ -87,8 +87,8 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ms, o_orderstatus ORDER BY
              pri_min <> 5 AS has FROM lagg)"""
 CTES["live_k"] = f"""
 SELECT channel_id, month_key,
-       arg_min(rank, page_seq * 1000000000 + row_pos) AS live_rank,
-       arg_max({{{LIVE_STRUCT}}}, page_seq * 1000000000 + row_pos) FILTER (WHERE {LIVE_ANY}) AS live,
+       arg_min(rank, page_seq::HUGEINT * 1000000000 + row_pos) AS live_rank,
+       arg_max({{{LIVE_STRUCT}}}, page_seq::HUGEINT * 1000000000 + row_pos) FILTER (WHERE {LIVE_ANY}) AS live,
        bool_or({LIVE_ANY}) AS live_has
 FROM live GROUP BY channel_id, month_key"""
 CTES["merged"] = """
@@ -116,7 +116,7 @@ PANEL_COLS = ("channel_id, channel_name, display_name, year, month, month_key, m
               "average_viewers, hours_watched, hours_streamed, followers, followers_gained, peak_viewers, "
               "top_game, top_game_hours, top_game_pct, game_count, is_variety_streamer, language, created, "
               "mature, peak_viewer_rank, avg_viewer_rank, follower_rank, follower_gain_rank")
-CTES["panel"] = f"SELECT {PANEL_COLS}, {status_case(50)} AS status, source FROM merged"
+CTES["panel"] = f"SELECT {PANEL_COLS}, {status_case()} AS status, source FROM merged"
 CTES["gagg"] = """
 SELECT o.o_custkey, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS ms, p.p_brand,
        CAST(sum(CAST(l.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS hours,

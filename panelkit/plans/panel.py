@@ -1,60 +1,141 @@
-"""Composite jobs: build, enrich and rank the panel from the landed tables."""
+"""Composite jobs: build, enrich, rank and report a panel.
+
+``build_panel``, ``enrich_panel``, ``build_fact`` and ``add_games`` take frames
+(a seed read by ``schema.read_fact_csv``, rows read from landed pages by
+``sources.payloads``); the ``landed_*`` jobs apply them to the landed tables
+through ``sources.bindings``.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from ..operators import games as G
 from ..operators import lookups as E
 from ..operators import merge as M
+from ..operators import quality as Q
 from ..operators import ranks as R
 from ..operators import scaffold as SC
 from ..sources import bindings as B
-
-
-def build_panel(
-    spark: SparkSession,
-    sf_dir: str,
-    top_k: int = B.BINDING_TOP_K,
-    active_rule: str = "row_present",
-    months=None,
-) -> DataFrame:
-    """Gap-free channel x month panel with merged seed and live values.
-
-    ``months``: explicit list of month-start dates; default is every month
-    from the first to the last order month (scalar subqueries, evaluated once).
-    """
-    if months is None:
+from ..sources import payloads as PL
+
+# --- jobs over frames ---------------------------------------------------------------
+
+
+def build_panel(seed: DataFrame, live: DataFrame | None = None, channels: DataFrame | None = None,
+                months: list[dt.date] | None = None, top_k: int = S.DEFAULT_TOP_K,
+                active_rule: str = "row_present") -> DataFrame:
+    """Gap-free channel x month panel from seed rows and live leaderboard rows.
+
+    ``channels`` (channel_id, channel_name, display_name) defaults to the first
+    seed row per channel. The months are those of the seed; ``months`` (month
+    starts) narrows them, and raises when none is left."""
+    if channels is None:
+        first = SC.first_per_channel(seed, ["row_seq"])
+        channels = first.select("channel_id", S.slug_norm("channel_slug").alias("channel_name"), "display_name")
+    scope = seed.select(F.make_date(F.col("year").cast("int"), F.col("month_order").cast("int"), F.lit(1)).alias("m"))
+    if months is not None:
+        scope = scope.where(F.col("m").isin(months)) if months else scope.limit(0)
+        Q.require_rows(scope, "no month of the seed lies in the asked scope")
+    # distinct months of a calendar: a few hundred values at most
+    spine = scope.where(F.col("m").isNotNull()).distinct().agg(F.array_sort(F.collect_list("m")).alias("m")).scalar()
+    keyed = M.last_per_key(seed)
+    return M.merge_sources(SC.panel_scaffold(channels, spine), keyed,
+                           M.live_first_last(live) if live is not None else None,
+                           top_k=top_k, active_rule=active_rule)
+
+
+def enrich_panel(panel: DataFrame, games: DataFrame, users: DataFrame | None = None,
+                 overwrite: bool = False, order=None) -> DataFrame:
+    """Panel + game features and lists (fill blanks, or overwrite) + creation
+    dates. ``games`` holds one row per (channel, month, game); ``order`` is its
+    source order (default ``pos``)."""
+    out = G.enrich_games(panel, G.games_agg(games, with_lists=True, order=order), overwrite=overwrite)
+    return E.enrich_created(out, users) if users is not None else out
+
+
+def build_fact(pages: DataFrame, pies_by_time: DataFrame | None = None, pies_by_viewers: DataFrame | None = None,
+               users: DataFrame | None = None) -> DataFrame:
+    """Fact rows of the landed leaderboard pages, the top-five pies as JSON text
+    and creation dates by login.
+
+    ``pages`` (month_key, page_seq, payload) and the pies (channel_id,
+    month_key, payload) are landed payloads; ``users`` has (login, created_at).
+    A channel listed twice in a month keeps its first row. Ranks within the
+    month are left to :func:`ranks.cohort_ranks`."""
+    rows = PL.read_leaderboard(pages)
+    once = SC.first_per_channel(rows, ["page_seq", "row_pos"], key=["channel_id", "month_key"])
+    year, month = S.split_month_key("month_key")
+    fact = once.select(
+        year.alias("year"), month.alias("month"), "month_key", "channel_id",
+        S.url_last_part("channel_slug").alias("channel_slug"), "display_name", F.col("rank").alias("rank_position"),
+        "followers", "followers_gained", "average_viewers", "peak_viewers",
+        F.when(F.col("hours_streamed") > 0, S.round_dp("hours_streamed", 2)).alias("hours_streamed"),
+        F.when(F.col("hours_watched") > 0, S.round_dp("hours_watched", 2)).alias("hours_watched"), "language")
+    for pies, name in ((pies_by_viewers, "top5_games_by_avg_viewers_json"),
+                       (pies_by_time, "top5_games_by_stream_time_json")):
+        if pies is None:
+            fact = fact.withColumn(name, F.lit("[]"))
+            continue
+        top = PL.read_pie_tops(pies).select("channel_id", "month_key", F.to_json("top").alias(name))
+        fact = fact.join(top, M.KEY, "left").withColumn(name, F.coalesce(F.col(name), F.lit("[]")))
+    if users is None:
+        return fact.withColumn("created", F.lit(None).cast("string"))
+    return E.enrich_created(fact.withColumn("created", F.lit(None).cast("string")), users)
+
+
+def add_games(fact: DataFrame, games_pages: DataFrame) -> DataFrame:
+    """Fact rows with their games pages as one JSON list (``[]`` without pages)."""
+    items = PL.read_games_ingest(games_pages)
+    listed = items.groupBy(*M.KEY).agg(F.array_sort(F.collect_list(F.struct(
+        "page", "idx", F.struct("game", "hours", "avg_viewers", "peak_viewers", "hours_watched").alias("g")))
+    ).alias("_g")).select(*M.KEY, F.to_json(F.col("_g.g")).alias("all_games_json"))
+    return fact.join(listed, M.KEY, "left").withColumn(
+        "all_games_json", F.coalesce(F.col("all_games_json"), F.lit("[]")))
+
+
+# --- jobs over the landed tables ----------------------------------------------------
+
+
+def landed_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K,
+                 active_rule: str = "row_present", months: list[dt.date] | None = None) -> DataFrame:
+    """Panel of the landed tables.
+
+    ``months``: month starts; only their span is read. Default is every month
+    from the first to the last order month (scalar subqueries)."""
+    span = months
+    if span is None:
         first, last = B.month_bounds(spark, sf_dir)
-        months = SC.month_sequence(first, last)
+        span = SC.month_sequence(first, last)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    scaffold = SC.panel_scaffold(B.channels(spark, sf_dir), months, partitions=parts)
-    # seed and live share one orders scan/aggregate/window and one keyed
-    # aggregate, so the scaffold is joined once
-    keyed = M.keyed_sources(B.tagged_sources(spark, sf_dir))
+    scaffold = SC.panel_scaffold(B.channels(spark, sf_dir), span, partitions=parts)
+    # seed and live share one orders scan and one keyed aggregate, so the
+    # scaffold is joined once
+    keyed = M.keyed_sources(B.tagged_sources(spark, sf_dir, months))
     return M.merge_sources(scaffold, keyed, None, top_k=top_k, active_rule=active_rule)
 
 
-def enriched_panel(
-    spark: SparkSession,
-    sf_dir: str,
-    top_k: int = B.BINDING_TOP_K,
-    overwrite: bool = False,
-    status_filter: list[str] | None = None,
-) -> DataFrame:
-    """Panel + games features (fill blanks / overwrite) + created lookups."""
-    panel = build_panel(spark, sf_dir, top_k=top_k)
+def enriched_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K, overwrite: bool = False,
+                   status_filter: list[str] | None = None) -> DataFrame:
+    """Landed panel + games features (fill blanks / overwrite) + created lookups."""
+    panel = landed_panel(spark, sf_dir, top_k=top_k)
     if status_filter:
         panel = E.status_filter(panel, status_filter)
-    agg = G.games_agg(B.games_rows(spark, sf_dir, with_pos=False), with_lists=True, order=B.games_order())
-    panel = G.enrich_games(panel, agg, overwrite=overwrite)
-    return E.enrich_created(panel, B.users(spark, sf_dir))
+    return enrich_panel(panel, B.games_rows(spark, sf_dir, with_pos=False), B.users(spark, sf_dir),
+                        overwrite=overwrite, order=B.games_order())
 
 
-def final_panel(spark: SparkSession, sf_dir: str, top_k: int = B.BINDING_TOP_K) -> DataFrame:
-    """Enriched panel with the four cohort ranks recomputed per (year, month)."""
-    return R.cohort_ranks(enriched_panel(spark, sf_dir, top_k=top_k))
+def final_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K) -> DataFrame:
+    """Enriched panel with the four cohort ranks recomputed per (year, month).
+    Enrichment changes no ranked metric, so the narrower panel is ranked first."""
+    ranked = R.cohort_ranks(landed_panel(spark, sf_dir, top_k=top_k))
+    return enrich_panel(ranked, B.games_rows(spark, sf_dir, with_pos=False), B.users(spark, sf_dir),
+                        order=B.games_order())
 
 
 def write_panel(panel: DataFrame, path: str) -> None:
@@ -64,29 +145,42 @@ def write_panel(panel: DataFrame, path: str) -> None:
     write_partitioned(panel, path, "month_key", ["channel_id"])
 
 
+def months_done(spark: SparkSession, path: str) -> set[str]:
+    """Month keys of a written panel: values of its partition column, as many as
+    the calendar has."""
+    try:
+        written = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return set()
+    return {r["month_key"] for r in written.select("month_key").distinct().collect()}
+
+
 def incremental_run(spark: SparkSession, sf_dir: str, path: str, months_per_run: int = 12,
-                    top_k: int = B.BINDING_TOP_K) -> DataFrame:
-    """Full vs incremental runs: build the panel a block of months at a time
-    and write each block into the same partitioned table. Every block replaces
-    only its own month partitions, so re-running a block is idempotent and the
-    union of blocks equals the full build. Returns the table read back.
-
-    The month list is the calendar span of the data (two scalar values
-    brought to the driver to cut it into blocks; the data never is)."""
-    import datetime as dt
-    lo, hi = (B._status_month_agg(B._orders_by_month(spark, sf_dir))
-              .agg(F.min("ms").alias("lo"), F.max("ms").alias("hi")).first())
-    months, d = [], dt.date(lo.year, lo.month, 1)
-    while d <= hi:
-        months.append(d)
-        d = dt.date(d.year + (d.month == 12), d.month % 12 + 1, 1)
+                    top_k: int = S.DEFAULT_TOP_K) -> DataFrame:
+    """Add the months that ``path`` does not hold yet, a block at a time; each
+    block reads only the orders of its span. With nothing new nothing is
+    written, and a run that was cut off goes on with the next month. Returns
+    the table read back.
+
+    The driver holds the month list only: the calendar span of the data (two
+    values) less the partitions found."""
+    lo, hi = B._orders_by_month(spark, sf_dir).agg(F.min("ms").alias("lo"), F.max("ms").alias("hi")).first()
+    done, months = months_done(spark, path), []
+    d = lo
+    while d is not None and d <= hi:
+        if f"{d.year}{S.MONTH_NAMES[d.month - 1]}" not in done:
+            months.append(d)
+        d = (d + dt.timedelta(days=32)).replace(day=1)
     for i in range(0, len(months), months_per_run):
-        write_panel(build_panel(spark, sf_dir, top_k=top_k, months=months[i:i + months_per_run]), path)
+        write_panel(landed_panel(spark, sf_dir, top_k=top_k, months=months[i:i + months_per_run]), path)
     return spark.read.parquet(path)
 
 
 def report_tables(panel: DataFrame, top_n: int = 20, materialize_to: str | None = None) -> dict[str, DataFrame]:
-    """All report sections of one panel (JB-3), as DataFrames.
+    """All report sections of one panel, as DataFrames; the games sections only
+    when the panel holds game lists.
 
     With ``materialize_to`` the panel is first written there (partitioned by
     month_key, e.g. under ``spark.checkpoint.dir``) and every section reads the
@@ -95,7 +189,7 @@ def report_tables(panel: DataFrame, top_n: int = 20, materialize_to: str | None
     if materialize_to:
         write_panel(panel, materialize_to)
         panel = panel.sparkSession.read.parquet(materialize_to)
-    return {
+    out = {
         "overview": RP.overview(panel),
         "status_distribution": RP.status_distribution(panel),
         "missingness": RP.missingness(panel),
@@ -103,7 +197,13 @@ def report_tables(panel: DataFrame, top_n: int = 20, materialize_to: str | None
         "created_cohorts": RP.created_cohorts(panel),
         "top_channels_by_avg_viewers": RP.top_channels(panel, top_n, "avg_viewers"),
         "top_channels_by_hours_watched": RP.top_channels(panel, top_n, "hours_watched"),
-        "top_games_by_hours": RP.top_games(panel, top_n, "hours") if "all_games" in panel.columns else None,
+        "top_channels_by_followers": RP.top_channels(panel, top_n, "followers"),
+        "coverage_pcts": RP.coverage_pcts(panel),
+        "viewer_trend": RP.viewer_trend(panel),
         "rank_histogram": RP.rank_histogram(panel),
-        "report_long": RP.report_long(panel),
+        "report_long": RP.report_long(panel, top_n),
     }
+    if "all_games" in panel.columns:
+        out["top_games_by_hours"] = RP.top_games(panel, top_n, "hours")
+        out["top_games_by_mentions"] = RP.top_games(panel, top_n, "mentions")
+    return out

@@ -20,10 +20,13 @@ aggregate, so hot customers are combined before any shuffle.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators.ranks import monthly_leaderboard
 from .tables import table
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -34,10 +37,7 @@ NULL_PRIORITY = 5    # live rows whose orders all have this priority digit carry
 URGENT_PRIORITY = 1  # seed "mature" flag: some order of this priority digit
 PAGE_SIZE = 100               # leaderboard rows per landed page
 GAMES_PAGE_SIZE = 10          # games rows per landed page
-BINDING_TOP_K = 50            # status cut for the driver's data (~180 ranked per month)
-# "window": one window partition per (month, status) board; "range": boards
-# split over many tasks (operators.ranks.range_row_number) for huge boards.
-BOARD_RANK_METHOD = "window"
+BOARD_STRIDE = 1 << 40        # page numbers of board P follow all that board O can have
 
 
 def month_cols(d) -> list:
@@ -46,9 +46,16 @@ def month_cols(d) -> list:
     return month_columns(d)
 
 
-def _orders_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orders_by_month(spark: SparkSession, sf_dir: str, months=None) -> DataFrame:
+    """Orders with their month start; with ``months`` (month-start dates) only
+    those between the first and the last, as a range that reaches the scan."""
     o = table(spark, sf_dir, "orders", "o_custkey", "o_orderstatus", "o_totalprice",
               "o_orderpriority", "o_orderdate")
+    if months:
+        after = (max(months).replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+        day = o.schema["o_orderdate"].dataType
+        o = o.where((F.col("o_orderdate") >= F.lit(min(months)).cast(day))
+                    & (F.col("o_orderdate") < F.lit(after).cast(day)))
     return o.withColumn("ms", F.trunc(F.to_date("o_orderdate"), "month"))
 
 
@@ -74,23 +81,18 @@ def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def status_rows(spark: SparkSession, sf_dir: str, months=None) -> DataFrame:
     """Orders reduced to one row per (customer, month, status) with the row's
     place on its (month, status) leaderboard. Seed (F, P) and live (O, P)
-    rows are both projections of this one scan, aggregate and window."""
-    a = _status_month_agg(_orders_by_month(spark, sf_dir))
-    if BOARD_RANK_METHOD == "range":
-        from ..operators.ranks import range_row_number
-        return range_row_number(a, ["ms", "o_orderstatus"], [F.col("s").desc(), F.col("o_custkey")], "board_rank")
-    board = Window.partitionBy("ms", "o_orderstatus").orderBy(F.col("s").desc(), "o_custkey")
-    return a.withColumn("board_rank", F.row_number().over(board).cast("bigint"))
+    rows are both projections of this one scan and aggregate."""
+    a = _status_month_agg(_orders_by_month(spark, sf_dir, months))
+    return monthly_leaderboard(a, "s", ["ms", "o_orderstatus"], "o_custkey", "board_rank")
 
 
 def month_bounds(spark: SparkSession, sf_dir: str) -> tuple:
     """(first, last) month-start dates as scalar-subquery Columns (no join, no
-    collect); computed over the per-(customer, month, status) aggregate, whose
-    shuffle the panel build reuses."""
-    a = _status_month_agg(_orders_by_month(spark, sf_dir))
+    collect), from one scan of the order dates."""
+    a = _orders_by_month(spark, sf_dir)
     return a.select(F.min("ms")).scalar(), a.select(F.max("ms")).scalar()
 
 
@@ -113,7 +115,7 @@ def _seed_fields() -> list:
 
 def _live_fields() -> list:
     has = F.col("pri_min") != NULL_PRIORITY
-    board = F.when(F.col("o_orderstatus") == "O", 0).otherwise(1000)
+    board = F.when(F.col("o_orderstatus") == "O", 0).otherwise(BOARD_STRIDE)
     return [
         (board + F.floor((F.col("board_rank") - 1) / PAGE_SIZE)).cast("bigint").alias("page_seq"),
         F.col("board_rank").alias("row_pos"),
@@ -149,10 +151,10 @@ def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")), *_live_fields())
 
 
-def tagged_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tagged_sources(spark: SparkSession, sf_dir: str, months=None) -> DataFrame:
     """Seed and live rows in one frame, tagged, for a single keyed aggregate:
     (channel_id, month_key, is_seed, is_live, seed_row, live_row)."""
-    a = status_rows(spark, sf_dir)
+    a = status_rows(spark, sf_dir, months)
     st = F.col("o_orderstatus")
     return a.select(
         F.col("o_custkey").alias("channel_id"), S.month_key_of_month_start(F.col("ms")).alias("month_key"),

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators.games import pie_tops
 
 # Envelope keys searched for the first list, in order (fixed values).
 ENVELOPE_KEYS = ["data", "aaData", "rows", "results", "items"]
@@ -28,9 +29,21 @@ CHANNEL_FIELDS = {
     "followers": ["followers", "follower_count", "followerCount"],
     "followers_gained": ["followers_gained", "followersGained", "new_followers"],
     "peak_viewers": ["peak_viewers", "peakViewers"],
+    "top_game": ["top_game", "topGame", "game"],
+    "top_game_hours": ["top_game_hours", "topGameHours"],
+    "top_game_pct": ["top_game_pct", "topGamePct"],
+    "game_count": ["game_count", "gameCount"],
+    "is_variety_streamer": ["is_variety_streamer", "isVarietyStreamer"],
     "language": ["language", "lang"],
     "created": ["created", "created_at", "createdAt"],
+    "mature": ["mature"],
+    "peak_viewer_rank": ["peak_viewer_rank", "peakViewerRank"],
+    "avg_viewer_rank": ["avg_viewer_rank", "avgViewerRank"],
+    "follower_rank": ["follower_rank", "followerRank"],
+    "follower_gain_rank": ["follower_gain_rank", "followerGainRank"],
 }
+CHANNEL_TEXT = ("top_game", "language", "created", "mature")
+CHANNEL_FLOATS = ("average_viewers", "hours_watched", "hours_streamed", "top_game_hours", "top_game_pct")
 # Games item: name fields in order of preference (fixed values).
 GAME_NAME_KEYS = ["gamesplayed", "game", "games", "title"]
 
@@ -206,14 +219,31 @@ def land_pies(games: DataFrame) -> DataFrame:
     return pies.select("channel_id", "month_key", F.to_json(body).alias("payload"))
 
 
+_PIE = "struct<data:struct<labels:array<string>,datasets:array<struct<data:array<double>>>>>"
+
+
+def _slices(payload: Column) -> Column:
+    """Pie JSON -> array<struct<label, value>>; null when malformed."""
+    body = F.from_json(payload, _PIE)["data"]
+    z = F.arrays_zip(body["labels"].alias("label"), body["datasets"][0]["data"].alias("value"))
+    return F.filter(z, lambda x: x["label"].isNotNull())
+
+
 def read_pies(pies: DataFrame) -> DataFrame:
-    """Pie JSON -> (keys, pos, label, value); malformed -> no rows."""
-    sch = "struct<data:struct<labels:array<string>,datasets:array<struct<data:array<double>>>>>"
-    p = F.from_json("payload", sch)
-    z = F.arrays_zip(p["data"]["labels"].alias("label"), p["data"]["datasets"][0]["data"].alias("value"))
-    return pies.select("channel_id", "month_key", F.posexplode(z).alias("pos", "lv")).select(
+    """Pie JSON -> (keys, pos, label, value), pos counted over the labelled
+    slices; malformed -> no rows."""
+    return pies.select("channel_id", "month_key", F.posexplode(_slices(F.col("payload"))).alias("pos", "lv")).select(
         "channel_id", "month_key", (F.col("pos") + 1).cast("bigint").alias("pos"),
-        F.col("lv.label").alias("label"), F.col("lv.value").alias("value")).where(F.col("label").isNotNull())
+        F.col("lv.label").alias("label"), F.col("lv.value").alias("value"))
+
+
+def read_pie_tops(pies: DataFrame, top: int = 5) -> DataFrame:
+    """Pie JSON -> (keys, top): the ``top`` labels and the rest as one, worked
+    out within the row; malformed -> empty list."""
+    rows = S.pinned(pies.select("channel_id", "month_key", "payload"), "_slices", _slices(F.col("payload")))
+    none = F.array().cast("array<struct<label:string,value:double>>")
+    return pie_tops(rows, "_slices", "top", top).select(
+        "channel_id", "month_key", F.coalesce(F.col("top"), none).alias("top"))
 
 
 # --- channel and users payloads ----------------------------------------------
@@ -225,20 +255,20 @@ def read_channel(payloads: DataFrame, key: str = "channel_id") -> DataFrame:
     p = F.col("payload")
     as_list = F.from_json(p, "array<string>")
     obj_text = F.when(as_list.isNull(), p).when(F.size(as_list) == 1, as_list[0])
-    top = F.from_json(obj_text, "map<string,string>")
-    inner = None
+    # the outer and the inner object are each parsed once per payload
+    rows = S.pinned(payloads.select(key, "payload"), "_top", F.from_json(obj_text, "map<string,string>"))
+    top, inner = F.col("_top"), None
     for w in CHANNEL_WRAPPERS:
         cand = F.from_json(top[w], "map<string,string>")
         inner = F.when(cand.isNotNull(), cand) if inner is None else inner.when(cand.isNotNull(), cand)
-    m = inner.otherwise(top)
-    df = payloads.select(key, m.alias("m"))
+    df = S.pinned(rows, "m", inner.otherwise(top))
     fields = {}
     for f, keys in CHANNEL_FIELDS.items():
         v = first_present(F.col("m"), keys)
-        if f in ("followers", "followers_gained", "peak_viewers"):
-            v = S.safe_int(v, strip_commas=False)
-        elif f in ("average_viewers", "hours_watched", "hours_streamed"):
+        if f in CHANNEL_FLOATS:
             v = S.clean_number(v, strip_commas=False)
+        elif f not in CHANNEL_TEXT:
+            v = S.safe_int(v, strip_commas=False)
         fields[f] = v
     out = df.select(key, *[v.alias(f) for f, v in fields.items()])
     return out.where(S.any_not_null(*fields.keys()))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -16,15 +17,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "month_key",
-                      sort_cols: list[str] | None = None) -> None:
+                      sort_cols: list[str] | None = None, buckets: int = 8) -> None:
     """Parquet partitioned by ``partition_col``; re-running replaces only the
     partitions present in ``df`` (dynamic overwrite), so reruns never duplicate.
 
-    Rows are range-partitioned on (partition column, sort columns): a large
-    partition value is split over several tasks by the sampled range bounds,
-    and each task writes sorted files into few partition folders."""
+    Each partition value is spread over up to ``buckets`` tasks by a hash of the
+    sort columns (of all plain columns where none are given), in one pass over
+    ``df``; each task writes sorted files into few partition folders."""
     keys = [partition_col, *(sort_cols or [])]
-    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    plain = sort_cols or [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in plain]), F.lit(buckets))
+    out = df.repartition(F.col(partition_col), spread).sortWithinPartitions(*keys)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
 
 
@@ -34,6 +37,5 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def append_records(df: DataFrame, path: str, columns: list[str], fmt: str = "parquet") -> None:
     """Append rows under a fixed column list (extra columns ignored, missing ones null)."""
-    from pyspark.sql import functions as F
     sel = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
     df.select(*sel).write.mode("append").format(fmt).option("header", True).save(path)

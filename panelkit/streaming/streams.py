@@ -1,29 +1,37 @@
 """Structured Streaming forms of the chunked runs.
 
-Each function starts a streaming query over landed Parquet files with a
-``checkpointLocation`` under the shared checkpoint folder, runs it with
-``trigger(availableNow=True)`` (all data present now, in bounded
-micro-batches, then stop) and returns a batch DataFrame over the sink.
-Restarting with the same checkpoint resumes where the last run stopped,
-which is the streaming form of the reference's done-key checkpoints.
+Each function starts a streaming query over landed Parquet files, runs it with
+``trigger(availableNow=True)`` (all data present now, in bounded micro-batches,
+then stop) and returns a batch DataFrame over the sink. ``out`` and
+``checkpoint`` name the sink and the query's progress; called again with the
+same two, a run reads only what landed since. They belong together: a new
+checkpoint needs a new sink. Left out, both are fresh folders under
+``spark.checkpoint.dir``, so the run stands alone.
+
+Results that a batch writes go to a folder of that batch's number, replaced as
+a whole when Spark repeats the batch after a failure; no earlier result is
+touched.
 """
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..sources.sinks import scratch_path
 
+BATCH = "batch_id"
+
 
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream over a Parquet file or folder (schema taken from the files)."""
+    """Stream over Parquet files (schema taken from them): a folder, or a path
+    ending in ``.parquet``, which may be one file or a folder without partitions."""
     schema = spark.read.parquet(path).schema
-    if os.path.isfile(path):
-        # a single landed file: watch it through a glob that matches only it
-        # (a plain file path would be taken as the partition base folder)
+    if path.endswith(".parquet"):
+        # a plain file path would be taken as the partition base folder, so it
+        # is named through a glob that matches nothing else
         path = f"{path[:-1]}[{path[-1]}]"
     r = spark.readStream.format("parquet").schema(schema)
     if max_files:
@@ -31,58 +39,111 @@ def file_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return r.load(path)
 
 
-def run_append(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+def _places(spark: SparkSession, name: str, out: str | None, checkpoint: str | None) -> tuple[str, str]:
+    if (out is None) != (checkpoint is None):
+        raise ValueError("name both the sink and its checkpoint, or neither")
+    return out or scratch_path(spark, f"{name}-out"), checkpoint or scratch_path(spark, f"{name}-ckpt")
+
+
+def _written(spark: SparkSession, out: str, schema) -> DataFrame:
+    """The sink's rows; none when no batch has been written yet."""
+    try:
+        return spark.read.parquet(out)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def run_append(df: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None,
+               fmt: str = "parquet") -> DataFrame:
     """Append-mode stream into a file sink; returns the sink as a batch DataFrame."""
     spark = df.sparkSession
-    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    q = (df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", ckpt)
+    out, checkpoint = _places(spark, name, out, checkpoint)
+    q = (df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start(out))
     q.awaitTermination()
     return spark.read.format(fmt).load(out)
 
 
-def run_complete(df: DataFrame, name: str) -> DataFrame:
-    """Complete-mode stream (running aggregate); every micro-batch rewrites the
-    result table through ``foreachBatch``, so the folder always holds the
-    latest full state. Returns the final table."""
+def run_once_per_key(df: DataFrame, keys: list[str], name: str, out: str | None = None,
+                     checkpoint: str | None = None) -> DataFrame:
+    """Append one row per key over all batches and restarts, however late it
+    arrives: each batch drops the keys that earlier batches wrote. The done keys
+    are the sink itself, so no state grows in memory and none expires. Null
+    keys count as equal."""
+    spark = df.sparkSession
+    out, checkpoint = _places(spark, name, out, checkpoint)
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        fresh = batch.dropDuplicates(keys)
+        if epoch > 0:
+            done = (batch.sparkSession.read.parquet(out).where(F.col(BATCH) < epoch)
+                    .select(*[F.col(k).alias(f"_d_{k}") for k in keys]))
+            same = F.lit(True)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"_d_{k}"))
+            fresh = fresh.join(done, same, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/{BATCH}={epoch}")
+
+    q = (df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return _written(spark, out, df.schema).select(*df.columns)
+
+
+def run_update(df: DataFrame, keys: list[str], name: str, out: str | None = None,
+               checkpoint: str | None = None) -> DataFrame:
+    """Update-mode aggregate: every batch writes only the groups it changed; the
+    result is each group's newest row."""
     spark = df.sparkSession
-    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    out, checkpoint = _places(spark, name, out, checkpoint)
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/{BATCH}={epoch}")
 
-    q = (df.writeStream.outputMode("complete").foreachBatch(sink).option("checkpointLocation", ckpt)
+    q = (df.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    schema = StructType([*df.schema.fields, StructField(BATCH, IntegerType())])
+    values = [c for c in df.columns if c not in keys]
+    return (_written(spark, out, schema).groupBy(*keys)
+            .agg(F.max_by(F.struct(*values), F.col(BATCH)).alias("_v")).select(*keys, "_v.*").select(*df.columns))
 
 
-def stream_enrich(stream: DataFrame, lookup: DataFrame, on: list[str], name: str = "stream_enrich") -> DataFrame:
-    """Stream-static left join (enrich each arriving row), appended to Parquet."""
-    return run_append(stream.join(lookup, on, "left"), name)
+def stream_enrich(stream: DataFrame, lookup: DataFrame, on: list[str], keys: list[str] | None = None,
+                  name: str = "stream_enrich", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Stream-static left join (enrich each arriving row), appended to Parquet.
+    With ``keys`` a row whose key was enriched before is skipped."""
+    rows = stream.join(lookup, on, "left")
+    if keys:
+        return run_once_per_key(rows, keys, name, out, checkpoint)
+    return run_append(rows, name, out, checkpoint)
 
 
-def stream_counts(stream: DataFrame, keys: list, name: str, aggs: list | None = None) -> DataFrame:
+def stream_counts(stream: DataFrame, keys: list, name: str, aggs: list | None = None,
+                  out: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Running counts (and optional aggregates) folded over all micro-batches."""
     a = aggs or [F.count(F.lit(1)).alias("count")]
-    return run_complete(stream.groupBy(*keys).agg(*a), name)
+    grouped = stream.groupBy(*keys).agg(*a)
+    return run_update(grouped, grouped.columns[:len(keys)], name, out, checkpoint)
 
 
-def stream_dedupe(stream: DataFrame, keys: list[str], ts: str, delay: str, name: str = "stream_dedupe") -> DataFrame:
-    """Each key once across batches and restarts; the watermark bounds the
-    dedupe state (keys older than the delay are dropped from state)."""
-    d = stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
-    return run_append(d, name)
+def stream_dedupe(stream: DataFrame, keys: list[str], name: str = "stream_dedupe",
+                  out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Each key once across batches and restarts, late rows included."""
+    return run_once_per_key(stream, keys, name, out, checkpoint)
 
 
 def stream_window_counts(stream: DataFrame, key: str, ts: str, length: str, slide: str, delay: str,
-                         threshold: int, name: str = "stream_window_counts") -> DataFrame:
+                         threshold: int, name: str = "stream_window_counts",
+                         out: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Sliding event-time windows per key; windows reaching ``threshold``.
 
-    Complete mode keeps every window of the run (append mode would withhold
-    windows the watermark has not yet closed)."""
+    The watermark bounds the state: a window that ended ``delay`` before the
+    newest event of earlier batches is dropped from it, and so are events that
+    arrive for it later; its last written count stays in the result."""
     w = (stream.withWatermark(ts, delay)
          .groupBy(F.col(key), F.window(ts, length, slide).alias("w"))
          .agg(F.count(F.lit(1)).alias("n")))
-    res = run_complete(w, name)
-    return res.where(F.col("n") >= threshold)
+    return run_update(w, [key, "w"], name, out, checkpoint).where(F.col("n") >= threshold)

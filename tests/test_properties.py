@@ -49,14 +49,14 @@ def test_live_first_last_brute_force(spark, data):
 
 
 def test_panel_invariants(spark):
-    p = P.build_panel(spark, SMALL)
+    p = P.landed_panel(spark, SMALL)
     n = p.count()
     assert n == p.select("channel_id").distinct().count() * p.select("month_key").distinct().count()
     assert p.select("channel_id", "month_key").distinct().count() == n
     # status totals add up to the rows
     assert sum(r["count"] for r in RP.status_distribution(p).collect()) == n
     # merging is idempotent: a second merge of the same keyed sources changes nothing
-    assert p.exceptAll(P.build_panel(spark, SMALL)).count() == 0
+    assert p.exceptAll(P.landed_panel(spark, SMALL)).count() == 0
 
 
 def test_game_hours_conserved(spark):
@@ -77,3 +77,43 @@ def test_report_tables_from_written_panel(spark):
     written = P.report_tables(e, materialize_to=SK.scratch_path(spark, "t-report"))
     for name in ("overview", "status_distribution", "monthly_summary", "top_games_by_hours"):
         assert rows(direct[name]) == rows(written[name]), name
+
+
+def test_build_panel_from_frames_equals_landed(spark):
+    import pytest
+    from panelkit.sources import bindings as B
+    seed, live = B.seed_rows(spark, SMALL), B.live_rows(spark, SMALL)
+    whole = P.landed_panel(spark, SMALL)
+    months = seed.select("month_key").distinct()
+    mine = P.build_panel(seed, live, channels=B.channels(spark, SMALL))
+    assert mine.exceptAll(whole.join(months, "month_key", "left_semi").select(*mine.columns)).isEmpty()
+    assert mine.count() == B.channels(spark, SMALL).count() * months.count()
+    with pytest.raises(ValueError, match="scope"):
+        P.build_panel(seed, live, channels=B.channels(spark, SMALL), months=[])
+
+
+def test_csv_to_report(spark):
+    """Seed CSV and landed pages to a checked, enriched, ranked and reported panel."""
+    from panelkit.operators import quality as Q
+    from panelkit.operators import ranks as R
+    from panelkit.operators import schema as SH
+    from panelkit.sources import bindings as B
+    from panelkit.sources import payloads as PL
+    from panelkit.sources import sinks as SK
+    path = SK.scratch_path(spark, "t-seed")
+    seed = B.seed_rows(spark, SMALL).withColumns({"channel_slug": F.concat(F.lit("c"), "channel_id"),
+                                                 "top_game": F.lit("Chess")})
+    text = SH.ensure_columns(seed, {c: (None, "string") for c in SH.SEED_REQUIRED}).select(*SH.SEED_REQUIRED)
+    SK.write_csv(text, path)
+    fact = SH.read_fact_csv(spark, path)
+    live = PL.read_leaderboard(PL.land_leaderboard_pages(B.live_rows(spark, SMALL)))
+    panel = P.build_panel(fact, live)
+    checked = Q.assert_valid(Q.validate_panel(panel))
+    assert checked["rows"] == fact.select("channel_id").distinct().count() * fact.select("month_key").distinct().count()
+    assert panel.where("top_game = 'Chess'").count() == fact.select("channel_id", "month_key").distinct().count()
+    games = PL.read_games(PL.land_games_pages(B.games_rows(spark, SMALL))).withColumn(
+        "pos", F.col("page") * 10 + F.col("idx"))
+    final = R.cohort_ranks(P.enrich_panel(panel, games, B.users(spark, SMALL)))
+    tables = P.report_tables(final, top_n=3, materialize_to=SK.scratch_path(spark, "t-final"))
+    sections = {r["section"] for r in tables["report_long"].select("section").distinct().collect()}
+    assert {"overview", "status", "missing", "monthly", "top_channels_by_avg_viewers", "top_games_by_hours"} <= sections

@@ -1,6 +1,7 @@
 """Cohort ranks, scan stop rules, resume offsets, TTL lookups, error bursts."""
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelkit.operators import incremental as I
@@ -59,8 +60,11 @@ def test_error_bursts_and_runs(spark):
     got = rows(I.error_bursts(e, "user_id", "ts", span_seconds=60, threshold=3), "event_id", "n_in_window", "burst")
     assert got == [(0, 1, False), (1, 2, False), (2, 3, True), (3, 3, True), (4, 1, False), (5, 2, False),
                    (6, 3, True)]
-    ev = spark.createDataFrame([(1, i, t) for i, t in enumerate("eeoeeeoe")], "user_id bigint, seq int, t string")
-    assert rows(I.failure_runs(ev, "user_id", ["seq"], F.col("t") == "e")) == [(1, 3)]
+    # hours 0..7 and, from hour 22 on, a run over midnight; user 3 never fails
+    at = [(1, h, t) for h, t in enumerate("eeoeeeoe")] + [(2, 22 + h, t) for h, t in enumerate("oe" + "e" * 24 + "eo")]
+    ev = spark.createDataFrame([*at, (3, 1, "o")], "user_id bigint, h int, t string").withColumn(
+        "ts", F.timestamp_seconds(F.col("h") * 3600))
+    assert rows(I.failure_runs(ev, "user_id", ["ts"], F.col("t") == "e")) == [(1, 3), (2, 26)]
 
 
 def test_planning_anti_joins(spark):
@@ -79,22 +83,52 @@ def test_range_rank_equals_window(spark):
     for i in range(3000):
         y = rnd.choice([2023, 2024, None]) if i % 97 else None
         m = rnd.choice(["march", "april"])
-        v = rnd.choice([None, float(rnd.randint(0, 40)), rnd.random() * 10])
+        v = rnd.choice([None, float(rnd.randint(-40, 40)), rnd.random() * 10, -1e300, 1e300, float("inf")])
         data.append((i, y, m, v))
     df = spark.createDataFrame(data, "id int, year bigint, month string, average_viewers double")
     spec = {"average_viewers": "avg_viewer_rank"}
-    a = rows(R.cohort_ranks(df, spec), "id", "avg_viewer_rank")
-    b = rows(R.cohort_ranks(df, spec, method="range", partitions=7), "id", "avg_viewer_rank")
+    a = rows(R.cohort_ranks(df, spec, key="id"), "id", "avg_viewer_rank")
+    w = Window.partitionBy("year", "month").orderBy(F.col("average_viewers").desc_nulls_last())
+    b = rows(df.withColumn("avg_viewer_rank", F.when(F.col("year").isNull(), 0).otherwise(F.rank().over(w))),
+             "id", "avg_viewer_rank")
     assert a == b
 
 
-def test_board_rank_methods_agree(spark):
-    from panelkit.sources import bindings as B
-    from conftest import SMALL
-    a = rows(B.status_rows(spark, SMALL), "o_custkey", "ms", "o_orderstatus", "board_rank")
-    B.BOARD_RANK_METHOD = "range"
+def test_leaderboard_equals_row_number(spark):
+    import random
+    rnd = random.Random(8)
+    data = [(i, rnd.choice(["a", "b"]), rnd.choice([None, None, float(rnd.randint(-9, 9)), rnd.random()]))
+            for i in rnd.sample(range(5000), 2000)]
+    df = spark.createDataFrame(data, "channel_id bigint, month_key string, v double")
+    w = Window.partitionBy("month_key").orderBy(F.col("v").desc_nulls_last(), "channel_id")
+    assert rows(R.monthly_leaderboard(df, "v", ["month_key"])) == rows(df.withColumn("rank", F.row_number().over(w)))
+
+
+def test_rows_without_value_are_spread(spark):
+    """Missing values of one cohort do not meet in one task of the rank join."""
+    df = spark.range(4000).select(F.col("id").alias("channel_id"), F.lit(2024).alias("year"), F.lit("may").alias("month"),
+                                  F.lit(None).cast("double").alias("average_viewers"))
+    got = R.cohort_ranks(df, {"average_viewers": "r"})
+    assert got.where("r <> 1").isEmpty()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        b = rows(B.status_rows(spark, SMALL), "o_custkey", "ms", "o_orderstatus", "board_rank")
+        plan = got.select("*")._jdf.queryExecution().executedPlan().toString()
     finally:
-        B.BOARD_RANK_METHOD = "window"
-    assert a == b
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert any("hashpartitioning(" in line and "_s0" in line for line in plan.splitlines())
+
+
+def test_incremental_run_skips_done_months(spark):
+    from conftest import SMALL
+    from panelkit.plans import panel as P
+    from panelkit.sources import sinks as SK
+    path = SK.scratch_path(spark, "t-incremental")
+    first = P.incremental_run(spark, SMALL, path, months_per_run=40)
+    files, n = sorted(first.inputFiles()), first.count()
+    again = P.incremental_run(spark, SMALL, path)
+    assert sorted(again.inputFiles()) == files and again.count() == n
+    import datetime as dt
+    plan = P.landed_panel(spark, SMALL, months=[dt.date(1996, 1, 1), dt.date(1996, 2, 1)]) \
+        .select("*")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in plan and "LessThan(o_orderdate,1996-03-01" in plan
