@@ -86,14 +86,15 @@ def cohort_ranks(df: DataFrame, metrics: dict[str, str] = COHORT_RANKS,
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in by]), F.lit(NULL_SALTS)) + 1
     for i, m in enumerate(names):
         mine = places.where(F.col("_i") == i).select(
-            *keys, F.col("_v").alias(f"_v{i}"), F.lit(0).cast("bigint").alias(f"_s{i}"),
-            F.col("_place").alias(f"_p{i}"))
-        out = out.withColumns({f"_v{i}": value[m],
-                               f"_s{i}": F.when(value[m].isNull(), spread).otherwise(0).cast("bigint")})
-        out = out.join(mine, [*keys, f"_v{i}", f"_s{i}"], "left")
-    ranks = {r: F.when(key_null, 0).when(F.col(f"_v{i}").isNull(), F.coalesce(F.col(f"_n{i}"), F.lit(0)) + 1)
+            *keys, F.col("_v").alias(f"_v{i}"), F.lit(True).alias(f"_has{i}"), F.col("_place").alias(f"_p{i}"))
+        # the spread takes the value's place in the key itself: a salt column of
+        # its own would be constant on one side and folded out of the key
+        out = out.withColumns({f"_v{i}": F.coalesce(value[m], spread.cast("double")),
+                               f"_has{i}": value[m].isNotNull()})
+        out = out.join(mine, [*keys, f"_v{i}", f"_has{i}"], "left")
+    ranks = {r: F.when(key_null, 0).when(value[m].isNull(), F.coalesce(F.col(f"_n{i}"), F.lit(0)) + 1)
              .otherwise(F.col(f"_p{i}")).cast("bigint").alias(r)
-             for i, r in enumerate(metrics.values())}
+             for i, (m, r) in enumerate(metrics.items())}
     kept = [ranks.pop(c) if c in ranks else F.col(c) for c in df.columns]
     return out.select(*kept, *ranks.values())
 
