@@ -6,12 +6,15 @@ Representatives get a MinHash signature and walk down TREES independent trees: a
 a node, coordinates chosen by the node alone (one, and a second with the
 probability that makes a pair at the threshold keep about one common branch) send
 a document to the child of its minwise token. After DEPTHS[0] levels, a node of at
-most LEAF documents is compared exhaustively by signature; a larger node goes
-deeper to the next of DEPTHS, after its documents were paired with the node's
-most typical members (those with most company further down), so that the copies of
-one text meet its centre however many they are. All candidate
-pairs are then confirmed on the full sets, and components of the confirmed links
-are found by star contraction.
+most LEAF documents is compared exhaustively by signature; the documents of a larger
+node are paired with the node's most typical members (those with most company further
+down, to the last of DEPTHS), so that the copies of one text meet its centre however
+many they are. All candidate pairs are then confirmed on the full sets, and components
+of the confirmed links are found by star contraction. Last, a larger node is compared
+exhaustively, but for pairs already in one component: its documents are dealt into
+blocks of about BLOCK documents or BLOCK_BYTES of sets, a task at a time holds two
+blocks and counts the common shingles of all their pairs, and what it links joins the
+components. That is quadratic in a node's components, not in its copies.
 
 With TREES = 9, a pair at similarity 0.85 in small nodes is missed with
 probability about 1e-4, a closer one with less; the signature filter
@@ -42,6 +45,9 @@ TREES = 9
 DEPTHS = (4, 8, 16, 32)
 LEAF = 32
 PIVOTS = 4
+BLOCK = 1024
+BLOCK_BYTES = 8 << 20
+COLUMNS = 4096    # shingles counted at once for a pair of blocks
 MARGIN = 0.12     # signature estimates this far below the threshold are dropped: over three standard errors
 
 _rng = np.random.Generator(np.random.PCG64(9))
@@ -177,16 +183,77 @@ def _confirm(percent: int):
     return run
 
 
+def _joined(pairs: np.ndarray) -> np.ndarray:
+    """A spanning forest of links between components."""
+    up: dict[int, int] = {}
+
+    def root(x):
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    kept = []
+    for a, b in pairs.tolist():
+        if (x := root(a)) != (y := root(b)):
+            up[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return np.array(kept, np.int64).reshape(-1, 2)
+
+
+def _block_links(comp: np.ndarray, side: np.ndarray, items: list[np.ndarray], percent: int) -> np.ndarray:
+    """Links between components of one block (side 0 alone) or of two, over all their pairs."""
+    n = np.array([len(x) for x in items])
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if side.any() else left
+    values, at = np.concatenate(items), np.repeat(np.arange(len(items)), n)
+    found, code, times = np.unique(values, return_inverse=True, return_counts=True)
+    shared = times > 1  # a shingle of one document alone is common to no pair
+    code = np.where(shared, np.cumsum(shared) - 1, -1)[code]
+    order = np.argsort(code, kind="stable")
+    code, at = code[order], at[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        i, j = np.searchsorted(code, [lo, lo + COLUMNS])
+        has = np.zeros((len(items), COLUMNS), np.float32)
+        has[at[i:j], code[i:j] - lo] = 1
+        both += has[left] @ has[right].T
+    both = both.astype(np.int64)
+    good = (100 * both >= percent * (n[left][:, None] + n[right] - both)) & (comp[left][:, None] != comp[right])
+    a, b = np.nonzero(good)
+    return _joined(np.unique(np.sort(np.stack([comp[left][a], comp[right][b]], axis=1), axis=1), axis=0))
+
+
+def _blocks(percent: int):
+    """Links of each pair of blocks, in rows sorted by pair."""
+    def links(held):
+        out = _block_links(np.array([x[1] for x in held]), np.array([x[2] for x in held]), [x[3] for x in held], percent)
+        return pa.record_batch([pa.array(out[:, 0]), pa.array(out[:, 1])], ["u", "v"])
+
+    def run(batches):
+        held: list = []
+        for b in batches:
+            for pair, comp, side, items in zip(b.column("pair").to_pylist(), b.column("component").to_pylist(),
+                                               b.column("side").to_pylist(), b.column("items"), strict=True):
+                if held and held[0][0] != pair:
+                    yield links(held)
+                    held = []
+                held.append((pair, comp, side, np.frombuffer(items.as_py(), np.uint64)))
+        if held:
+            yield links(held)
+    return run
+
+
 def _sized(rows: DataFrame, reps: DataFrame) -> DataFrame:
     """Rows (doc_id, node) of the nodes with two documents or more, with the node's size and the signature."""
     sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return write_table(rows.join(sizes, "node").join(reps.select("doc_id", "sig"), "doc_id"), "nodes")
 
 
-def _candidates(reps: DataFrame, percent: int, trees: int) -> DataFrame:
-    """Distinct candidate pairs (a < b) of the representatives (doc_id, sig)."""
+def _candidates(reps: DataFrame, percent: int, trees: int) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct candidate pairs (a < b) of the representatives (doc_id, sig), and the rows of the
+    nodes over LEAF at the first depth, if any, whose other pairs are left to ``_exhaustive``."""
     rows = _sized(reps.mapInArrow(_paths(trees, 100.0 / percent - 1.0), "doc_id long, node long"), reps)
-    found = None
+    found = large = None
     for depth, deeper in zip(DEPTHS, (*DEPTHS[1:], None), strict=True):
         small = (rows.filter(F.col("size") <= LEAF).repartition("node").sortWithinPartitions("node", "doc_id")
                  .mapInArrow(_compare(percent / 100 - MARGIN), "a long, b long"))
@@ -194,10 +261,11 @@ def _candidates(reps: DataFrame, percent: int, trees: int) -> DataFrame:
         big = rows.filter(F.col("size") > LEAF)
         if not big.limit(1).count():
             break
+        large = big if large is None else large
         if deeper:
             rows = _sized(big.select("doc_id", "node", "sig").mapInArrow(_deeper(depth, deeper - depth), "doc_id long, node long"), reps)
         found = found.unionByName(_with_typical(big, rows))
-    return found.distinct()
+    return found.distinct(), large
 
 
 def _with_typical(big: DataFrame, deeper: DataFrame) -> DataFrame:
@@ -214,6 +282,35 @@ def _with_typical(big: DataFrame, deeper: DataFrame) -> DataFrame:
     return own.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
 
 
+def _exhaustive(large: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between components that meet in a large node, from all pairs of its documents. A
+    component of BLOCK documents or more in a node has blocks of its own, which are not compared."""
+    rows = write_table(
+        large.select("doc_id", F.col("node").alias("of")).join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .withColumn("component", F.coalesce("component", "doc_id"))
+        .join(sets.select("doc_id", F.octet_length("items").cast("long").alias("bytes")), "doc_id"), "members")
+    groups = (rows.groupBy("of", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+              .withColumn("alone", F.col("n") >= BLOCK)
+              .withColumn("own", F.when(F.col("alone"), F.col("component")).otherwise(F.lit(0))))
+    dealt = groups.groupBy("of", "alone", "own").agg(
+        F.greatest(F.ceil(F.sum("n") / BLOCK), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"),
+        F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = write_table(
+        rows.drop("bytes").join(groups.select("of", "component", "alone", "own"), ["of", "component"])
+        .join(dealt.select("of", "alone", "own", "blocks"), ["of", "alone", "own"])
+        .select("doc_id", "component", F.struct("of", "alone", "own", F.pmod(F.xxhash64("doc_id", F.lit("block")), F.col("blocks"))
+                                                .alias("block")).alias("block")), "blocks")
+    blocks = (dealt.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("of", "low", "high", F.struct("of", "alone", "own", "block").alias("block")))
+    other = blocks.select("of", F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.col("block").alias("block_b"))
+    pairs = write_table(blocks.join(other, "of").filter("block <= block_b and (low <> high_b or high <> low_b)")
+                        .select(F.monotonically_increasing_id().alias("pair"), "block", "block_b"), "blocks")
+    sides = (pairs.select("pair", F.lit(0).alias("side"), "block")
+             .unionByName(pairs.filter("block <> block_b").select("pair", F.lit(1).alias("side"), F.col("block_b").alias("block"))))
+    return (rows.join(sides, "block").join(sets, "doc_id").select("pair", "side", "component", "items")
+            .repartition("pair").sortWithinPartitions("pair").mapInArrow(_blocks(percent), "u long, v long"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     percent: int = PERCENT, trees: int = TREES) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept."""
@@ -222,7 +319,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = base.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = write_table(classes, "classes")
     reps = classes.select(F.col("rep").alias("doc_id"), "sig")
-    pairs = write_table(_candidates(reps, percent, trees), "pairs")
+    pairs, large = _candidates(reps, percent, trees)
+    pairs = write_table(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     sets = write_table(rows.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
                        .mapInArrow(_sets(size), "doc_id long, items binary"), "sets")
@@ -230,6 +328,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b")
              .mapInArrow(_confirm(percent), "a long, b long"))
     found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    if large is not None:  # every document of a large node was paired, so its set is at hand
+        more = write_table(_exhaustive(large, sets, found, percent), "links")
+        if more.limit(1).count():
+            found = components(more.unionByName(found.select(F.col("node").alias("u"), F.col("component").alias("v"))))
     of_class = classes.select("digest", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "rep", "doc_id")).otherwise(F.col("doc_id"))
     # texts without shingles share a digest, so they stay out of the join

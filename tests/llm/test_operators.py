@@ -130,6 +130,56 @@ def test_near(docs, size, percent):
     assert got(near_dedup.near_duplicates(docs, size=size, percent=percent), "n_shingles", "component_id", "kept") == want
 
 
+def near_by_brute_force(rows, size, percent):
+    """(component, kept) by id, from all pairs."""
+    sets = {i: set(windows(t.lower().split(), size)) for i, t in rows}
+    up = {i: i for i in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * (both := len(sets[a] & sets[b])) >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+    return {i: (root(i), root(i) == i) for i in sets}
+
+
+def template_rows(n, planted):
+    """Texts of one template, any two a little less alike than 0.8, and near copies of some at 0.8 or just above."""
+    rng = np.random.default_rng(77)
+    base = [f"t{k}" for k in range(400)]
+    rows = []
+    for i in range(n):
+        rows.append((i, " ".join([*base, *(f"u{i}_{k}" for k in range(54))])))
+    for j, i in enumerate(rng.permutation(n)[:planted].tolist()):
+        w = rows[i][1].split()
+        at = int(rng.integers(0, 300))
+        rows.append((n + j, " ".join([*w[:at], *(f"p{j}_{k}" for k in range(42)), *w[at + 42:]])))
+    return rows
+
+
+def test_near_copies_inside_a_large_template_group(spark):
+    rows = template_rows(400, 60)
+    want = near_by_brute_force(rows, 5, 80)
+    assert sum(not kept for _, kept in want.values()) == 60
+    assert got(near_dedup.near_duplicates(table(spark, rows).repartition(3)), "component_id", "kept") == want
+
+
+def test_large_node_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 64)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 100)
+    copies = prose(5, 300).split()
+    rows = template_rows(200, 30)
+    for k in range(150):  # a group of copies that makes blocks of its own
+        rows.append((1000 + k, " ".join([*copies[:2 * k], f"c{k}", *copies[2 * k + 1:]])))
+    want = near_by_brute_force(rows, 5, 80)
+    assert got(near_dedup.near_duplicates(table(spark, rows).repartition(3)), "component_id", "kept") == want
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, i) for i in range(501, 600)] + [(7, 7)]
     found = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
