@@ -46,6 +46,52 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
+KEY = "__row_key"
+
+
+def row_keys(docs: DataFrame, id_col: str = "doc_id", repeats: bool = False):
+    """The rows with a column KEY, and a function giving back the id of a key column. A row's key is
+    its id; rows without one, and with ``repeats`` all but one of those that share an id, get keys of
+    their own above every id, from a copy of these rows alone that is written once."""
+    own = F.col(id_col).cast("long")
+    odd, plain = docs.filter(own.isNull()), docs.filter(own.isNotNull()).withColumn(KEY, own)
+    if repeats:
+        several = write_table(plain.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(KEY), "keys")
+        if several.limit(1).count():
+            odd = odd.unionByName(plain.join(several.hint("merge"), KEY, "left_semi").select(*docs.columns))
+            plain = plain.join(several.hint("merge"), KEY, "left_anti").select(*docs.columns, KEY)
+    if not odd.limit(1).count():
+        return plain, lambda col: F.col(col)
+    odd = write_table(odd.withColumn(KEY, F.monotonically_increasing_id()), "keys")
+    # a task's numbers follow each other from its own start: one count a task makes them dense
+    parts = odd.groupBy(F.shiftright(KEY, 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    starts, n = [], 0
+    for r in parts:
+        starts.append((r["part"], n))
+        n += r["n"]
+    top = docs.agg(F.max(own)).first()[0]
+    top = -1 if top is None else top
+    shift = max(0, top + n - NULL_ID)  # keys must fit a long: ids near its end move down together
+    offsets = docs.sparkSession.createDataFrame(starts, "__part long, __start long")
+    odd = (odd.join(F.broadcast(offsets), F.shiftright(KEY, 33) == F.col("__part"))
+           .withColumn("__new", F.col("__start") + F.col(KEY).bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(top - shift + 1)))
+    new = F.col("__new")
+    if repeats:
+        first = odd.filter(own.isNotNull()).groupBy(own.alias("__own")).agg(F.min("__new").alias("__first"))
+        odd = odd.join(first, own == F.col("__own"), "left")
+        new = F.when(new == F.col("__first"), own - F.lit(shift)).otherwise(new)
+    rows = plain.withColumn(KEY, F.col(KEY) - F.lit(shift)).unionByName(odd.select(*docs.columns, new.alias(KEY)))
+    return rows, lambda col: F.when(F.col(col) <= top - shift, F.col(col) + F.lit(shift)).alias(col)
+
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+    """(doc_id, text) as ``narrow`` gives them, but every row without an id has a key of its own in
+    doc_id, and the function giving back the id of a key column."""
+    bound_batches(docs.sparkSession)
+    rows, back = row_keys(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    return rows.select(F.col(KEY).alias("doc_id"), "text"), back
+
+
 def public_id(col: str = "doc_id"):
     return F.when(F.col(col) != NULL_ID, F.col(col)).alias(col)
 

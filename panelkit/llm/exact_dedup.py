@@ -9,7 +9,7 @@ fourfold, so a text of n bytes takes log4(n / 64) + 1 rounds, and a round moves
 only one range of the documents still in doubt.
 
 Defined cases: null text counts as empty; all empty texts are one group; a null
-doc_id is kept and sorts last; rows repeating a doc_id count as one document;
+doc_id sorts last, and each row without one is a document of its own; rows repeating a doc_id count as one document;
 other columns, whatever their names, are ignored; an empty table gives an empty
 result.
 """
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import WHITE, binary, narrow, public_id, slices, write_table
+from panelkit.llm.common import WHITE, binary, keyed, slices, write_table
 
 FIRST_RANGE = 64
 RANGE_GROWTH = 4
@@ -56,7 +56,7 @@ def _split(parts: DataFrame, width: int) -> DataFrame:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text).
     The document with the most code points in its original text, then the smallest doc_id, stays."""
-    rows = narrow(docs, id_col, text_col)
+    rows, public_id = keyed(docs, id_col, text_col)
     base = (rows.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n_points"), "text")
             .mapInArrow(_describe, "doc_id long, n_points int, part binary, text_sha256 string")
             .groupBy("doc_id").agg(F.max("n_points").alias("n_points"), F.min("part").alias("part"),
@@ -81,7 +81,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.max(F.struct("n_points", (-F.col("doc_id")).alias("minus_id"))).alias("best"), F.count(F.lit(1)).alias("n"))
     placed = members.join(best, "grp").select(
         "doc_id", (-F.col("best.minus_id")).alias("keep_id"), F.col("n").alias("group_size"))
-    return base.join(placed, "doc_id", "left").select(
-        public_id(), F.when(F.coalesce("keep_id", "doc_id") != F.lit((1 << 63) - 1), F.coalesce("keep_id", "doc_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (F.coalesce("keep_id", "doc_id") == F.col("doc_id")).alias("kept"), "text_sha256")
+    keep = F.coalesce("keep_id", "doc_id")
+    out = base.join(placed, "doc_id", "left").select(
+        "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (keep == F.col("doc_id")).alias("kept"), "text_sha256")
+    return out.select(public_id("doc_id"), public_id("keep_id"), "group_size", "kept", "text_sha256")

@@ -22,7 +22,7 @@ probability about 1e-4, a closer one with less; the signature filter
 
 Defined cases: null or empty text, or one without words, has no shingles and links
 with nothing; a text with fewer words than a shingle is one shingle; a null doc_id
-is kept and sorts last; rows repeating a doc_id must repeat its text, and each gets
+sorts last, and each row without one is a document of its own; rows repeating a doc_id must repeat its text, and each gets
 the same result; other columns are ignored; an empty table gives no rows.
 """
 
@@ -34,8 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import (LOWER, NON_SPACE, NULL_ID, binary, buffer_of, mix, narrow, public_id, runs, slices,
-                                 span_hashes, words, write_table)
+from panelkit.llm.common import LOWER, NON_SPACE, binary, buffer_of, keyed, mix, runs, slices, span_hashes, words, write_table
 from panelkit.llm.components import components
 
 SHINGLE = 5
@@ -314,7 +313,7 @@ def _exhaustive(large: DataFrame, sets: DataFrame, found: DataFrame, percent: in
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     percent: int = PERCENT, trees: int = TREES) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept."""
-    rows = narrow(docs, id_col, text_col)
+    rows, public_id = keyed(docs, id_col, text_col)
     base = write_table(rows.mapInArrow(_sign(size), "doc_id long, n long, digest binary, sig binary"), "sets")
     classes = base.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = write_table(classes, "classes")
@@ -338,6 +337,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = (base.filter("n > 0").select("doc_id", "n", "digest").join(of_class, "digest", "left")
            .select("doc_id", "n", component.alias("component"))
            .unionByName(base.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))))
-    return out.select(public_id(), F.col("n").alias("n_shingles"),
-                      F.when(F.col("component") != NULL_ID, F.col("component")).alias("component_id"),
-                      (F.col("component") == F.col("doc_id")).alias("kept"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+                     (F.col("component") == F.col("doc_id")).alias("kept"))
+    return out.select(public_id("doc_id"), "n_shingles", public_id("component_id"), "kept")

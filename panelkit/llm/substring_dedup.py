@@ -13,7 +13,7 @@ cross a branch are compared one by one, by the 128-bit hash of their words; the
 coordinates of all that repeat (document, first word) give the spans to remove.
 
 Defined cases: null or empty text has no words; a text shorter than a window loses
-nothing; a null doc_id is kept and counts as larger than any other; rows repeating
+nothing; a null doc_id counts as larger than any other, and each row without one is a document of its own; rows repeating
 a doc_id must repeat its text and each gets the same result; a window that repeats
 only inside one document stays; other columns are ignored; an empty table gives no
 rows.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import (NON_SPACE, binary, buffer_of, covered, mix, narrow, public_id, range_hashes, runs, slices,
+from panelkit.llm.common import (NON_SPACE, binary, buffer_of, covered, keyed, mix, range_hashes, runs, slices,
                                  span_hashes, triggers, words, write_table)
 
 WINDOW = 50
@@ -141,7 +141,7 @@ def _cut(batches):
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
     """Per row: doc_id, n_words, n_removed and the kept words joined by one space."""
-    rows = narrow(docs, id_col, text_col)
+    rows, public_id = keyed(docs, id_col, text_col)
     found = rows.mapInArrow(_occurrences(window, k), "node long, doc_id long, pos int, before long, after long")
     nodes = (found.groupBy("node").agg(
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.min("before").alias("b0"), F.max("before").alias("b1"),
@@ -159,4 +159,4 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             .groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     return (rows.join(gone, "doc_id", "left").select("doc_id", "text", "spans")
             .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, text string")
-            .select(public_id(), "n_words", "n_removed", "text"))
+            .select(public_id("doc_id"), "n_words", "n_removed", "text"))

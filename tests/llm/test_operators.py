@@ -180,6 +180,35 @@ def test_large_node_in_many_blocks(spark, monkeypatch):
     assert got(near_dedup.near_duplicates(table(spark, rows).repartition(3)), "component_id", "kept") == want
 
 
+TOP = (1 << 63) - 1
+
+
+@pytest.mark.parametrize("last", [900, TOP])
+def test_rows_without_an_id_are_documents_of_their_own(spark, last):
+    a, b = prose(70, 90), prose(71, 200)
+    near = " ".join([*b.split()[:-1], "other"])
+    rows = [(1, a), (last, prose(72, 80)), (None, "  " + a), (None, b), (None, near), (None, "short"), (None, ""), (None, b + " ")]
+    df = table(spark, rows).repartition(3)
+
+    def found(out, *cols):
+        return sorted((tuple(r[c] for c in cols) for r in out.collect()), key=str)
+
+    # the longest of the copies stays, ids before rows without one
+    sha = [hashlib.sha256(re.sub(r"[ \t-\r]", "", t).encode()).hexdigest() for _, t in rows]
+    exact = [(1, None, 2, False), (last, last, 1, True), (None, None, 2, True), (None, None, 2, False), (None, None, 1, True),
+             (None, None, 1, True), (None, None, 1, True), (None, None, 2, True)]
+    assert found(exact_dedup.exact_groups(df), "doc_id", "keep_id", "group_size", "kept", "text_sha256") == sorted(
+        ((*v, h) for v, h in zip(exact, sha, strict=True)), key=str)
+    n = [len(set(windows(t.split(), 5))) or int(bool(t)) for _, t in rows]
+    linked = near_dedup.near_duplicates(df)
+    assert found(linked, "doc_id", "n_shingles", "component_id") == sorted(
+        ((i, k, 1 if t.strip() == a else i) for (i, t), k in zip(rows, n, strict=True)), key=str)
+    assert linked.filter("not kept").count() == 3  # a again, and two of b, near and b
+    cut = found(substring_dedup.dedup_substrings(df), "doc_id", "n_words", "n_removed")
+    assert sorted(x[1] for x in cut) == sorted(len(t.split()) for _, t in rows)
+    assert sorted(x[2] for x in cut if x[2]) == [90, 199, 200]  # whichever of b's three comes first is whole
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, i) for i in range(501, 600)] + [(7, 7)]
     found = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
