@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelkit.llm import (decontaminate, exact_dedup, line_dedup, near_dedup, packing, quality, sharding, substring_dedup,
@@ -180,6 +181,23 @@ def test_large_node_in_many_blocks(spark, monkeypatch):
     assert got(near_dedup.near_duplicates(table(spark, rows).repartition(3)), "component_id", "kept") == want
 
 
+def test_pairs_whose_signatures_agree_too_little(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(1500):  # 17 of 200 words changed in one run: 175 common shingles of 217
+        w = [f"v{i}_{k}" for k in range(200)]
+        at = int(rng.integers(20, 150))
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w[:at], *(f"z{i}_{k}" for k in range(17)), *w[at + 17:]]))]
+    batch = pa.record_batch([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["doc_id", "text"])
+    sig = np.concatenate([near_dedup._matrix(b.column("sig")) for b in near_dedup._sign(5)([batch])])
+    agree = (sig[::2] == sig[1::2]).mean(1)
+    unlucky = [r for i in np.flatnonzero(agree < 0.68) for r in rows[2 * i:2 * i + 2]]
+    assert len(unlucky) >= 4
+    want = near_by_brute_force(unlucky, 5, 80)
+    assert sum(not kept for _, kept in want.values()) == len(unlucky) // 2
+    assert got(near_dedup.near_duplicates(table(spark, unlucky)), "component_id", "kept") == want
+
+
 TOP = (1 << 63) - 1
 
 
