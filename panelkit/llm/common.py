@@ -61,7 +61,7 @@ def row_keys(docs: DataFrame, id_col: str = "doc_id", repeats: bool = False):
             odd = odd.unionByName(plain.join(several.hint("merge"), KEY, "left_semi").select(*docs.columns))
             plain = plain.join(several.hint("merge"), KEY, "left_anti").select(*docs.columns, KEY)
     if not odd.limit(1).count():
-        return plain, lambda col: F.col(col)
+        return docs.withColumn(KEY, own), lambda col: F.col(col)
     odd = write_table(odd.withColumn(KEY, F.monotonically_increasing_id()), "keys")
     # a task's numbers follow each other from its own start: one count a task makes them dense
     parts = odd.groupBy(F.shiftright(KEY, 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
