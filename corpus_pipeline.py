@@ -2,16 +2,18 @@
 each group of near copies, drop documents with benchmark passages, pack the rest.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor
-kept; all but the last return the columns of ``documents``. Rows without a doc_id
-are judged by toxicity and decontamination, and kept by the two dedup stages.
+kept; all but the last return the columns of ``documents``. The two dedup stages judge
+rows, not ids: of equal or near equal rows one stays, also of those without a doc_id or
+with the same one; an id's first row goes before rows without one and repeated rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelkit.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
-from panelkit.llm.common import documents, write_table
+from panelkit.llm.common import KEY, documents, row_keys, write_table
 from panelkit.llm.queries import tokenizer_path
 
 
@@ -19,10 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """The rows whose doc_id was not judged superfluous."""
-    gone = judged.filter("not kept").select("doc_id")
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+def _keep(docs: DataFrame, judge) -> DataFrame:
+    """The rows that ``judge`` does not find superfluous, each judged under a key of its own."""
+    rows, _ = row_keys(docs, repeats=True)
+    gone = judge(rows, id_col=KEY).filter("not kept").select(F.col("doc_id").alias(KEY))
+    return rows.join(gone.hint("merge"), KEY, "left_anti").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,11 +33,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, exact_dedup.exact_groups(docs))
+    return _keep(docs, exact_dedup.exact_groups)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, near_dedup.near_duplicates(docs))
+    return _keep(docs, near_dedup.near_duplicates)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,3 +37,15 @@ def test_pipeline(spark):
     assert near_dedup.near_duplicates(docs).filter("not kept").count() == 0
     packed = corpus_pipeline.run(spark, SMALL)
     assert {r[0] for r in packed.select("doc_id").distinct().collect()} == {r[0] for r in docs.select("doc_id").collect()}
+
+
+def test_dedup_stages_judge_rows_not_ids(spark):
+    words = [f"w{i}" for i in range(100)]
+    text, near, other = " ".join(words), " ".join([*words[:-1], "end"]), " ".join(reversed(words))
+    rows = [(5, text), (5, text), (5, text), (9, text), (None, text), (None, near), (7, near), (None, other), (None, other), (8, "one")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, source string").repartition(3)
+    exact = corpus_pipeline.drop_exact_copies(spark, docs, SMALL)
+    assert exact.columns == docs.columns
+    assert sorted(((r[0], r[1]) for r in exact.collect()), key=str) == sorted([(5, text), (7, near), (None, other), (8, "one")], key=str)
+    left = corpus_pipeline.drop_near_copies(spark, docs, SMALL)
+    assert sorted(((r[0], r[1]) for r in left.collect()), key=str) == sorted([(5, text), (None, other), (8, "one")], key=str)
