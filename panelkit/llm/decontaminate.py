@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import ALNUM, LOWER, buffer_of, covered, filter_rows, narrow, public_id, runs, slices, span_hashes, words
+from panelkit.llm.common import ALNUM, LOWER, buffer_of, covered, filter_rows, narrow, public_id, runs, slices, span_hashes, words, write_table
 
 WINDOW = 10
 SLICE_LIMIT = 8 << 20
@@ -88,11 +88,14 @@ def _scan(index):
                 edges = np.flatnonzero(np.diff(np.r_[0, mask.astype(np.int8), 0])).reshape(-1, 2)
                 spans.append([{"start": int(s), "end": int(e)} for s, e in edges])
                 n_hit.append(int(mask.sum()))
+            # with several slices of the benchmark, "row" tells rows apart that share an id or have none
+            own = [name for name in ("row",) if name in b.schema.names]
             yield pa.record_batch([
                 b.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(n_hit, pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                 pa.array([sorted(x for x in s if x is not None) for s in items], pa.list_(pa.string())),
-            ], ["doc_id", "n_words", "n_hit", "spans", "items"])
+                *(b.column(name) for name in own),
+            ], ["doc_id", "n_words", "n_hit", "spans", "items", *own])
     return run
 
 
@@ -141,16 +144,18 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
                    window: int = WINDOW, slice_limit: int = SLICE_LIMIT) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, spans of hit words [start, end), and the items found (sorted)."""
     rows = narrow(docs, id_col, text_col)
-    parts = [rows.mapInArrow(_scan(index), SCHEMA) for index in _indexes(benchmark, window, slice_limit)]
-    if len(parts) == 1:
-        return parts[0].select(public_id(), "n_words", "n_hit", "spans", "items")
+    indexes = list(_indexes(benchmark, window, slice_limit))
+    if len(indexes) == 1:
+        return rows.mapInArrow(_scan(indexes[0]), SCHEMA).select(public_id(), "n_words", "n_hit", "spans", "items")
+    rows = write_table(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    parts = [rows.mapInArrow(_scan(index), SCHEMA + ", row long") for index in indexes]
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
-    return (merged.groupBy("doc_id", "n_words").agg(
+    return (merged.groupBy("row", "doc_id", "n_words").agg(
         F.sum("n_hit").alias("n_hit"), F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        .mapInArrow(_union, SCHEMA).select(public_id(), "n_words", "n_hit", "spans", "items"))
+        .drop("row").mapInArrow(_union, SCHEMA).select(public_id(), "n_words", "n_hit", "spans", "items"))
 
 
 def remove_spans(text: str | None, spans) -> str:

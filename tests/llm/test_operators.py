@@ -253,6 +253,16 @@ def test_benchmark(spark, docs, limit):
     assert got(df, "n_words", "n_hit", "items") == want
 
 
+@pytest.mark.parametrize("limit", [8 << 20, 30])
+def test_benchmark_judges_repeated_rows_one_by_one(spark, limit):
+    x, y = prose(90, 12), prose(91, 12)
+    rows = [(1, x), (1, x), (None, x), (None, y), (None, prose(92, 12)), (2, y)]
+    items = spark.createDataFrame([("x", x), ("y", y), ("z", prose(93, 30))], "item_id string, text string")
+    out = decontaminate.scan_documents(table(spark, rows).repartition(3), items, slice_limit=limit).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in out), key=str) == sorted([
+        (1, 12, 12, ["x"]), (1, 12, 12, ["x"]), (None, 12, 12, ["x"]), (None, 12, 12, ["y"]), (None, 12, 0, []), (2, 12, 12, ["y"])], key=str)
+
+
 def test_sharding(docs, spark):
     rows = ROWS + [(100 + i, "copy of copies") for i in range(90)] + [(300 + i, prose(300 + i, 5)) for i in range(80)]
     found = sharding.shard_documents(table(spark, rows), n_shards=6).collect()
