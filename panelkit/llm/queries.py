@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import decontaminate, exact_dedup, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, suffix_dedup, toxicity
+from panelkit.llm import (decontaminate, exact_dedup, line_dedup, merkle, near_dedup, packing, quality, repetition, search, sharding,
+                          substring_dedup, suffix_dedup, toxicity)
 from panelkit.llm.common import documents
 
 QUERIES: dict = {}
@@ -139,3 +140,95 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_bytes(documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(rf"""
+WITH w AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+v AS (SELECT doc_id, size, i, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS win
+      FROM (SELECT doc_id, ws, size, unnest(generate_series(1, len(ws) - size + 1)) AS i
+            FROM w, (VALUES (5), (10), (31)) AS sizes(size) WHERE len(ws) >= size)),
+again AS (SELECT doc_id, size, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, size, win) AS c FROM v) WHERE c > 1),
+hit AS (SELECT doc_id, size, count(DISTINCT p) AS c
+        FROM (SELECT doc_id, size, unnest(generate_series(i, i + size - 1)) AS p FROM again) GROUP BY doc_id, size),
+r AS (SELECT doc_id, max(c) FILTER (WHERE size = 5) AS short, max(c) FILTER (WHERE size = 10) AS long, max(c) FILTER (WHERE size = 31) AS longest
+      FROM hit GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup
+      FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+c AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '{_WS}+', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+             coalesce(short, 0) AS n_repeat_words, coalesce(long, 0) AS long, coalesce(longest, 0) AS longest
+      FROM w LEFT JOIN r ON r.doc_id = w.doc_id LEFT JOIN l ON l.doc_id = w.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * long <= 15 * n_words AND longest = 0 AS kept
+FROM c""")
+def op11_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge_repetition(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+# CRC-32 bit by bit, over the digits of the id
+_CRC_SQL = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+  lambda a, b: list_reduce(range(8), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)), xor(a, b)), 4294967295), 4294967295)"""
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    return f"""{name}(tree, level, idx, n, digest) AS (
+  {leaves} UNION ALL
+  SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM {name} WHERE n > 1 GROUP BY tree, level, idx // 3, n)"""
+
+
+def _path_sql(name: str, tree: str, leaves: str) -> str:
+    return f"""{name}(r, tree, level, idx, n, folded, sibs) AS (
+  {leaves} UNION ALL
+  SELECT p.r, p.tree, p.level + 1, p.idx // 3, (p.n + 2) // 3,
+         sha256(string_agg(CASE WHEN s.idx = p.idx THEN p.folded ELSE s.digest END, '' ORDER BY s.idx)),
+         p.sibs || coalesce(string_agg(s.digest, '' ORDER BY s.idx) FILTER (WHERE s.idx <> p.idx), '')
+  FROM {name} p JOIN {tree} s ON s.tree = p.tree AND s.level = p.level AND s.idx // 3 = p.idx // 3
+  WHERE p.n > 1 GROUP BY p.r, p.tree, p.level, p.idx, p.n, p.folded, p.sibs)"""
+
+
+@query(f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT *, CASE WHEN {_CRC_SQL} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS other FROM documents),
+leaf AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, {_leaf_sql("text")} AS leaf, {_leaf_sql("other")} AS other,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM d),
+{_tree_sql("t", "SELECT tree, 0, idx, n, leaf FROM leaf")},
+sub AS MATERIALIZED (SELECT tree, digest FROM t WHERE n = 1),
+{_tree_sql("u", "SELECT CAST(-1 AS BIGINT), 0, tree, count(*) OVER (), digest FROM sub")},
+{_path_sql("p", "t", "SELECT r, tree, 0, idx, n, other, '' FROM leaf")},
+up AS (SELECT p.*, (SELECT count(*) FROM sub) AS m FROM p WHERE n = 1),
+{_path_sql("q", "u", "SELECT r, CAST(-1 AS BIGINT), 0, tree, m, folded, sibs FROM up")}
+SELECT doc_id, leaf, sub.digest AS subroot, root.digest AS root, sha256(q.sibs) AS proof_sha256, q.folded AS folded_root,
+       q.folded = root.digest AS verified
+FROM leaf JOIN q ON q.r = leaf.r AND q.n = 1 JOIN sub ON sub.tree = leaf.tree, (SELECT digest FROM u WHERE n = 1) root""")
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(documents(spark, sf_dir))
+
+
+_TERM_TEXT = _LOWER.format("coalesce(text, '')")
+_TERMS = rf"regexp_extract_all({_TERM_TEXT}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+WITH dt AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY doc_id, term),
+dl AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM dt GROUP BY doc_id),
+g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM dl),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM dt, g GROUP BY term, docs),
+it AS (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY item_id, term),
+m AS (SELECT doc_id, 100 - 75 + ((75 * n * docs) // total) AS m FROM dl, g),
+s AS (SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM it JOIN wt USING (term) JOIN dt USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10""")
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))

@@ -21,8 +21,8 @@ def test_query_equals_sql(spark, name):
     assert sorted(map(tuple, found.collect())) == sorted(want.fetchall())
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_all_thirteen_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark):
