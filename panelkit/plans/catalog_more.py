@@ -576,20 +576,45 @@ def q_payload_users(spark, d):
     return PL.read_users(PL.land_users(u))
 
 
-@register("games_parse", O.sql("SELECT channel_id, month_key, pos, game, hours, avg_viewers FROM games", "games"))
-def q_games_parse(spark, d):
+def _games_texts(spark, d):
+    """One games text per channel and month, its form by the month: JSON lists of objects or arrays, JSON in a
+    ``rows`` wrapper, and Python literals: lists of tuples, of dicts, and a wrapper of tuples."""
     g = B.games_rows(spark, d)
-    arr_item = F.format_string('["%s",%s,%s,%s,%s]', "game", "hours", "peak_viewers", "avg_viewers", "view_minutes")
-    obj_item = F.to_json(F.struct("game", "hours", "avg_viewers"))
+    values = ("game", "hours", "peak_viewers", "avg_viewers", "view_minutes")
+    forms = {
+        "array": F.format_string('["%s",%s,%s,%s,%s]', *values),
+        "object": F.to_json(F.struct("game", "hours", "avg_viewers")),
+        "tuple": F.format_string("('%s', %s, %s, %s, None, True,)", *values[:4]),
+        "dict": F.format_string("""{'title': None, 'game': "%s", u'hours': %s, 'avg_viewers': %s, 'live': False,}""",
+                                "game", "hours", "avg_viewers"),
+    }
     lists = g.groupBy("channel_id", "month_key", "month_order").agg(
-        F.array_sort(F.collect_list(F.struct("pos", arr_item.alias("a"), obj_item.alias("o")))).alias("items"))
-    as_arrays = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["a"]), ","), F.lit("]"))
-    as_objects = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["o"]), ","), F.lit("]"))
-    mo = F.col("month_order")
-    text = (F.when(mo % 4 == 1, F.concat(F.lit('{"rows":'), as_arrays, F.lit("}")))
-            .when(mo % 2 == 1, as_arrays).otherwise(as_objects))
-    return PL.parse_games_text(lists.select("channel_id", "month_key", text.alias("games_text")), "games_text",
-                               ["channel_id", "month_key"])
+        F.array_sort(F.collect_list(F.struct("pos", *[v.alias(k) for k, v in forms.items()]))).alias("items"))
+
+    def joined(form, before="[", after="]"):
+        return F.concat(F.lit(before), F.array_join(F.transform("items", lambda x: x[form]), ", "), F.lit(after))
+    kind = F.col("month_order") % 6
+    text = (F.when(kind == 0, joined("tuple", after=",]")).when(kind == 1, joined("array", '{"rows":[', "]}"))
+            .when(kind == 2, joined("object")).when(kind == 3, joined("array")).when(kind == 4, joined("dict"))
+            .otherwise(joined("tuple", "{'rows': [], 'data': [  # of one month\n", "],}")))
+    return lists.select("channel_id", "month_key", "month_order", text.alias("games_text"))
+
+
+@register("games_parse", O.sql("SELECT channel_id, month_key, pos, game, hours, avg_viewers FROM games", "games"))
+def q_games_parse(spark, d):
+    return PL.parse_games_text(_games_texts(spark, d), "games_text", ["channel_id", "month_key"])
+
+
+@register("games_text_forms", O.sql("""
+SELECT month_order, CASE WHEN month_order = 12 THEN 'unparsed' WHEN month_order = 9 THEN 'blank' WHEN month_order = 8 THEN 'not_list'
+                         WHEN month_order % 6 IN (1, 2, 3) THEN 'json' ELSE 'literal' END AS form, count(*) AS texts
+FROM (SELECT DISTINCT channel_id, month_key, month_order FROM games) GROUP BY 1, 2""", "games"))
+def q_games_text_forms(spark, d):
+    """December's texts are cut off before their end, September's are blank, August's lists are tuples."""
+    t, mo = F.col("games_text"), F.col("month_order")
+    broken = (F.when(mo == 12, F.substring(t, 1, F.length(t) - 3)).when(mo == 9, F.lit(" \n"))
+              .when(mo == 8, F.concat(F.lit("{'rows': ("), t, F.lit(", None)}"))).otherwise(t))
+    return PL.games_text_forms(_games_texts(spark, d).withColumn("games_text", broken), "games_text", ["month_order"])
 
 
 @register("games_json_roundtrip", O.sql("""

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions.literals import with_json_text
 from ..operators.games import pie_tops
 
 # Envelope keys searched for the first list, in order (fixed values).
@@ -290,32 +291,46 @@ def read_users(payloads: DataFrame) -> DataFrame:
 
 # --- free-form games text (analysis side) -----------------------------------
 
+def _games_list(j: Column) -> Column:
+    """JSON -> the text of its list: itself, or the first of ``rows`` and ``data`` that is not empty."""
+    def member(key):
+        v = F.get_json_object(j, f"$.{key}")
+        return F.when(~v.isin("[]", "{}", "0", "0.0", "false", ""), v)
+    return F.when(j.startswith("["), j).otherwise(F.coalesce(member("rows"), member("data")))
+
+
 def parse_games_text(df: DataFrame, col: str, keep: list[str], dict_zero_as_missing: bool = True) -> DataFrame:
     """Lenient games text -> (keep..., pos, game, hours, avg_viewers).
 
-    Accepts a JSON list or a {rows|data: list} wrapper; each item may be an
-    array [game, hours, _, avg, ...] or an object (game|title|name,
-    hours|streamtime, avg_viewers|avgviewers). Unparsable text gives no rows.
+    Accepts a list or a {rows|data: list} wrapper, written as JSON or as a Python
+    literal (:mod:`panelkit.functions.literals`); each item may be an array or
+    tuple (game, hours, _, avg, ...) or an object (game|title|name,
+    hours|streamtime, avg_viewers|avgviewers). Text that is neither gives no rows;
+    :func:`games_text_forms` counts it.
     With ``dict_zero_as_missing`` an object's 0 falls through to the next
-    alias (and so to missing), like a Python ``or`` chain. Python tuple
-    literals are read as lists."""
-    t = F.col(col)
-    inner = F.coalesce(F.get_json_object(t, "$.rows"), F.get_json_object(t, "$.data"), t)
-    # Python tuple literals ('A', 1.5): brackets for the tuple parens that
-    # open after '[' or ',' and close before ',' or ']'; tried only when the
-    # text is not valid (lenient) JSON as it stands
-    as_lists = F.regexp_replace(F.regexp_replace(inner, r"([\[,]\s*)\(", "$1["),
-                                r"(?<=['\"\]\d])\s*\)(?=\s*[,\]])", "]")
-    parsed = F.coalesce(F.from_json(inner, "array<string>"), F.from_json(as_lists, "array<string>"))
-    items = df.select(*keep, F.posexplode(parsed).alias("p0", "item"))
+    alias (and so to missing), like a Python ``or`` chain."""
+    texts = with_json_text(df.select(*keep, F.col(col).alias("_text")), "_text", "_j")
+    items = texts.select(*keep, F.posexplode(F.from_json(_games_list(F.col("_j")), "array<string>")).alias("p0", "item"))
     arr = F.from_json("item", "array<string>")
     obj = F.from_json("item", "map<string,string>")
     pick = py_or if dict_zero_as_missing else (lambda m, ks: F.coalesce(*[m[k] for k in ks]))
     is_arr = F.col("item").startswith("[")
-    game = F.when(is_arr, arr[0]).otherwise(pick(obj, ["game", "title", "name"]))
-    hours = F.when(is_arr, arr[1]).otherwise(pick(obj, ["hours", "streamtime"]))
+    game = F.when(is_arr, F.get(arr, 0)).otherwise(pick(obj, ["game", "title", "name"]))
+    hours = F.when(is_arr, F.try_element_at(arr, F.lit(2))).otherwise(pick(obj, ["hours", "streamtime"]))
     avg = F.when(is_arr, F.try_element_at(arr, F.lit(4))).otherwise(pick(obj, ["avg_viewers", "avgviewers"]))
     out = items.where(F.col("item").isNotNull() & (is_arr | obj.isNotNull())).select(
         *keep, (F.col("p0") + 1).cast("bigint").alias("pos"), S.safe_str(game).alias("game"),
         S.clean_number(hours).alias("hours"), S.clean_number(avg).alias("avg_viewers"))
     return out.where(F.col("game") != "")
+
+
+def games_text_forms(df: DataFrame, col: str, keys: list[str] | None = None) -> DataFrame:
+    """Texts per form (and ``keys``): ``blank``, ``json``, ``literal`` (Python), ``not_list`` (read, but neither a
+    list nor a wrapper of one) and ``unparsed``, whose games are in no report."""
+    keys = keys or []
+    texts = with_json_text(df.select(*keys, F.col(col).alias("_text")), "_text", "_j")
+    j, t = F.col("_j"), S.py_strip("_text")
+    form = (F.when(F.coalesce(t, F.lit("")) == "", "blank").when(j.isNull(), "unparsed")
+            .when(F.from_json(F.coalesce(_games_list(j), F.lit("[]")), "array<string>").isNull(), "not_list")
+            .when(j == t, "json").otherwise("literal"))
+    return texts.groupBy(*keys, form.alias("form")).agg(F.count(F.lit(1)).alias("texts"))
