@@ -331,6 +331,7 @@ def games_text_forms(df: DataFrame, col: str, keys: list[str] | None = None) ->
     texts = with_json_text(df.select(*keys, F.col(col).alias("_text")), "_text", "_j")
     j, t = F.col("_j"), S.py_strip("_text")
     form = (F.when(F.coalesce(t, F.lit("")) == "", "blank").when(j.isNull(), "unparsed")
+            .when(t.startswith("(") & j.startswith('{"tuple":'), "not_list")
             .when(F.from_json(F.coalesce(_games_list(j), F.lit("[]")), "array<string>").isNull(), "not_list")
             .when(j == t, "json").otherwise("literal"))
     return texts.groupBy(*keys, form.alias("form")).agg(F.count(F.lit(1)).alias("texts"))
