@@ -83,42 +83,70 @@ def _backward(a: Column, x: Column) -> Column:
         F.concat(F.when(closes, mine).when(opens, top).otherwise(x), a["codes"]).alias("codes"))
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value worked out once, however often it is read."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+_UNREAD = "\ufffe"  # stands for an escape that is not read; no text holds this noncharacter
+
+
 def _unescaped(p: Column) -> Column:
     """The text of one piece of a string's body; null for an escape that is not read."""
     code = F.substring(p, 2, 1)
     octal = p.rlike(r"^\\[0-7]")
-    digits = F.when(octal, F.conv(F.substring(p, 2, 3), 8, 16)).otherwise(F.substring(p, 3, 8))
-    point = F.lpad(digits, 8, "0")
-    known = F.create_map(*[F.lit(v) for pair in (("\\", "\\"), ("'", "'"), ('"', '"'), ("a", "\a"), ("b", "\b"), ("f", "\f"), ("n", "\n"),
-                                                 ("r", "\r"), ("t", "\t"), ("v", "\v"), ("\n", "")) for v in pair])
-    readable = ~point.rlike("^0000[dD][89a-fA-F]") & (F.lower(point) <= "0010ffff")
-    return (F.when(~p.startswith("\\"), p)
-            .when(octal | code.isin("x", "u", "U"), F.when((octal | (F.length(p) > 2)) & readable, F.decode(F.unhex(point), "UTF-32")))
-            .when(code == "N", F.lit(None)).when(F.map_contains_key(known, code), known[code]).otherwise(p))
-
-
-def _string(x: Column) -> Column:
-    """A string token -> its text; null when an escape is not read."""
-    prefix = F.when(x.rlike("^[uUrR]"), 1).otherwise(0)
-    quotes = F.when(x.rlike(r"(?s)^[uUrR]?('''|\"\"\").*('''|\"\"\")$") & (F.length(x) >= prefix + 6), 3).otherwise(1)
-    body = F.substring(x, prefix + quotes + 1, F.length(x) - prefix - 2 * quotes)
+    digits = F.when(octal, F.conv(F.substring(p, 2, 3), 8, 16)).when(code.isin("x", "u", "U") & (F.length(p) > 2), F.substring(p, 3, 8))
+    char = _let(F.lower(F.lpad(digits, 8, "0")), lambda h: F.when(
+        ~h.rlike("^0000d[89a-f]") & (h <= "0010ffff"), F.decode(F.unhex(h), "UTF-32")))
+    simple = F.translate(code, "abfnrtv", "\a\b\f\n\r\t\v")
+    return (F.when(~p.startswith("\\"), p).when(octal | code.isin("x", "u", "U"), char).when(code == "N", F.lit(None))
+            .when(code == "\n", "").when(code.isin(*"\\'\"abfnrtv"), simple).otherwise(p))
+
+
+def _body(x: Column) -> Column:
+    """A string token without its prefix and quotes."""
+    return _let(F.regexp_replace(x, "^[uUrR]", ""), lambda v: F.when(
+        v.rlike(r"(?s)^('''|\"\"\").*('''|\"\"\")$") & (F.length(v) >= 6), F.substring(v, F.lit(4), F.length(v) - 6))
+        .otherwise(F.substring(v, F.lit(2), F.length(v) - 2)))
+
+
+def _string(body: Column, raw: Column) -> Column:
+    """The text of a string's body; null when an escape is not read."""
     parts = F.transform(F.regexp_extract_all(body, F.lit(_PIECE), F.lit(0)), _unescaped)
-    plain = ~body.contains("\\") | x.rlike("^[rR]")
-    return F.when(plain, body).when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, ""))
+    read = _let(F.array_join(parts, "", _UNREAD), lambda v: F.when(~v.contains(_UNREAD), v))
+    return F.when(raw | ~body.contains("\\"), body).otherwise(read)
 
 
 def _number(x: Column) -> Column:
     """A number token as JSON has it; null for a decimal integer with leading zeros."""
-    plain = F.regexp_replace(x, "_", "")
-    based = (F.when(plain.rlike("^0[xX]"), F.conv(F.substring(plain, 3, 99), 16, 10)).when(plain.rlike("^0[oO]"), F.conv(F.substring(plain, 3, 99), 8, 10))
-             .when(plain.rlike("^0[bB]"), F.conv(F.substring(plain, 3, 99), 2, 10)))
-    short = F.regexp_replace(F.regexp_replace(F.regexp_replace(plain, r"^0+(?=[0-9])", ""), r"^\.", "0."), r"\.(?![0-9])", ".0")
-    return F.coalesce(based, F.when(~plain.rlike("^0+[1-9][0-9]*$"), short))
+    def written(v):
+        based = (F.when(v.rlike("^0[xX]"), F.conv(F.substring(v, 3, 99), 16, 10)).when(v.rlike("^0[oO]"), F.conv(F.substring(v, 3, 99), 8, 10))
+                 .otherwise(F.conv(F.substring(v, 3, 99), 2, 10)))
+        short = F.regexp_replace(F.regexp_replace(F.regexp_replace(v, r"^0+(?=[0-9])", ""), r"^\.", "0."), r"\.(?![0-9])", ".0")
+        return F.when(v.rlike("^0[xXoObB]"), based).when(~v.rlike("^0+[1-9][0-9]*$"), short)
+    return _let(F.regexp_replace(x, "_", ""), written)
 
 
 def _quoted(text: Column) -> Column:
-    j = F.to_json(F.array(text))
-    return F.when(text.isNotNull(), F.substring(j, 2, F.length(j) - 2))
+    return F.when(text.isNotNull(), F.regexp_replace(F.to_json(F.array(text)), r"^\[|\]$", ""))
+
+
+def _unit(x: Column, i: Column) -> Column:
+    """A token, given its place, as JSON text."""
+    kind, code, after = F.get("_kind", i), F.get("_code", i), F.get("_kind", i + 1)
+    key = F.coalesce(after == ":", F.lit(False))
+
+    def joined(v):  # neighbouring strings are one: their inner quotes go
+        lo = F.when(F.get("_kind", i - 1) == "s", 2).otherwise(1)
+        return F.substring(v, lo, F.length(v) - lo + 1 - F.when(after == "s", 1).otherwise(0))
+    opened = F.when(code.isin("L", "T"), "[").when(code == "U", '{"tuple":[').when(code == "D", "{").when(code == "S", '{"set":[').otherwise("")
+    closed = F.when(code.isin("L", "T"), "]").when(code.isin("U", "S"), "]}").when(code == "D", "}").otherwise("")
+    number = _let(_number(x), lambda v: F.when(key, _quoted(v)).otherwise(v))
+    return (F.when(kind == "s", _let(_quoted(F.get("_str", i)), joined)).when(kind == "n", number)
+            .when(kind == ",", F.when(after.isin(")", "]", "}"), "").otherwise(",")).when(kind == ":", ":")
+            .when(kind.isin("(", "[", "{"), opened).when(kind.isin(")", "]", "}"), closed)
+            .when(kind == "c", F.when(key, F.concat(F.lit('"'), x, F.lit('"'))).when(x == "None", "null").otherwise(F.lower(x)))
+            .when(kind == "-", F.when((x == "-") & ~F.coalesce(F.get("_kind", i + 2) == ":", F.lit(False)), "-").otherwise("")))
 
 
 def with_json_text(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -136,24 +164,10 @@ def with_json_text(df: DataFrame, text: str, out: str) -> DataFrame:
     back = F.aggregate(F.split(F.reverse(F.col("_fold.codes")), ""), F.struct(F.lit("").alias("stack"), F.lit("").alias("codes")), _backward)
     rows = pinned(rows, "_code", F.when(whole, F.split(back["codes"], "")))
 
-    def written(x: Column, i: Column) -> Column:
-        kind, code = F.col("_kind")[i], F.col("_code")[i]
-        after, before = F.get("_kind", i + 1), F.get("_kind", i - 1)
-        key = F.coalesce(after == ":", F.lit(False))
-        opened = F.create_map(*[F.lit(v) for pair in (("L", "["), ("T", "["), ("U", '{"tuple":['), ("P", ""), ("D", "{"), ("S", '{"set":[')) for v in pair])
-        closed = F.create_map(*[F.lit(v) for pair in (("L", "]"), ("T", "]"), ("U", "]}"), ("P", ""), ("D", "}"), ("S", "]}")) for v in pair])
-        string = _quoted(_string(x))
-        # neighbouring strings are one: the inner quotes go
-        string = F.when(F.coalesce(after == "s", F.lit(False)), F.substring(string, 1, F.length(string) - 1)).otherwise(string)
-        string = F.when(F.coalesce(before == "s", F.lit(False)), F.substring(string, 2, 1 << 30)).otherwise(string)
-        constant = F.when(key, _quoted(x)).when(x == "None", "null").otherwise(F.lower(x))
-        number = F.when(key, _quoted(_number(x))).otherwise(_number(x))
-        return (F.when(kind.isin("(", "[", "{"), opened[code]).when(kind.isin(")", "]", "}"), closed[code])
-                .when(kind == ",", F.when(after.isin(")", "]", "}"), "").otherwise(",")).when(kind == ":", ":")
-                .when(kind == "s", string).when(kind == "n", number).when(kind == "c", constant)
-                .when(kind == "-", F.when((x == "-") & ~F.coalesce(F.get("_kind", i + 2) == ":", F.lit(False)), "-").otherwise("")))
-
-    rows = pinned(rows, "_parts", F.when(F.col("_code").isNotNull(), F.transform("_tok", written)))
+    bodies = F.transform("_tok", lambda x, i: F.when(F.get("_kind", i) == "s", _body(x)))
+    rows = pinned(rows, "_body", F.when(F.col("_code").isNotNull(), bodies))
+    rows = pinned(rows, "_str", F.transform("_body", lambda v, i: F.when(v.isNotNull(), _string(v, F.get("_tok", i).rlike("^[rR]")))))
+    rows = pinned(rows, "_parts", F.when(F.col("_code").isNotNull(), F.transform("_tok", _unit)))
     literal = F.when(~F.exists("_parts", lambda p: p.isNull()), F.array_join("_parts", ""))
     json = F.when(F.col("_json"), F.col("_t")).otherwise(F.when(is_json(literal), literal))
-    return pinned(rows, out, json).drop("_t", "_json", "_tok", "_kind", "_fold", "_code", "_parts")
+    return pinned(rows, out, json).drop("_t", "_json", "_tok", "_kind", "_fold", "_code", "_body", "_str", "_parts")
