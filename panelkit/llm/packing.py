@@ -9,90 +9,177 @@ others, the lengths that bring it closest to capacity; the backtracked counts fo
 a pattern, used as often as the histogram allows. Pieces find their place in
 parallel, by their rank among the pieces of their length.
 
-Words repeat, so a task encodes each distinct run of non-white bytes once: the
-tokenizer folds case, drops white space, and none of its tokens crosses it. (This
-holds for tokenizers of that kind, as the one of the query; ``encode`` is tested
-against it on whole texts.)
+Words repeat, so each is encoded once: a first pass counts the words of all texts,
+the WORDS_KEPT most frequent ones are encoded and broadcast as flat arrays (bounded:
+words of at most WORD_BYTES bytes), and a task looks a slice's distinct words up there
+and encodes only the others. Which words are kept changes no id.
+This needs a tokenizer that folds case, drops white space and lets no token cross it:
+``load`` raises for a file whose normaliser or word pattern is another.
 
 Defined cases: null text counts as empty (one end id); a null doc_id stays null;
-every row is packed, repeated ones too; other columns are ignored; an empty table
-gives no rows.
+every row is packed, repeated ones too; very long texts are encoded whole, a task
+holding some 30 bytes per byte of the longest; other columns, whatever their names,
+are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import binary, narrow, public_id, slices, write_table
+from panelkit.llm.common import LOWER, NON_SPACE, buffer_of, narrow, owner, public_id, slices, words, write_table
 
 WINDOW = 4096
 END_ID = 2
 BUCKET_ROWS = 2000
-CACHE_ENTRIES = 1 << 19   # distinct words a Python worker remembers
-_STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \t\n\x0b\x0c\r]|\Z)")
+WORDS_KEPT = 1 << 17   # most frequent words whose ids are broadcast
+WORD_BYTES = 32        # longest word kept: bounds the broadcast to some 10 MB
+# the normaliser and the word pattern that words may be encoded apart under (fixed values)
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_STOP = np.zeros(256, bool)
+_STOP[list(b".,")] = True
+_PLAIN = np.zeros(256, bool)
+_PLAIN[48:58] = _PLAIN[97:123] = True
 _loaded: dict = {}
 
 
-def _encoder(path: str):
+def load(path: str):
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _loaded[path] = (Tokenizer.from_file(path), {})
+        tokenizer = Tokenizer.from_file(path)
+        made = json.loads(tokenizer.to_str())
+        first = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        if made.get("normalizer") != NORMALIZER or first.get("pattern") != {"Regex": PATTERN}:
+            raise ValueError(f"{path}: words can be encoded apart only where case is folded and white space dropped in the known way")
+        _loaded[path] = tokenizer
     return _loaded[path]
 
 
-def _parts(text: bytes) -> list[bytes]:
-    """Pieces of a text that can be encoded apart: its words, folded as the tokenizer's
-    normaliser does, with a final stop or comma after a letter or digit of ASCII split off,
-    as its pattern does. A text that may hold a special token keeps its capitals."""
-    if b"<|" in text:
-        return text.split()
-    return _STOP.sub(rb" \1", text.lower()).split()
-
-
-def encode(texts: list[bytes], path: str, end_id: int = END_ID) -> list[bytes]:
-    """Ids of each text and the end id, as little-endian unsigned 32-bit numbers."""
-    tokenizer, known = _encoder(path)
-    split = [_parts(t) for t in texts]
-    new = list(set().union(*split) - known.keys())
-    if len(known) + len(new) > CACHE_ENTRIES:
-        known.clear()
-        new = list(set().union(*split))
-    for at in range(0, len(new), 20_000):
-        part = new[at: at + 20_000]
-        for word, got in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-            known[word] = np.array(got.ids, "<u4").tobytes()
-    end = np.array([end_id], "<u4").tobytes()
-    return [b"".join([*map(known.__getitem__, ws), end]) for ws in split]
-
-
-def _pieces(path: str, window: int, end_id: int):
+# --- words --------------------------------------------------------------------
+
+def units(column) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of some texts that can be encoded apart, and the index of each text's first (n + 1 values):
+    the words, folded as the tokenizer's normaliser does, with a final stop or comma after a letter or
+    digit of ASCII split off, as its pattern does. A text that may hold a special token keeps its capitals
+    and stops."""
+    buf, off = buffer_of(column)
+    low = LOWER[buf]
+    starts, ends, first = words(buf, off, NON_SPACE)
+    split = np.zeros(len(starts), bool)
+    long = np.flatnonzero(ends - starts > 1)
+    split[long] = _STOP[low[ends[long] - 1]] & _PLAIN[low[ends[long] - 2]]
+    marks = np.flatnonzero((buf[:-1] == 60) & (buf[1:] == 124)) if len(buf) else np.zeros(0, np.int64)
+    special = np.unique(np.searchsorted(off, marks, "right") - 1)
+    for d in special:
+        low[off[d]:off[d + 1]] = buf[off[d]:off[d + 1]]
+        split[first[d]:first[d + 1]] = False
+    ends_at = np.cumsum(ends - starts)
+    # each word that loses its stop makes two units
+    stops = ends_at[split] - 1
+    cuts = np.sort(np.r_[ends_at, stops])
+    offsets = np.r_[0, cuts].astype(np.int64)
+    more = np.r_[0, np.cumsum(split)]
+    data = np.ascontiguousarray(low[NON_SPACE[buf]])
+    found = pa.Array.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return found, first + more[first]
+
+
+def _count(batches):
+    for b in batches:
+        found, _ = units(b.column("text"))
+        counted = found.filter(pc.less_equal(pc.binary_length(found), WORD_BYTES)).value_counts()
+        yield pa.record_batch([counted.field("values").cast(pa.binary()), counted.field("counts")], ["word", "n"])
+
+
+class Lexicon:
+    """Ids of some words: ``words`` (an Arrow array), and their ids as one array cut by ``first``."""
+
+    def __init__(self, path: str, found: list[bytes] = ()):
+        self.path = path
+        self.words = pa.array(found, pa.large_binary())
+        self.ids, self.first = _encoded(load(path), found)
+
+    def lookup(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, length) of each word, encoding those that are not kept."""
+        at = pc.index_in(found, value_set=self.words)
+        new = np.flatnonzero(pc.is_null(at).to_numpy(zero_copy_only=False))
+        place = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, first = self.ids, self.first
+        if len(new):
+            more, starts = _encoded(load(self.path), found.take(pa.array(new)).to_pylist())
+            place[new] = len(first) - 1 + np.arange(len(new))
+            ids, first = np.r_[ids, more], np.r_[first, len(ids) + starts[1:]]
+        return ids, first[place], first[place + 1] - first[place]
+
+
+def _encoded(tokenizer, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    ids: list[np.ndarray] = []
+    for at in range(0, len(found), 20_000):
+        got = tokenizer.encode_batch_fast([w.decode() for w in found[at: at + 20_000]], add_special_tokens=False)
+        ids += [np.array(g.ids, np.uint32) for g in got]
+    first = np.zeros(len(ids) + 1, np.int64)
+    np.cumsum([len(x) for x in ids], out=first[1:])
+    return np.concatenate(ids) if ids else np.zeros(0, np.uint32), first
+
+
+def encode(column, lexicon: Lexicon, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, each with the end id, and where each text's begin (n + 1 values)."""
+    found, first = units(column)
+    coded = found.dictionary_encode()
+    ids, start, length = lexicon.lookup(coded.dictionary)
+    word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    size = length[word]
+    at = np.zeros(len(word) + 1, np.int64)
+    np.cumsum(size, out=at[1:])
+    docs = len(first) - 1
+    bounds = at[first] + np.arange(docs + 1)
+    out = np.full(int(bounds[-1]), end_id, "<u4")
+    doc = owner(first, len(word))
+    inside = np.arange(int(at[-1])) - np.repeat(at[:-1], size)
+    out[np.repeat(at[:-1] + doc, size) + inside] = ids[np.repeat(start[word], size) + inside]
+    return out, bounds
+
+
+# --- pieces ---------------------------------------------------------------------
+
+def _pieces(lexicon, window: int, end_id: int):
     def run(batches):
         for b in slices(batches):
-            ids = encode([t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()], path, end_id)
-            out: list[list] = [[], [], [], [], []]
-            for doc_id, x in zip(b.column("doc_id").to_pylist(), ids, strict=True):
-                n = len(x) // 4
-                for start in range(0, n, window):
-                    piece = x[4 * start: 4 * (start + window)]
-                    for column, value in zip(out, (doc_id, start, len(piece) // 4, n, piece), strict=True):
-                        column.append(value)
-            yield pa.record_batch([*(pa.array(c, pa.int64()) for c in out[:4]), binary(out[4])],
+            ids, bounds = encode(b.column("text"), lexicon.value, end_id)
+            size = np.diff(bounds)
+            count = -(-size // window)
+            doc = np.repeat(np.arange(b.num_rows), count)
+            start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * window
+            cuts = np.r_[bounds[doc] + start, bounds[-1]]
+            pieces = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer((4 * cuts).astype(np.int32)), pa.py_buffer(ids)])
+            yield pa.record_batch([b.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(np.diff(cuts)), pa.array(size[doc]), pieces],
                                   ["doc_id", "start", "length", "doc_tokens", "ids"])
     return run
 
 
+def lexicon(rows: DataFrame, tokenizer_path: str, kept: int = WORDS_KEPT) -> Lexicon:
+    """The ids of the corpus's ``kept`` most frequent words; ties go to the smaller word."""
+    counts = rows.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.orderBy(F.desc("n"), "word").limit(kept)
+    return Lexicon(tokenizer_path, [bytes(r["word"]) for r in top.select("word").toLocalIterator()])
+
+
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", kept: int = WORDS_KEPT) -> DataFrame:
     """Pieces of every document: doc_id, start, length, doc_tokens, ids (binary)."""
-    return narrow(docs, id_col, text_col).mapInArrow(
-        _pieces(tokenizer_path, window, end_id), "doc_id long, start long, length long, doc_tokens long, ids binary")
+    load(tokenizer_path)
+    rows = narrow(docs, id_col, text_col)
+    known = docs.sparkSession.sparkContext.broadcast(lexicon(rows, tokenizer_path, kept))
+    return rows.mapInArrow(_pieces(known, window, end_id), "doc_id long, start long, length long, doc_tokens long, ids binary")
 
 
 def fill_window(counts: dict[int, int], capacity: int) -> dict[int, int]:

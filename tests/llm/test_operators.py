@@ -282,8 +282,13 @@ def test_packing(docs):
     path = public.path("word_bpe_49k.json")
     odd = ["Hello, WORLD. it's <|endoftext|> X", "A.B. c,d, É.…. 3.5, İ. ó.", "ΣΣ. a b \x1c. ...", "don'T, 12.", " . ,"]
     tok = tokenizers.Tokenizer.from_file(path)
-    for t in [*odd, *(t or "" for _, t in ROWS)]:
-        assert np.frombuffer(packing.encode([t.encode()], path)[0], "<u4").tolist() == [*tok.encode(t, add_special_tokens=False).ids, 2]
+    texts = [*odd, "", "a.", ".", "x <|startoftext|> Y.", "tab\tA,\nb.", "naïve. NAÏVE,", "a." * 20, *(t or "" for _, t in ROWS)]
+    whole_ids = [[*tok.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    for known in ((), [b"w1x7", b"one", b".", b"hello"]):
+        ids, bounds = packing.encode(pa.array(texts, pa.string()), packing.Lexicon(path, list(known)))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == whole_ids
+    with pytest.raises(ValueError, match="encoded apart"):
+        packing.tokenize_pieces(docs, public.path("byte_bpe_50k.json"))
     found = packing.pack(docs, path, window=64, with_ids=True)
     rows = found.collect()
     whole, seqs = {}, {}
@@ -291,7 +296,11 @@ def test_packing(docs):
         assert zlib.crc32(bytes(r["ids"])) == r["ids_crc32"] and r["start"] == len(whole.get(r["doc_id"], b"")) // 4
         whole[r["doc_id"]] = whole.get(r["doc_id"], b"") + bytes(r["ids"])
         seqs.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
-    assert {i: packing.encode([(t or "").encode()], path)[0] for i, t in ROWS} == whole
+    assert {i: np.array([*tok.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for i, t in ROWS} == whole
+    few = packing.tokenize_pieces(docs, path, window=64, kept=3)
+    columns = ["doc_id", "start", "length", "doc_tokens", "ids"]
+    assert few.exceptAll(packing.tokenize_pieces(docs, path, window=64).select(columns)).count() == 0
+    assert packing.pack(docs.limit(0), path).count() == 0
     for parts in seqs.values():
         at = 0
         for offset, length in sorted(parts):
