@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
-from panelkit.llm.common import KEY, documents, row_keys, write_table
+from panelkit.llm.common import KEY, ROW, documents, row_keys, write_table
 from panelkit.llm.queries import tokenizer_path
 
 
@@ -23,9 +23,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _keep(docs: DataFrame, judge) -> DataFrame:
     """The rows that ``judge`` does not find superfluous, each judged under a key of its own."""
-    rows, _ = row_keys(docs, repeats=True)
-    gone = judge(rows, id_col=KEY).filter("not kept").select(F.col("doc_id").alias(KEY))
-    return rows.join(gone.hint("merge"), KEY, "left_anti").select(*docs.columns)
+    rows, _ = row_keys(docs)
+    gone = judge(rows.select(KEY, F.col(f"{ROW}.text").alias("text")), id_col=KEY).filter("not kept").select(F.col("doc_id").alias(KEY))
+    return rows.join(gone.hint("merge"), KEY, "left_anti").select(f"{ROW}.*")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,50 +46,63 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
-KEY = "__row_key"
-
-
-def row_keys(docs: DataFrame, id_col: str = "doc_id", repeats: bool = False):
-    """The rows with a column KEY, and a function giving back the id of a key column. A row's key is
-    its id; rows without one, and with ``repeats`` all but one of those that share an id, get keys of
-    their own above every id, from a copy of these rows alone that is written once."""
-    own = F.col(id_col).cast("long")
-    odd, plain = docs.filter(own.isNull()), docs.filter(own.isNotNull()).withColumn(KEY, own)
-    if repeats:
-        several = write_table(plain.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(KEY), "keys")
-        if several.limit(1).count():
-            odd = odd.unionByName(plain.join(several.hint("merge"), KEY, "left_semi").select(*docs.columns))
-            plain = plain.join(several.hint("merge"), KEY, "left_anti").select(*docs.columns, KEY)
-    if not odd.limit(1).count():
-        return docs.withColumn(KEY, own), lambda col: F.col(col)
-    odd = write_table(odd.withColumn(KEY, F.monotonically_increasing_id()), "keys")
+KEY = "row_key"
+ROW = "row"
+
+
+def row_keys(docs: DataFrame, id_col: str = "doc_id"):
+    """The rows as (KEY, own id, ROW: a struct of all columns, so that no name can clash), and a function
+    that gives key columns of a frame their ids back.
+
+    A row's key is its id. Rows without an id, and all but one of those that share an id, get keys of their
+    own above every id, from a copy of these rows alone that is written once."""
+    own = F.col(f"`{id_col}`").cast("long")
+    rows = docs.select(own.alias("own"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(ROW))
+    ids = rows.groupBy("own").agg(F.count(F.lit(1)).alias("n"))
+    top, nulls, shared = ids.agg(F.max("own"), F.count_if(F.col("own").isNull()), F.count_if(F.col("own").isNotNull() & (F.col("n") > 1))).first()
+    if not nulls and not shared:
+        return rows.select(F.col("own").alias(KEY), "own", ROW), lambda df, *cols: df
+    odd, plain = rows.filter("own IS NULL"), rows.filter("own IS NOT NULL")
+    if shared:
+        several = write_table(ids.filter("own IS NOT NULL AND n > 1").select("own"), "keys")
+        odd = odd.unionByName(plain.join(several.hint("merge"), "own", "left_semi").select("own", ROW))
+        plain = plain.join(several.hint("merge"), "own", "left_anti")
+    odd = write_table(odd.withColumn("at", F.monotonically_increasing_id()), "keys")
     # a task's numbers follow each other from its own start: one count a task makes them dense
-    parts = odd.groupBy(F.shiftright(KEY, 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
+    parts = odd.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
     starts, n = [], 0
     for r in parts:
         starts.append((r["part"], n))
         n += r["n"]
-    top = docs.agg(F.max(own)).first()[0]
     top = -1 if top is None else top
     shift = max(0, top + n - NULL_ID)  # keys must fit a long: ids near its end move down together
-    offsets = docs.sparkSession.createDataFrame(starts, "__part long, __start long")
-    odd = (odd.join(F.broadcast(offsets), F.shiftright(KEY, 33) == F.col("__part"))
-           .withColumn("__new", F.col("__start") + F.col(KEY).bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(top - shift + 1)))
-    new = F.col("__new")
-    if repeats:
-        first = odd.filter(own.isNotNull()).groupBy(own.alias("__own")).agg(F.min("__new").alias("__first"))
-        odd = odd.join(first, own == F.col("__own"), "left")
-        new = F.when(new == F.col("__first"), own - F.lit(shift)).otherwise(new)
-    rows = plain.withColumn(KEY, F.col(KEY) - F.lit(shift)).unionByName(odd.select(*docs.columns, new.alias(KEY)))
-    return rows, lambda col: F.when(F.col(col) <= top - shift, F.col(col) + F.lit(shift)).alias(col)
+    offsets = docs.sparkSession.createDataFrame(starts, "part long, start long")
+    odd = (odd.join(F.broadcast(offsets), F.shiftright("at", 33) == F.col("part"))
+           .withColumn(KEY, F.col("start") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(top - shift + 1)))
+    if shared:  # the first of the rows that share an id has it as its key
+        first = odd.filter("own IS NOT NULL").groupBy(F.col("own").alias("of")).agg(F.min(KEY).alias("first"))
+        odd = odd.join(first, F.col("own") == F.col("of"), "left").withColumn(
+            KEY, F.when(F.col(KEY) == F.col("first"), F.col("own") - F.lit(shift)).otherwise(F.col(KEY)))
+    named = odd.filter(F.col("own").isNotNull() & (F.col(KEY) > top - shift)).select(F.col(KEY).alias("named_key"), F.col("own").alias("named_id"))
+
+    def restored(df: DataFrame, *cols: str) -> DataFrame:
+        for c in cols:
+            plain_id = F.when(F.col(c) <= top - shift, F.col(c) + F.lit(shift))
+            if shared:
+                df = df.join(named, F.col(c) == F.col("named_key"), "left").withColumn(c, F.coalesce(plain_id, "named_id")).drop("named_key", "named_id")
+            else:
+                df = df.withColumn(c, plain_id)
+        return df
+    rows = plain.select((F.col("own") - F.lit(shift)).alias(KEY), "own", ROW).unionByName(odd.select(KEY, "own", ROW))
+    return rows, restored
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
-    """(doc_id, text) as ``narrow`` gives them, but every row without an id has a key of its own in
-    doc_id, and the function giving back the id of a key column."""
+    """(doc_id, text) as ``narrow`` gives them, but with a key of its own for every row in doc_id, and the
+    function giving key columns their ids back. ``own`` is the row's id, NULL_ID without one."""
     bound_batches(docs.sparkSession)
-    rows, back = row_keys(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
-    return rows.select(F.col(KEY).alias("doc_id"), "text"), back
+    rows, restored = row_keys(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), "id")
+    return rows.select(F.col(KEY).alias("doc_id"), F.coalesce("own", F.lit(NULL_ID)).alias("own"), F.col(f"{ROW}.text").alias("text")), restored
 
 
 def public_id(col: str = "doc_id"):

@@ -9,9 +9,10 @@ fourfold, so a text of n bytes takes log4(n / 64) + 1 rounds, and a round moves
 only one range of the documents still in doubt.
 
 Defined cases: null text counts as empty; all empty texts are one group; a null
-doc_id sorts last, and each row without one is a document of its own; rows repeating a doc_id count as one document;
-other columns, whatever their names, are ignored; an empty table gives an empty
-result.
+doc_id sorts last; every row is a document of its own, rows without a doc_id and
+rows that share one too (of equal ones, the first that is read stays); very long texts
+are split range by range, a task holding one text at a time beside its slice; other
+columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -56,18 +57,16 @@ def _split(parts: DataFrame, width: int) -> DataFrame:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text).
     The document with the most code points in its original text, then the smallest doc_id, stays."""
-    rows, public_id = keyed(docs, id_col, text_col)
+    rows, restored = keyed(docs, id_col, text_col)
     base = (rows.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n_points"), "text")
-            .mapInArrow(_describe, "doc_id long, n_points int, part binary, text_sha256 string")
-            .groupBy("doc_id").agg(F.max("n_points").alias("n_points"), F.min("part").alias("part"),
-                                   F.min("text_sha256").alias("text_sha256")))
+            .mapInArrow(_describe, "doc_id long, n_points int, part binary, text_sha256 string"))
     base = write_table(base, "radix")
     level = write_table(_split(base.select("doc_id", F.lit(0).cast("long").alias("grp"), "part"), FIRST_RANGE), "radix")
     done = level.filter("ended").select("doc_id", "grp")
     open_ = level.filter("not ended").select("doc_id", "grp")
     if open_.limit(1).count():
         # the ids grow with the corpus, so they are never broadcast; one row per id needs no further shuffle
-        rest = write_table(rows.join(open_.select("doc_id").hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        rest = write_table(rows.select("doc_id", "text").join(open_.select("doc_id").hint("merge"), "doc_id", "left_semi")
                            .mapInArrow(_rest, "doc_id long, rest binary"), "radix")
         at, width = 0, FIRST_RANGE * RANGE_GROWTH
         while open_.limit(1).count():
@@ -85,4 +84,4 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     out = base.join(placed, "doc_id", "left").select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         (keep == F.col("doc_id")).alias("kept"), "text_sha256")
-    return out.select(public_id("doc_id"), public_id("keep_id"), "group_size", "kept", "text_sha256")
+    return restored(out, "doc_id", "keep_id").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")

@@ -13,9 +13,10 @@ tasks. Its size follows the text's bytes up to MAX_BITS (16 MB); beyond that mor
 lines are suspected and shuffled, and results stay the same.
 
 Defined cases: null or empty text is one empty line; a null doc_id is kept and
-sorts last; each row is a document of its own, so a row repeated with its doc_id
-counts again (and all rows of the largest doc_id keep the line); other columns are
-ignored; an empty table gives an empty result.
+sorts last; each row is a document of its own, also where rows share a doc_id or have
+none, so such rows count one by one, lose only their own lines, and all rows of the
+largest doc_id keep the line; very long texts are one row of their own slice; other
+columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import WHITE, binary, narrow, public_id, slices, text_bytes, write_table
+from panelkit.llm.common import WHITE, binary, keyed, slices, text_bytes, write_table
 
 MIN_POINTS = 40
 MIN_DOCS = 5
@@ -82,8 +83,9 @@ def _suspects(filters, segments: int, min_points: int):
     def run(batches):
         bits = {s: np.unpackbits(np.frombuffer(x, np.uint8)).view(bool) for s, x in filters.value.items()}
         for b in slices(batches):
-            ids, keys, lines = [], [], []
-            for doc_id, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
+            ids, owners, keys, lines = [], [], [], []
+            for doc_id, own_id, t in zip(b.column("doc_id").to_pylist(), b.column("own").to_pylist(),
+                                         b.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 own: dict[bytes, list[int]] = {}
                 for i, k in line_keys(t or b"", min_points):
                     own.setdefault(k, []).append(i)
@@ -95,10 +97,11 @@ def _suspects(filters, segments: int, min_points: int):
                     seg_bits = bits.get(int(seg[j]))
                     if seg_bits is not None and seg_bits[at[j]].all():
                         ids.append(doc_id)
+                        owners.append(own_id)
                         keys.append(k)
                         lines.append(own[k])
-            yield pa.record_batch([pa.array(ids, pa.int64()), binary(keys), pa.array(lines, pa.list_(pa.int32()))],
-                                  ["doc_id", "key", "lines"])
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(owners, pa.int64()), binary(keys), pa.array(lines, pa.list_(pa.int32()))],
+                                  ["doc_id", "own", "key", "lines"])
     return run
 
 
@@ -118,18 +121,18 @@ def _rewrite(batches):
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_points: int = MIN_POINTS, min_docs: int = MIN_DOCS) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped and the text without its repeated lines."""
-    rows = narrow(docs, id_col, text_col)
+    rows, restored = keyed(docs, id_col, text_col)
     segments = max(1, min(MAX_BITS, text_bytes(rows) // 16) // SEGMENT_BITS)
     filled = rows.mapInArrow(_fill(segments, min_points), "seg int, once binary, twice binary")
     merged = filled.groupBy("seg").applyInPandas(_merge, "seg int, bits binary")
     # at most MAX_BITS bits, whatever the corpus
     filters = docs.sparkSession.sparkContext.broadcast({r["seg"]: bytes(r["bits"]) for r in merged.collect()})
     suspects = write_table(rows.mapInArrow(_suspects(filters, segments, min_points),
-                                           "doc_id long, key binary, lines array<int>"), "lines")
-    repeated = (suspects.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
+                                           "doc_id long, own long, key binary, lines array<int>"), "lines")
+    repeated = (suspects.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("keeper"))
                 .filter(F.col("n") >= min_docs).drop("n"))
-    drops = (suspects.join(repeated, "key").filter("doc_id <> keeper")
+    drops = (suspects.join(repeated, "key").filter("own <> keeper")
              .groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("drop")))
-    return (rows.join(drops, "doc_id", "left").select("doc_id", "text", "drop")
-            .mapInArrow(_rewrite, "doc_id long, n_lines long, n_dropped long, text string")
-            .select(public_id(), "n_lines", "n_dropped", "text"))
+    out = (rows.join(drops, "doc_id", "left").select("doc_id", "text", "drop")
+           .mapInArrow(_rewrite, "doc_id long, n_lines long, n_dropped long, text string"))
+    return restored(out, "doc_id").select("doc_id", "n_lines", "n_dropped", "text")

@@ -24,8 +24,10 @@ LEAF is compared without the filter.
 
 Defined cases: null or empty text, or one without words, has no shingles and links
 with nothing; a text with fewer words than a shingle is one shingle; a null doc_id
-sorts last, and each row without one is a document of its own; rows repeating a doc_id must repeat its text, and each gets
-the same result; other columns are ignored; an empty table gives no rows.
+sorts last; every row is a document of its own, rows without a doc_id and rows that share
+one too (all but the first of these come after every doc_id); very long texts are one row
+of their own slice, with 8 bytes a word in each step; other columns, whatever their names,
+are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -315,7 +317,8 @@ def _exhaustive(large: DataFrame, sets: DataFrame, found: DataFrame, percent: in
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     percent: int = PERCENT, trees: int = TREES) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept."""
-    rows, public_id = keyed(docs, id_col, text_col)
+    rows, restored = keyed(docs, id_col, text_col)
+    rows = rows.drop("own")
     base = write_table(rows.mapInArrow(_sign(size), "doc_id long, n long, digest binary, sig binary"), "sets")
     classes = base.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = write_table(classes, "classes")
@@ -323,7 +326,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs, large = _candidates(reps, percent, trees)
     pairs = write_table(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = write_table(rows.join(wanted.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = write_table(rows.join(wanted.hint("merge"), "doc_id", "left_semi")
                        .mapInArrow(_sets(size), "doc_id long, items binary"), "sets")
     links = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("items").alias("items_a")), "a")
              .join(sets.select(F.col("doc_id").alias("b"), F.col("items").alias("items_b")), "b")
@@ -341,4 +344,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
            .unionByName(base.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))))
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
                      (F.col("component") == F.col("doc_id")).alias("kept"))
-    return out.select(public_id("doc_id"), "n_shingles", public_id("component_id"), "kept")
+    return restored(out, "doc_id", "component_id").select("doc_id", "n_shingles", "component_id", "kept")

@@ -13,10 +13,11 @@ cross a branch are compared one by one, by the 128-bit hash of their words; the
 coordinates of all that repeat (document, first word) give the spans to remove.
 
 Defined cases: null or empty text has no words; a text shorter than a window loses
-nothing; a null doc_id counts as larger than any other, and each row without one is a document of its own; rows repeating
-a doc_id must repeat its text and each gets the same result; a window that repeats
-only inside one document stays; other columns are ignored; an empty table gives no
-rows.
+nothing; every row is a document of its own: rows without a doc_id, and all but the
+first of rows that share one, count as larger than any doc_id; a window that repeats
+only inside one document stays; very long texts are one row of their own slice, with
+some 60 bytes a word; other columns, whatever their names, are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -141,7 +142,8 @@ def _cut(batches):
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, k: int = K) -> DataFrame:
     """Per row: doc_id, n_words, n_removed and the kept words joined by one space."""
-    rows, public_id = keyed(docs, id_col, text_col)
+    rows, restored = keyed(docs, id_col, text_col)
+    rows = rows.drop("own")
     found = rows.mapInArrow(_occurrences(window, k), "node long, doc_id long, pos int, before long, after long")
     nodes = (found.groupBy("node").agg(
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.min("before").alias("b0"), F.max("before").alias("b1"),
@@ -149,7 +151,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         .select("node", "source", F.expr("b0 = b1").alias("one_before"), F.expr("a0 = a1").alias("one_after")))
     marks = (found.select("node", "doc_id", "pos").join(nodes, "node")
              .groupBy("doc_id").agg(F.collect_set(F.struct("pos", "source", "one_before", "one_after")).alias("marks")))
-    spans = write_table(rows.join(marks.hint("merge"), "doc_id").dropDuplicates(["doc_id"])
+    spans = write_table(rows.join(marks.hint("merge"), "doc_id")
                         .mapInArrow(_paths(window, k), "doc_id long, start int, end int, one long, two long"), "spans")
     crossing = spans.filter("one is not null")
     sources = (crossing.groupBy("one", "two").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
@@ -157,6 +159,6 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     gone = (crossing.join(sources, ["one", "two"]).filter("source < doc_id").select("doc_id", "start", "end")
             .unionByName(spans.filter("one is null").select("doc_id", "start", "end"))
             .groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
-    return (rows.join(gone, "doc_id", "left").select("doc_id", "text", "spans")
-            .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, text string")
-            .select(public_id("doc_id"), "n_words", "n_removed", "text"))
+    out = (rows.join(gone, "doc_id", "left").select("doc_id", "text", "spans")
+           .mapInArrow(_cut, "doc_id long, n_words long, n_removed long, text string"))
+    return restored(out, "doc_id").select("doc_id", "n_words", "n_removed", "text")
