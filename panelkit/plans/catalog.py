@@ -191,16 +191,16 @@ SELECT channel_id, month_key,
 FROM enriched""", "enriched"))
 def q_cohort_ranks(spark, d):
     from ..operators import ranks as R
-    return R.cohort_ranks(P.landed_panel(spark, d)).select(
-        "channel_id", "month_key", "avg_viewer_rank", "peak_viewer_rank", "follower_rank", "follower_gain_rank")
+    panel = P.landed_panel(spark, d).select("channel_id", "month_key", "year", "month", *R.COHORT_RANKS)
+    return R.cohort_ranks(panel).select("channel_id", "month_key", *R.COHORT_RANKS.values())
 
 
 @register("cohort_ranks_range", SQL["cohort_ranks"])
 def q_cohort_ranks_range(spark, d):
-    """Same ranks over coarse value buckets (two per octave)."""
+    """The same ranks taken after the enrichment, which changes no ranked metric."""
     from ..operators import ranks as R
-    return R.cohort_ranks(P.landed_panel(spark, d), per_octave=2).select(
-        "channel_id", "month_key", "avg_viewer_rank", "peak_viewer_rank", "follower_rank", "follower_gain_rank")
+    return R.cohort_ranks(P.enriched_panel(spark, d, with_lists=False)).select(
+        "channel_id", "month_key", *R.COHORT_RANKS.values())
 
 
 # --- report -----------------------------------------------------------------

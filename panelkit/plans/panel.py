@@ -51,11 +51,15 @@ def build_panel(seed: DataFrame, live: DataFrame | None = None, channels: DataFr
 
 
 def enrich_panel(panel: DataFrame, games: DataFrame, users: DataFrame | None = None,
-                 overwrite: bool = False, order=None) -> DataFrame:
+                 overwrite: bool = False, order=None, status_filter: list[str] | None = None,
+                 with_lists: bool = True) -> DataFrame:
     """Panel + game features and lists (fill blanks, or overwrite) + creation
     dates. ``games`` holds one row per (channel, month, game); ``order`` is its
-    source order (default ``pos``)."""
-    out = G.enrich_games(panel, G.games_agg(games, with_lists=True, order=order), overwrite=overwrite)
+    source order (default ``pos``). ``status_filter`` keeps only the panel's rows of
+    these statuses; without ``with_lists`` no list is collected or returned."""
+    if status_filter:
+        panel = E.status_filter(panel, status_filter)
+    out = G.enrich_games(panel, G.games_agg(games, with_lists=with_lists, order=order), overwrite=overwrite)
     return E.enrich_created(out, users) if users is not None else out
 
 
@@ -121,13 +125,11 @@ def landed_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K,
 
 
 def enriched_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K, overwrite: bool = False,
-                   status_filter: list[str] | None = None) -> DataFrame:
+                   status_filter: list[str] | None = None, with_lists: bool = True) -> DataFrame:
     """Landed panel + games features (fill blanks / overwrite) + created lookups."""
-    panel = landed_panel(spark, sf_dir, top_k=top_k)
-    if status_filter:
-        panel = E.status_filter(panel, status_filter)
-    return enrich_panel(panel, B.games_rows(spark, sf_dir, with_pos=False), B.users(spark, sf_dir),
-                        overwrite=overwrite, order=B.games_order())
+    return enrich_panel(landed_panel(spark, sf_dir, top_k=top_k), B.games_rows(spark, sf_dir, with_pos=False),
+                        B.users(spark, sf_dir), overwrite=overwrite, order=B.games_order(), status_filter=status_filter,
+                        with_lists=with_lists)
 
 
 def final_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K) -> DataFrame:
@@ -145,36 +147,79 @@ def write_panel(panel: DataFrame, path: str) -> None:
     write_partitioned(panel, path, "month_key", ["channel_id"])
 
 
-def months_done(spark: SparkSession, path: str) -> set[str]:
-    """Month keys of a written panel: values of its partition column, as many as
-    the calendar has."""
+MANIFEST = "_inputs"  # folder inside a written panel; readers of the panel skip it
+
+
+def input_manifest(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K) -> list[dict]:
+    """Month start, month key, rows and digest of the inputs of every month from the first to the last order.
+
+    The digest adds the hashes of the month's order rows (no order of rows matters), those of the channels,
+    which have a row in every month, and the parameters. One row a month, as many as the calendar has."""
+    orders = B._orders_by_month(spark, sf_dir)
+    wide = "decimal(38,0)"
+    own = {r["ms"]: (r["rows"], r["digest"]) for r in orders.groupBy("ms").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*orders.columns).cast(wide)).alias("digest")).collect() if r["ms"] is not None}
+    dim = B.channels(spark, sf_dir)
+    channels = dim.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*dim.columns).cast(wide))).first()
+    out, d = [], min(own, default=None)
+    while d is not None and d <= max(own):
+        rows, digest = own.get(d, (0, 0))
+        out.append({"month_start": d, "month_key": f"{d.year}{S.MONTH_NAMES[d.month - 1]}", "rows": rows,
+                    "digest": f"{digest}/{channels[0]}/{channels[1]}/{top_k}"})
+        d = (d + dt.timedelta(days=32)).replace(day=1)
+    return out
+
+
+def committed(spark: SparkSession, path: str) -> tuple[dict[str, tuple[int, str]], int]:
+    """(month key -> rows and digest of the inputs it was built from, last commit) of a written panel."""
     try:
-        written = spark.read.parquet(path)
+        log = spark.read.parquet(f"{path.rstrip('/')}/{MANIFEST}")
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return set()
-    return {r["month_key"] for r in written.select("month_key").distinct().collect()}
+        return {}, 0
+    newest = log.groupBy("month_key").agg(F.max_by(F.struct("rows", "digest"), "commit").alias("i"), F.max("commit").alias("c")).collect()
+    return {r["month_key"]: (r["i"]["rows"], r["i"]["digest"]) for r in newest}, max((r["c"] for r in newest), default=0)
+
+
+def _commit(spark: SparkSession, path: str, months: list[dict], number: int) -> None:
+    """Note the inputs a block of months was built from. Written after the block: months whose note is
+    missing or older than their inputs are built again."""
+    rows = [(m["month_key"], m["rows"], m["digest"], number) for m in months]
+    spark.createDataFrame(rows, "month_key string, rows long, digest string, commit long").coalesce(1).write.mode("append").parquet(
+        f"{path.rstrip('/')}/{MANIFEST}")
+
+
+def _blocks(months: list[dict], size: int) -> list[list[dict]]:
+    """Runs of months that follow each other, of at most ``size``: a block reads the orders of its span only."""
+    out: list[list[dict]] = []
+    for m in months:
+        after = out and (out[-1][-1]["month_start"] + dt.timedelta(days=32)).replace(day=1) == m["month_start"]
+        if after and len(out[-1]) < size:
+            out[-1].append(m)
+        else:
+            out.append([m])
+    return out
 
 
 def incremental_run(spark: SparkSession, sf_dir: str, path: str, months_per_run: int = 12,
                     top_k: int = S.DEFAULT_TOP_K) -> DataFrame:
-    """Add the months that ``path`` does not hold yet, a block at a time; each
-    block reads only the orders of its span. With nothing new nothing is
-    written, and a run that was cut off goes on with the next month. Returns
-    the table read back.
-
-    The driver holds the month list only: the calendar span of the data (two
-    values) less the partitions found."""
-    lo, hi = B._orders_by_month(spark, sf_dir).agg(F.min("ms").alias("lo"), F.max("ms").alias("hi")).first()
-    done, months = months_done(spark, path), []
-    d = lo
-    while d is not None and d <= hi:
-        if f"{d.year}{S.MONTH_NAMES[d.month - 1]}" not in done:
-            months.append(d)
-        d = (d + dt.timedelta(days=32)).replace(day=1)
-    for i in range(0, len(months), months_per_run):
-        write_panel(landed_panel(spark, sf_dir, top_k=top_k, months=months[i:i + months_per_run]), path)
+    """Bring the panel under ``path`` up to its inputs, a block of months at a time.
+
+    A manifest kept inside ``path`` holds, per month, the row count and an order-free digest of the inputs
+    the month was built from. Months that are new, or whose inputs have changed since (late rows, rows taken
+    back, new channels, another cut), are built again; the others are not touched. A block is written first
+    and noted afterwards, so a run that was cut off builds the block it was at again. Returns the table read
+    back; it equals a build from scratch as long as no month has left the span of the orders.
+
+    Finding the changes reads the orders' used columns once; a block then reads the orders of its span.
+    The driver holds one row a month."""
+    known, number = committed(spark, path)
+    changed = [m for m in input_manifest(spark, sf_dir, top_k) if known.get(m["month_key"]) != (m["rows"], m["digest"])]
+    for block in _blocks(changed, months_per_run):
+        number += 1
+        write_panel(landed_panel(spark, sf_dir, top_k=top_k, months=[m["month_start"] for m in block]), path)
+        _commit(spark, path, block, number)
     return spark.read.parquet(path)
 
 

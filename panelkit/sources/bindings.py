@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators.ranks import monthly_leaderboard
+from ..operators.ranks import bucketed_leaderboard
 from .tables import table
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -86,7 +86,7 @@ def status_rows(spark: SparkSession, sf_dir: str, months=None) -> DataFrame:
     place on its (month, status) leaderboard. Seed (F, P) and live (O, P)
     rows are both projections of this one scan and aggregate."""
     a = _status_month_agg(_orders_by_month(spark, sf_dir, months))
-    return monthly_leaderboard(a, "s", ["ms", "o_orderstatus"], "o_custkey", "board_rank")
+    return bucketed_leaderboard(a, "s", ["ms", "o_orderstatus"], "o_custkey", "board_rank")
 
 
 def month_bounds(spark: SparkSession, sf_dir: str) -> tuple:

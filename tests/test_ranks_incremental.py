@@ -1,10 +1,12 @@
 """Cohort ranks, scan stop rules, resume offsets, TTL lookups, error bursts."""
+import contextlib
 import datetime as dt
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelkit.operators import incremental as I
+from panelkit.operators import ordering as OD
 from panelkit.operators import ranks as R
 
 from conftest import rows
@@ -87,7 +89,7 @@ def test_range_rank_equals_window(spark):
         data.append((i, y, m, v))
     df = spark.createDataFrame(data, "id int, year bigint, month string, average_viewers double")
     spec = {"average_viewers": "avg_viewer_rank"}
-    a = rows(R.cohort_ranks(df, spec, key="id"), "id", "avg_viewer_rank")
+    a = rows(R.cohort_ranks(df, spec), "id", "avg_viewer_rank")
     w = Window.partitionBy("year", "month").orderBy(F.col("average_viewers").desc_nulls_last())
     b = rows(df.withColumn("avg_viewer_rank", F.when(F.col("year").isNull(), 0).otherwise(F.rank().over(w))),
              "id", "avg_viewer_rank")
@@ -104,34 +106,141 @@ def test_leaderboard_equals_row_number(spark):
     assert rows(R.monthly_leaderboard(df, "v", ["month_key"])) == rows(df.withColumn("rank", F.row_number().over(w)))
 
 
-def test_rows_without_value_are_spread(spark):
-    """Missing values of one cohort do not meet in one task of the rank join."""
-    df = spark.range(4000).select(F.col("id").alias("channel_id"), F.lit(2024).alias("year"), F.lit("may").alias("month"),
-                                  F.when(F.col("id") < 3, F.col("id").cast("double")).alias("average_viewers"))
-    got = R.cohort_ranks(df, {"average_viewers": "r"})
-    assert rows(got.groupBy("r").count()) == [(1, 1), (2, 1), (3, 1), (4, 3997)]
-    set_to = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+@contextlib.contextmanager
+def parts_kept(spark, n=32):
+    """``n`` shuffle partitions, none merged: how evenly rows are dealt out shows on small data too."""
+    set_to = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": str(n)}
     before = {k: spark.conf.get(k) for k in set_to}
     for k, v in set_to.items():
         spark.conf.set(k, v)
     try:
-        tasks = got.where("average_viewers is null").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        yield
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    assert len(tasks) > 1 and max(t["count"] for t in tasks) < 3997 / 2
 
 
-def test_incremental_run_skips_done_months(spark):
+def skewed(spark, n=20_000):
+    """Values inside one octave; 90 % of the rows of one month have one value; a fifth has none."""
+    v = (F.when(F.col("id") % 5 == 0, None).when((F.col("id") % 10 != 3) & (F.col("m") == "may"), 1.5)
+         .otherwise(1.0 + F.pmod(F.xxhash64("id"), F.lit(997)) / 1000.0))
+    return (spark.range(n).withColumn("m", F.when(F.col("id") % 4 == 0, "june").otherwise("may"))
+            .select(F.col("id").alias("channel_id"), F.lit(2024).alias("year"), F.col("m").alias("month"), v.cast("double").alias("average_viewers"),
+                    F.lit(7.0).alias("followers")))
+
+
+def test_boards_and_ranks_of_ties_are_split_evenly(spark, monkeypatch):
+    sizes = []
+    deal = OD.dealt
+
+    def watched(df, group, order, name="ordered"):
+        out = deal(df, group, order, name)
+        sizes.append([r["count"] for r in out.groupBy(OD.PART).count().collect()])
+        return out
+    monkeypatch.setattr(OD, "dealt", watched)
+    df = skewed(spark)
+    with parts_kept(spark):
+        board = R.monthly_leaderboard(df, "average_viewers", ["month"], rank_col="place")
+        ranked = R.cohort_ranks(df, {"average_viewers": "a", "followers": "f"})
+        w = Window.partitionBy("month")
+        want = df.withColumn("place", F.row_number().over(w.orderBy(F.col("average_viewers").desc_nulls_last(), "channel_id")))
+        assert rows(board, "channel_id", "place") == rows(want, "channel_id", "place")
+        want = df.withColumns({"a": F.rank().over(w.orderBy(F.col("average_viewers").desc_nulls_last())),
+                               "f": F.rank().over(w.orderBy(F.col("followers").desc_nulls_last()))})
+        assert rows(ranked, "channel_id", "a", "f") == rows(want, "channel_id", "a", "f")
+    assert len(sizes) == 2
+    for found in sizes:
+        assert max(found) < sum(found) / 10 and len(found) >= 16
+
+
+def test_ranks_shuffle_whole_rows_once(spark):
+    df = skewed(spark, 500).withColumn("payload", F.repeat(F.lit("x"), 100))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = R.cohort_ranks(df, {"average_viewers": "a", "followers": "f"})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wide = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "_row" in x]
+    assert len(wide) == 2 and "payload" in plan     # the ranks pivoted by row, and the rows themselves
+
+
+def test_no_metrics_null_cohorts_and_empty(spark):
+    df = skewed(spark, 50)
+    assert R.cohort_ranks(df.drop("average_viewers", "followers")).columns == ["channel_id", "year", "month"]
+    out = R.cohort_ranks(df.withColumn("year", F.lit(None).cast("int")), {"followers": "f"})
+    assert {r["f"] for r in out.collect()} == {0}
+    assert R.cohort_ranks(df.limit(0)).count() == 0
+    assert R.monthly_leaderboard(df.limit(0), "followers", ["month"]).count() == 0
+
+
+def landed(spark, orders, customers, path=None, mode="append"):
+    from panelkit.sources import sinks as SK
+    path = path or SK.scratch_path(spark, "t-landed")
+    if orders is not None:
+        orders.write.mode(mode).parquet(f"{path}/orders.parquet")
+    if customers is not None:
+        customers.write.mode(mode).parquet(f"{path}/customer.parquet")
+    return path
+
+
+def test_incremental_run_takes_in_late_rows(spark):
     from conftest import SMALL
     from panelkit.plans import panel as P
     from panelkit.sources import sinks as SK
-    path = SK.scratch_path(spark, "t-incremental")
-    first = P.incremental_run(spark, SMALL, path, months_per_run=40)
-    files, n = sorted(first.inputFiles()), first.count()
-    again = P.incremental_run(spark, SMALL, path)
-    assert sorted(again.inputFiles()) == files and again.count() == n
-    import datetime as dt
+    orders, customers = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("orders", "customer"))
+    late = (F.col("o_orderdate") >= "1995-03-01") & (F.col("o_orderdate") < "1995-05-01") & (F.col("o_orderstatus") != "F")
+    src, path = landed(spark, orders.where(~late), customers), SK.scratch_path(spark, "t-incremental")
+
+    def files(df):
+        return {f.rsplit("month_key=", 1)[1] for f in df.inputFiles()}
+    first = P.incremental_run(spark, src, path, months_per_run=40)
+    before, known = files(first), P.committed(spark, path)
+    again = P.incremental_run(spark, src, path)
+    assert files(again) == before and P.committed(spark, path) == known      # nothing changed: nothing written
+    assert again.count() == first.count()
+    landed(spark, orders.where(late), None, src)
+    second = P.incremental_run(spark, src, path)
+    touched = {f.split("/")[0] for f in files(second) ^ before}
+    assert touched == {"1995march", "1995april"}
+    whole = P.landed_panel(spark, SMALL)
+    assert second.select(whole.columns).exceptAll(whole).isEmpty() and second.count() == whole.count()
+    # a new channel has a row in every month, and another cut changes every status
+    new = customers.limit(1).withColumns({"c_custkey": F.lit(10_000_001).cast("bigint"), "c_name": F.lit("New")})
+    landed(spark, None, new, src)
+    third = P.incremental_run(spark, src, path, months_per_run=100)
+    assert third.count() == P.landed_panel(spark, src).count() == whole.count() + whole.select("month_key").distinct().count()
+    assert P.incremental_run(spark, src, path, months_per_run=100, top_k=1).where("status = 'active_top500' and rank > 1").isEmpty()
+
+
+def test_incremental_run_goes_on_where_it_was_cut_off(spark, monkeypatch):
+    import pytest
+    from conftest import SMALL
+    from panelkit.plans import panel as P
+    from panelkit.sources import sinks as SK
+    orders, customers = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("orders", "customer"))
+    src, path = landed(spark, orders.where("o_orderstatus = 'F'"), customers), SK.scratch_path(spark, "t-cut")
+    commit, calls = P._commit, []
+
+    def broken(*args):  # the second block is written but not noted
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        commit(*args)
+    monkeypatch.setattr(P, "_commit", broken)
+    with pytest.raises(RuntimeError):
+        P.incremental_run(spark, src, path, months_per_run=20)
+    assert len(P.committed(spark, path)[0]) == 20
+    monkeypatch.setattr(P, "_commit", commit)
+    landed(spark, orders.where("o_orderstatus <> 'F'"), None, src)  # meanwhile late rows came for months of both
+    back, whole = P.incremental_run(spark, src, path, months_per_run=30), P.landed_panel(spark, SMALL)
+    assert back.select(whole.columns).exceptAll(whole).isEmpty() and back.count() == whole.count()
+
+
+def test_months_are_read_by_their_span(spark):
+    from conftest import SMALL
+    from panelkit.plans import panel as P
     plan = P.landed_panel(spark, SMALL, months=[dt.date(1996, 1, 1), dt.date(1996, 2, 1)]) \
         .select("*")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in plan and "LessThan(o_orderdate,1" in plan
+    months = [{"month_start": dt.date(1996 + (m - 1) // 12, (m - 1) % 12 + 1, 1)} for m in (1, 2, 3, 4, 6, 12, 13)]
+    assert [[m["month_start"].month for m in b] for b in P._blocks(months, 3)] == [[1, 2, 3], [4], [6], [12, 1]]
