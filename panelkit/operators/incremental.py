@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from . import ordering as OD
 
 KEY = ["channel_id", "month_key"]
 
@@ -82,6 +83,81 @@ def zero_yield_cutoff(log: DataFrame, n_zero: int = 10, recent: int = 5, recent_
         F.count(F.lit(1)).alias("pages"),
     )
 
+# --- stop rule over batches of pages ------------------------------------------------
+
+DEEP_OFFSET = 10_000     # from here on empty pages are not counted, and more pages without a new target are borne
+BLOCK_BATCHES = 500      # batches ordered in one window partition
+
+
+def page_spine(log: DataFrame) -> DataFrame:
+    """Every page of a scope from 0 to its last, those without rows too: (scope, page_seq)."""
+    last = log.groupBy("scope").agg(F.max("page_seq").alias("_last"))
+    return last.select("scope", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last"))).alias("page_seq"))
+
+
+def scan_batches(log: DataFrame, batch_pages: int = 8) -> DataFrame:
+    """Pages (scope, page_seq, offset, n_rows, n_new) -> their batches in order.
+
+    A phase is a rank band of the offset; its pages form batches of ``batch_pages``. A page counts towards a run without
+    new targets when it has rows, or is empty at an offset up to DEEP_OFFSET; a page with a new target ends the run. An
+    all-empty batch from the fifth phase on, the third of its phase or later, jumps a dead zone: it ends the run too, and
+    no stop is tested after it.
+    """
+    pages = OD.positions(log.select("scope", "page_seq", "offset", "n_rows", "n_new", S.rank_band("offset").alias("phase")),
+                         ["scope", "phase"], [F.col("page_seq").asc()], "_i")
+    hit = F.col("n_new") > 0
+    counted = (F.col("n_rows") > 0) | (F.col("offset") <= DEEP_OFFSET)
+    b = pages.groupBy("scope", "phase", F.floor((F.col("_i") - 1) / batch_pages).alias("batch")).agg(
+        F.min("offset").alias("min_offset"), F.max("page_seq").alias("last_page"), F.count(F.lit(1)).alias("pages"),
+        F.sum("n_rows").alias("rows"), F.sum("n_new").alias("new"), F.count_if(counted).alias("_counted"), F.bool_or(hit).alias("_hit"),
+        F.sort_array(F.collect_list(F.struct("page_seq", hit.alias("hit"), counted.alias("counted")))).alias("_p"))  # of one batch
+    tail = F.aggregate("_p", F.lit(0).cast("bigint"), lambda a, p: F.when(p["hit"], F.lit(0).cast("bigint")).otherwise(a + p["counted"].cast("bigint")))
+    jump = (F.col("phase") >= 4) & (F.col("batch") >= 2) & (F.col("rows") == 0)
+    b = b.withColumns({"jump": jump, "_ends": F.col("_hit") | jump,
+                       "_run": F.when(jump, F.lit(0).cast("bigint")).otherwise(tail)}).drop("_p", "_counted", "_hit")
+    return OD.positions(b, ["scope"], [F.col("phase").asc(), F.col("batch").asc()], "g")
+
+
+def stop_points(log: DataFrame, batch_pages: int = 8, early_stop_pages: int = 10, block: int = BLOCK_BATCHES) -> DataFrame:
+    """Per scope the batch after which its scan stops: (scope, stop_phase, stop_batch, stop_page, reason, run, pages, pages_after);
+    a scope that is scanned to its end has no reason and no stop.
+
+    Tested after each batch, in this order: ``no_new`` once a phase has had more than three batches and ``early_stop_pages`` pages
+    in a row, ten more past DEEP_OFFSET, brought no new target; ``zero_yield`` from the sixth phase on, when the last three
+    batches brought none; ``sparse_tail`` from the fifth on, when the last five brought fewer than three.
+
+    A scope's batches are cut into blocks: a run is counted within its block, and what is open at a block's start is
+    carried over by a window over the scope's blocks, 1 / ``block`` of its batches; the last four batches of a block are
+    copied into the next one, for the tests that look back."""
+    b = scan_batches(log, batch_pages).withColumn("_blk", F.floor((F.col("g") - 1) / block))
+    in_block = Window.partitionBy("scope", "_blk").orderBy("g")
+    b = b.withColumn("_island", F.sum(F.col("_ends").cast("bigint")).over(in_block))
+    b = b.withColumn("_local", F.sum("_run").over(Window.partitionBy("scope", "_blk", "_island").orderBy("g")))
+    ends = b.groupBy("scope", "_blk").agg(F.max_by("_local", "g").alias("_open"), F.bool_or("_ends").alias("_any"))
+    of_scope = Window.partitionBy("scope").orderBy("_blk")
+    ends = ends.withColumn("_grp", F.sum(F.col("_any").cast("bigint")).over(of_scope))
+    ends = ends.withColumn("_end", F.sum("_open").over(Window.partitionBy("scope", "_grp").orderBy("_blk")))
+    carried = ends.select(F.col("scope").alias("_s"), (F.col("_blk") + 1).alias("_b"), F.col("_end").alias("_carry"))
+    b = b.join(carried, (F.col("scope") == F.col("_s")) & (F.col("_blk") == F.col("_b")), "left").drop("_s", "_b")
+    b = b.withColumn("run", F.col("_local") + F.when(F.col("_island") == 0, F.coalesce("_carry", F.lit(0))).otherwise(0))
+    # with the four batches before it, every batch finds the last five in its block
+    ctx = b.where((F.col("g") - 1) % block >= block - 4).withColumns({"_blk": F.col("_blk") + 1, "_ctx": F.lit(True)})
+    both = b.withColumn("_ctx", F.lit(False)).unionByName(ctx)
+    both = both.withColumns({f"_last{n}": F.sum("new").over(in_block.rowsBetween(1 - n, 0)) for n in (3, 5)})
+    nth = F.col("batch") + 1
+    reason = (F.when(F.col("jump"), None)
+              .when((nth > 3) & (F.col("run") >= early_stop_pages + F.when(F.col("min_offset") > DEEP_OFFSET, 10).otherwise(0)), "no_new")
+              .when((F.col("phase") >= 5) & (F.col("g") >= 3) & (F.col("_last3") == 0), "zero_yield")
+              .when((F.col("phase") >= 4) & (F.col("g") >= 5) & (F.col("_last5") < 3), "sparse_tail"))
+    at = both.where(~F.col("_ctx")).withColumn("reason", reason)
+    stop = F.col("reason").isNotNull()
+    first = at.groupBy("scope").agg(
+        F.min_by(F.struct("phase", nth.alias("batch"), "last_page", "reason", "run"), F.when(stop, F.col("g"))).alias("s"),
+        F.sum("pages").alias("pages"), F.max("last_page").alias("_last"))
+    return first.select("scope", F.col("s.phase").alias("stop_phase"), F.col("s.batch").cast("bigint").alias("stop_batch"),
+                        F.col("s.last_page").alias("stop_page"), F.col("s.reason").alias("reason"), F.col("s.run").cast("bigint").alias("run"),
+                        F.col("pages").cast("bigint").alias("pages"), (F.col("_last") - F.col("s.last_page")).alias("pages_after"))
+
 
 def resume_offsets(progress: DataFrame) -> DataFrame:
     """progress(scope, seq, offset, done) -> per scope the offset to resume

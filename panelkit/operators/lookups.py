@@ -39,11 +39,16 @@ def enrich_created(panel: DataFrame, users: DataFrame) -> DataFrame:
     The lookup is reduced to distinct logins with one value each (newest
     non-blank wins on duplicates) before the join, so the join is 1:1 on the
     panel side and never multiplies rows. Blank text counts as missing too.
+    Rows that need nothing or have no login take part under a spread value that no login
+    has, so they do not meet in one task.
     """
     u = (users.where(F.col("login").isNotNull() & (F.col("login") != "") & ~S.blank(F.col("created_at")))
               .groupBy(F.lower(F.col("login")).alias("_login"))
               .agg(F.max("created_at").alias("_created_at")))
-    j = panel.withColumn("_login", slug_column(panel)).join(u, "_login", "left")
+    login = slug_column(panel)
+    plain = [f.name for f in panel.schema.fields if f.dataType.typeName() not in ("array", "struct", "map", "variant")]
+    nothing = F.concat(F.lit("\0"), F.xxhash64(*[F.col(c) for c in plain]).cast("string"))
+    j = panel.withColumn("_login", F.when(S.blank(F.col("created")) & (login != ""), login).otherwise(nothing)).join(u, "_login", "left")
     return (j.withColumn("created", F.when(S.blank(F.col("created")) & F.col("_created_at").isNotNull(),
                                            F.col("_created_at")).otherwise(F.col("created")))
              .drop("_login", "_created_at"))
@@ -52,21 +57,26 @@ def enrich_created(panel: DataFrame, users: DataFrame) -> DataFrame:
 def slug_fallback_join(rows: DataFrame, lookup: DataFrame, value_cols: list[str],
                        slug_col: str = "channel_slug", name_col: str = "display_name",
                        fallback_on_miss: bool = True) -> DataFrame:
-    """Look values up by normalised slug; where that misses, by slugified
-    display name. ``lookup`` has a ``login`` column plus ``value_cols``."""
-    lk = lookup.select(F.col("login").alias("_k1"), *[F.col(c).alias(f"_a_{c}") for c in value_cols])
-    lk2 = lookup.select(F.col("login").alias("_k2"), *[F.col(c).alias(f"_b_{c}") for c in value_cols])
-    j = rows.withColumn("_k1", S.slug_norm(slug_col)).join(lk, "_k1", "left")
-    hit = F.col(f"_a_{value_cols[0]}").isNotNull()
-    for c in value_cols[1:]:
-        hit = hit | F.col(f"_a_{c}").isNotNull()
-    j = j.withColumn("_hit1", hit)
+    """Look values up by normalised slug; where that fails, by slugified display name.
+
+    ``lookup`` has a ``login`` column plus ``value_cols``, and may have a ``state`` (ok, empty or error) per login; without
+    it a login is ok when any of its values is there, else empty. A login that is not in it is an error. Only an error
+    goes on to the display name: an empty answer is an answer. Adds the values, ``outcome`` (ok, empty, error) and
+    ``matched_by`` (slug, name, or null for an error)."""
+    state = F.col("state") if "state" in lookup.columns else F.when(S.any_not_null(*value_cols), "ok").otherwise("empty")
+
+    def side(name: str) -> DataFrame:
+        return lookup.select(F.col("login").alias(f"_k{name}"), F.coalesce(state, F.lit("error")).alias(f"_s{name}"),
+                             *[F.col(c).alias(f"_{name}_{c}") for c in value_cols])
+    answered = F.coalesce(F.col("_sa") != "error", F.lit(False))
+    j = rows.withColumn("_ka", S.slug_norm(slug_col)).join(side("a"), "_ka", "left")
     if fallback_on_miss:
-        j = j.withColumn("_k2", F.when(~F.col("_hit1"), S.slugify(name_col))).join(lk2, "_k2", "left")
-        out = {c: F.when(F.col("_hit1"), F.col(f"_a_{c}")).otherwise(F.col(f"_b_{c}")) for c in value_cols}
-        via = F.when(F.col("_hit1"), F.lit("slug")).when(F.col(f"_b_{value_cols[0]}").isNotNull(), F.lit("name"))
+        j = j.withColumn("_kb", F.when(~answered, S.slugify(name_col))).join(side("b"), "_kb", "left")
     else:
-        out = {c: F.col(f"_a_{c}") for c in value_cols}
-        via = F.when(F.col("_hit1"), F.lit("slug"))
-    j = j.withColumns(out).withColumn("matched_by", via)
+        j = j.withColumns({"_sb": F.lit(None).cast("string"), **{f"_b_{c}": F.lit(None).cast(lookup.schema[c].dataType) for c in value_cols}})
+    by_name = F.coalesce(F.col("_sb") != "error", F.lit(False))
+    out = {c: F.when(answered, F.col(f"_a_{c}")).otherwise(F.col(f"_b_{c}")) for c in value_cols}
+    out["outcome"] = F.when(answered, F.col("_sa")).otherwise(F.coalesce("_sb", F.lit("error")))
+    out["matched_by"] = F.when(answered, "slug").when(by_name, "name")
+    j = j.withColumns(out)
     return j.drop(*[c for c in j.columns if c.startswith("_")])

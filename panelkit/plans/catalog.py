@@ -398,14 +398,18 @@ SELECT count(*) AS rows,
        count(*) FILTER (WHERE rank IS NOT NULL AND average_viewers IS NULL AND hours_watched IS NULL
                         AND hours_streamed IS NULL AND followers IS NULL AND followers_gained IS NULL
                         AND peak_viewers IS NULL) AS ranked_missing_metrics,
-       count(rank) AS ranked_rows
+       count(rank) AS ranked_rows,
+       count(*) FILTER (WHERE rank IS NOT NULL AND average_viewers IS NULL AND hours_watched IS NULL
+                        AND hours_streamed IS NULL AND followers IS NULL AND followers_gained IS NULL
+                        AND peak_viewers IS NULL) * 100.0 / greatest(1, count(rank)) AS ranked_missing_pct
 FROM panel""", "panel", "channels", "months"))
 def q_validate_panel(spark, d):
     first, last = B.month_bounds(spark, d)
     months = SC.month_spine(spark, first, last)
     expected = B.channels(spark, d).select(F.count(F.lit(1))).scalar() * months.select(F.count(F.lit(1))).scalar()
     return Q.validate_panel(P.landed_panel(spark, d), expected).select(
-        "rows", "expected_rows", "duplicate_keys", "bad_ranks", "ranked_missing_metrics", "ranked_rows")
+        "rows", "expected_rows", "duplicate_keys", "bad_ranks", "ranked_missing_metrics", "ranked_rows",
+        "ranked_missing_pct")
 
 
 @register("ranked_missing_metrics", O.sql(f"""

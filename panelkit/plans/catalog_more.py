@@ -118,17 +118,19 @@ SELECT l.channel_id, l.year, l.month, c.channel_name AS channel_slug, c.display_
        CASE WHEN l.hours_streamed * 60.0 > 0 THEN round(l.hours_streamed * 60.0 / 60.0, 2) END AS hours_streamed,
        CASE WHEN l.hours_watched * 60.0 > 0 THEN round(l.hours_watched * 60.0 / 60.0, 2) END AS hours_watched,
        l.language
-FROM live l JOIN channels c ON l.channel_id = c.channel_id""", "live", "channels"))
+FROM (SELECT *, row_number() OVER (PARTITION BY channel_id, month_key ORDER BY page_seq, row_pos) AS rn FROM live) l
+JOIN channels c ON l.channel_id = c.channel_id WHERE l.rn = 1 AND l.channel_id > 0""", "live", "channels"))
 def q_phase1_record(spark, d):
-    live = B.live_rows(spark, d).drop("display_name", "channel_slug")
-    rows = live.join(B.channels(spark, d), "channel_id").withColumn(
-        "url", F.concat(F.lit("/"), F.col("channel_name"), F.lit("/")))
-    sm, vm = F.col("hours_streamed") * 60.0, F.col("hours_watched") * 60.0
-    return rows.select(
-        "channel_id", "year", "month", S.url_last_part("url").alias("channel_slug"), "display_name",
-        F.col("rank").alias("rank_position"), "average_viewers", "peak_viewers",
-        F.when(sm > 0, S.minutes_to_hours(sm, 2)).alias("hours_streamed"),
-        F.when(vm > 0, S.minutes_to_hours(vm, 2)).alias("hours_watched"), "language")
+    """The facts of the landed leaderboard pages; of a channel listed twice in a month, the first row."""
+    return P.build_fact(PL.land_leaderboard_pages(_named_live(spark, d))).select(
+        "channel_id", "year", "month", "channel_slug", "display_name", "rank_position", "average_viewers", "peak_viewers",
+        "hours_streamed", "hours_watched", "language")
+
+
+def _named_live(spark, d):
+    names = B.channels(spark, d).select("channel_id", "display_name", F.concat(
+        F.lit("/"), F.col("channel_name"), F.lit("/")).alias("channel_slug"))
+    return B.live_rows(spark, d).drop("display_name", "channel_slug").join(names, "channel_id")
 
 
 # --- filters and sets ------------------------------------------------------------
@@ -241,6 +243,16 @@ O.CTES["fallback_rows"] = """
 SELECT c_custkey AS channel_id,
        CASE WHEN c_mktsegment = 'BUILDING' THEN 'gone-' ELSE '' END || lower(c_name) AS channel_slug,
        c_name AS display_name FROM customer"""
+
+
+def _fallback_rows(spark, d):
+    c = table(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment")
+    return c.select(F.col("c_custkey").alias("channel_id"),
+                    F.concat(F.when(F.col("c_mktsegment") == "BUILDING", "gone-").otherwise(""),
+                             F.lower("c_name")).alias("channel_slug"),
+                    F.col("c_name").alias("display_name"))
+
+
 O.CTES["fallback_lookup"] = """
 SELECT login, created_at FROM users
 UNION ALL SELECT regexp_replace(login, '[^a-z0-9_]', '', 'g'), created_at FROM users"""
@@ -255,17 +267,39 @@ LEFT JOIN fallback_lookup b ON a.login IS NULL
      AND regexp_replace(lower(trim(r.display_name)), '[^a-z0-9_]', '', 'g') = b.login""",
     "fallback_rows", "fallback_lookup"))
 def q_slug_fallback_join(spark, d):
-    c = table(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment")
-    rows = c.select(F.col("c_custkey").alias("channel_id"),
-                    F.concat(F.when(F.col("c_mktsegment") == "BUILDING", "gone-").otherwise(""),
-                             F.lower("c_name")).alias("channel_slug"),
-                    F.col("c_name").alias("display_name"))
     u = B.users(spark, d)
     lookup = u.unionByName(u.select(S.slugify("login").alias("login"), "created_at"))
-    out = E.slug_fallback_join(rows, lookup, ["created_at"])
+    out = E.slug_fallback_join(_fallback_rows(spark, d), lookup, ["created_at"])
     return out.select("channel_id", "created_at", "matched_by")
 
 
+O.CTES["outcome_lookup"] = """
+SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN regexp_replace(lower(c_name), '[^a-z0-9_]', '', 'g') ELSE lower(c_name) END AS login,
+       CASE WHEN c_acctbal < 0 THEN 'empty' WHEN c_mktsegment = 'FURNITURE' THEN 'error' ELSE 'ok' END AS state,
+       CASE WHEN c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE' THEN c_acctbal END AS balance,
+       CASE WHEN c_acctbal >= 0 AND c_mktsegment <> 'FURNITURE' THEN c_nationkey END AS nation FROM customer"""
+
+
+@register("slug_lookup_outcomes", O.sql(r"""
+SELECT channel_id, CASE WHEN sa IN ('ok', 'empty') THEN sa ELSE coalesce(sb, 'error') END AS outcome,
+       CASE WHEN sa IN ('ok', 'empty') THEN 'slug' WHEN sb IN ('ok', 'empty') THEN 'name' END AS matched_by,
+       CASE WHEN sa IN ('ok', 'empty') THEN ba ELSE bb END AS balance, CASE WHEN sa IN ('ok', 'empty') THEN na ELSE nb END AS nation
+FROM (SELECT r.channel_id, a.state AS sa, b.state AS sb, a.balance AS ba, b.balance AS bb, a.nation AS na, b.nation AS nb FROM fallback_rows r
+      LEFT JOIN outcome_lookup a ON lower(trim(r.channel_slug)) = a.login
+      LEFT JOIN outcome_lookup b ON regexp_replace(lower(trim(r.display_name)), '[^a-z0-9_]', '', 'g') = b.login)""",
+    "fallback_rows", "outcome_lookup"))
+def q_slug_lookup_outcomes(spark, d):
+    """Accounts in debt answer with nothing, those of one segment with an error; another segment is known by its plain name."""
+    c = table(spark, d, "customer", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
+    seg, debt = F.col("c_mktsegment"), F.col("c_acctbal") < 0
+    answers = ~debt & (seg != "FURNITURE")
+    lookup = c.select(F.when(seg == "MACHINERY", S.slugify("c_name")).otherwise(F.lower("c_name")).alias("login"),
+                      F.when(debt, "empty").when(seg == "FURNITURE", "error").otherwise("ok").alias("state"),
+                      F.when(answers, F.col("c_acctbal")).alias("balance"), F.when(answers, F.col("c_nationkey")).alias("nation"))
+    return E.slug_fallback_join(_fallback_rows(spark, d), lookup, ["balance", "nation"]).select(
+        "channel_id", "outcome", "matched_by", "balance", "nation")
+
+
 # --- scalar functions ---------------------------------------------------------------
 
 _HOST = r"[a-z.]*example\.(com|net|org)"
@@ -393,6 +427,56 @@ def q_zero_yield_cutoff(spark, d):
     return I.zero_yield_cutoff(_event_log(spark, d), n_zero=10, recent=5, recent_min=3)
 
 
+O.CTES["slot_log"] = """
+SELECT p.scope, p.page_seq, p.page_seq * 20 AS "offset", coalesce(r.n_rows, 0) AS n_rows, coalesce(f.n_new, 0) AS n_new,
+       CAST(CASE WHEN p.page_seq * 20 < 500 THEN 0 WHEN p.page_seq * 20 < 2000 THEN 1 WHEN p.page_seq * 20 < 5000 THEN 2
+                 WHEN p.page_seq * 20 < 10000 THEN 3 WHEN p.page_seq * 20 < 20000 THEN 4 ELSE 5 END AS BIGINT) AS phase
+FROM (SELECT scope, unnest(generate_series(0, max(page_seq))) AS page_seq FROM slots GROUP BY scope) p
+LEFT JOIN (SELECT scope, page_seq, count(*) AS n_rows FROM slots GROUP BY 1, 2) r ON r.scope = p.scope AND r.page_seq = p.page_seq
+LEFT JOIN (SELECT scope, page_seq, count(*) AS n_new FROM (
+             SELECT scope, user_id, min(page_seq) AS page_seq FROM slots GROUP BY 1, 2) GROUP BY 1, 2) f
+  ON f.scope = p.scope AND f.page_seq = p.page_seq"""
+O.CTES["slots"] = """
+SELECT event_type || ' ' || strftime(date_trunc('week', ts), '%Y-%m-%d') AS scope, user_id,
+       CAST(floor((epoch(ts) - epoch(date_trunc('week', ts))) / 600) AS BIGINT) AS page_seq FROM events"""
+O.CTES["slot_pages"] = """
+SELECT *, (row_number() OVER (PARTITION BY scope, phase ORDER BY page_seq) - 1) // 8 AS batch,
+       CAST(n_rows > 0 OR "offset" <= 10000 AS BIGINT) AS counted FROM slot_log"""
+O.CTES["slot_batches"] = """
+SELECT scope, phase, batch, min("offset") AS min_offset, max(page_seq) AS last_page, sum(n_new) AS new,
+       phase >= 4 AND batch >= 2 AND sum(n_rows) = 0 AS jump FROM slot_pages GROUP BY 1, 2, 3"""
+O.CTES["slot_runs"] = """
+SELECT scope, phase, batch, page_seq, c - coalesce(max(CASE WHEN n_new > 0 OR (jump AND page_seq = last_page) THEN c END) OVER (
+         PARTITION BY scope ORDER BY page_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS run
+FROM (SELECT p.*, b.jump, b.last_page, sum(p.counted) OVER (PARTITION BY p.scope ORDER BY p.page_seq
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+      FROM slot_pages p JOIN slot_batches b ON b.scope = p.scope AND b.phase = p.phase AND b.batch = p.batch)"""
+O.CTES["slot_tests"] = """
+SELECT b.*, r.run, row_number() OVER w AS g,
+       sum(new) OVER (PARTITION BY b.scope ORDER BY last_page ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS last3,
+       sum(new) OVER (PARTITION BY b.scope ORDER BY last_page ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS last5
+FROM slot_batches b JOIN slot_runs r ON r.scope = b.scope AND r.page_seq = b.last_page WINDOW w AS (PARTITION BY b.scope ORDER BY last_page)"""
+
+
+@register("scan_stop_points", O.sql("""
+SELECT a.scope, s.phase AS stop_phase, CAST(s.batch + 1 AS BIGINT) AS stop_batch, s.last_page AS stop_page, s.reason, CAST(s.run AS BIGINT) AS run,
+       a.pages, a.last - s.last_page AS pages_after
+FROM (SELECT scope, count(*) AS pages, max(page_seq) AS last FROM slot_log GROUP BY scope) a
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY scope ORDER BY g) AS n FROM (
+             SELECT *, CASE WHEN jump THEN NULL
+                 WHEN batch >= 3 AND run >= CASE WHEN min_offset > 10000 THEN 20 ELSE 10 END THEN 'no_new'
+                 WHEN phase >= 5 AND g >= 3 AND last3 = 0 THEN 'zero_yield' WHEN phase >= 4 AND g >= 5 AND last5 < 3 THEN 'sparse_tail' END AS reason
+             FROM slot_tests) WHERE reason IS NOT NULL) s ON s.scope = a.scope AND s.n = 1""", "slot_log", "slot_tests"))
+def q_scan_stop_points(spark, d):
+    """Pages are ten-minute slots of one event type's week, empty ones too, at offsets of 20; targets are users."""
+    e = B.events(spark, d, "ts", "user_id", "event_type")
+    wk = F.date_trunc("week", "ts")
+    scope = F.concat("event_type", F.lit(" "), F.date_format(wk, "yyyy-MM-dd"))
+    log = I.page_log(e, scope, F.floor((F.unix_seconds("ts") - F.unix_seconds(wk)) / 600).cast("bigint"), "user_id")
+    pages = I.page_spine(log).join(log.select("scope", "page_seq", "n_rows", "n_new"), ["scope", "page_seq"], "left").fillna(0, ["n_rows", "n_new"])
+    return I.stop_points(pages.withColumn("offset", F.col("page_seq") * 20))
+
+
 @register("resume_offsets", O.sql("""
 SELECT p.scope, CAST(CASE WHEN bool_or(c.cutoff_zero_run IS NOT NULL AND p.page_seq >= c.cutoff_zero_run) THEN 0
        ELSE coalesce(arg_max(p."offset" + p.n_rows, p.page_seq), 0) END AS BIGINT) AS resume_offset,
@@ -487,16 +571,44 @@ def q_payload_games_ingest(spark, d):
                     "game", "hours", "avg_viewers", "peak_viewers", "hours_watched")
 
 
-@register("games_pages_complete", O.sql("""
-SELECT channel_id, month_key, CAST(count(DISTINCT (pos - 1) // 10) AS BIGINT) AS pages, count(*) AS rows,
-       max(total) AS records_total, count(*) >= max(total) AS complete
-FROM (SELECT *, count(*) OVER (PARTITION BY channel_id, month_key) AS total FROM games)
-WHERE NOT (channel_id % 3 = 0 AND pos > 10) GROUP BY 1, 2""", "games"))
+def _landed_games_pages(spark, d):
+    """Games pages with the time they land: the view minutes of their games after the month's start. First pages land once
+    more, a day later."""
+    g = B.games_rows(spark, d)
+    pages = PL.land_games_pages(g, B.GAMES_PAGE_SIZE)
+    minutes = g.groupBy("channel_id", "month_key", F.floor((F.col("pos") - 1) / B.GAMES_PAGE_SIZE).cast("bigint").alias("page")).agg(
+        F.sum(F.floor("view_minutes")).cast("bigint").alias("landed_at"))
+    pages = pages.join(minutes, ["channel_id", "month_key", "page"])
+    return pages.unionByName(pages.where("page = 0").withColumn("landed_at", F.col("landed_at") + 1440))
+
+
+# a month's pages are looked at when its average channel has landed
+O.CTES["game_pages"] = """
+SELECT channel_id, month_key, (pos - 1) // 10 AS page, count(*) AS n, CAST(sum(CAST(floor(view_minutes) AS BIGINT)) AS BIGINT) AS landed_at
+FROM games GROUP BY 1, 2, 3"""
+O.CTES["game_totals"] = "SELECT channel_id, month_key, count(*) AS total FROM games GROUP BY 1, 2"
+_AS_OF = 400_000
+
+
+@register("games_pages_complete", O.sql(f"""
+SELECT p.channel_id, p.month_key, count(*) AS pages, CAST(sum(n) AS BIGINT) AS rows, max(total) AS records_total, sum(n) >= max(total) AS complete
+FROM game_pages p JOIN game_totals t ON t.channel_id = p.channel_id AND t.month_key = p.month_key
+WHERE landed_at <= {_AS_OF} GROUP BY 1, 2""", "game_pages", "game_totals"))
 def q_games_pages_complete(spark, d):
-    """Every first page is landed twice; every third channel lacks the pages after it."""
-    pages = PL.land_games_pages(B.games_rows(spark, d), B.GAMES_PAGE_SIZE)
-    pages = pages.where(~((F.col("channel_id") % 3 == 0) & (F.col("page") > 0)))
-    return PL.games_pages_complete(pages.unionByName(pages.where("page = 0")))
+    """As of a time: pages that land later are not there yet. First pages land twice."""
+    return PL.games_pages_complete(_landed_games_pages(spark, d).where(F.col("landed_at") <= _AS_OF))
+
+
+@register("games_page_gaps", O.sql(f"""
+SELECT e.channel_id, e.month_key, min(e.page) AS first_missing, max(e.page) AS last_missing
+FROM (SELECT x.channel_id, x.month_key, x.page, x.page - row_number() OVER (PARTITION BY x.channel_id, x.month_key ORDER BY x.page) AS island
+      FROM (SELECT t.channel_id, t.month_key, unnest(generate_series(0, (t.total - 1) // 10)) AS page FROM game_totals t
+            WHERE EXISTS (SELECT 1 FROM game_pages p WHERE p.channel_id = t.channel_id AND p.month_key = t.month_key AND p.landed_at <= {_AS_OF})) x
+      WHERE NOT EXISTS (SELECT 1 FROM game_pages p WHERE p.channel_id = x.channel_id AND p.month_key = x.month_key AND p.page = x.page
+                        AND p.landed_at <= {_AS_OF})) e
+GROUP BY e.channel_id, e.month_key, e.island""", "game_pages", "game_totals"))
+def q_games_page_gaps(spark, d):
+    return PL.games_page_gaps(_landed_games_pages(spark, d).where(F.col("landed_at") <= _AS_OF), B.GAMES_PAGE_SIZE)
 
 
 @register("pie_top5_other", O.sql("""
@@ -740,11 +852,8 @@ LEFT JOIN (SELECT channel_id, month_key,
 WHERE l.rn = 1 AND l.channel_id > 0""", "live", "channels", "users_k", "games"))
 def q_add_games(spark, d):
     """Fact table of landed leaderboard pages, pies, users and games pages."""
-    names = B.channels(spark, d).select("channel_id", "display_name", F.concat(
-        F.lit("/"), F.col("channel_name"), F.lit("/")).alias("channel_slug"))
-    live = B.live_rows(spark, d).drop("display_name", "channel_slug").join(names, "channel_id")
     games = B.games_rows(spark, d)
-    fact = P.build_fact(PL.land_leaderboard_pages(live), pies_by_time=PL.land_pies(games), users=B.users(spark, d))
+    fact = P.build_fact(PL.land_leaderboard_pages(_named_live(spark, d)), pies_by_time=PL.land_pies(games), users=B.users(spark, d))
     out = P.add_games(fact, PL.land_games_pages(games, B.GAMES_PAGE_SIZE))
 
     def listed(col, field):

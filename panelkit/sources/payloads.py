@@ -150,11 +150,36 @@ def land_games_pages(games: DataFrame, page_size: int = 10) -> DataFrame:
                         F.to_json(F.struct("recordsTotal", arr.alias("data"))).alias("payload"))
 
 
+def newest_pages(pages: DataFrame) -> DataFrame:
+    """A page landed more than once counts once: the newest by ``landed_at``. Pages without that column may be landed
+    again with the same payload; two different ones have no order and raise."""
+    if "landed_at" in pages.columns:
+        newest = F.max_by("payload", "landed_at")
+    else:
+        message = F.lit("a page was landed with different payloads and no landed_at to order them")
+        newest = F.when(F.min("payload") != F.max("payload"), F.raise_error(message).cast("string")).otherwise(F.max("payload"))
+    return pages.groupBy("channel_id", "month_key", "page").agg(newest.alias("payload"))
+
+
+def games_page_gaps(pages: DataFrame, page_size: int = 100) -> DataFrame:
+    """Runs of pages that have not landed: (channel_id, month_key, first_missing, last_missing).
+
+    Of a channel and month, the pages 0 to the last one that its reported total needs are expected (the greatest
+    total of its newest versions); the gaps between the landed page numbers, and after the last, are the runs. The
+    page numbers of one channel and month are as many as its games need; a pair of which nothing landed has no row."""
+    landed = newest_pages(pages).select("channel_id", "month_key", "page", F.get_json_object("payload", "$.recordsTotal").try_cast("bigint").alias("total"))
+    of_pair = landed.groupBy("channel_id", "month_key").agg(F.sort_array(F.collect_set("page")).alias("_pages"), F.max("total").alias("_total"))
+    expected = F.ceil(F.coalesce(F.col("_total"), F.lit(0)) / page_size).cast("bigint")
+    stops = S.pinned(of_pair, "_stops", F.concat(F.array(F.lit(-1).cast("bigint")), F.col("_pages"), F.array(expected)))
+    gaps = F.transform(F.sequence(F.lit(1), F.size("_stops") - 1), lambda i: F.struct(
+        (F.get("_stops", i - 1) + 1).alias("first_missing"), (F.get("_stops", i) - 1).alias("last_missing")))
+    return (stops.select("channel_id", "month_key", F.explode(gaps).alias("g")).select("channel_id", "month_key", "g.*")
+            .where("first_missing <= last_missing"))
+
+
 def _games_items(pages: DataFrame) -> DataFrame:
-    """Items of the landed pages. A page landed more than once counts once: the newest by
-    ``landed_at`` where the pages have it, else the greatest payload."""
-    newest = F.max_by("payload", "landed_at") if "landed_at" in pages.columns else F.max("payload")
-    pages = pages.groupBy("channel_id", "month_key", "page").agg(newest.alias("payload"))
+    """Items of the landed pages, each page once (:func:`newest_pages`)."""
+    pages = newest_pages(pages)
     items = pages.select("channel_id", "month_key", "page",
                          F.get_json_object("payload", "$.recordsTotal").try_cast("bigint").alias("records_total"),
                          F.posexplode(envelope_items(F.col("payload"))).alias("idx", "item"))

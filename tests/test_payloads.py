@@ -1,4 +1,6 @@
 """Landed JSON payloads: envelopes, aliases, junk (FIXTURES-style rows)."""
+import pytest
+
 from panelkit.sources import payloads as PL
 
 from conftest import rows
@@ -91,4 +93,17 @@ def test_games_page_landed_twice(spark):
                                "channel_id bigint, month_key string, page bigint, payload string, landed_at bigint")
     assert sorted(r["game"] for r in PL.read_games(df).collect()) == ["B", "C"]
     assert PL.games_pages_complete(df).first()["complete"] is False
-    assert PL.read_games(df.drop("landed_at")).count() == 2
+    # two versions without a landing time have no order; the same one landed twice needs none
+    with pytest.raises(Exception, match="no landed_at"):
+        PL.read_games(df.drop("landed_at")).collect()
+    same = df.where("landed_at = 1").drop("landed_at")
+    assert PL.read_games(same.union(same)).count() == 2
+
+
+def test_games_page_gaps(spark):
+    def page(pair, n, total, at=1):
+        return (pair, "2024march", n, f'{{"recordsTotal":{total},"data":[{{"gamesplayed":"A"}}]}}', at)
+    df = spark.createDataFrame([page(1, 0, 250), page(1, 2, 250), page(2, 3, 700), page(2, 4, 700), page(3, 0, 100), page(4, 1, 50, 1), page(4, 0, 150, 2),
+                                page(5, 0, 400, 1), page(5, 0, 90, 2), (6, "2024march", 0, "not json", 1)],
+                               "channel_id bigint, month_key string, page bigint, payload string, landed_at bigint")
+    assert rows(PL.games_page_gaps(df, 100), "channel_id", "first_missing", "last_missing") == [(1, 1, 1), (2, 0, 2), (2, 5, 6)]
