@@ -10,7 +10,7 @@ a pattern, used as often as the histogram allows. Pieces find their place in
 parallel, by their rank among the pieces of their length.
 
 Words repeat, so each is encoded once: a first pass counts the words of all texts,
-the WORDS_KEPT most frequent ones are encoded and broadcast as flat arrays (bounded:
+the WORDS_KEPT most frequent ones are encoded in Spark and broadcast as flat arrays (bounded:
 words of at most WORD_BYTES bytes), and a task looks a slice's distinct words up there
 and encodes only the others. Which words are kept changes no id.
 This needs a tokenizer that folds case, drops white space and lets no token cross it:
@@ -33,13 +33,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import LOWER, NON_SPACE, buffer_of, narrow, owner, public_id, slices, words, write_table
+from panelkit.llm.common import LOWER, NON_SPACE, binary, buffer_of, narrow, owner, public_id, slices, words, write_table
 
 WINDOW = 4096
 END_ID = 2
 BUCKET_ROWS = 2000
-WORDS_KEPT = 1 << 17   # most frequent words whose ids are broadcast
-WORD_BYTES = 32        # longest word kept: bounds the broadcast to some 10 MB
+WORDS_KEPT = 1 << 19   # most frequent words, of those found twice, whose ids are broadcast
+WORD_BYTES = 32        # longest word kept: bounds the broadcast to some 40 MB
+SLICE = 4 << 20        # bytes of text encoded at once: a lookup costs as much as the kept words
 # the normaliser and the word pattern that words may be encoded apart under (fixed values)
 NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -103,10 +104,13 @@ def _count(batches):
 class Lexicon:
     """Ids of some words: ``words`` (an Arrow array), and their ids as one array cut by ``first``."""
 
-    def __init__(self, path: str, found: list[bytes] = ()):
+    def __init__(self, path: str, found: list[bytes] = (), ids: list[bytes] | None = None):
         self.path = path
         self.words = pa.array(found, pa.large_binary())
-        self.ids, self.first = _encoded(load(path), found)
+        if ids is None:
+            self.ids, self.first = _encoded(load(path), list(found))
+        else:
+            self.ids, self.first = np.frombuffer(b"".join(ids), np.uint32), np.r_[0, np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)]
 
     def lookup(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first, length) of each word, encoding those that are not kept."""
@@ -122,6 +126,7 @@ class Lexicon:
 
 
 def _encoded(tokenizer, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of each word as one array, and where each word's begin."""
     ids: list[np.ndarray] = []
     for at in range(0, len(found), 20_000):
         got = tokenizer.encode_batch_fast([w.decode() for w in found[at: at + 20_000]], add_special_tokens=False)
@@ -153,7 +158,7 @@ def encode(column, lexicon: Lexicon, end_id: int = END_ID) -> tuple[np.ndarray,
 
 def _pieces(lexicon, window: int, end_id: int):
     def run(batches):
-        for b in slices(batches):
+        for b in slices(batches, limit=SLICE):
             ids, bounds = encode(b.column("text"), lexicon.value, end_id)
             size = np.diff(bounds)
             count = -(-size // window)
@@ -166,11 +171,20 @@ def _pieces(lexicon, window: int, end_id: int):
     return run
 
 
+def _encode_words(path: str):
+    def run(batches):
+        for b in batches:
+            ids, first = _encoded(load(path), b.column("word").to_pylist())
+            yield pa.record_batch([b.column("word"), binary([ids[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)])], ["word", "ids"])
+    return run
+
+
 def lexicon(rows: DataFrame, tokenizer_path: str, kept: int = WORDS_KEPT) -> Lexicon:
-    """The ids of the corpus's ``kept`` most frequent words; ties go to the smaller word."""
-    counts = rows.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(kept)
-    return Lexicon(tokenizer_path, [bytes(r["word"]) for r in top.select("word").toLocalIterator()])
+    """The ids of the corpus's ``kept`` most frequent words of those found twice or more; ties go to the smaller word."""
+    counts = rows.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
+    top = counts.orderBy(F.desc("n"), "word").limit(kept).select("word")
+    found = [(bytes(r["word"]), bytes(r["ids"])) for r in top.repartition("word").mapInArrow(_encode_words(tokenizer_path), "word binary, ids binary").toLocalIterator()]
+    return Lexicon(tokenizer_path, [w for w, _ in found], [i for _, i in found])
 
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID,

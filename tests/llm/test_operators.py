@@ -284,6 +284,8 @@ def test_packing(docs):
     tok = tokenizers.Tokenizer.from_file(path)
     texts = [*odd, "", "a.", ".", "x <|startoftext|> Y.", "tab\tA,\nb.", "naïve. NAÏVE,", "a." * 20, *(t or "" for _, t in ROWS)]
     whole_ids = [[*tok.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    texts += ["§ a§b ¶ † ‡x ¤ ¦", " ".join(f"q{i}§z" for i in range(50)), "\u0301a e\u0301 \u0301", "x " * 30 + "y' 's 't's"]
+    whole_ids = [[*tok.encode(t, add_special_tokens=False).ids, 2] for t in texts]
     for known in ((), [b"w1x7", b"one", b".", b"hello"]):
         ids, bounds = packing.encode(pa.array(texts, pa.string()), packing.Lexicon(path, list(known)))
         assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == whole_ids
