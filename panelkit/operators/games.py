@@ -14,7 +14,10 @@ GAME_COLUMNS = [
 ]
 
 
-def games_agg(games: DataFrame, with_lists: bool = True, order=None) -> DataFrame:
+LISTS = ("all_games", "games_by_stream_time", "games_by_avg_viewers")
+
+
+def games_agg(games: DataFrame, with_lists: bool = True, order=None, lists: tuple[str, ...] = LISTS) -> DataFrame:
     """One row per (channel, month): totals, count, top game and the lists.
 
     ``games`` has (channel_id, month_key, game, hours, peak_viewers,
@@ -25,7 +28,8 @@ def games_agg(games: DataFrame, with_lists: bool = True, order=None) -> DataFram
     descending sort): the head of the by-time list, or ``min_by`` on
     (-hours, order) when no lists are wanted.
     The lists are collected per channel-month (bounded by the games one
-    channel streams in one month) and sorted within the row.
+    channel streams in one month) and sorted within the row. Of LISTS only those in
+    ``lists`` are collected; the others are empty, which still says that they are there.
     """
     o = F.col("pos") if order is None else order
     h0 = F.coalesce(F.col("hours"), F.lit(0.0))
@@ -35,7 +39,8 @@ def games_agg(games: DataFrame, with_lists: bool = True, order=None) -> DataFram
         F.count(F.lit(1)).alias("game_count"),
         S.round_dp(F.max(h0), 2).alias("top_game_hours"),
     ]
-    if not with_lists:
+    by_list = with_lists and "games_by_stream_time" in lists
+    if not by_list:
         aggs.append(F.min_by(F.col("game"), F.struct((-h0).alias("h"), o.alias("o"))).alias("top_game"))
     if with_lists:
         item = F.struct(
@@ -49,22 +54,21 @@ def games_agg(games: DataFrame, with_lists: bool = True, order=None) -> DataFram
         by_avg = F.struct(F.col("game"), a0.alias("avg_viewers"))
         # each list is collected with its sort key in front, sorted with the
         # code-generated sort_array and unwrapped by field access (no lambdas)
-        aggs += [
-            F.collect_list(F.struct(o.alias("k"), item.alias("v"))).alias("_all"),
-            F.collect_list(F.struct((-h0).alias("k"), o.alias("o"), by_time.alias("v"))).alias("_time"),
-            F.collect_list(F.struct((-a0).alias("k"), o.alias("o"), by_avg.alias("v"))).alias("_avg"),
-        ]
+        collected = {
+            "all_games": F.struct(o.alias("k"), item.alias("v")),
+            "games_by_stream_time": F.struct((-h0).alias("k"), o.alias("o"), by_time.alias("v")),
+            "games_by_avg_viewers": F.struct((-a0).alias("k"), o.alias("o"), by_avg.alias("v")),
+        }
+        aggs += [F.collect_list(v if c in lists else F.when(F.lit(False), v)).alias(f"_{c}") for c, v in collected.items()]
     a = games.groupBy(*KEY).agg(*aggs)
     if with_lists:
         # the top game is the head of the by-time list (most hours, then source
         # order), so the aggregate holds only list buffers and runs hash-based
-        by_time_sorted = F.sort_array("_time")
+        by_time_sorted = F.sort_array("_games_by_stream_time")
         a = a.select(
             *[c for c in a.columns if not c.startswith("_")],
-            by_time_sorted[0]["v"]["game"].alias("top_game"),
-            F.sort_array("_all")["v"].alias("all_games"),
-            by_time_sorted["v"].alias("games_by_stream_time"),
-            F.sort_array("_avg")["v"].alias("games_by_avg_viewers"),
+            *([by_time_sorted[0]["v"]["game"].alias("top_game")] if by_list else []),
+            *[F.sort_array(f"_{c}")["v"].alias(c) for c in LISTS],
         )
     return a
 

@@ -2,7 +2,8 @@
 
 Every section is one aggregate over the panel: Spark runs each as a partial
 (map-side) aggregate plus a final merge, which is the distributed form of
-folding chunk-wise running counts into one state.
+folding chunk-wise running counts into one state. :func:`report_cells` computes
+what all of them add up in one scan.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .ordering import written
 
 # Columns whose missingness is reported, in report order (fixed list).
 KEY_COLUMNS = [
@@ -180,11 +182,11 @@ def rank_histogram(panel: DataFrame, bins: int = 50) -> DataFrame:
     smallest and largest best rank (last bin closed; one bin when equal);
     all bins are listed, empty ones with 0.
 
-    Channels are first reduced to one count per best rank; bounds and bins are
-    taken from these counts."""
-    best = (panel.groupBy(S.safe_int("channel_id").alias("c")).agg(F.min(F.col("rank").cast("double")).alias("rank_min"))
-            .where(F.col("c").isNotNull() & F.col("rank_min").isNotNull())
-            .groupBy("rank_min").agg(F.count(F.lit(1)).alias("_n")))
+    Channels are first reduced to one count per best rank, and these are written: bounds and
+    bins are taken from them, and the panel is computed once."""
+    best = written(panel.groupBy(S.safe_int("channel_id").alias("c")).agg(F.min(F.col("rank").cast("double")).alias("rank_min"))
+                   .where(F.col("c").isNotNull() & F.col("rank_min").isNotNull())
+                   .groupBy("rank_min").agg(F.count(F.lit(1)).alias("_n")), "best-ranks")
     lo = best.select(F.min("rank_min")).scalar()
     hi = best.select(F.max("rank_min")).scalar()
     width = hi - lo
@@ -224,24 +226,15 @@ def history_completeness(panel: DataFrame) -> DataFrame:
 
 
 def low_coverage_months(panel: DataFrame, ratio: float = 0.8) -> DataFrame:
-    """Months whose panel coverage is below ``ratio`` x the mean monthly coverage."""
+    """Months whose panel coverage is below ``ratio`` x the mean monthly coverage.
+    The months are reduced once and written, one row each."""
     mk = F.coalesce(F.nullif(S.safe_str("month_key"), F.lit("")), F.lit("UNKNOWN"))
     n = F.count(F.lit(1))
-    ms = panel.groupBy(mk.alias("month_key")).agg(n.alias("rows"), (F.count_if(_active()) / n).alias("panel_coverage"))
+    ms = written(panel.groupBy(mk.alias("month_key")).agg(n.alias("rows"), (F.count_if(_active()) / n).alias("panel_coverage")), "months")
     mean_cov = ms.select(F.avg("panel_coverage")).scalar()
     return ms.where(F.col("panel_coverage") < mean_cov * ratio).select("month_key", "rows", "panel_coverage")
 
 
-def report_input(panel: DataFrame) -> DataFrame:
-    """The panel's columns that some report section reads; of the two sorted
-    lists only whether they are there (null or empty)."""
-    wanted = {*KEY_COLUMNS, *NESTED_ALIASES.values(), *S.METRIC_FIELDS}
-    sorted_lists = {"games_by_stream_time", "games_by_avg_viewers"}
-    return panel.select(*[
-        F.when(F.col(c).isNotNull(), F.array().cast("array<string>")).alias(c) if c in sorted_lists else F.col(c)
-        for c in panel.columns if c in wanted])
-
-
 def _long(df: DataFrame, section: str, key: str, *values: str) -> DataFrame:
     """One (section, key, item, value) row per value column."""
     items = ", ".join(f"'{v}', cast({v} as double)" for v in values)
@@ -249,32 +242,114 @@ def _long(df: DataFrame, section: str, key: str, *values: str) -> DataFrame:
         "section", "key", f"stack({len(values)}, {items}) as (item, value)")
 
 
+# --- all sections from one pass -----------------------------------------------------
+
+def _measured(panel: DataFrame) -> DataFrame:
+    """Every panel row as the cells it counts in: its month and status, its channel, its year of creation, and
+    each of its games; (section, key, sub, v1..v3) beside the row's own columns."""
+    none, text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    item = "struct<section:string,key:string,sub:string,v1:double,v2:double,v3:double>"
+
+    def cell(section, key, sub=text, v1=none, v2=none, v3=none):
+        return F.struct(F.lit(section).alias("section"), key.cast("string").alias("key"), sub.alias("sub"), v1.cast("double").alias("v1"),
+                        v2.cast("double").alias("v2"), v3.cast("double").alias("v3"))
+    viewers, hours = F.col("average_viewers"), F.col("hours_watched")
+    month = F.coalesce(F.nullif(S.safe_str("month_key"), F.lit("")), F.lit("UNKNOWN"))
+    status = S.py_strip(F.coalesce(F.col("status").cast("string"), F.lit("UNKNOWN")))
+    cells = F.filter(F.array(
+        cell("month", month, status, viewers, hours),
+        cell("channel", S.safe_int("channel_id"), text, viewers, hours, F.col("followers")),
+        *([cell("created", S.created_year("created"))] if "created" in panel.columns else [])), lambda c: c["key"].isNotNull())
+    if "all_games" in panel.columns:
+        games = F.filter(F.transform("all_games", lambda g: cell("game", S.safe_str(g["game"]), text, g["avg_viewers"], g["hours"])),
+                         lambda c: c["key"] != "")
+        cells = F.concat(cells, F.coalesce(games, F.array().cast(f"array<{item}>")))
+    return panel.select("*", F.explode(cells).alias("_c"))
+
+
+def report_cells(panel: DataFrame) -> DataFrame:
+    """One scan of a panel, one hash aggregate: a row per (month, status), channel, year of creation and game, with all
+    that the report's sections add up. As many rows as channels and games, so the sections read it written."""
+    present = [(c, src) for c in KEY_COLUMNS for src in [c if c in panel.columns else NESTED_ALIASES.get(c)] if src in panel.columns]
+    measured, of_month = _measured(panel), F.col("_c.section") == "month"
+    st = S.safe_str("status")
+    sums = [F.sum(F.col(f"_c.{v}").cast("decimal(38,6)")).alias(f"{v}_sum") for v in ("v1", "v2", "v3")]
+    counts = [F.count(f"_c.{v}").alias(f"{v}_n") for v in ("v1", "v2", "v3")]
+    return measured.groupBy(*[F.col(f"_c.{k}").alias(k) for k in ("section", "key", "sub")]).agg(
+        F.count(F.lit(1)).alias("n"), *sums, *counts, F.count("rank").alias("ranked"), F.min(F.col("rank").cast("double")).alias("rank_min"),
+        F.max(F.col("peak_viewers").cast("double")).alias("peak"), F.count_if(_active()).alias("active"),
+        F.count_if(st != S.STATUS_INACTIVE).alias("not_inactive"), F.count_if(st == S.STATUS_TOP).alias("top"),
+        F.count_if(F.col("status") == S.STATUS_TOP).alias("top_exact"), F.count_if(of_month & S.any_not_null(*_metric_cols(panel))).alias("any_metric"),
+        *[F.count_if(of_month & _missing(panel, src)).alias(f"miss_{c}") for c, src in present])
+
+
+def _cell_mean(v: str):
+    return F.try_divide(F.sum(f"{v}_sum").cast("double"), F.sum(f"{v}_n"))
+
+
+def sections(cells: DataFrame, columns_seen: int, top_n: int = 20) -> dict[str, DataFrame]:
+    """The report's sections from its (written) cells, under the names and columns of the functions above."""
+    months, channels, games = (cells.where(F.col("section") == s) for s in ("month", "channel", "game"))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    added = months.agg(total.alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cells.columns if c.startswith("miss_")])
+    missing = [c for c in cells.columns if c.startswith("miss_")]
+    order = {c: i for i, c in enumerate(KEY_COLUMNS)}
+    stack = "stack({}, {}) as (ord, column, missing)".format(
+        len(missing), ", ".join(f"{order[c[5:]]}L, '{c[5:]}', {c}" for c in missing))
+    unique = channels.select(F.count(F.lit(1))).scalar()
+    over = months.agg(total.alias("total_rows"), *[F.coalesce(F.sum(c), F.lit(0)).alias(a) for c, a in (
+        ("ranked", "rows_with_rank"), ("any_metric", "rows_with_any_metric"), ("active", "active_rows"), ("top_exact", "top500_rows"))])
+    stats = channels.select(
+        F.col("key").cast("bigint").alias("channel_id"), F.col("n").alias("rows"), "rank_min",
+        F.try_divide(F.col("v1_sum").cast("double"), F.col("v1_n")).alias("avg_viewers"),
+        F.coalesce(F.col("v2_sum").cast("double"), F.lit(0.0)).alias("hours_watched"),
+        F.try_divide(F.col("v3_sum").cast("double"), F.col("v3_n")).alias("followers_avg"),
+        F.greatest(F.lit(0.0), F.coalesce("peak", F.lit(0.0))).alias("peak_viewers_max"),
+        F.col("not_inactive").alias("active_rows"), F.col("top").alias("top500_rows"))
+    played = games.select(F.col("key").alias("game"), F.col("n").alias("mentions"), F.coalesce(F.col("v2_sum").cast("double"), F.lit(0.0)).alias("total_hours"),
+                          F.try_divide(F.col("v1_sum").cast("double"), F.col("v1_n")).alias("avg_viewers_mean"))
+    rows = F.sum("n")
+    return {
+        "overview": over.select("total_rows", unique.alias("unique_channels"), F.lit(columns_seen).cast("bigint").alias("columns_seen"), "rows_with_rank",
+                                "rows_with_any_metric", "active_rows", (F.col("total_rows") - F.col("active_rows")).alias("inactive_rows"), "top500_rows"),
+        "status_distribution": months.groupBy(F.col("sub").alias("status")).agg(rows.alias("count")),
+        "missingness": added.selectExpr("n", stack).select("ord", "column", "missing", F.when(F.col("n") > 0, F.col("missing") / F.col("n") * 100.0)
+                                                          .otherwise(F.lit(0.0)).alias("missing_pct")),
+        "monthly_summary": months.groupBy(F.col("key").alias("month_key")).agg(
+            rows.alias("rows"), (F.sum("ranked") / rows).alias("rank_coverage"), (F.sum("active") / rows).alias("panel_coverage"),
+            _cell_mean("v1").alias("avg_viewers_mean"), _cell_mean("v2").alias("hours_watched_mean")),
+        "created_cohorts": cells.where("section = 'created'").select(F.col("key").cast("bigint").alias("created_year"), F.col("n").alias("count")),
+        "channel_stats": stats,
+        "top_channels_by_avg_viewers": _top(stats, "avg_viewers", top_n),
+        "top_channels_by_hours_watched": _top(stats, "hours_watched", top_n),
+        "top_channels_by_followers": _top(stats, "followers_avg", top_n),
+        "game_stats": played,
+        "top_games_by_hours": played.orderBy(F.desc("total_hours"), "game").limit(top_n),
+        "top_games_by_mentions": played.orderBy(F.desc("mentions"), "game").limit(top_n),
+    }
+
+
 def report_long(panel: DataFrame, top_n: int = 20, columns_seen: int | None = None) -> DataFrame:
     """All report sections in one long (section, key, item, value) table:
     overview, status, missing, monthly, created_year, the two channel tops and,
     where the panel holds game lists, the games top.
 
-    Every section is its own small aggregate over ``panel``: pass a written
-    panel (see ``plans.panel.report_tables``), or the panel is computed for
-    each. ``columns_seen`` overrides the number of columns reported."""
-    over = overview(panel)
-    if columns_seen is not None:
-        over = over.withColumn("columns_seen", F.lit(columns_seen).cast("bigint"))
-    channels = channel_stats(panel)
+    The panel is scanned once, into :func:`report_cells`, which are written; the sections read
+    those. ``columns_seen`` overrides the number of columns reported."""
+    found = sections(written(report_cells(panel), "report-cells"), len(panel.columns) if columns_seen is None else columns_seen, top_n)
     parts = [
-        _long(over.withColumn("k", F.lit("panel")), "overview", "k", "total_rows", "unique_channels", "columns_seen",
+        _long(found["overview"].withColumn("k", F.lit("panel")), "overview", "k", "total_rows", "unique_channels", "columns_seen",
               "rows_with_rank", "rows_with_any_metric", "active_rows", "inactive_rows", "top500_rows"),
-        _long(status_distribution(panel, order=False), "status", "status", "count"),
-        _long(missingness(panel), "missing", "column", "missing", "missing_pct"),
-        _long(monthly_summary(panel, order=False), "monthly", "month_key", "rows", "rank_coverage", "panel_coverage",
-              "avg_viewers_mean", "hours_watched_mean"),
-        _long(created_cohorts(panel, order=False), "created_year", "created_year", "count"),
-        _long(_top(channels, "avg_viewers", top_n), "top_channels_by_avg_viewers", "channel_id", "avg_viewers"),
-        _long(_top(channels, "hours_watched", top_n), "top_channels_by_hours_watched", "channel_id", "hours_watched"),
+        _long(found["status_distribution"], "status", "status", "count"),
+        _long(found["missingness"], "missing", "column", "missing", "missing_pct"),
+        _long(found["monthly_summary"], "monthly", "month_key", "rows", "rank_coverage", "panel_coverage", "avg_viewers_mean",
+              "hours_watched_mean"),
+        _long(found["created_cohorts"], "created_year", "created_year", "count"),
+        _long(found["top_channels_by_avg_viewers"], "top_channels_by_avg_viewers", "channel_id", "avg_viewers"),
+        _long(found["top_channels_by_hours_watched"], "top_channels_by_hours_watched", "channel_id", "hours_watched"),
     ]
     if "all_games" in panel.columns:
-        parts.append(_long(top_games(panel, top_n, "hours"), "top_games_by_hours", "game", "mentions", "total_hours",
-                           "avg_viewers_mean"))
+        parts.append(_long(found["top_games_by_hours"], "top_games_by_hours", "game", "mentions", "total_hours", "avg_viewers_mean"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -143,14 +143,14 @@ ENRICHED_SCALARS = [c for c in M.PANEL_COLUMNS]
 
 @register("enrich_games", O.sql("SELECT * FROM enriched", "enriched"))
 def q_enrich_games(spark, d):
-    return P.enriched_panel(spark, d).select(*ENRICHED_SCALARS)
+    return P.enriched_panel(spark, d, with_lists=False).select(*ENRICHED_SCALARS)
 
 
 @register("games_features", O.sql("""
 SELECT channel_id, month_key, top_game, top_game_hours, top_game_pct, game_count, is_variety_streamer
 FROM enriched WHERE game_count IS NOT NULL""", "enriched"))
 def q_games_features(spark, d):
-    return (P.enriched_panel(spark, d).where(F.col("game_count").isNotNull())
+    return (P.enriched_panel(spark, d, with_lists=False).where(F.col("game_count").isNotNull())
             .select("channel_id", "month_key", "top_game", "top_game_hours", "top_game_pct", "game_count",
                     "is_variety_streamer"))
 
@@ -241,7 +241,7 @@ SELECT count(*) AS total_rows, count(DISTINCT channel_id) AS unique_channels, CA
        count(*) FILTER (WHERE status = 'active_top500') AS top500_rows
 FROM enriched""", "enriched"))
 def q_overview(spark, d):
-    return RP.overview(P.enriched_panel(spark, d))
+    return RP.overview(P.enriched_panel(spark, d, lists=()))
 
 
 _MISS_COLS = [
@@ -266,7 +266,7 @@ _MISS_SQL = "\nUNION ALL\n".join(
 
 @register("missingness", O.sql(_MISS_SQL, "enriched"))
 def q_missingness(spark, d):
-    return RP.missingness(P.enriched_panel(spark, d))
+    return RP.missingness(P.enriched_panel(spark, d, lists=()))
 
 
 _CHANNEL_STATS = f"""
@@ -307,26 +307,26 @@ GROUP BY game"""
 
 @register("game_stats", O.sql("SELECT * FROM game_stats", "game_stats"))
 def q_game_stats(spark, d):
-    return RP.game_stats(P.enriched_panel(spark, d))
+    return RP.game_stats(P.enriched_panel(spark, d, lists=("all_games",)))
 
 
 @register("top_games_by_hours", O.sql(
     "SELECT * FROM game_stats ORDER BY total_hours DESC, game LIMIT 20", "game_stats"))
 def q_top_games_by_hours(spark, d):
-    return RP.top_games(P.enriched_panel(spark, d), 20, "hours")
+    return RP.top_games(P.enriched_panel(spark, d, lists=("all_games",)), 20, "hours")
 
 
 @register("top_games_by_mentions", O.sql(
     "SELECT * FROM game_stats ORDER BY mentions DESC, game LIMIT 20", "game_stats"))
 def q_top_games_by_mentions(spark, d):
-    return RP.top_games(P.enriched_panel(spark, d), 20, "mentions")
+    return RP.top_games(P.enriched_panel(spark, d, lists=("all_games",)), 20, "mentions")
 
 
 @register("created_cohorts", O.sql("""
 SELECT CAST(year(try_cast(replace(created, 'Z', '') AS TIMESTAMP)) AS BIGINT) AS created_year, count(*) AS count
 FROM enriched WHERE try_cast(replace(created, 'Z', '') AS TIMESTAMP) IS NOT NULL GROUP BY 1""", "enriched"))
 def q_created_cohorts(spark, d):
-    return RP.created_cohorts(P.enriched_panel(spark, d))
+    return RP.created_cohorts(P.enriched_panel(spark, d, with_lists=False))
 
 
 @register("coverage_pcts", O.sql("""
@@ -365,7 +365,7 @@ SELECT first_mean, last_mean, (last_mean - first_mean) / nullif(first_mean, 0) *
   FROM (SELECT year, month_order, {_mean('average_viewers')} AS mean FROM enriched GROUP BY year, month_order))""",
     "enriched"))
 def q_viewer_trend(spark, d):
-    return RP.viewer_trend(P.enriched_panel(spark, d))
+    return RP.viewer_trend(P.enriched_panel(spark, d, with_lists=False))
 
 
 @register("history_completeness", O.sql(f"""

@@ -142,7 +142,7 @@ _ACTIVE_SET = ["active_top500", "active_not_top500"]
 SELECT channel_id, month_key, status FROM enriched WHERE status IN ('active_top500', 'active_not_top500')""",
                                  "enriched"))
 def q_status_filter(spark, d):
-    return E.status_filter(P.enriched_panel(spark, d), _ACTIVE_SET).select("channel_id", "month_key", "status")
+    return P.enriched_panel(spark, d, status_filter=_ACTIVE_SET, with_lists=False).select("channel_id", "month_key", "status")
 
 
 _SCOPE_YEARS, _SCOPE_MONTHS = [1996, 1997, 2030], ["january", "June ", "december"]
@@ -165,13 +165,13 @@ def q_created_missing(spark, d):
 
 @register("needs_games", O.sql("SELECT channel_id, month_key FROM enriched WHERE game_count IS NULL", "enriched"))
 def q_needs_games(spark, d):
-    return G.needs_games(P.enriched_panel(spark, d)).select("channel_id", "month_key")
+    return G.needs_games(P.enriched_panel(spark, d, lists=("all_games",))).select("channel_id", "month_key")
 
 
 @register("distinct_jobs", O.sql(
     "SELECT DISTINCT channel_id, year, month FROM enriched WHERE game_count IS NULL", "enriched"))
 def q_distinct_jobs(spark, d):
-    return G.needs_games(P.enriched_panel(spark, d)).select("channel_id", "year", "month").distinct()
+    return G.needs_games(P.enriched_panel(spark, d, lists=("all_games",))).select("channel_id", "year", "month").distinct()
 
 
 @register("rows_with_any_metric", O.sql(f"SELECT channel_id, month_key FROM panel WHERE {_ANY_METRIC}", "panel"))
@@ -796,11 +796,8 @@ _REPORT_LONG = "\nUNION ALL\n".join([
 
 @register("report_long", O.sql(_REPORT_LONG, "enriched", "channel_stats", "game_stats"))
 def q_report_long(spark, d):
-    """The enriched panel is computed once, written with the columns the report
-    reads, and all sections read that table."""
-    panel, path = P.enriched_panel(spark, d), SK.scratch_path(spark, "report-panel")
-    RP.report_input(panel).write.parquet(path)
-    return RP.report_long(spark.read.parquet(path), columns_seen=len(panel.columns))
+    """The enriched panel is computed once, into the cells that all sections read."""
+    return RP.report_long(P.enriched_panel(spark, d, lists=("all_games",)))
 
 
 # --- reading and building facts -------------------------------------------------------
@@ -868,13 +865,30 @@ def q_add_games(spark, d):
 # --- streaming ----------------------------------------------------------------------
 
 
+def _landed_stream(spark, name, runs, run):
+    """Files that land one after another, with a run of the stream after each group of them: later runs start from the
+    checkpoint."""
+    src, out, ckpt = (SK.scratch_path(spark, f"{name}-{x}") for x in ("src", "out", "ckpt"))
+    for landings in runs:
+        for rows in landings:
+            rows.write.mode("append").parquet(src)
+        found = run(src, out, ckpt)
+    return found
+
+
 @register("stream_enrich", O.sql("""
 SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment FROM orders o
 LEFT JOIN customer c ON o.o_custkey = c.c_custkey"""))
 def q_stream_enrich(spark, d):
-    s = ST.file_stream(spark, f"{d}/orders.parquet").select("o_orderkey", "o_custkey")
     cust = table(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment").withColumnRenamed("c_custkey", "o_custkey")
-    return ST.stream_enrich(s, cust, ["o_custkey"], keys=["o_orderkey"])
+
+    def run(src, out, ckpt):
+        s = ST.file_stream(spark, src, max_files=1).select("o_orderkey", "o_custkey")
+        return ST.stream_enrich(s, cust, ["o_custkey"], keys=["o_orderkey"], out=out, checkpoint=ckpt)
+    orders = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
+    # open orders land a second time, after the restart
+    return _landed_stream(spark, "enrich", [[orders.where("o_orderstatus = 'O'"), orders.where("o_orderstatus = 'F'")],
+                                            [orders.where("o_orderstatus = 'O'"), orders.where("o_orderstatus NOT IN ('O', 'F')")]], run)
 
 
 @register("stream_status_counts", O.sql("""
@@ -892,20 +906,26 @@ SELECT strftime(date_trunc('month', o_orderdate), '%Y') || lower(strftime(date_t
          AS month_key, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM orders GROUP BY 1"""))
 def q_stream_monthly(spark, d):
-    s = ST.file_stream(spark, f"{d}/orders.parquet")
     mk = S.month_key_of(F.trunc(F.to_date("o_orderdate"), "month"))
-    return ST.stream_counts(s, [mk.alias("month_key")], "stream_monthly", [
-        F.count(F.lit(1)).alias("orders"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")])
+
+    def run(src, out, ckpt):
+        return ST.stream_counts(ST.file_stream(spark, src, max_files=1), [mk.alias("month_key")], "stream_monthly", [
+            F.count(F.lit(1)).alias("orders"),
+            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")], out=out, checkpoint=ckpt, compact_every=2)
+    orders = table(spark, d, "orders", "o_orderdate", "o_totalprice", "o_orderstatus")
+    parts = [orders.where(f"o_orderstatus = '{x}'") for x in "FO"] + [orders.where("o_orderstatus NOT IN ('O', 'F')")]
+    return _landed_stream(spark, "monthly", [parts[:2], parts[2:]], run)
 
 
 @register("stream_dedupe", O.sql("""
 SELECT DISTINCT user_id, strftime(ts, '%Y-%m-%d') AS day FROM events"""))
 def q_stream_dedupe(spark, d):
-    s = ST.file_stream(spark, f"{d}/events.parquet").select(
-        "user_id", F.col("ts").cast("timestamp").alias("ts"))
-    s = s.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    return ST.stream_dedupe(s, ["user_id", "day"]).select("user_id", "day")
+    def run(src, out, ckpt):
+        return ST.stream_dedupe(ST.file_stream(spark, src, max_files=1), ["user_id", "day"], out=out, checkpoint=ckpt, compact_every=2)
+    e = B.events(spark, d, "user_id", "ts", "event_type").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    first, others = F.col("event_type").isin("view", "click"), ~F.col("event_type").isin("view", "click", "error")
+    parts = [e.where(c).select("user_id", "day", "event_type") for c in (first, F.col("event_type") == "error", others | F.col("event_type").isNull())]
+    return _landed_stream(spark, "dedupe", [parts[:1], parts[1:]], run).select("user_id", "day")
 
 
 @register("stream_error_bursts", O.sql("""
@@ -918,3 +938,26 @@ def q_stream_error_bursts(spark, d):
         "user_id", F.col("ts").cast("timestamp").alias("ts"))
     r = ST.stream_window_counts(s, "user_id", "ts", "1 day", "1 hour", "1 day", 3)
     return r.select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n")
+
+
+_DAY = 86_400
+
+
+@register("stream_error_bursts_exact", O.sql("""
+SELECT event_id, user_id, count(*) OVER w AS n_in_window, count(*) OVER w >= 3 AS burst,
+       ts < (SELECT max(ts) FROM events WHERE event_type = 'error') - INTERVAL 6 DAY AS settled
+FROM events WHERE event_type = 'error'
+WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)"""))
+def q_stream_error_bursts_exact(spark, d):
+    """Every error lands up to a day late, with those that arrive in the same five days; the stream is started again
+    halfway."""
+    e = B.events(spark, d, "event_id", "ts", "user_id", "event_type").where(F.col("event_type") == "error")
+    arrival = F.unix_seconds("ts") + F.pmod(F.xxhash64("event_id"), F.lit(_DAY))
+    e = e.select("event_id", "user_id", "ts", F.floor(arrival / (5 * _DAY)).alias("landing"))
+    lo, hi = e.agg(F.min("landing"), F.max("landing")).first()  # a few landings
+    lands = [e.where(F.col("landing") == k).select("event_id", "user_id", "ts") for k in range(lo, hi + 1)] if lo is not None else [e.drop("landing")]
+
+    def run(src, out, ckpt):
+        return ST.stream_bursts(ST.file_stream(spark, src, max_files=1), "user_id", "ts", "event_id", delay_seconds=6 * _DAY,
+                                span_seconds=_DAY, threshold=3, out=out, checkpoint=ckpt)
+    return _landed_stream(spark, "bursts", [lands[:3], lands[3:]] if len(lands) > 3 else [lands], run)

@@ -52,14 +52,15 @@ def build_panel(seed: DataFrame, live: DataFrame | None = None, channels: DataFr
 
 def enrich_panel(panel: DataFrame, games: DataFrame, users: DataFrame | None = None,
                  overwrite: bool = False, order=None, status_filter: list[str] | None = None,
-                 with_lists: bool = True) -> DataFrame:
+                 with_lists: bool = True, lists: tuple[str, ...] = G.LISTS) -> DataFrame:
     """Panel + game features and lists (fill blanks, or overwrite) + creation
     dates. ``games`` holds one row per (channel, month, game); ``order`` is its
     source order (default ``pos``). ``status_filter`` keeps only the panel's rows of
-    these statuses; without ``with_lists`` no list is collected or returned."""
+    these statuses; without ``with_lists`` no list is collected or returned, and of
+    the game lists only ``lists`` are filled (see :func:`games.games_agg`)."""
     if status_filter:
         panel = E.status_filter(panel, status_filter)
-    out = G.enrich_games(panel, G.games_agg(games, with_lists=with_lists, order=order), overwrite=overwrite)
+    out = G.enrich_games(panel, G.games_agg(games, with_lists=with_lists, order=order, lists=lists), overwrite=overwrite)
     return E.enrich_created(out, users) if users is not None else out
 
 
@@ -125,11 +126,12 @@ def landed_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K,
 
 
 def enriched_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K, overwrite: bool = False,
-                   status_filter: list[str] | None = None, with_lists: bool = True) -> DataFrame:
+                   status_filter: list[str] | None = None, with_lists: bool = True,
+                   lists: tuple[str, ...] = G.LISTS) -> DataFrame:
     """Landed panel + games features (fill blanks / overwrite) + created lookups."""
     return enrich_panel(landed_panel(spark, sf_dir, top_k=top_k), B.games_rows(spark, sf_dir, with_pos=False),
                         B.users(spark, sf_dir), overwrite=overwrite, order=B.games_order(), status_filter=status_filter,
-                        with_lists=with_lists)
+                        with_lists=with_lists, lists=lists)
 
 
 def final_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K) -> DataFrame:
@@ -228,27 +230,27 @@ def report_tables(panel: DataFrame, top_n: int = 20, materialize_to: str | None
     when the panel holds game lists.
 
     With ``materialize_to`` the panel is first written there (partitioned by
-    month_key, e.g. under ``spark.checkpoint.dir``) and every section reads the
-    written table, so the panel is computed once for the whole report."""
+    month_key, e.g. under ``spark.checkpoint.dir``), so it is computed once for the whole
+    report; the keyed sections share one scan of it (:func:`report.report_cells`)."""
     from ..operators import report as RP
+    from ..operators.ordering import written
     if materialize_to:
         write_panel(panel, materialize_to)
         panel = panel.sparkSession.read.parquet(materialize_to)
+    found = RP.sections(written(RP.report_cells(panel), "report-cells"), len(panel.columns), top_n)
     out = {
-        "overview": RP.overview(panel),
-        "status_distribution": RP.status_distribution(panel),
-        "missingness": RP.missingness(panel),
-        "monthly_summary": RP.monthly_summary(panel),
-        "created_cohorts": RP.created_cohorts(panel),
-        "top_channels_by_avg_viewers": RP.top_channels(panel, top_n, "avg_viewers"),
-        "top_channels_by_hours_watched": RP.top_channels(panel, top_n, "hours_watched"),
-        "top_channels_by_followers": RP.top_channels(panel, top_n, "followers"),
+        "overview": found["overview"],
+        "status_distribution": found["status_distribution"].orderBy(F.desc("count"), "status"),
+        "missingness": found["missingness"],
+        "monthly_summary": found["monthly_summary"].orderBy("month_key"),
+        "created_cohorts": found["created_cohorts"].orderBy(F.desc("count"), "created_year"),
+        **{f"top_channels_by_{m}": found[f"top_channels_by_{m}"] for m in ("avg_viewers", "hours_watched", "followers")},
         "coverage_pcts": RP.coverage_pcts(panel),
         "viewer_trend": RP.viewer_trend(panel),
         "rank_histogram": RP.rank_histogram(panel),
         "report_long": RP.report_long(panel, top_n),
     }
     if "all_games" in panel.columns:
-        out["top_games_by_hours"] = RP.top_games(panel, top_n, "hours")
-        out["top_games_by_mentions"] = RP.top_games(panel, top_n, "mentions")
+        out["top_games_by_hours"] = found["top_games_by_hours"]
+        out["top_games_by_mentions"] = found["top_games_by_mentions"]
     return out

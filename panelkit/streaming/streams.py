@@ -10,19 +10,23 @@ checkpoint needs a new sink. Left out, both are fresh folders under
 
 Results that a batch writes go to a folder of that batch's number, replaced as
 a whole when Spark repeats the batch after a failure; no earlier result is
-touched.
+touched. What a batch must know of earlier ones (keys, running groups, events of the
+last seconds) is kept as tables of bounded reads, see :mod:`.state`.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
+from ..operators import incremental as I
 from ..sources.sinks import scratch_path
+from .state import BATCH, BUCKET, KeyedState, newest, read_or_none
 
-BATCH = "batch_id"
+# folders beside the batches of a sink; readers of the sink skip them
+KEYS = "_keys"
+CARRIED = "_carried"
 
 
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -45,16 +49,6 @@ def _places(spark: SparkSession, name: str, out: str | None, checkpoint: str | N
     return out or scratch_path(spark, f"{name}-out"), checkpoint or scratch_path(spark, f"{name}-ckpt")
 
 
-def _written(spark: SparkSession, out: str, schema) -> DataFrame:
-    """The sink's rows; none when no batch has been written yet."""
-    try:
-        return spark.read.parquet(out)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def run_append(df: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None,
                fmt: str = "parquet") -> DataFrame:
     """Append-mode stream into a file sink; returns the sink as a batch DataFrame."""
@@ -67,72 +61,83 @@ def run_append(df: DataFrame, name: str, out: str | None = None, checkpoint: str
 
 
 def run_once_per_key(df: DataFrame, keys: list[str], name: str, out: str | None = None,
-                     checkpoint: str | None = None) -> DataFrame:
+                     checkpoint: str | None = None, buckets: int = 64, compact_every: int = 20) -> DataFrame:
     """Append one row per key over all batches and restarts, however late it
     arrives: each batch drops the keys that earlier batches wrote. The done keys
-    are the sink itself, so no state grows in memory and none expires. Null
-    keys count as equal."""
+    are a table beside the sink, in hash buckets: a batch reads the buckets its own
+    keys fall into and no rows of the sink; nothing expires. Null keys count as
+    equal. Of a batch's rows with one key the least by all other columns stays."""
     spark = df.sparkSession
     out, checkpoint = _places(spark, name, out, checkpoint)
+    done = KeyedState(f"{out.rstrip('/')}/{KEYS}", tuple(keys), buckets, compact_every)
+    rest = [c for c in df.columns if c not in keys]
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        fresh = batch.dropDuplicates(keys)
+        session = batch.sparkSession
+        once = batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_r")).select(*keys, "_r.*") if rest else batch.dropDuplicates(keys)
+        fresh = done.bucketed(once)
         if epoch > 0:
-            done = (batch.sparkSession.read.parquet(out).where(F.col(BATCH) < epoch)
-                    .select(*[F.col(k).alias(f"_d_{k}") for k in keys]))
+            batch.persist()
+            mine = [r[0] for r in done.bucketed(batch.select(*keys)).select(BUCKET).distinct().collect()]  # at most ``buckets``
+            schema = StructType([f for f in df.schema.fields if f.name in keys])
+            known = done.read(session, schema, before=epoch, buckets=mine).select(*[F.col(k).alias(f"_d_{k}") for k in keys])
             same = F.lit(True)
             for k in keys:
                 same = same & F.col(k).eqNullSafe(F.col(f"_d_{k}"))
-            fresh = fresh.join(done, same, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{out}/{BATCH}={epoch}")
+            fresh = fresh.join(known, same, "left_anti")
+        fresh.select(*df.columns).write.mode("overwrite").parquet(f"{out}/{BATCH}={epoch}")
+        batch.unpersist()
+        # the keys go in after the rows: a batch that is cut off between the two is repeated and writes both anew
+        done.append(session.read.schema(df.schema).parquet(f"{out}/{BATCH}={epoch}").select(*keys), epoch)
 
     q = (df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return _written(spark, out, df.schema).select(*df.columns)
+    found = read_or_none(spark, out)
+    return (spark.createDataFrame([], df.schema) if found is None else found).select(*df.columns)
 
 
 def run_update(df: DataFrame, keys: list[str], name: str, out: str | None = None,
-               checkpoint: str | None = None) -> DataFrame:
+               checkpoint: str | None = None, buckets: int = 8, compact_every: int = 20) -> DataFrame:
     """Update-mode aggregate: every batch writes only the groups it changed; the
-    result is each group's newest row."""
+    result is each group's newest row, read from the last snapshot and the batches
+    after it."""
     spark = df.sparkSession
     out, checkpoint = _places(spark, name, out, checkpoint)
+    # a window is a struct: groups are told apart by all their columns, compared as values
+    state = KeyedState(out, tuple(keys), buckets, compact_every, newest(tuple(keys), [c for c in df.columns if c not in keys]))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/{BATCH}={epoch}")
+        state.append(batch, epoch)
 
     q = (df.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    schema = StructType([*df.schema.fields, StructField(BATCH, IntegerType())])
-    values = [c for c in df.columns if c not in keys]
-    return (_written(spark, out, schema).groupBy(*keys)
-            .agg(F.max_by(F.struct(*values), F.col(BATCH)).alias("_v")).select(*keys, "_v.*").select(*df.columns))
+    return state.read(spark, df.schema).select(*df.columns)
 
 
 def stream_enrich(stream: DataFrame, lookup: DataFrame, on: list[str], keys: list[str] | None = None,
-                  name: str = "stream_enrich", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                  name: str = "stream_enrich", out: str | None = None, checkpoint: str | None = None, **state) -> DataFrame:
     """Stream-static left join (enrich each arriving row), appended to Parquet.
     With ``keys`` a row whose key was enriched before is skipped."""
     rows = stream.join(lookup, on, "left")
     if keys:
-        return run_once_per_key(rows, keys, name, out, checkpoint)
+        return run_once_per_key(rows, keys, name, out, checkpoint, **state)
     return run_append(rows, name, out, checkpoint)
 
 
 def stream_counts(stream: DataFrame, keys: list, name: str, aggs: list | None = None,
-                  out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                  out: str | None = None, checkpoint: str | None = None, **state) -> DataFrame:
     """Running counts (and optional aggregates) folded over all micro-batches."""
     a = aggs or [F.count(F.lit(1)).alias("count")]
     grouped = stream.groupBy(*keys).agg(*a)
-    return run_update(grouped, grouped.columns[:len(keys)], name, out, checkpoint)
+    return run_update(grouped, grouped.columns[:len(keys)], name, out, checkpoint, **state)
 
 
 def stream_dedupe(stream: DataFrame, keys: list[str], name: str = "stream_dedupe",
-                  out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                  out: str | None = None, checkpoint: str | None = None, **state) -> DataFrame:
     """Each key once across batches and restarts, late rows included."""
-    return run_once_per_key(stream, keys, name, out, checkpoint)
+    return run_once_per_key(stream, keys, name, out, checkpoint, **state)
 
 
 def stream_window_counts(stream: DataFrame, key: str, ts: str, length: str, slide: str, delay: str,
@@ -147,3 +152,61 @@ def stream_window_counts(stream: DataFrame, key: str, ts: str, length: str, slid
          .groupBy(F.col(key), F.window(ts, length, slide).alias("w"))
          .agg(F.count(F.lit(1)).alias("n")))
     return run_update(w, [key, "w"], name, out, checkpoint).where(F.col("n") >= threshold)
+
+
+def stream_bursts(stream: DataFrame, key: str, ts: str, id_col: str, delay_seconds: int, span_seconds: int = 60,
+                  threshold: int = 3, name: str = "stream_bursts", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """:func:`panelkit.operators.incremental.error_bursts` over a stream: for every event the events of its key in the
+    ``span_seconds`` that end with it, exactly, whatever order the files land in, as long as no event lands more than
+    ``delay_seconds`` after a later one has been seen.
+
+    An event is settled once the newest event seen is ``delay_seconds`` past it: nothing that can still land changes its
+    count. A batch carries over the events that are not settled, and of the settled ones those of the last
+    ``span_seconds``, which later events still count; both are bounded by the delay and the span, not by the stream.
+    Events that land too late are left out. The sink holds the settled events; the result adds the others with their
+    counts so far, so that every event has one row. Columns: ``id_col``, ``key``, n_in_window, burst, settled."""
+    spark = stream.sparkSession
+    out, checkpoint = _places(spark, name, out, checkpoint)
+    carried = f"{out.rstrip('/')}/{CARRIED}"
+    cols = [id_col, key, ts]
+    schema = StructType([*[stream.schema[c] for c in cols], StructField("settled", BooleanType())])
+
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+
+    def line(rows: DataFrame) -> int | None:
+        """The time, in microseconds, before which events are settled."""
+        newest_at = rows.agg(F.max(micros)).first()[0]
+        return None if newest_at is None else newest_at - delay_seconds * 1_000_000
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return I.error_bursts(rows, key, ts, span_seconds, threshold, id_col).join(rows.select(id_col, ts, "settled"), id_col)
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        before = read_or_none(session, f"{carried}/{BATCH}={epoch - 1}") if epoch else None
+        before = session.createDataFrame([], schema) if before is None else before.select(*schema.fieldNames())
+        passed = line(before)
+        fresh = batch.select(*cols).withColumn("settled", F.lit(False))
+        if passed is not None:
+            fresh = fresh.where(micros >= passed)
+        rows = before.unionByName(fresh)
+        at = line(rows)
+        now = F.lit(False) if at is None else micros < at
+        counted(rows).where(~F.col("settled") & now).select(id_col, key, "n_in_window", "burst").write.mode("overwrite").parquet(
+            f"{out}/{BATCH}={epoch}")
+        keep = rows.withColumn("settled", F.col("settled") | now)
+        if at is not None:
+            keep = keep.where(micros >= at - span_seconds * 1_000_000)
+        keep.write.mode("overwrite").parquet(f"{carried}/{BATCH}={epoch}")
+
+    q = (stream.select(*cols).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    settled, left = read_or_none(spark, out), read_or_none(spark, carried)
+    if left is None:
+        return I.error_bursts(spark.createDataFrame([], schema), key, ts, span_seconds, threshold, id_col).withColumn("settled", F.lit(True))
+    last = left.agg(F.max(BATCH)).first()[0]  # the newest event seen is always carried on
+    open_rows = counted(left.where(F.col(BATCH) == F.lit(last)).select(*schema.fieldNames())).where(~F.col("settled"))
+    columns = [id_col, key, "n_in_window", "burst"]
+    done = settled.select(*columns) if settled is not None else open_rows.select(*columns).limit(0)
+    return done.withColumn("settled", F.lit(True)).unionByName(open_rows.select(*columns).withColumn("settled", F.lit(False)))

@@ -110,3 +110,100 @@ def test_stream_counts_resume(spark):
         df.write.mode("append").parquet(src)
         got = ST.stream_counts(ST.file_stream(spark, src), ["k"], "t-resume", out=out, checkpoint=ckpt)
     assert rows(got, "k", "count") == [("a", 4), ("b", 2)]
+
+
+def test_append_batch_once(spark, monkeypatch):
+    path, columns = SK.scratch_path(spark, "t-batches"), {"channel_id": "bigint", "name": "string", "rank": "bigint"}
+    one = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "channel_id int, name string, extra string")
+    for _ in range(2):
+        SK.append_batch(one, path, columns, "2024-01")
+    SK.append_batch(one.limit(1), path, columns, "2024-02")
+    got = SK.read_appended(spark, path, columns)
+    assert dict(got.dtypes) == columns and rows(got) == [(1, "a", None), (1, "a", None), (2, "b", None)]
+    # a batch that is cut off: rows without a note, then written whole
+    SK._typed(one, columns).write.parquet(f"{path}/batch=2024-03")
+    assert SK.read_appended(spark, path, columns).count() == 3
+    SK.append_batch(one, path, columns, "2024-03")
+    assert SK.read_appended(spark, path, columns).count() == 5
+    with pytest.raises(ValueError):
+        SK.append_batch(one, path, columns, "a/b")
+
+
+def keyed_state(spark, **more):
+    from panelkit.streaming.state import KeyedState
+    return KeyedState(SK.scratch_path(spark, "t-state"), ("k",), buckets=8, **more)
+
+
+def test_state_reads_its_buckets_only(spark):
+    state = keyed_state(spark, compact_every=3)
+    df = spark.range(4000).select(F.col("id").alias("k"))
+    for n in range(5):
+        state.append(df.where(F.col("k") % 5 == n), n)
+    assert state.snapshot_batch(spark) == 2
+    assert rows(state.read(spark, df.schema)) == rows(df)
+    some = state.read(spark, df.schema, buckets=[3])
+    scans = [x for x in some._jdf.queryExecution().executedPlan().toString().split("\n") if "PartitionFilters: [" in x]
+    assert scans and all("bucket#" in x.split("PartitionFilters: [")[1].split("]")[0] for x in scans)
+
+    def files(d):
+        return {r[0] for r in d.select(F.input_file_name()).distinct().collect()}
+    read = files(state._parts(spark, state.snapshot_batch(spark), None, None)[1])
+    assert read and not any(f"batch_id={n}/" in f for n in (0, 1, 2) for f in read)  # the snapshot holds these
+    assert rows(some) == rows(state.bucketed(df).where("bucket = 3").select("k"))
+    assert state.read(spark, df.schema, before=4).count() == 3200
+
+
+def test_state_survives_a_cut_compaction(spark, monkeypatch):
+    from panelkit.streaming import state as ST2
+    state = keyed_state(spark, compact_every=2, merge=ST2.newest(("k",), ["v"]))
+
+    def batch(n):
+        return spark.createDataFrame([(i, n * 100 + i) for i in range(n, n + 3)], "k long, v long")
+    state.append(batch(0), 0)
+    real = ST2.KeyedState._note
+    monkeypatch.setattr(ST2.KeyedState, "_note", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        state.append(batch(1), 1)                                          # the snapshot is written, not noted
+    want = [(0, 0), (1, 101), (2, 102), (3, 103)]
+    assert state.snapshot_batch(spark) == -1 and rows(state.read(spark, batch(0).schema)) == want
+    monkeypatch.setattr(ST2.KeyedState, "_note", real)
+    for _ in range(2):                                                     # the batch is repeated, and once more
+        state.append(batch(1), 1)
+        assert state.snapshot_batch(spark) == 1 and rows(state.read(spark, batch(0).schema)) == want
+    state.append(batch(2), 2)
+    assert rows(state.read(spark, batch(0).schema)) == [(0, 0), (1, 101), (2, 202), (3, 203), (4, 204)]
+
+
+def test_once_per_key_keeps_one_row_by_order_and_null_keys(spark):
+    src, out, ckpt = (SK.scratch_path(spark, f"t-once-{n}") for n in ("src", "out", "ckpt"))
+    landings = [[(1, "b"), (1, "a"), (None, "n")], [(1, "0"), (2, "z"), (None, "m")], [(2, "y"), (3, None)]]
+    for i, part in enumerate(landings):
+        spark.createDataFrame(part, "k long, v string").coalesce(1).write.mode("append").parquet(src)
+        if i != 1:
+            got = ST.stream_dedupe(ST.file_stream(spark, src, max_files=1), ["k"], out=out, checkpoint=ckpt, compact_every=2)
+    assert rows(got, "k", "v") == [(1, "a"), (2, "z"), (3, None), (None, "n")]
+
+
+def test_bursts_of_a_stream_equal_the_batch(spark):
+    import random
+    from panelkit.operators import incremental as I
+    rnd, base = random.Random(4), 1_700_000_000
+    data = [(i, rnd.randrange(4), base + rnd.randrange(4000)) for i in range(400)] + [(1000 + i, 9, base + 60 * i) for i in range(40)]
+    events = spark.createDataFrame(data, "event_id long, user_id long, s long").select("event_id", "user_id", F.timestamp_seconds("s").alias("ts"))
+    delay = 500                                                            # an event lands up to 500 s after its time
+    lands = {i: s + rnd.randrange(delay) for i, _, s in data}
+    src, out, ckpt = (SK.scratch_path(spark, f"t-bursts-{n}") for n in ("src", "out", "ckpt"))
+    by_landing = sorted(data, key=lambda r: lands[r[0]])
+    size = len(data) // 8 + 1
+    for n, at in enumerate(range(0, len(data), size)):
+        ids = [r[0] for r in by_landing[at:at + size]]
+        events.where(F.col("event_id").isin(ids)).coalesce(1).write.mode("append").parquet(src)
+        if n in (2, 7):
+            got = ST.stream_bursts(ST.file_stream(spark, src, max_files=1), "user_id", "ts", "event_id", delay, 60, 3, out=out, checkpoint=ckpt)
+    want = I.error_bursts(events, "user_id", "ts", 60, 3)
+    columns = ("event_id", "user_id", "n_in_window", "burst")
+    assert rows(got, *columns) == rows(want, *columns)
+    newest = max(s for _, _, s in data)
+    assert {r["event_id"] for r in got.where("not settled").collect()} == {i for i, _, s in data if s >= newest - delay}
+    kept = spark.read.parquet(f"{out}/{ST.CARRIED}").where("batch_id = 7")
+    assert kept.agg(F.min("ts")).first()[0].timestamp() >= newest - delay - 60

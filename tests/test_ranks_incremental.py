@@ -244,3 +244,119 @@ def test_months_are_read_by_their_span(spark):
     assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in plan and "LessThan(o_orderdate,1" in plan
     months = [{"month_start": dt.date(1996 + (m - 1) // 12, (m - 1) % 12 + 1, 1)} for m in (1, 2, 3, 4, 6, 12, 13)]
     assert [[m["month_start"].month for m in b] for b in P._blocks(months, 3)] == [[1, 2, 3], [4], [6], [12, 1]]
+
+
+def stop_by_loop(pages, batch_pages=8, early=10):
+    """The stop rule page by page: (phase, batch, page, reason, run) of one scope, or None."""
+    from panelkit.functions import scalars as S
+
+    def phase_of(offset):
+        return next((i for i, (lo, hi) in enumerate(S.RANK_BANDS) if lo <= offset < hi), len(S.RANK_BANDS))
+    phases: dict = {}
+    for p in pages:
+        phases.setdefault(phase_of(p[1]), []).append(p)
+    run, news = 0, []
+    for phase in sorted(phases):
+        for n, at in enumerate(range(0, len(phases[phase]), batch_pages), 1):
+            batch = phases[phase][at:at + batch_pages]
+            for _, offset, n_rows, n_new in batch:
+                if n_new:
+                    run = 0
+                elif n_rows or offset <= 10_000:
+                    run += 1
+            news.append(sum(p[3] for p in batch))
+            if phase >= 4 and n >= 3 and not any(p[2] for p in batch):
+                run = 0
+                continue
+            least = early + (10 if batch[0][1] > 10_000 else 0)
+            reason = ("no_new" if n > 3 and run >= least else "zero_yield" if phase >= 5 and len(news) >= 3 and not sum(news[-3:])
+                      else "sparse_tail" if phase >= 4 and len(news) >= 5 and sum(news[-5:]) < 3 else None)
+            if reason:
+                return phase, n, batch[-1][0], reason, run
+    return None
+
+
+def test_stop_points_equal_a_loop(spark):
+    import random
+    rnd, data, want = random.Random(11), [], {}
+    for k in range(60):
+        scope, step = f"s{k}", rnd.choice([20, 50, 100])
+        hit, empty, quiet = rnd.choice([0.9, 0.4, 0.1, 0.03]), rnd.choice([0.0, 0.2, 0.7, 0.98]), rnd.randrange(0, 400)
+        pages = []
+        for i in range(rnd.randrange(1, 420)):
+            n_rows = 0 if rnd.random() < (empty if i > quiet else 0.1) else 100
+            pages.append((i, i * step, n_rows, rnd.randrange(1, 3) if n_rows and rnd.random() < (0.9 if i < quiet else hit) else 0))
+        if k >= 50:  # now and then one target, deep down: never a long run, and too few of them
+            pages = [(i, i * 100, 100, 1 if i < 100 or i % (14 + k % 5) == 0 else 0) for i in range(190)]
+        data += [(scope, *p) for p in pages]
+        want[scope] = stop_by_loop(pages)
+    log = spark.createDataFrame(data, "scope string, page_seq long, offset long, n_rows long, n_new long")
+    for block in (500, 8):
+        got = {r["scope"]: None if r["reason"] is None else (r["stop_phase"], r["stop_batch"], r["stop_page"], r["reason"], r["run"])
+               for r in I.stop_points(log, block=block).collect()}
+        assert got == want
+    assert len({w[3] for w in want.values() if w}) == 3 and None in want.values()
+
+
+def test_stop_points_jump_and_empty_log(spark):
+    # past 10,000 empty pages do not count, and an all-empty batch ends the run
+    pages = [(i, i * 100, 0 if i >= 100 else 100, 1 if i < 100 else 0) for i in range(200)]
+    log = spark.createDataFrame([("a", *p) for p in pages], "scope string, page_seq long, offset long, n_rows long, n_new long")
+    r = I.stop_points(log).first()
+    assert stop_by_loop(pages) == (r["stop_phase"], r["stop_batch"], r["stop_page"], r["reason"], r["run"]) if r["reason"] else stop_by_loop(pages) is None
+    assert I.stop_points(log.limit(0)).count() == 0
+    assert rows(I.page_spine(log.where("page_seq in (0, 3)")), "scope", "page_seq") == [("a", i) for i in range(4)]
+
+
+def test_lookup_outcomes(spark):
+    from panelkit.operators import lookups as E
+    rows_ = spark.createDataFrame([(1, "ok", "Name1"), (2, "empty", "Name1"), (3, "error", "Name1"), (4, "gone", "Name 1"), (5, "gone", "Nobody"),
+                                   (6, "gone", "empty!"), (7, "half", "x"), (8, "gone", "error")], "id int, channel_slug string, display_name string")
+    lookup = spark.createDataFrame([("ok", "ok", 1, None), ("empty", "empty", None, None), ("error", "error", None, None), ("name1", "ok", 2, 3),
+                                    ("half", "ok", None, 4)], "login string, state string, a int, b int")
+    got = rows(E.slug_fallback_join(rows_, lookup, ["a", "b"]), "id", "outcome", "matched_by", "a", "b")
+    assert got == [(1, "ok", "slug", 1, None), (2, "empty", "slug", None, None), (3, "ok", "name", 2, 3), (4, "ok", "name", 2, 3),
+                   (5, "error", None, None, None), (6, "empty", "name", None, None), (7, "ok", "slug", None, 4), (8, "error", None, None, None)]
+    plain = rows(E.slug_fallback_join(rows_, lookup.drop("state"), ["a", "b"]), "id", "outcome", "matched_by")
+    assert plain[1:3] == [(2, "empty", "slug"), (3, "empty", "slug")] and plain[6] == (7, "ok", "slug")
+    alone = rows(E.slug_fallback_join(rows_, lookup, ["a", "b"], fallback_on_miss=False), "id", "outcome", "matched_by")
+    assert alone[2:5] == [(3, "error", None), (4, "error", None), (5, "error", None)]
+
+
+def test_created_lookup_spreads_blank_logins(spark):
+    from panelkit.operators import lookups as E
+    panel = spark.createDataFrame([(i, "m", "" if i % 2 else f"u{i}", None if i % 3 else "2020-01-01") for i in range(300)],
+                                  "channel_id int, month_key string, channel_name string, created string")
+    users = spark.createDataFrame([(f"U{i}", "2019-05-05") for i in range(0, 300, 2)], "login string, created_at string")
+    out = E.enrich_created(panel, users)
+    want = [(i, "2020-01-01" if i % 3 == 0 else None if i % 2 else "2019-05-05") for i in range(300)]
+    assert rows(out, "channel_id", "created") == sorted(want) and out.columns == panel.columns
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with parts_kept(spark, 8):
+            # the looked-up column is read, or the join would be left out
+            found = out.where("channel_name = ''").groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"), F.max("created"))
+            sizes = [r["n"] for r in found.collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) > 4 and max(sizes) < 75
+
+
+def test_report_scans_the_panel_once(spark):
+    from conftest import SMALL
+    from panelkit.operators import report as RP
+    from panelkit.plans import panel as P
+    from panelkit.sources import sinks as SK
+    path = SK.scratch_path(spark, "t-report-panel")
+    P.enriched_panel(spark, SMALL).write.parquet(path)
+    panel = spark.read.parquet(path)
+    plan = RP.report_cells(panel)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1 and "Python" not in plan
+    found = RP.sections(OD.written(RP.report_cells(panel), "t-cells"), len(panel.columns))
+    for name, want in (("overview", RP.overview(panel)), ("status_distribution", RP.status_distribution(panel)), ("missingness", RP.missingness(panel)),
+                       ("monthly_summary", RP.monthly_summary(panel)), ("created_cohorts", RP.created_cohorts(panel)),
+                       ("channel_stats", RP.channel_stats(panel)), ("game_stats", RP.game_stats(panel)),
+                       ("top_channels_by_followers", RP.top_channels(panel, 20, "followers")), ("top_games_by_mentions", RP.top_games(panel, 20, "mentions"))):
+        assert rows(found[name].select(*want.columns)) == rows(want), name
+    empty = RP.report_long(panel.limit(0))
+    assert {r["value"] for r in empty.where("section = 'overview' and item <> 'columns_seen'").collect()} == {0.0}
