@@ -4,8 +4,9 @@ Items become windows of n normalised words (an item with fewer words is one
 window). Tasks hash every window of the documents, look it up in the broadcast
 set and compare the words of each hit with the benchmark's, so a hash collision
 removes nothing. The broadcast is bounded: items are dealt into slices of about
-SLICE_LIMIT bytes of text, and each slice is broadcast and scanned in turn, so a
-benchmark of any size costs more scans, not more memory.
+SLICE_LIMIT bytes of text, kept as flat arrays of some ten times that, and each slice
+is broadcast, scanned and released in turn, so a benchmark of any size costs more
+scans, not more memory.
 
 Defined cases: null or empty text has no words and no hits; an item without words
 matches nothing; items with equal texts are all reported; a null item_id is left
@@ -21,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import ALNUM, LOWER, buffer_of, covered, filter_rows, narrow, public_id, runs, slices, span_hashes, words, write_table
+from panelkit.llm.common import ALNUM, LOWER, buffer_of, covered, filter_rows, narrow, owner, public_id, runs, slices, span_hashes, words, write_table
 
 WINDOW = 10
-SLICE_LIMIT = 8 << 20
+SLICE_LIMIT = 2 << 20   # bytes of items' text in one index, which takes some ten times as much
 
 
 def _words_of(buf, off):
@@ -33,36 +34,62 @@ def _words_of(buf, off):
     return low, starts, ends, first
 
 
-def window_index(items: list[tuple[str | None, str]], window: int) -> dict:
-    """Windows of some items: length -> (sorted hashes, hash -> [(words, item ids)])."""
-    found: dict[int, dict[int, dict[bytes, set]]] = {}
-    for item_id, text in items:
-        low, starts, ends, first = _words_of(*buffer_of(pa.array([text], pa.string())))
-        if not len(starts):
-            continue
-        n = min(window, len(starts))
-        own = [low[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
-        for i, h in enumerate(runs(span_hashes(low, starts, ends), n)):
-            found.setdefault(n, {}).setdefault(int(h), {}).setdefault(b" ".join(own[i:i + n]), set()).add(item_id)
-    return {n: (np.array(sorted(by), np.uint64), by) for n, by in found.items()}
-
-
-def _hits(index: dict, low, starts, ends, first):
-    """(first word, length, item ids) of each verified window occurrence, by document."""
-    h = span_hashes(low, starts, ends)
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    for n, (hashes, by) in index.items():
+class Windows:
+    """The windows of some items as flat arrays: the items' lower-cased text with the places of its words, and per window
+    length the sorted hashes, a place (first word) of each distinct window, and the items that hold it, cut by ``first``."""
+
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
+        self.names = [name for name, _ in items]
+        self.low, self.starts, self.ends, first = _words_of(*buffer_of(pa.array([text for _, text in items], pa.string())))
+        item, count = owner(first, len(self.starts)), np.diff(first)
+        h, self.by_length = span_hashes(self.low, self.starts, self.ends), {}
+        for n in np.unique(np.minimum(count[count > 0], window)):
+            grams = runs(h, int(n))
+            at = np.flatnonzero(item[: len(grams)] == item[int(n) - 1: int(n) - 1 + len(grams)])
+            at = at[np.minimum(count[item[at]], window) == n]
+            order = at[np.lexsort((at, grams[at]))]
+            # windows of one hash follow each other; the distinct ones among them are told apart by their words
+            heads, group = np.unique(grams[order], return_index=True)[1], np.zeros(len(order), np.int64)
+            group[heads] = 1
+            group = np.cumsum(group) - 1
+            several = np.flatnonzero(group[1:] == group[:-1]) + 1
+            odd = several[~self._equal(order[several], order[heads[group[several]]], int(n))]
+            if len(odd):  # two windows of one hash: never seen, so plainly
+                texts = [self.text(a, int(n)) for a in order]
+                order = order[sorted(range(len(order)), key=lambda k: (int(grams[order[k]]), texts[k], int(order[k])))]
+                texts = [self.text(a, int(n)) for a in order]
+                change = np.array([k == 0 or grams[order[k]] != grams[order[k - 1]] or texts[k] != texts[k - 1] for k in range(len(order))])
+                heads, group = np.flatnonzero(change), np.cumsum(change) - 1
+            held = np.unique(group * len(items) + item[order])
+            self.by_length[int(n)] = (grams[order[heads]], order[heads], np.searchsorted(held // max(len(items), 1), np.arange(len(heads) + 1)),
+                                      held % max(len(items), 1))
+
+    def text(self, at: int, n: int) -> bytes:
+        return b" ".join(self.low[self.starts[j]:self.ends[j]].tobytes() for j in range(at, at + n))
+
+    def _equal(self, a, b, n):
+        return np.array([self.text(x, n) == self.text(y, n) for x, y in zip(a, b, strict=True)], bool)
+
+
+def _hits(index: Windows, low, starts, ends, first):
+    """(document, first word, length, item numbers) of each verified window occurrence."""
+    h, of = span_hashes(low, starts, ends), owner(first, len(starts))
+    for n, (hashes, places, cut, held) in index.by_length.items():
         grams = runs(h, n)
         if not len(grams):
             continue
         marks = np.zeros(1 << 20, bool)
         marks[(hashes & np.uint64(0xFFFFF)).astype(np.int64)] = True
         at = np.flatnonzero(marks[(grams & np.uint64(0xFFFFF)).astype(np.int64)])
-        at = at[(owner[at] == owner[at + n - 1]) & np.isin(grams[at], hashes)]
-        for i in at:
+        at = at[of[at] == of[at + n - 1]]
+        lo, hi = np.searchsorted(hashes, grams[at], "left"), np.searchsorted(hashes, grams[at], "right")
+        for k in np.flatnonzero(lo < hi):
+            i = int(at[k])
             text = b" ".join(low[starts[j]:ends[j]].tobytes() for j in range(i, i + n))
-            if (ids := by[int(grams[i])].get(text)) is not None:
-                yield int(owner[i]), int(i), n, ids
+            for w in range(lo[k], hi[k]):
+                if index.text(int(places[w]), n) == text:
+                    yield int(of[i]), i, n, held[cut[w]:cut[w + 1]]
+                    break
 
 
 def _scan(index):
@@ -73,10 +100,10 @@ def _scan(index):
             hit_at: list[list[int]] = [[] for _ in range(docs)]
             hit_len: list[list[int]] = [[] for _ in range(docs)]
             items: list[set] = [set() for _ in range(docs)]
-            for d, i, n, ids in _hits(index.value, low, starts, ends, first):
+            for d, i, n, held in _hits(index.value, low, starts, ends, first):
                 hit_at[d].append(i)
                 hit_len[d].append(n)
-                items[d] |= ids
+                items[d].update(index.value.names[x] for x in held)
             spans, n_hit = [], []
             for d in range(docs):
                 if not hit_at[d]:
@@ -121,34 +148,42 @@ def _indexes(benchmark: DataFrame, window: int, slice_limit: int):
     """Broadcast windows of the benchmark, one after another, each from about ``slice_limit`` bytes of items."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n_slices = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // slice_limit))
+    if n_slices > 1:  # dealt by row, so that equal texts are spread
+        items = write_table(items.withColumn("row", F.monotonically_increasing_id()), "items")
     for k in range(n_slices):
-        own = items.filter(F.pmod(F.xxhash64("text"), F.lit(n_slices)) == k) if n_slices > 1 else items
+        own = items.filter(F.pmod(F.xxhash64("row"), F.lit(n_slices)) == k) if n_slices > 1 else items
         yield benchmark.sparkSession.sparkContext.broadcast(
-            window_index([(r["item_id"], r["text"]) for r in own.toLocalIterator()], window))
+            Windows([(r["item_id"], r["text"]) for r in own.toLocalIterator()], window)), k + 1 == n_slices
 
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                    window: int = WINDOW, slice_limit: int = SLICE_LIMIT) -> DataFrame:
-    """The rows, with all their columns, in which no window of the benchmark occurs."""
-    for index in _indexes(benchmark, window, slice_limit):
+    """The rows, with all their columns, in which no window of the benchmark occurs. Of several slices each but the
+    last is worked off at once, and its index released."""
+    for index, last in _indexes(benchmark, window, slice_limit):
         def clean(texts, index=index):
             found = np.ones(len(texts), bool)
             for d, _, _, _ in _hits(index.value, *_words_of(*buffer_of(texts))):
                 found[d] = False
             return found
         docs = filter_rows(docs, clean, text_col)
+        if not last:
+            docs = write_table(docs, "rows")
+            index.unpersist()
     return docs
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    window: int = WINDOW, slice_limit: int = SLICE_LIMIT) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, spans of hit words [start, end), and the items found (sorted)."""
-    rows = narrow(docs, id_col, text_col)
-    indexes = list(_indexes(benchmark, window, slice_limit))
-    if len(indexes) == 1:
-        return rows.mapInArrow(_scan(indexes[0]), SCHEMA).select(public_id(), "n_words", "n_hit", "spans", "items")
-    rows = write_table(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
-    parts = [rows.mapInArrow(_scan(index), SCHEMA + ", row long") for index in indexes]
+    rows, parts = narrow(docs, id_col, text_col), []
+    for index, last in _indexes(benchmark, window, slice_limit):
+        if last and not parts:
+            return rows.mapInArrow(_scan(index), SCHEMA).select(public_id(), "n_words", "n_hit", "spans", "items")
+        if not parts:
+            rows = write_table(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+        parts.append(write_table(rows.mapInArrow(_scan(index), SCHEMA + ", row long"), "hits"))
+        index.unpersist()
     merged = parts[0]
     for p in parts[1:]:
         merged = merged.unionByName(p)
