@@ -15,6 +15,7 @@ from ..functions import scalars as S
 
 KEY = ["channel_id", "month_key"]
 
+# Fixed names, in the order of the source data's columns.
 SEED_METRICS = [
     "average_viewers", "hours_watched", "hours_streamed", "followers", "followers_gained",
     "peak_viewers", "top_game", "top_game_hours", "top_game_pct", "game_count",

@@ -32,7 +32,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a scratch folder is
     set only when a local session has none (tests); a cluster must name one."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d and not spark.sparkContext.master.startswith("local["):
+    if not d and spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="panelkit-ckpt-", dir="/tmp")

@@ -14,7 +14,9 @@ sys_oracle = pytest.importorskip("duckdb")
 FAST = ["panel_full", "monthly_summary", "enrich_games", "cohort_ranks", "channel_stats",
         "top_channels_by_avg_viewers", "game_stats", "pie_top5_other", "payload_leaderboard",
         "payload_channel", "games_parse", "error_bursts", "zero_yield_cutoff", "ttl_latest",
-        "slug_fallback_join", "missingness", "validate_panel"]
+        "slug_fallback_join", "missingness", "validate_panel", "games_text_forms", "monthly_leaderboard",
+        "scan_stop_points", "games_pages_complete", "games_page_gaps", "phase1_record", "slug_lookup_outcomes",
+        "report_long", "rank_histogram", "low_coverage_months", "stream_dedupe", "stream_error_bursts_exact"]
 NAMES = list(ent.oracle_sql()) if os.environ.get("PANELKIT_ALL_QUERIES") else FAST
 
 
