@@ -46,10 +46,11 @@ def _rest(batches):
 
 def _split(parts: DataFrame, width: int) -> DataFrame:
     """Members of the subgroups (grp, part) with two documents or more, under the subgroup's
-    smallest doc_id; counts are combined on the map side, so a huge group is no huge task, and
-    the join back is a plain equi-join whose hot keys adaptive execution divides."""
-    found = (parts.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("sub"))
-             .filter("n > 1").drop("n"))
+    smallest doc_id; counts are combined on the map side, so a huge group is no huge task. They are
+    written, so that both sides of the join back are plain shuffles, whose hot keys adaptive
+    execution divides (it does not above an aggregate)."""
+    found = write_table(parts.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("sub"))
+                        .filter("n > 1").drop("n"), "radix")
     return parts.join(found, ["grp", "part"]).select(
         "doc_id", F.col("sub").alias("grp"), (F.octet_length("part") < width).alias("ended"))
 

@@ -145,10 +145,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows, restored = keyed(docs, id_col, text_col)
     rows = rows.drop("own")
     found = rows.mapInArrow(_occurrences(window, k), "node long, doc_id long, pos int, before long, after long")
-    nodes = (found.groupBy("node").agg(
+    # written, so that the join below is between plain shuffles, whose hot keys adaptive execution divides
+    nodes = write_table(found.groupBy("node").agg(
         F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.min("before").alias("b0"), F.max("before").alias("b1"),
         F.min("after").alias("a0"), F.max("after").alias("a1")).filter("source < last")
-        .select("node", "source", F.expr("b0 = b1").alias("one_before"), F.expr("a0 = a1").alias("one_after")))
+        .select("node", "source", F.expr("b0 = b1").alias("one_before"), F.expr("a0 = a1").alias("one_after")), "nodes")
     marks = (found.select("node", "doc_id", "pos").join(nodes, "node")
              .groupBy("doc_id").agg(F.collect_set(F.struct("pos", "source", "one_before", "one_after")).alias("marks")))
     spans = write_table(rows.join(marks.hint("merge"), "doc_id")
