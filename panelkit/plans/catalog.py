@@ -48,8 +48,7 @@ def q_month_spine(spark, d):
 
 @register("panel_scaffold", O.sql("SELECT * FROM scaffold", "scaffold"))
 def q_panel_scaffold(spark, d):
-    first, last = B.month_bounds(spark, d)
-    return SC.panel_scaffold(B.channels(spark, d), SC.month_sequence(first, last)).drop("month_start")
+    return SC.panel_scaffold(B.channels(spark, d), B.month_span(spark, d)).drop("month_start")
 
 
 @register("panel_full", O.sql("SELECT * FROM panel", "panel"))
@@ -86,8 +85,7 @@ FROM scaffold s
 LEFT JOIN seed_k k ON s.channel_id = k.channel_id AND s.month_key = k.month_key
 LEFT JOIN live_k l ON s.channel_id = l.channel_id AND s.month_key = l.month_key""", "scaffold", "seed_k", "live_k"))
 def q_panel_rank(spark, d):
-    first, last = B.month_bounds(spark, d)
-    sc = SC.panel_scaffold(B.channels(spark, d), SC.month_sequence(first, last))
+    sc = SC.panel_scaffold(B.channels(spark, d), B.month_span(spark, d))
     j = (sc.join(M.last_per_key(B.seed_rows(spark, d)), M.KEY, "left")
            .join(M.live_first_last(B.live_rows(spark, d)), M.KEY, "left"))
     return j.select("channel_id", "month_key",

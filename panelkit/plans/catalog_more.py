@@ -199,8 +199,7 @@ WHERE NOT EXISTS (SELECT 1 FROM seed_k k WHERE k.channel_id = s.channel_id AND k
   AND NOT EXISTS (SELECT 1 FROM live_k l WHERE l.live_has AND l.channel_id = s.channel_id
                   AND l.month_key = s.month_key)""", "scaffold", "seed_k", "live_k"))
 def q_missing_pairs(spark, d):
-    first, last = B.month_bounds(spark, d)
-    sc = SC.panel_scaffold(B.channels(spark, d), SC.month_sequence(first, last))
+    sc = SC.panel_scaffold(B.channels(spark, d), B.month_span(spark, d))
     live_vals = M.live_first_last(B.live_rows(spark, d)).where("live_has")
     return I.missing_pairs(sc, B.seed_rows(spark, d), live_vals).select("channel_id", "month_key")
 
@@ -215,8 +214,7 @@ SELECT s.channel_id, s.month_key FROM scaffold s
 WHERE NOT EXISTS (SELECT 1 FROM seed k WHERE k.channel_id = s.channel_id AND k.month_key = s.month_key)
   AND s.month_key NOT IN (SELECT month_key FROM months_done)""", "scaffold", "seed", "months_done"))
 def q_incremental_todo(spark, d):
-    first, last = B.month_bounds(spark, d)
-    sc = SC.panel_scaffold(B.channels(spark, d), SC.month_sequence(first, last))
+    sc = SC.panel_scaffold(B.channels(spark, d), B.month_span(spark, d))
     status = F.col("o_orderstatus")
     # done: months with more finished than open orders
     done_months = (table(spark, d, "orders", "o_orderdate", "o_orderstatus")
@@ -233,8 +231,7 @@ SELECT s.channel_id, s.month_key FROM scaffold s
 WHERE NOT EXISTS (SELECT 1 FROM seed k WHERE k.rank_position > 0 AND k.channel_id = s.channel_id
                   AND k.month_key = s.month_key)""", "scaffold", "seed"))
 def q_remaining_targets(spark, d):
-    first, last = B.month_bounds(spark, d)
-    sc = SC.panel_scaffold(B.channels(spark, d), SC.month_sequence(first, last))
+    sc = SC.panel_scaffold(B.channels(spark, d), B.month_span(spark, d))
     found = B.seed_rows(spark, d).where(F.col("rank_position") > 0).select("channel_id", "month_key")
     return sc.select("channel_id", "month_key").exceptAll(found.distinct())
 

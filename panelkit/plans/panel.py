@@ -113,10 +113,7 @@ def landed_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K,
 
     ``months``: month starts; only their span is read. Default is every month
     from the first to the last order month (scalar subqueries)."""
-    span = months
-    if span is None:
-        first, last = B.month_bounds(spark, sf_dir)
-        span = SC.month_sequence(first, last)
+    span = B.month_span(spark, sf_dir) if months is None else months
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     scaffold = SC.panel_scaffold(B.channels(spark, sf_dir), span, partitions=parts)
     # seed and live share one orders scan and one keyed aggregate, so the

@@ -90,10 +90,16 @@ def status_rows(spark: SparkSession, sf_dir: str, months=None) -> DataFrame:
 
 
 def month_bounds(spark: SparkSession, sf_dir: str) -> tuple:
-    """(first, last) month-start dates as scalar-subquery Columns (no join, no
-    collect), from one scan of the order dates."""
-    a = _orders_by_month(spark, sf_dir)
-    return a.select(F.min("ms")).scalar(), a.select(F.max("ms")).scalar()
+    """(first, last) month-start dates as Columns of one scalar subquery (no join, no
+    collect), a single scan of the order dates."""
+    both = _orders_by_month(spark, sf_dir).select(F.struct(F.min("ms").alias("lo"), F.max("ms").alias("hi"))).scalar()
+    return both["lo"], both["hi"]
+
+
+def month_span(spark: SparkSession, sf_dir: str):
+    """All month starts from the first to the last order month, as the array of one scalar subquery."""
+    from ..operators.scaffold import month_sequence
+    return _orders_by_month(spark, sf_dir).select(month_sequence(F.min("ms"), F.max("ms"))).scalar()
 
 
 def _seed_fields() -> list:
