@@ -180,10 +180,18 @@ def _encode_words(path: str):
 
 
 def lexicon(rows: DataFrame, tokenizer_path: str, kept: int = WORDS_KEPT) -> Lexicon:
-    """The ids of the corpus's ``kept`` most frequent words of those found twice or more; ties go to the smaller word."""
+    """The ids of the corpus's most frequent words, at most ``kept``, of those found twice or more. The least count that
+    is kept comes from a histogram of the counts (sixteen steps between a count and its double), so no task sorts them."""
     counts = rows.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n > 1")
-    top = counts.orderBy(F.desc("n"), "word").limit(kept).select("word")
-    found = [(bytes(r["word"]), bytes(r["ids"])) for r in top.repartition("word").mapInArrow(_encode_words(tokenizer_path), "word binary, ids binary").toLocalIterator()]
+    counts = write_table(counts.withColumn("step", F.floor(F.log2("n") * 16).cast("int")), "words")
+    least, room = None, kept
+    for r in sorted(counts.groupBy("step").count().collect(), reverse=True):  # at most 1,008 steps
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["step"]
+    top = counts.filter(F.col("step") >= F.lit(least)).select("word")
+    found = [(bytes(r["word"]), bytes(r["ids"])) for r in top.mapInArrow(_encode_words(tokenizer_path), "word binary, ids binary").toLocalIterator()]
     return Lexicon(tokenizer_path, [w for w, _ in found], [i for _, i in found])
 
 
