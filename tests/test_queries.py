@@ -74,7 +74,7 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in bursts
 
 
-PLAN_ONLY = [n for n in ent.queries() if not n.startswith("stream_")
+PLAN_ONLY = [n for n in catalog.QUERIES if not n.startswith("stream_")
              and n not in ("write_read_partitioned", "incremental_run", "cohort_ranks_range")]
 
 
