@@ -78,9 +78,10 @@ def enrich_games(panel: DataFrame, agg: DataFrame, overwrite: bool = False) -> D
 
     Denominator for the top share: the row's hours_streamed when > 0, else
     the total game hours. Without ``overwrite`` only null/blank cells are
-    filled; rows without a games result keep their values.
+    filled; rows without a games result keep their values. The join is a sorted merge, as in
+    :func:`merge.merge_sources`: a reader of the game lists alone makes it an inner join onto the scaffold.
     """
-    j = panel.join(agg.select(*KEY, *[F.col(c).alias(f"_n_{c}") for c in agg.columns if c not in KEY]),
+    j = panel.join(agg.select(*KEY, *[F.col(c).alias(f"_n_{c}") for c in agg.columns if c not in KEY]).hint("merge"),
                    KEY, "left")
     hs = F.col("hours_streamed")
     den = F.when(hs > 0, hs).otherwise(F.col("_n_total_hours"))

@@ -120,10 +120,13 @@ def merge_sources(
     * source: 'leaderboard' when a live row had a value, 'csv' when a seed row exists
     * status: from presence of metrics (``active_rule`` 'row_present' as the
       seed row counts even with all-null metrics, or 'any_metric') and rank.
+
+    A scaffold's rows are made by an ``explode``, which Spark's size estimate leaves out: a filter that makes
+    the join an inner one would let it broadcast the whole scaffold. The hints keep the joins sorted merges.
     """
-    j = scaffold.join(seed_k, KEY, "left")
+    j = scaffold.join(seed_k.hint("merge"), KEY, "left")
     if live_k is not None:
-        j = j.join(live_k, KEY, "left")
+        j = j.join(live_k.hint("merge"), KEY, "left")
     live_has = F.coalesce(F.col("live_has"), F.lit(False))
     has_seed = F.col("seed_rows").isNotNull()
     out = {}

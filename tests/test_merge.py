@@ -108,3 +108,23 @@ def test_keyed_sources_keeps_all_seed_fields(spark):
                  *[F.lit(None).cast(M._TYPES[c]).alias(c) for c in M.LIVE_METRICS]).alias("live_row"))
     got = M.keyed_sources(row).select("seed.top_game", "seed.follower_rank", "seed.followers", "seed_rank").first()
     assert tuple(got) == ("Chess", 7, None, 3)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_filter_never_broadcasts_the_scaffold(spark):
+    """A size estimate leaves out the months of a scaffold: an inner join must not build its hash table from it."""
+    from panelkit.operators import games as G
+    keyed = M.last_per_key(spark.createDataFrame([(2, "2024march", 0, 10, 1.0, 1.0, 5)], SEED)).withColumns(
+        {"live_rank": F.lit(None).cast("bigint"), "live_has": F.lit(False),
+         "live": F.struct(*[F.lit(None).cast(M._TYPES[f]).alias(f) for f in M.LIVE_METRICS])})
+    panel = M.merge_sources(scaffold(spark), keyed, None)
+    assert "BuildLeft" not in plan_of(panel.where("rank is not null").select("channel_id"))
+    agg = G.games_agg(spark.createDataFrame([(2, "2024march", "G", 1.0, 1, 1.0, 1.0, 1)],
+                                            "channel_id bigint, month_key string, game string, hours double, "
+                                            "peak_viewers bigint, avg_viewers double, view_minutes double, pos bigint"))
+    played = G.enrich_games(panel, agg).select(F.explode("all_games").alias("g"))
+    assert "BuildLeft" not in plan_of(played)
+    assert played.count() == 1
