@@ -88,6 +88,22 @@ def panel_scaffold(channels: DataFrame, months: Column | list[_dt.date],
             .select(*channels.columns, *month_columns(F.col("month_start"))))
 
 
+def scaffold_except(channels: DataFrame, months: Column | list[_dt.date], found: DataFrame) -> DataFrame:
+    """(channel_id, month_key) of the scaffold without those in ``found``, each taken away once:
+    ``scaffold EXCEPT ALL SELECT DISTINCT found``, a null channel being one like any other.
+
+    Channels and found keys meet as one row per channel, with its number of rows and its found months (as many
+    as the calendar has), and the scaffold is made from these rows: none of its rows is shuffled or kept."""
+    rows = channels.select("channel_id", F.lit(1).alias("_rows"), F.lit(None).cast("string").alias("_month")).unionByName(
+        found.select("channel_id", F.lit(0).alias("_rows"), F.col("month_key").alias("_month")))
+    per = rows.groupBy("channel_id").agg(F.sum("_rows").alias("_rows"), F.collect_set("_month").alias("_found")).where("_rows > 0")
+    scaffold = panel_scaffold(per, months)
+    left = F.col("_rows") - F.array_contains("_found", F.col("month_key")).cast("int")
+    once = scaffold.select("channel_id", "month_key", left.alias("_left")).where("_left > 0")
+    many = F.sequence(F.lit(1), "_left")
+    return once.select("channel_id", "month_key", F.explode(many).alias("_i")).drop("_i")
+
+
 def channel_month_domain(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct channels and distinct months of a frame."""
     return (panel.select("channel_id").distinct(),

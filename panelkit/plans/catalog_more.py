@@ -231,9 +231,8 @@ SELECT s.channel_id, s.month_key FROM scaffold s
 WHERE NOT EXISTS (SELECT 1 FROM seed k WHERE k.rank_position > 0 AND k.channel_id = s.channel_id
                   AND k.month_key = s.month_key)""", "scaffold", "seed"))
 def q_remaining_targets(spark, d):
-    sc = SC.panel_scaffold(B.channels(spark, d), B.month_span(spark, d))
     found = B.seed_rows(spark, d).where(F.col("rank_position") > 0).select("channel_id", "month_key")
-    return sc.select("channel_id", "month_key").exceptAll(found.distinct())
+    return SC.scaffold_except(B.channels(spark, d), B.month_span(spark, d), found)
 
 
 O.CTES["fallback_rows"] = """

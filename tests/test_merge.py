@@ -128,3 +128,16 @@ def test_a_filter_never_broadcasts_the_scaffold(spark):
     played = G.enrich_games(panel, agg).select(F.explode("all_games").alias("g"))
     assert "BuildLeft" not in plan_of(played)
     assert played.count() == 1
+
+
+def test_scaffold_except_is_except_all(spark):
+    """Channels may repeat or be null: of a key's rows one goes for a found key, as EXCEPT ALL of distinct keys has it."""
+    ch = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "n"), (None, "n"), (4, "d")], "channel_id bigint, channel_name string")
+    months = [dt.date(2024, 3, 1), dt.date(2024, 4, 1)]
+    found = spark.createDataFrame([(1, "2024march"), (1, "2024march"), (2, "2024april"), (None, "2024april"), (9, "2024march"), (4, None)],
+                                  "channel_id bigint, month_key string")
+    out = SC.scaffold_except(ch, months, found)
+    want = SC.panel_scaffold(ch, months).select("channel_id", "month_key").exceptAll(found.distinct())
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    plan = plan_of(out)
+    assert "Exchange" not in plan[:plan.index("Generate explode([")]  # nothing made of the scaffold is shuffled
