@@ -9,7 +9,9 @@ parentheses and sets from dicts, and every token is written out as JSON. A text
 breaks the grammar gives null; nothing is guessed.
 
 The work is linear in the tokens but for the strings that the folds grow, which hold one
-character a token. Texts that are JSON already are not tokenised.
+character a token. Texts that are JSON already are not tokenised, nor are plain ones: lists and
+wrappers of flat tuples, lists and dicts whose strings hold no escape, quote or control character are written out
+as JSON by a fixed number of regexes over the whole text (:func:`_plain`), with the same result.
 
 A list, and a tuple inside a list or tuple, becomes a JSON array. Any other tuple becomes
 ``{"tuple": [...]}`` and a set ``{"set": [...]}``, so that a reader that asks for a list
@@ -149,13 +151,56 @@ def _unit(x: Column, i: Column) -> Column:
             .when(kind == "-", F.when((x == "-") & ~F.coalesce(F.get("_kind", i + 2) == ":", F.lit(False)), "-").otherwise("")))
 
 
+# --- plain texts: no tokens, no folds ---------------------------------------------------
+
+_S = "\x01"  # stands for a string in the outline of a plain text
+_PLAIN_STRING = r"[uUrR]?(?:'([^'\"\\\x00-\x1f]*+)'|\"([^\"\\\x00-\x1f]*+)\")"
+_ANY_PLAIN = r"[uUrR]?(?:'[^'\"\\\x00-\x1f]*+'|\"[^\"\\\x00-\x1f]*+\")"
+_ATOM = (r"(?<![\w.])(?:-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+|None|True|False)(?![\w.])")
+
+
+def _outline(text: Column) -> Column:
+    """A text with every string as one character and every other scalar as ``0``, without blanks, its flat
+    tuples, dicts and lists as ``T``, ``D`` and ``L``; comments are gone already."""
+    out = F.regexp_replace(F.regexp_replace(text, _ANY_PLAIN, _S), _ATOM, "0")
+    out = F.regexp_replace(out, r"\s++", "")
+    out = F.when(out.rlike(r"^[\[\](){},:0\x01]*+$"), out)
+    out = F.regexp_replace(out, r"\((?:[0\x01],)++[0\x01]?+\)", "T")
+    out = F.regexp_replace(out, r"\{(?:\x01:[0\x01],)*+(?:\x01:[0\x01])?+\}", "D")
+    out = F.regexp_replace(out, r"\[(?:[0\x01],)*+[0\x01]?+\]", "L")
+    return F.regexp_replace(out, r"\[(?:[0\x01TDL],)*+[0\x01TDL]?+\]", "L")
+
+
+def _outside(text: Column, found: str, put: str) -> Column:
+    """``found`` replaced wherever it is outside the strings, which are all in double quotes."""
+    return F.regexp_replace(text, rf'\G((?:"[^"]*+"|(?!{found})[^"])*+)(?:{found})', "$1" + put)
+
+
+def _plain(text: Column) -> Column:
+    """The JSON of a plain text that is not JSON, else null; what it leaves goes through tokens and folds.
+
+    Until its first quote that opens no plain string, a text is cut as by TOKEN; that quote stays in the outline,
+    which has none, as strings next to each other, identifiers and unmatched brackets do."""
+    bare = F.regexp_replace(text, rf"({_ANY_PLAIN})|#[^\n]*+", "$1 ")
+    top = r"^(?:[LD]|\{(?:\x01:[0\x01LD],)*+(?:\x01:[0\x01LD])?+\})$"
+
+    def written(v):
+        out = F.regexp_replace(v, _PLAIN_STRING, '"$1$2"')
+        out = F.regexp_replace(out, r'("[^"]*+")|\s++', "$1")
+        for found, put in ((r"\(", "["), (r"\)", "]"), ("None", "null"), ("True", "true"), ("False", "false"), (r",(?=[\])}])", "")):
+            out = _outside(out, found, put)
+        return out
+    return _let(F.when(~text.contains(_S), bare), lambda v: F.when(_outline(v).rlike(top), written(v)))
+
+
 def with_json_text(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with column ``out``: the JSON of a text that is JSON or a Python literal (lists and dicts at the
     top), null for blank, broken or unread text."""
     rows = pinned(df, "_t", py_strip(F.col(text)))
     rows = pinned(rows, "_json", F.coalesce(is_json(F.col("_t")), F.lit(False)))
+    rows = pinned(rows, "_flat", F.when(~F.col("_json") & F.col("_t").rlike(r"^[\[{]"), _plain(F.col("_t"))))
     rows = pinned(rows, "_tok", F.when(
-        ~F.col("_json") & (F.col("_t") != "") & (F.regexp_replace(F.col("_t"), rf"{TOKEN}|\s", "") == ""),
+        ~F.col("_json") & F.col("_flat").isNull() & (F.col("_t") != "") & (F.regexp_replace(F.col("_t"), rf"{TOKEN}|\s", "") == ""),
         F.filter(F.regexp_extract_all(F.col("_t"), F.lit(TOKEN), F.lit(0)), lambda x: ~x.startswith("#"))))
     rows = pinned(rows, "_kind", F.transform("_tok", _kind))
     rows = rows.withColumn("_kind", F.when(~F.array_join("_kind", "").rlike(_BROKEN), F.col("_kind")))
@@ -168,6 +213,7 @@ def with_json_text(df: DataFrame, text: str, out: str) -> DataFrame:
     rows = pinned(rows, "_body", F.when(F.col("_code").isNotNull(), bodies))
     rows = pinned(rows, "_str", F.transform("_body", lambda v, i: F.when(v.isNotNull(), _string(v, F.get("_tok", i).rlike("^[rR]")))))
     rows = pinned(rows, "_parts", F.when(F.col("_code").isNotNull(), F.transform("_tok", _unit)))
-    literal = F.when(~F.exists("_parts", lambda p: p.isNull()), F.array_join("_parts", ""))
-    json = F.when(F.col("_json"), F.col("_t")).otherwise(F.when(is_json(literal), literal))
-    return pinned(rows, out, json).drop("_t", "_json", "_tok", "_kind", "_fold", "_code", "_body", "_str", "_parts")
+    folded = F.when(~F.exists("_parts", lambda p: p.isNull()), F.array_join("_parts", ""))
+    rows = pinned(rows, "_lit", F.coalesce(F.col("_flat"), folded))
+    json = F.when(F.col("_json"), F.col("_t")).otherwise(F.when(is_json(F.col("_lit")), F.col("_lit")))
+    return pinned(rows, out, json).drop("_t", "_json", "_flat", "_lit", "_tok", "_kind", "_fold", "_code", "_body", "_str", "_parts")

@@ -336,10 +336,12 @@ def parse_games_text(df: DataFrame, col: str, keep: list[str], dict_zero_as_miss
     alias (and so to missing), like a Python ``or`` chain."""
     texts = with_json_text(df.select(*keep, F.col(col).alias("_text")), "_text", "_j")
     items = texts.select(*keep, F.posexplode(F.from_json(_games_list(F.col("_j")), "array<string>")).alias("p0", "item"))
-    arr = F.from_json("item", "array<string>")
-    obj = F.from_json("item", "map<string,string>")
-    pick = py_or if dict_zero_as_missing else (lambda m, ks: F.coalesce(*[m[k] for k in ks]))
+    # an item is parsed once, as what it starts like
     is_arr = F.col("item").startswith("[")
+    items = S.pinned(items, "_arr", F.when(is_arr, F.from_json("item", "array<string>")))
+    items = S.pinned(items, "_obj", F.when(~is_arr, F.from_json("item", "map<string,string>")))
+    arr, obj = F.col("_arr"), F.col("_obj")
+    pick = py_or if dict_zero_as_missing else (lambda m, ks: F.coalesce(*[m[k] for k in ks]))
     game = F.when(is_arr, F.get(arr, 0)).otherwise(pick(obj, ["game", "title", "name"]))
     hours = F.when(is_arr, F.try_element_at(arr, F.lit(2))).otherwise(pick(obj, ["hours", "streamtime"]))
     avg = F.when(is_arr, F.try_element_at(arr, F.lit(4))).otherwise(pick(obj, ["avg_viewers", "avgviewers"]))

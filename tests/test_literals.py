@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from panelkit.functions import literals as L
 from panelkit.functions.literals import with_json_text
 from panelkit.sources import payloads as PL
 
@@ -132,3 +133,21 @@ def test_long_text_and_no_python(spark):
     assert out.agg(F.count(F.lit(1)), F.sum("hours")).first() == (3000, sum(i + 0.5 for i in range(3000)))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+PLAIN = ["[('Go', 1.5, -2, None, True,), ('#x(,)', 0, 1e5, False, 'None'),]", "{'rows': [], 'data': [  # it's (one\n ('a', 1),],}",
+         """[{'title': None, "game": "Brand#13", u'hours': 2.0, 'live': False,}, [1, 'b'], 'c',]""", "{'a': {'b': 1}, 'c': [None,],}", "{'a': 'None,)'}"]
+OTHER = ["['it\\'s', 1,]", "['''a''', 1,]", "['a' 'b',]", "[('a')]", "[()]", "['a, 1]", "[1 2,]", "[007,]", "[0x1F,]", "[- 5,]", "['\"',]", "[x,]", "[s,]",
+         "[\x01,]", "[\"it's\", \"# x\",]", "[None.,]", "{None: 1,}", "[{'a': (1, 2)},]", "['''# x\n''',]", "[1,,]", "[,]", "(1, 2)", "[T,]", "[b'a',]",
+         "['é', {'k': [1,],},]", "[1.,]", "[1_0,]", "[--1,]", "['\t',]", "[True False,]", "[('a',) 'b']", "['\x01', None]"]
+
+
+def test_plain_texts_are_read_as_by_folds(spark, monkeypatch):
+    """Plain texts need no tokens; every text has the JSON that tokens and folds give it."""
+    df = spark.createDataFrame([(t,) for t in PLAIN + OTHER + ["[" + "('ab', 1.5, None), " * 20000 + "]"]], "t string")
+    fast = {r["t"]: (r["p"], r["j"]) for r in L.with_json_text(df, "t", "j").withColumn("p", L._plain(F.col("t"))).collect()}
+    assert all(fast[t][0] is not None for t in PLAIN)
+    assert all(p is None or p == j for p, j in fast.values())
+    monkeypatch.setattr(L, "_plain", lambda text: F.lit(None).cast("string"))
+    short = df.where(F.length("t") < 1000)
+    assert {r["t"]: r["j"] for r in L.with_json_text(short, "t", "j").collect()} == {t: j for t, (_, j) in fast.items() if len(t) < 1000}
