@@ -39,7 +39,8 @@ def cohort_ranks(df: DataFrame, metrics: dict[str, str] = COHORT_RANKS,
     (cohort, metric, value, number), dealt out by equal depth; a window ranks them within
     their part, and one row per (cohort, metric, part) holds the rows before the part and
     how many of them tie with its first value. The ranks are pivoted back to one row per
-    number and joined with the written rows: the only shuffle of whole rows.
+    number and joined with the written rows that have a value: the only shuffle of whole rows.
+    Rows without any, as most of a gap-free panel, take the last places of their cohort unshuffled.
     """
     metrics = {m: r for m, r in metrics.items() if m in df.columns}
     if not metrics:
@@ -66,7 +67,9 @@ def cohort_ranks(df: DataFrame, metrics: dict[str, str] = COHORT_RANKS,
     ranks = placed.join(stats.select(*part, "_before", "_top", "_tied"), part).select("_row", "_i", place.alias("_place"))
     back = ranks.groupBy("_row").agg(*[F.max(F.when(F.col("_i") == i, F.col("_place"))).alias(f"_p{i}") for i in range(len(names))])
     totals = stats.groupBy(*keys).agg(*[F.sum(F.when(F.col("_i") == i, F.col("_n"))).alias(f"_n{i}") for i in range(len(names))])
-    out = wide.join(back, "_row", "left").join(totals, keys, "left")
+    ranked = ~no_cohort & S.any_not_null(*value.values())
+    bare = wide.where(~ranked).withColumns({f"_p{i}": F.lit(None).cast("bigint") for i in range(len(names))})
+    out = wide.where(ranked).join(back, "_row", "left").unionByName(bare).join(totals, keys, "left")
     last = {i: F.coalesce(F.col(f"_n{i}"), F.lit(0)) + 1 for i in range(len(names))}
     made = {r: F.when(no_cohort, 0).otherwise(F.coalesce(F.col(f"_p{i}"), last[i])).cast("bigint").alias(r) for i, r in enumerate(metrics.values())}
     kept = [made.pop(c) if c in made else F.col(c) for c in df.columns]

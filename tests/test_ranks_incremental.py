@@ -360,3 +360,16 @@ def test_report_scans_the_panel_once(spark):
         assert rows(found[name].select(*want.columns)) == rows(want), name
     empty = RP.report_long(panel.limit(0))
     assert {r["value"] for r in empty.where("section = 'overview' and item <> 'columns_seen'").collect()} == {0.0}
+
+
+def test_rows_without_values_take_last_places_unshuffled(spark):
+    """Rows without any ranked value, or without a cohort, do not go through the join of whole rows."""
+    from panelkit.operators import ranks as RK
+    schema = "id bigint, year bigint, month string, average_viewers double, peak_viewers bigint, followers bigint, followers_gained bigint"
+    data = [(1, 2024, "may", 5.0, None, 7, None), (2, 2024, "may", 5.0, None, None, None), (3, 2024, "may", float("nan"), None, None, None),
+            (4, 2024, "may", None, None, None, None), (5, 2024, "june", None, None, None, None), (6, None, "may", 9.0, 9, 9, 9), (7, 2024, None, None, None, None, None)]
+    out = RK.cohort_ranks(spark.createDataFrame(data, schema))
+    got = {r["id"]: tuple(r[c] for c in RK.COHORT_RANKS.values()) for r in out.collect()}
+    assert got == {1: (1, 1, 1, 1), 2: (1, 1, 2, 1), 3: (3, 1, 2, 1), 4: (3, 1, 2, 1), 5: (1, 1, 1, 1), 6: (0, 0, 0, 0), 7: (0, 0, 0, 0)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan
