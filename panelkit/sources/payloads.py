@@ -53,9 +53,11 @@ _ENVELOPE = "struct<" + ",".join(f"{k}:array<string>" for k in ENVELOPE_KEYS) +
 
 def envelope_items(payload: Column) -> Column:
     """JSON text -> array of item texts: a bare list, or the first envelope key
-    holding a list (keys holding objects are skipped)."""
+    holding a list (keys holding objects are skipped). Text that does not begin
+    as a list is not read as one: a failed parse costs more than a read page."""
     env = F.from_json(payload, _ENVELOPE)
-    return F.coalesce(F.from_json(payload, "array<string>"), *[env[k] for k in ENVELOPE_KEYS])
+    bare = F.when(payload.rlike(r"\A[ \t\r\n]*\["), F.from_json(payload, "array<string>"))
+    return F.coalesce(bare, *[env[k] for k in ENVELOPE_KEYS])
 
 
 def _truthy(v: Column) -> Column:
@@ -145,7 +147,7 @@ def land_games_pages(games: DataFrame, page_size: int = 10) -> DataFrame:
     pages = g.groupBy("channel_id", "month_key", "page").agg(
         F.max("records_total").alias("recordsTotal"),
         F.collect_list(F.struct("pos", item.alias("it"))).alias("r"))
-    arr = F.transform(F.array_sort("r"), lambda x: x["it"])
+    arr = F.sort_array("r")["it"]
     return pages.select("channel_id", "month_key", "page",
                         F.to_json(F.struct("recordsTotal", arr.alias("data"))).alias("payload"))
 
@@ -178,22 +180,20 @@ def games_page_gaps(pages: DataFrame, page_size: int = 100) -> DataFrame:
 
 
 def _games_items(pages: DataFrame) -> DataFrame:
-    """Items of the landed pages, each page once (:func:`newest_pages`)."""
-    pages = newest_pages(pages)
-    items = pages.select("channel_id", "month_key", "page",
-                         F.get_json_object("payload", "$.recordsTotal").try_cast("bigint").alias("records_total"),
-                         F.posexplode(envelope_items(F.col("payload"))).alias("idx", "item"))
-    return items.withColumn("m", F.from_json("item", "map<string,string>")).where(F.col("m").isNotNull())
+    """Items of the landed pages, each page once (:func:`newest_pages`) and each item parsed once."""
+    total = F.get_json_object("payload", "$.recordsTotal").try_cast("bigint")
+    pages = S.pinned(newest_pages(pages), "records_total", total)  # once per page, not per item
+    items = pages.select("channel_id", "month_key", "page", "records_total", F.posexplode(envelope_items(F.col("payload"))).alias("idx", "item"))
+    return S.pinned(items, "m", F.from_json("item", "map<string,string>")).where(F.col("m").isNotNull())
 
 
 def read_games(pages: DataFrame) -> DataFrame:
     """Games pages -> (channel_id, month_key, page, idx, game, hours, peak_viewers,
     avg_viewers, view_minutes): name = text before the first '|' of the first
     non-blank name field; hours = minutes / 60 to 2 decimals (0 when missing)."""
-    it = _games_items(pages)
     m = F.col("m")
-    raw = S.first_nonempty(*[m[k] for k in GAME_NAME_KEYS])
-    game = F.when(raw != "", S.py_strip(F.split_part(raw, F.lit("|"), F.lit(1))))
+    it = S.pinned(_games_items(pages), "_raw", S.first_nonempty(*[m[k] for k in GAME_NAME_KEYS]))
+    game = F.when(F.col("_raw") != "", S.py_strip(F.split_part("_raw", F.lit("|"), F.lit(1))))
     return it.select(
         "channel_id", "month_key", "page", (F.col("idx") + 1).cast("bigint").alias("idx"),
         game.alias("game"),
@@ -207,10 +207,9 @@ def read_games(pages: DataFrame) -> DataFrame:
 def read_games_ingest(pages: DataFrame) -> DataFrame:
     """Ingest layout: blank name -> 'Unknown', missing numbers -> 0, viewers
     truncated to integers, view minutes -> hours watched (2 dp)."""
-    it = _games_items(pages)
     m = F.col("m")
-    raw = F.coalesce(_truthy(m["gamesplayed"]), F.lit(""))
-    game = F.when(raw != "", S.py_strip(F.split_part(raw, F.lit("|"), F.lit(1)))).otherwise(F.lit("Unknown"))
+    it = S.pinned(_games_items(pages), "_raw", F.coalesce(_truthy(m["gamesplayed"]), F.lit("")))
+    game = F.when(F.col("_raw") != "", S.py_strip(F.split_part("_raw", F.lit("|"), F.lit(1)))).otherwise(F.lit("Unknown"))
 
     def num(k):
         return F.coalesce(S.clean_number(_truthy(m[k]), strip_commas=False), F.lit(0.0))
