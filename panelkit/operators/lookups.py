@@ -42,16 +42,27 @@ def enrich_created(panel: DataFrame, users: DataFrame) -> DataFrame:
     Rows that need nothing or have no login take part under a spread value that no login
     has, so they do not meet in one task.
     """
+    return fill_created(attach_created(panel, users))
+
+
+def attach_created(rows: DataFrame, users: DataFrame, only_blank: bool = True) -> DataFrame:
+    """``rows`` with the date found for their login as ``_created_at``: the join of :func:`enrich_created`. Where the login
+    is the channel's, it is done on the channels (without ``only_blank``, as they have no date yet), before the scaffold is
+    made from them: a row per channel is shuffled by its login, instead of one per channel and month."""
     u = (users.where(F.col("login").isNotNull() & (F.col("login") != "") & ~S.blank(F.col("created_at")))
               .groupBy(F.lower(F.col("login")).alias("_login"))
               .agg(F.max("created_at").alias("_created_at")))
-    login = slug_column(panel)
-    plain = [f.name for f in panel.schema.fields if f.dataType.typeName() not in ("array", "struct", "map", "variant")]
+    login = slug_column(rows)
+    plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("array", "struct", "map", "variant")]
     nothing = F.concat(F.lit("\0"), F.xxhash64(*[F.col(c) for c in plain]).cast("string"))
-    j = panel.withColumn("_login", F.when(S.blank(F.col("created")) & (login != ""), login).otherwise(nothing)).join(u, "_login", "left")
-    return (j.withColumn("created", F.when(S.blank(F.col("created")) & F.col("_created_at").isNotNull(),
-                                           F.col("_created_at")).otherwise(F.col("created")))
-             .drop("_login", "_created_at"))
+    needs = (S.blank(F.col("created")) & (login != "")) if only_blank else login != ""
+    return rows.withColumn("_login", F.when(needs, login).otherwise(nothing)).join(u, "_login", "left").drop("_login")
+
+
+def fill_created(panel: DataFrame) -> DataFrame:
+    """Blank ``created`` from ``_created_at`` (see :func:`attach_created`)."""
+    found = F.when(S.blank(F.col("created")) & F.col("_created_at").isNotNull(), F.col("_created_at")).otherwise(F.col("created"))
+    return panel.withColumn("created", found).drop("_created_at")
 
 
 def slug_fallback_join(rows: DataFrame, lookup: DataFrame, value_cols: list[str],

@@ -112,6 +112,7 @@ def merge_sources(
     live_k: DataFrame | None,
     top_k: int = S.DEFAULT_TOP_K,
     active_rule: str = "row_present",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Attach seed and live values to the scaffold, field by field.
 
@@ -120,6 +121,7 @@ def merge_sources(
     * source: 'leaderboard' when a live row had a value, 'csv' when a seed row exists
     * status: from presence of metrics (``active_rule`` 'row_present' as the
       seed row counts even with all-null metrics, or 'any_metric') and rank.
+    * ``keep``: further columns of the scaffold, after PANEL_COLUMNS.
 
     A scaffold's rows are made by an ``explode``, which Spark's size estimate leaves out: a filter that makes
     the join an inner one would let it broadcast the whole scaffold. The hints keep the joins sorted merges.
@@ -150,5 +152,5 @@ def merge_sources(
         rank.alias("rank"),
         *[out[f].alias(f) for f in SEED_METRICS],
         S.panel_status(has_metrics, rank, top_k).alias("status"),
-        source.alias("source"),
-    ).select(*PANEL_COLUMNS)
+        source.alias("source"), *keep,
+    ).select(*PANEL_COLUMNS, *keep)

@@ -57,10 +57,13 @@ def enrich_panel(panel: DataFrame, games: DataFrame, users: DataFrame | None = N
     dates. ``games`` holds one row per (channel, month, game); ``order`` is its
     source order (default ``pos``). ``status_filter`` keeps only the panel's rows of
     these statuses; without ``with_lists`` no list is collected or returned, and of
-    the game lists only ``lists`` are filled (see :func:`games.games_agg`)."""
+    the game lists only ``lists`` are filled (see :func:`games.games_agg`). A panel whose
+    channels have been looked up already (:func:`lookups.attach_created`) needs no ``users``."""
     if status_filter:
         panel = E.status_filter(panel, status_filter)
     out = G.enrich_games(panel, G.games_agg(games, with_lists=with_lists, order=order, lists=lists), overwrite=overwrite)
+    if "_created_at" in out.columns:
+        return E.fill_created(out)
     return E.enrich_created(out, users) if users is not None else out
 
 
@@ -108,35 +111,41 @@ def add_games(fact: DataFrame, games_pages: DataFrame) -> DataFrame:
 
 
 def landed_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K,
-                 active_rule: str = "row_present", months: list[dt.date] | None = None) -> DataFrame:
+                 active_rule: str = "row_present", months: list[dt.date] | None = None,
+                 look_up_created: bool = False) -> DataFrame:
     """Panel of the landed tables.
 
     ``months``: month starts; only their span is read. Default is every month
-    from the first to the last order month (scalar subqueries)."""
+    from the first to the last order month (scalar subqueries). With ``look_up_created``
+    the channels' creation dates are looked up, one by channel, and kept as ``_created_at``
+    for :func:`enrich_panel` to fill in."""
     span = B.month_span(spark, sf_dir) if months is None else months
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    scaffold = SC.panel_scaffold(B.channels(spark, sf_dir), span, partitions=parts)
+    channels = B.channels(spark, sf_dir)
+    if look_up_created:
+        channels = E.attach_created(channels, B.users(spark, sf_dir), only_blank=False)
+    scaffold = SC.panel_scaffold(channels, span, partitions=parts)
     # seed and live share one orders scan and one keyed aggregate, so the
     # scaffold is joined once
     keyed = M.keyed_sources(B.tagged_sources(spark, sf_dir, months))
-    return M.merge_sources(scaffold, keyed, None, top_k=top_k, active_rule=active_rule)
+    return M.merge_sources(scaffold, keyed, None, top_k=top_k, active_rule=active_rule,
+                           keep=("_created_at",) if look_up_created else ())
 
 
 def enriched_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K, overwrite: bool = False,
                    status_filter: list[str] | None = None, with_lists: bool = True,
                    lists: tuple[str, ...] = G.LISTS) -> DataFrame:
     """Landed panel + games features (fill blanks / overwrite) + created lookups."""
-    return enrich_panel(landed_panel(spark, sf_dir, top_k=top_k), B.games_rows(spark, sf_dir, with_pos=False),
-                        B.users(spark, sf_dir), overwrite=overwrite, order=B.games_order(), status_filter=status_filter,
+    return enrich_panel(landed_panel(spark, sf_dir, top_k=top_k, look_up_created=True), B.games_rows(spark, sf_dir, with_pos=False),
+                        overwrite=overwrite, order=B.games_order(), status_filter=status_filter,
                         with_lists=with_lists, lists=lists)
 
 
 def final_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K) -> DataFrame:
     """Enriched panel with the four cohort ranks recomputed per (year, month).
     Enrichment changes no ranked metric, so the narrower panel is ranked first."""
-    ranked = R.cohort_ranks(landed_panel(spark, sf_dir, top_k=top_k))
-    return enrich_panel(ranked, B.games_rows(spark, sf_dir, with_pos=False), B.users(spark, sf_dir),
-                        order=B.games_order())
+    ranked = R.cohort_ranks(landed_panel(spark, sf_dir, top_k=top_k, look_up_created=True))
+    return enrich_panel(ranked, B.games_rows(spark, sf_dir, with_pos=False), order=B.games_order())
 
 
 def write_panel(panel: DataFrame, path: str) -> None:
