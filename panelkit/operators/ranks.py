@@ -124,7 +124,9 @@ def bucketed_leaderboard(df: DataFrame, metric: str, partition: list[str], key:
     named = {c: F.coalesce(F.col(c), none) for c in order}
     above = _rows_above(sizes, partition, order, "_t", "_off").withColumns(named)
     local = Window.partitionBy(*partition, *order).orderBy(v.desc_nulls_last(), F.col(key))
+    # the window has dealt out and sorted the rows by these keys, so a sorted merge moves the counts alone, which a
+    # broadcast would bring to the driver
     return (rows.withColumns(named).withColumn("_at", F.row_number().over(local))
-            .join(above, [*partition, *order], "left")
+            .join(above.hint("merge"), [*partition, *order], "left")
             .select(*[F.col(c) for c in df.columns if c != rank_col],
                     (F.col("_off") + F.col("_at")).cast("bigint").alias(rank_col)))
