@@ -85,15 +85,16 @@ class KeyedState:
         return self.merge(rows) if self.merge else rows.dropDuplicates(list(self.keys))
 
     def append(self, rows: DataFrame, batch: int) -> None:
-        """The rows of a batch, in one file a bucket; then a compaction, if one is due."""
-        self.bucketed(rows).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/delta/{BATCH}={batch}")
+        """The rows of a batch, in one file a bucket; then a compaction, if one is due. No more tasks than buckets: the plan of a
+        micro-batch is not adaptive, and each empty task reports to the driver."""
+        self.bucketed(rows).repartition(self.buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/delta/{BATCH}={batch}")
         if batch % self.compact_every == self.compact_every - 1:
             self.compact(rows.sparkSession, rows.schema, batch)
 
     def compact(self, spark: SparkSession, schema: StructType, batch: int) -> None:
         """Merge all batches up to ``batch`` into a snapshot, and note it."""
         whole = self.bucketed(self.read(spark, schema, before=batch + 1, snapshot_before=batch)).withColumn(BATCH, F.lit(batch))
-        whole.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/snapshot/upto={batch}")
+        whole.repartition(self.buckets, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/snapshot/upto={batch}")
         self._note(spark, batch)
 
     def _note(self, spark: SparkSession, batch: int) -> None:
