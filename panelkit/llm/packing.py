@@ -101,16 +101,25 @@ def _count(batches):
         yield pa.record_batch([counted.field("values").cast(pa.binary()), counted.field("counts")], ["word", "n"])
 
 
+def _column(values) -> pa.Array:
+    """One Arrow array of binary values, from a list or a column in chunks."""
+    if isinstance(values, pa.ChunkedArray):
+        return pa.concat_arrays(values.chunks).cast(pa.large_binary()) if values.num_chunks else pa.array([], pa.large_binary())
+    return pa.array(values, pa.large_binary())
+
+
 class Lexicon:
-    """Ids of some words: ``words`` (an Arrow array), and their ids as one array cut by ``first``."""
+    """Ids of some words: ``words`` (an Arrow array), and their ids as one array cut by ``first``. The words and their ids,
+    as little-endian bytes, may come as Arrow columns: no object is made per word."""
 
-    def __init__(self, path: str, found: list[bytes] = (), ids: list[bytes] | None = None):
+    def __init__(self, path: str, found=(), ids=None):
         self.path = path
-        self.words = pa.array(found, pa.large_binary())
+        self.words = _column(found)
         if ids is None:
-            self.ids, self.first = _encoded(load(path), list(found))
+            self.ids, self.first = _encoded(load(path), self.words.to_pylist())
         else:
-            self.ids, self.first = np.frombuffer(b"".join(ids), np.uint32), np.r_[0, np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)]
+            blob, cuts = buffer_of(_column(ids))
+            self.ids, self.first = blob.view(np.uint32), cuts // 4
 
     def lookup(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first, length) of each word, encoding those that are not kept."""
@@ -191,8 +200,9 @@ def lexicon(rows: DataFrame, tokenizer_path: str, kept: int = WORDS_KEPT) -> Lex
             break
         least = r["step"]
     top = counts.filter(F.col("step") >= F.lit(least)).select("word")
-    found = [(bytes(r["word"]), bytes(r["ids"])) for r in top.mapInArrow(_encode_words(tokenizer_path), "word binary, ids binary").toLocalIterator()]
-    return Lexicon(tokenizer_path, [w for w, _ in found], [i for _, i in found])
+    # bounded by ``kept``, and brought in one job as Arrow columns: a row object each takes the driver ten times their bytes
+    found = top.mapInArrow(_encode_words(tokenizer_path), "word binary, ids binary").toArrow()
+    return Lexicon(tokenizer_path, found.column("word"), found.column("ids"))
 
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID,

@@ -357,3 +357,19 @@ def test_empty_tables(spark):
                sharding.shard_documents(none), toxicity.classify(none, labels), quality.classify(none, labels)):
         assert df.count() == 0
     assert decontaminate.drop_documents(none, bench).count() == 0
+
+
+def test_lexicon_reaches_the_driver_as_columns(spark, monkeypatch):
+    """No row object per kept word on the driver, and the words' ids are those of the tokenizer."""
+    tokenizers, public = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    path = public.path("word_bpe_49k.json")
+    tok = tokenizers.Tokenizer.from_file(path)
+    docs = spark.createDataFrame([(1, "one two. Three three"), (2, "ONE two two naïve naïve,"), (3, None)], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "toLocalIterator", lambda *a, **b: pytest.fail("rows on the driver"))
+    known = packing.lexicon(docs, path)
+    words = [w.decode() for w in known.words.to_pylist()]
+    assert sorted(words) == ["naïve", "one", "three", "two"]
+    cut = zip(known.first[:-1], known.first[1:], strict=True)
+    assert [known.ids[i:j].tolist() for i, j in cut] == [tok.encode(w, add_special_tokens=False).ids for w in words]
+    none = packing.lexicon(docs.limit(0), path)
+    assert not len(none.words) and none.first.tolist() == [0]
