@@ -6,6 +6,7 @@ from conftest import SMALL, rows
 
 from panelkit.operators import lookups as E
 from panelkit.operators import ranks as R
+from panelkit.plans import catalog, catalog_more  # noqa: F401
 from panelkit.plans import panel as P
 from panelkit.sources import payloads as PL
 from panelkit.streaming.state import KeyedState
@@ -49,6 +50,15 @@ def test_leaderboard_counts_are_not_broadcast(spark):
     assert rows(out, "channel_id", "rank") == [(1, 1), (2, 2), (3, 3), (4, 1)]
 
 
+def test_filtered_panels_broadcast_nothing(spark):
+    """A status or metric filter makes the scaffold's join an inner one: neither its rows nor the boards' counts may go
+    through the driver, in the plan as it ends too."""
+    for name in ("status_filter", "ranked_missing_metrics", "rows_with_any_metric"):
+        df = catalog.QUERIES[name](spark, SMALL)
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString(), name
+
+
 def test_state_is_written_by_no_more_tasks_than_buckets(spark, tmp_path):
     kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # as in a micro-batch with state
