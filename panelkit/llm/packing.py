@@ -12,7 +12,8 @@ parallel, by their rank among the pieces of their length.
 Words repeat, so each is encoded once: a first pass counts the words of all texts,
 the WORDS_KEPT most frequent ones are encoded in Spark and broadcast as flat arrays (bounded:
 words of at most WORD_BYTES bytes), and a task looks a slice's distinct words up there
-and encodes only the others. Which words are kept changes no id.
+and encodes only the others. Which words are kept changes no id. A word is found by a hash and confirmed by its bytes;
+words are encoded many to a text, with a word between them whose one id nothing else gives.
 This needs a tokenizer that folds case, drops white space and lets no token cross it:
 ``load`` raises for a file whose normaliser or word pattern is another.
 
@@ -33,14 +34,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import LOWER, NON_SPACE, binary, buffer_of, narrow, owner, public_id, slices, words, write_table
+from panelkit.llm.common import LOWER, NON_SPACE, WHITE, binary, buffer_of, narrow, public_id, slices, span_hashes, words, write_table
 
 WINDOW = 4096
 END_ID = 2
 BUCKET_ROWS = 2000
 WORDS_KEPT = 1 << 19   # most frequent words, of those found twice, whose ids are broadcast
 WORD_BYTES = 32        # longest word kept: bounds the broadcast to some 40 MB
-SLICE = 4 << 20        # bytes of text encoded at once: a lookup costs as much as the kept words
+SLICE = 4 << 20        # bytes of text encoded at once
+MARKER = b"\0"         # word between words that are encoded as one text
+AT_ONCE = 20_000       # words encoded, or hashed, at once: bounds what they take beside their bytes
 # the normaliser and the word pattern that words may be encoded apart under (fixed values)
 NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -50,6 +53,7 @@ _STOP[list(b".,")] = True
 _PLAIN = np.zeros(256, bool)
 _PLAIN[48:58] = _PLAIN[97:123] = True
 _loaded: dict = {}
+_markers: dict = {}
 
 
 def load(path: str):
@@ -61,6 +65,9 @@ def load(path: str):
         first = ((made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         if made.get("normalizer") != NORMALIZER or first.get("pattern") != {"Regex": PATTERN}:
             raise ValueError(f"{path}: words can be encoded apart only where case is folded and white space dropped in the known way")
+        marker = tokenizer.encode(MARKER.decode(), add_special_tokens=False).ids
+        whole = made.get("truncation") is None and made.get("padding") is None
+        _markers[path] = marker[0] if whole and len(marker) == 1 else None
         _loaded[path] = tokenizer
     return _loaded[path]
 
@@ -73,25 +80,29 @@ def units(column) -> tuple[pa.Array, np.ndarray]:
     digit of ASCII split off, as its pattern does. A text that may hold a special token keeps its capitals
     and stops."""
     buf, off = buffer_of(column)
-    low = LOWER[buf]
     starts, ends, first = words(buf, off, NON_SPACE)
     split = np.zeros(len(starts), bool)
     long = np.flatnonzero(ends - starts > 1)
-    split[long] = _STOP[low[ends[long] - 1]] & _PLAIN[low[ends[long] - 2]]
+    split[long] = _STOP[buf[ends[long] - 1]] & _PLAIN[LOWER[buf[ends[long] - 2]]]
     marks = np.flatnonzero((buf[:-1] == 60) & (buf[1:] == 124)) if len(buf) else np.zeros(0, np.int64)
     special = np.unique(np.searchsorted(off, marks, "right") - 1)
-    for d in special:
-        low[off[d]:off[d + 1]] = buf[off[d]:off[d + 1]]
-        split[first[d]:first[d + 1]] = False
-    ends_at = np.cumsum(ends - starts)
+    if len(special):
+        low = LOWER[buf]
+        for d in special:
+            low[off[d]:off[d + 1]] = buf[off[d]:off[d + 1]]
+            split[first[d]:first[d + 1]] = False
+        data = low.tobytes().translate(None, WHITE)
+    else:
+        data = buf.tobytes().translate(LOWER.tobytes(), WHITE)
     # each word that loses its stop makes two units
-    stops = ends_at[split] - 1
-    cuts = np.sort(np.r_[ends_at, stops])
-    offsets = np.r_[0, cuts].astype(np.int64)
-    more = np.r_[0, np.cumsum(split)]
-    data = np.ascontiguousarray(low[NON_SPACE[buf]])
-    found = pa.Array.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-    return found, first + more[first]
+    ends_at = np.cumsum(ends - starts)
+    more = np.cumsum(split)
+    place = np.arange(1, len(starts) + 1) + more
+    offsets = np.zeros(len(starts) + int(split.sum()) + 1, np.int64)
+    offsets[place] = ends_at
+    offsets[place[split] - 1] = ends_at[split] - 1
+    found = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return found, first + np.r_[0, more][first]
 
 
 def _count(batches):
@@ -108,41 +119,67 @@ def _column(values) -> pa.Array:
     return pa.array(values, pa.large_binary())
 
 
+def _hashes(found: pa.Array) -> np.ndarray:
+    """64-bit hash of each word, AT_ONCE words at a time (the arrays take many times the words' bytes)."""
+    buf, off = buffer_of(found)
+    hashes = [np.zeros(0, np.uint64)]
+    for at in range(0, len(found), AT_ONCE):
+        cuts = off[at: at + AT_ONCE + 1]
+        hashes.append(span_hashes(buf[cuts[0]: cuts[-1]], cuts[:-1] - cuts[0], cuts[1:] - cuts[0]))
+    return np.concatenate(hashes)
+
+
 class Lexicon:
-    """Ids of some words: ``words`` (an Arrow array), and their ids as one array cut by ``first``. The words and their ids,
-    as little-endian bytes, may come as Arrow columns: no object is made per word."""
+    """Ids of some words: ``words`` (an Arrow array), their ids as one array cut by ``first``, and their hashes in order, with
+    the word of each. The words and their ids, as little-endian bytes, may come as Arrow columns: no object is made per word."""
 
     def __init__(self, path: str, found=(), ids=None):
         self.path = path
         self.words = _column(found)
         if ids is None:
-            self.ids, self.first = _encoded(load(path), self.words.to_pylist())
+            self.ids, self.first = _encoded(path, self.words.to_pylist())
         else:
             blob, cuts = buffer_of(_column(ids))
             self.ids, self.first = blob.view(np.uint32), cuts // 4
+        hashes = _hashes(self.words)
+        self.order = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[self.order]
 
     def lookup(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, first, length) of each word, encoding those that are not kept."""
-        at = pc.index_in(found, value_set=self.words)
-        new = np.flatnonzero(pc.is_null(at).to_numpy(zero_copy_only=False))
-        place = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place, new = np.zeros(len(found), np.int64), np.arange(len(found))
+        if len(self.words):
+            at = np.searchsorted(self.hashes, _hashes(found))
+            place = self.order[np.minimum(at, len(self.order) - 1)]
+            # the bytes decide; a word behind another one's hash is encoded like any that is not kept
+            new = np.flatnonzero(~pc.equal(self.words.take(pa.array(place)), found).to_numpy(zero_copy_only=False))
         ids, first = self.ids, self.first
         if len(new):
-            more, starts = _encoded(load(self.path), found.take(pa.array(new)).to_pylist())
+            more, starts = _encoded(self.path, found.take(pa.array(new)).to_pylist())
             place[new] = len(first) - 1 + np.arange(len(new))
             ids, first = np.r_[ids, more], np.r_[first, len(ids) + starts[1:]]
         return ids, first[place], first[place + 1] - first[place]
 
 
-def _encoded(tokenizer, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _encoded(path: str, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of each word as one array, and where each word's begin."""
-    ids: list[np.ndarray] = []
-    for at in range(0, len(found), 20_000):
-        got = tokenizer.encode_batch_fast([w.decode() for w in found[at: at + 20_000]], add_special_tokens=False)
-        ids += [np.array(g.ids, np.uint32) for g in got]
-    first = np.zeros(len(ids) + 1, np.int64)
-    np.cumsum([len(x) for x in ids], out=first[1:])
-    return np.concatenate(ids) if ids else np.zeros(0, np.uint32), first
+    tokenizer = load(path)
+    marker = _markers[path]
+    ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+    for at in range(0, len(found), AT_ONCE):
+        part = found[at: at + AT_ONCE]
+        text = (b" " + MARKER + b" ").join([*part, b""])
+        if marker is not None and text.count(MARKER) == len(part):  # else a word holds it
+            got = np.array(tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(got == marker)
+            if len(ends) == len(part):
+                ids.append(got[got != marker])
+                sizes.append(np.diff(ends, prepend=-1) - 1)
+                continue
+        each = [np.array(g.ids, np.uint32) for g in tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
+        ids += each
+        sizes.append(np.array([len(x) for x in each], np.int64))
+    return np.concatenate(ids), np.cumsum(np.concatenate(sizes))
 
 
 def encode(column, lexicon: Lexicon, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -150,16 +187,17 @@ def encode(column, lexicon: Lexicon, end_id: int = END_ID) -> tuple[np.ndarray,
     found, first = units(column)
     coded = found.dictionary_encode()
     ids, start, length = lexicon.lookup(coded.dictionary)
-    word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    word = coded.indices.to_numpy(zero_copy_only=False)
     size = length[word]
     at = np.zeros(len(word) + 1, np.int64)
     np.cumsum(size, out=at[1:])
-    docs = len(first) - 1
-    bounds = at[first] + np.arange(docs + 1)
-    out = np.full(int(bounds[-1]), end_id, "<u4")
-    doc = owner(first, len(word))
-    inside = np.arange(int(at[-1])) - np.repeat(at[:-1], size)
-    out[np.repeat(at[:-1] + doc, size) + inside] = ids[np.repeat(start[word], size) + inside]
+    bounds = at[first] + np.arange(len(first))
+    source = np.repeat(start[word] - at[:-1], size)
+    source += np.arange(len(source))
+    of_word = np.ones(int(bounds[-1]), bool)
+    of_word[bounds[1:] - 1] = False
+    out = np.full(len(of_word), end_id, "<u4")
+    out[of_word] = ids[source]
     return out, bounds
 
 
@@ -183,7 +221,7 @@ def _pieces(lexicon, window: int, end_id: int):
 def _encode_words(path: str):
     def run(batches):
         for b in batches:
-            ids, first = _encoded(load(path), b.column("word").to_pylist())
+            ids, first = _encoded(path, b.column("word").to_pylist())
             yield pa.record_batch([b.column("word"), binary([ids[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)])], ["word", "ids"])
     return run
 

@@ -314,6 +314,29 @@ def test_packing(docs):
     assert {r["sequence_id"]: len(r["ids"]) // 4 for r in packing.sequences(found).collect()} == {s: sum(n for _, n in p) for s, p in seqs.items()}
 
 
+def test_packing_encodes_words_many_to_a_text(monkeypatch):
+    tokenizers, public = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    path = public.path("word_bpe_49k.json")
+    tok = tokenizers.Tokenizer.from_file(path)
+    sent: list[str] = []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **how):
+            sent.extend(texts)
+            return tok.encode_batch_fast(texts, **how)
+    packing.load(path)
+    monkeypatch.setitem(packing._loaded, path, Counted())
+
+    def same(texts, known=()):
+        ids, bounds = packing.encode(pa.array(texts, pa.string()), packing.Lexicon(path, list(known)))
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [[*tok.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    same([" ".join(f"q{i}Ü{j} don't" for i in range(40)) for j in range(40)])
+    assert len(sent) < 10  # 1,600 words that are not kept
+    same(["a\0b \0 c. \0\0", "x <|startoftext|>y \0<|endoftext|>\0 z"])  # words that hold what stands between words
+    monkeypatch.setattr(packing, "_hashes", lambda found: np.zeros(len(found), np.uint64))
+    same(["one two three one", "two. four", ""], [b"three", b"one", b"two"])  # one hash for all: the bytes decide
+
+
 def test_fill_window_is_best():
     rng = np.random.default_rng(3)
     for _ in range(30):
