@@ -51,7 +51,10 @@ def packed(sample: DataFrame, shards: int) -> DataFrame:
 
 
 def train(table: DataFrame, step: Callable, merge: Callable, state, rounds: int):
-    """``step(state, y, sizes, x)`` gives each shard's answer as arrays; ``merge(state, answers)`` the next state."""
+    """``step(state, y, sizes, x)`` gives each shard's answer as arrays; ``merge(state, answers)`` the next state.
+
+    A round's answers, a model per shard, come as Arrow buffers, not as row objects, and its state is given up after it, so
+    the driver holds one round's at a time."""
     sc = table.sparkSession.sparkContext
     for _ in range(rounds):
         sent = sc.broadcast(state)
@@ -62,7 +65,8 @@ def train(table: DataFrame, step: Callable, merge: Callable, state, rounds: int)
                     answer = step(sent.value, np.frombuffer(y, np.int8), np.frombuffer(sizes, np.int64), x)
                     yield pa.record_batch([pa.array([[np.ascontiguousarray(a).tobytes() for a in answer]], pa.list_(pa.binary()))], ["a"])
 
-        answers = [r["a"] for r in table.mapInArrow(run, "a array<binary>").collect()]  # a model per shard
+        answers = [[a.as_buffer() for a in r] for r in table.mapInArrow(run, "a array<binary>").toArrow().column("a")]
+        sent.destroy()
         if not answers:
             break
         state = merge(state, answers)

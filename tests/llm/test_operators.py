@@ -349,6 +349,23 @@ def test_fill_window_is_best():
         assert sum(k * c for k, c in chosen.items()) == max(s for s in sums if s <= capacity)
 
 
+def test_a_round_of_training_leaves_nothing_on_the_driver(spark, monkeypatch):
+    from pyspark import Broadcast
+
+    from panelkit.llm import learning
+    given_up, destroy = [], Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *how: (given_up.append(self), destroy(self, *how))[1])
+    sample = spark.createDataFrame([(i, i % 2, bytes([i])) for i in range(8)], "doc_id long, y int, x binary")
+    got = learning.train(learning.packed(sample, 3), lambda state, y, sizes, x: [state + y.sum(), sizes],
+                         lambda state, answers: state + sum(np.frombuffer(a[0], np.int64).sum() for a in answers), np.zeros(2, np.int64), 2)
+    shards = len({r["shard"] for r in learning.packed(sample, 3).collect()})
+    one = 2 * 4  # a round adds the sum of y in both places, and each shard the state
+    state = np.zeros(2, np.int64)
+    for _ in range(2):
+        state = state + shards * state.sum() + one
+    assert got.tolist() == state.tolist() and len(given_up) == 2
+
+
 def test_classifiers(spark):
     bad = ["awful", "nasty", "vile"]
     rng = np.random.default_rng(5)
