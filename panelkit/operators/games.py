@@ -15,6 +15,7 @@ GAME_COLUMNS = [
 
 
 LISTS = ("all_games", "games_by_stream_time", "games_by_avg_viewers")
+CARRIED = "_games"  # the columns of :func:`games_agg` on a panel that carries them
 
 
 def games_agg(games: DataFrame, with_lists: bool = True, order=None, lists: tuple[str, ...] = LISTS) -> DataFrame:
@@ -73,16 +74,22 @@ def games_agg(games: DataFrame, with_lists: bool = True, order=None, lists: tupl
     return a
 
 
-def enrich_games(panel: DataFrame, agg: DataFrame, overwrite: bool = False) -> DataFrame:
+def enrich_games(panel: DataFrame, agg: DataFrame | None, overwrite: bool = False) -> DataFrame:
     """Write game features onto the panel by (channel, month).
 
     Denominator for the top share: the row's hours_streamed when > 0, else
     the total game hours. Without ``overwrite`` only null/blank cells are
     filled; rows without a games result keep their values. The join is a sorted merge, as in
     :func:`merge.merge_sources`: a reader of the game lists alone makes it an inner join onto the scaffold.
+    Without ``agg`` the panel's rows carry its columns already, as the struct CARRIED
+    (:func:`scaffold.attach_months`), and nothing is joined.
     """
-    j = panel.join(agg.select(*KEY, *[F.col(c).alias(f"_n_{c}") for c in agg.columns if c not in KEY]).hint("merge"),
-                   KEY, "left")
+    if agg is not None:
+        j = panel.join(agg.select(*KEY, *[F.col(c).alias(f"_n_{c}") for c in agg.columns if c not in KEY]).hint("merge"),
+                       KEY, "left")
+    else:
+        j = panel.select(*KEY, *[c for c in panel.columns if c not in (*KEY, CARRIED)],
+                         *[F.col(f"{CARRIED}.{c}").alias(f"_n_{c}") for c in panel.schema[CARRIED].dataType.fieldNames()])
     hs = F.col("hours_streamed")
     den = F.when(hs > 0, hs).otherwise(F.col("_n_total_hours"))
     pct = F.when(F.col("_n_game_count").isNotNull(), S.guarded_pct(F.col("_n_top_game_hours"), den))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 
 KEY = ["channel_id", "month_key"]
+CARRIED = "_sources"  # the keyed sources on a scaffold that carries them
 
 # Fixed names, in the order of the source data's columns.
 SEED_METRICS = [
@@ -108,7 +109,7 @@ def keyed_sources(tagged: DataFrame) -> DataFrame:
 
 def merge_sources(
     scaffold: DataFrame,
-    seed_k: DataFrame,
+    seed_k: DataFrame | None,
     live_k: DataFrame | None,
     top_k: int = S.DEFAULT_TOP_K,
     active_rule: str = "row_present",
@@ -125,8 +126,11 @@ def merge_sources(
 
     A scaffold's rows are made by an ``explode``, which Spark's size estimate leaves out: a filter that makes
     the join an inner one would let it broadcast the whole scaffold. The hints keep the joins sorted merges.
+    Without ``seed_k`` the scaffold's rows carry the columns of :func:`keyed_sources` already, as the struct CARRIED
+    (:func:`scaffold.attach_months`), and nothing is joined.
     """
-    j = scaffold.join(seed_k.hint("merge"), KEY, "left")
+    j = scaffold.join(seed_k.hint("merge"), KEY, "left") if seed_k is not None else scaffold.select(
+        *[c for c in scaffold.columns if c != CARRIED], f"{CARRIED}.*")
     if live_k is not None:
         j = j.join(live_k.hint("merge"), KEY, "left")
     live_has = F.coalesce(F.col("live_has"), F.lit(False))

@@ -16,13 +16,24 @@ from pyspark.sql import functions as F
 from ..sources.sinks import scratch_path
 
 PART, AT = "_part", "_at"
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written under the shared folder and read back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written under the shared folder and read back. Its shuffle files go once it stands: later steps read
+    what was written, and the disk need not hold both until the session ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dealt(df: DataFrame, group: list[str], order: list[Column], name: str = "ordered") -> DataFrame:

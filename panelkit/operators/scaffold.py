@@ -88,6 +88,22 @@ def panel_scaffold(channels: DataFrame, months: Column | list[_dt.date],
             .select(*channels.columns, *month_columns(F.col("month_start"))))
 
 
+def attach_months(channels: DataFrame, keyed: DataFrame, name: str) -> DataFrame:
+    """``channels`` with their rows of ``keyed``, one per (channel_id, month_key), as a map ``name`` from month key to row:
+    the join of a scaffold with ``keyed``, done before the scaffold is made. A row per channel meets a row per channel, so no
+    row of the scaffold is shuffled or sorted; :func:`at_month` picks the month's row. A map has as many entries as the
+    calendar has months at most. Where both sides lie by ``channel_id`` already, nothing is shuffled here."""
+    row = F.struct(*[F.col(c) for c in keyed.columns if c not in ("channel_id", "month_key")])
+    per = (keyed.where(F.col("channel_id").isNotNull() & F.col("month_key").isNotNull()).groupBy("channel_id")
+           .agg(F.map_from_entries(F.collect_list(F.struct("month_key", row.alias("row")))).alias(name)))
+    return channels.join(per.hint("merge"), "channel_id", "left")
+
+
+def at_month(scaffold: DataFrame, name: str) -> DataFrame:
+    """A scaffold whose map ``name`` (:func:`attach_months`) gives way to the row of its month, null without one."""
+    return scaffold.withColumn(name, F.try_element_at(F.col(name), F.col("month_key")))
+
+
 def scaffold_except(channels: DataFrame, months: Column | list[_dt.date], found: DataFrame) -> DataFrame:
     """(channel_id, month_key) of the scaffold without those in ``found``, each taken away once:
     ``scaffold EXCEPT ALL SELECT DISTINCT found``, a null channel being one like any other.

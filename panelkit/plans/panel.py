@@ -9,6 +9,7 @@ through ``sources.bindings``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +51,7 @@ def build_panel(seed: DataFrame, live: DataFrame | None = None, channels: DataFr
                            top_k=top_k, active_rule=active_rule)
 
 
-def enrich_panel(panel: DataFrame, games: DataFrame, users: DataFrame | None = None,
+def enrich_panel(panel: DataFrame, games: DataFrame | None, users: DataFrame | None = None,
                  overwrite: bool = False, order=None, status_filter: list[str] | None = None,
                  with_lists: bool = True, lists: tuple[str, ...] = G.LISTS) -> DataFrame:
     """Panel + game features and lists (fill blanks, or overwrite) + creation
@@ -58,10 +59,12 @@ def enrich_panel(panel: DataFrame, games: DataFrame, users: DataFrame | None = N
     source order (default ``pos``). ``status_filter`` keeps only the panel's rows of
     these statuses; without ``with_lists`` no list is collected or returned, and of
     the game lists only ``lists`` are filled (see :func:`games.games_agg`). A panel whose
-    channels have been looked up already (:func:`lookups.attach_created`) needs no ``users``."""
+    channels have been looked up already (:func:`lookups.attach_created`) needs no ``users``, and one that carries its
+    game features (:func:`landed_panel`) no ``games``."""
     if status_filter:
         panel = E.status_filter(panel, status_filter)
-    out = G.enrich_games(panel, G.games_agg(games, with_lists=with_lists, order=order, lists=lists), overwrite=overwrite)
+    agg = G.games_agg(games, with_lists=with_lists, order=order, lists=lists) if games is not None else None
+    out = G.enrich_games(panel, agg, overwrite=overwrite)
     if "_created_at" in out.columns:
         return E.fill_created(out)
     return E.enrich_created(out, users) if users is not None else out
@@ -112,33 +115,44 @@ def add_games(fact: DataFrame, games_pages: DataFrame) -> DataFrame:
 
 def landed_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K,
                  active_rule: str = "row_present", months: list[dt.date] | None = None,
-                 look_up_created: bool = False) -> DataFrame:
+                 look_up_created: bool = False, games: Callable[[int], DataFrame] | None = None) -> DataFrame:
     """Panel of the landed tables.
 
+    Its sources meet per channel, before the months are spread out: no row of the panel is shuffled.
+
     ``months``: month starts; only their span is read. Default is every month
     from the first to the last order month (scalar subqueries). With ``look_up_created``
     the channels' creation dates are looked up, one by channel, and kept as ``_created_at``
-    for :func:`enrich_panel` to fill in."""
+    for :func:`enrich_panel` to fill in; with ``games`` (a number of tasks -> features per channel and month that lie by
+    channel over them) these are kept likewise."""
     span = B.month_span(spark, sf_dir) if months is None else months
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     channels = B.channels(spark, sf_dir)
     if look_up_created:
         channels = E.attach_created(channels, B.users(spark, sf_dir), only_blank=False)
-    scaffold = SC.panel_scaffold(channels, span, partitions=parts)
-    # seed and live share one orders scan and one keyed aggregate, so the
-    # scaffold is joined once
-    keyed = M.keyed_sources(B.tagged_sources(spark, sf_dir, months))
-    return M.merge_sources(scaffold, keyed, None, top_k=top_k, active_rule=active_rule,
-                           keep=("_created_at",) if look_up_created else ())
+    # seed and live share one orders scan and one keyed aggregate
+    carried = {M.CARRIED: M.keyed_sources(B.tagged_sources(spark, sf_dir, months, partitions=parts))}
+    if games is not None:
+        carried[G.CARRIED] = games(parts)
+    channels = channels.repartition(parts, "channel_id")
+    for name, rows in carried.items():
+        channels = SC.attach_months(channels, rows, name)
+    scaffold = SC.panel_scaffold(channels, span)
+    for name in carried:
+        scaffold = SC.at_month(scaffold, name)
+    keep = (["_created_at"] if look_up_created else []) + ([G.CARRIED] if games is not None else [])
+    return M.merge_sources(scaffold, None, None, top_k=top_k, active_rule=active_rule, keep=tuple(keep))
 
 
 def enriched_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K, overwrite: bool = False,
                    status_filter: list[str] | None = None, with_lists: bool = True,
                    lists: tuple[str, ...] = G.LISTS) -> DataFrame:
     """Landed panel + games features (fill blanks / overwrite) + created lookups."""
-    return enrich_panel(landed_panel(spark, sf_dir, top_k=top_k, look_up_created=True), B.games_rows(spark, sf_dir, with_pos=False),
-                        overwrite=overwrite, order=B.games_order(), status_filter=status_filter,
-                        with_lists=with_lists, lists=lists)
+    def games(parts: int) -> DataFrame:
+        return G.games_agg(B.games_rows(spark, sf_dir, with_pos=False, partitions=parts), with_lists=with_lists,
+                           order=B.games_order(), lists=lists)
+    return enrich_panel(landed_panel(spark, sf_dir, top_k=top_k, look_up_created=True, games=games), None,
+                        overwrite=overwrite, status_filter=status_filter)
 
 
 def final_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_K) -> DataFrame:

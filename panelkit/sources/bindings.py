@@ -157,10 +157,15 @@ def live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")), *_live_fields())
 
 
-def tagged_sources(spark: SparkSession, sf_dir: str, months=None) -> DataFrame:
+def tagged_sources(spark: SparkSession, sf_dir: str, months=None, partitions: int | None = None) -> DataFrame:
     """Seed and live rows in one frame, tagged, for a single keyed aggregate:
-    (channel_id, month_key, is_seed, is_live, seed_row, live_row)."""
+    (channel_id, month_key, is_seed, is_live, seed_row, live_row).
+
+    With ``partitions`` the rows lie by channel, over that many tasks: a channel has a row per month and status at
+    most. They are dealt out as they are read, before the wider structs are made of them."""
     a = status_rows(spark, sf_dir, months)
+    if partitions:
+        a = a.repartition(partitions, "o_custkey")
     st = F.col("o_orderstatus")
     return a.select(
         F.col("o_custkey").alias("channel_id"), S.month_key_of_month_start(F.col("ms")).alias("month_key"),
@@ -174,11 +179,12 @@ def games_order():
     return F.struct((-F.col("view_minutes")).alias("v"), F.col("game").alias("g"))
 
 
-def games_rows(spark: SparkSession, sf_dir: str, with_pos: bool = True) -> DataFrame:
+def games_rows(spark: SparkSession, sf_dir: str, with_pos: bool = True, partitions: int | None = None) -> DataFrame:
     """Per (channel, month, game) rows with the position of the game in its table.
 
     hours = sum of quantities, avg_viewers = mean extended price,
     peak_viewers = floor(max price), view_minutes = sum of prices.
+    With ``partitions`` the rows lie by channel, over that many tasks: a channel has a row per month and game at most.
     """
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
@@ -192,6 +198,8 @@ def games_rows(spark: SparkSession, sf_dir: str, with_pos: bool = True) -> DataF
         (S.sum_2dp("l_extendedprice") / F.count(F.lit(1))).alias("avg_viewers"),
         S.sum_2dp("l_extendedprice").alias("view_minutes"),
     )
+    if partitions:
+        g = g.repartition(partitions, "o_custkey")
     g = g.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")),
                  F.col("p_brand").alias("game"), "hours", "peak_viewers", "avg_viewers", "view_minutes")
     if not with_pos:
