@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators.ordering import written
 from ..operators.ranks import bucketed_leaderboard
 from .tables import table
 
@@ -184,7 +185,8 @@ def games_rows(spark: SparkSession, sf_dir: str, with_pos: bool = True, partitio
 
     hours = sum of quantities, avg_viewers = mean extended price,
     peak_viewers = floor(max price), view_minutes = sum of prices.
-    With ``partitions`` the rows lie by channel, over that many tasks: a channel has a row per month and game at most.
+    With ``partitions`` the rows lie by channel, over that many tasks: a channel has a row per month and game at most. They
+    are written first, so that the shuffles of the lines are gone from the disk before the panel is made.
     """
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
@@ -199,7 +201,7 @@ def games_rows(spark: SparkSession, sf_dir: str, with_pos: bool = True, partitio
         S.sum_2dp("l_extendedprice").alias("view_minutes"),
     )
     if partitions:
-        g = g.repartition(partitions, "o_custkey")
+        g = written(g, "games").repartition(partitions, "o_custkey")
     g = g.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")),
                  F.col("p_brand").alias("game"), "hours", "peak_viewers", "avg_viewers", "view_minutes")
     if not with_pos:

@@ -57,3 +57,9 @@ def test_shuffle_files_go_once_a_step_is_written(spark):
     assert not files() - before
     assert spark.conf.get(OD._FREE_SHUFFLES, None) == kept
     assert back.agg(F.sum("n")).first()[0] == 1000
+
+
+def test_lines_are_shuffled_before_the_panel_is_made(spark):
+    """The enriched panel reads its games from a written step: the shuffles of the lines have gone by then."""
+    plan = P.enriched_panel(spark, SMALL, lists=("all_games",))._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "/games-" in plan
