@@ -16,9 +16,12 @@ last seconds) is kept as tables of bounded reads, see :mod:`.state`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+import math
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ..operators import incremental as I
 from ..sources.sinks import scratch_path
@@ -27,6 +30,9 @@ from .state import BATCH, BUCKET, KeyedState, newest, read_or_none
 # folders beside the batches of a sink; readers of the sink skip them
 KEYS = "_keys"
 CARRIED = "_carried"
+NEWEST = "_newest"
+# columns of the panes of sliding windows: start, first window (both microseconds), newest event
+PANE, FIRST, SEEN = "_pane", "_first", "_seen"
 
 
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -140,18 +146,67 @@ def stream_dedupe(stream: DataFrame, keys: list[str], name: str = "stream_dedupe
     return run_once_per_key(stream, keys, name, out, checkpoint, **state)
 
 
+def _span_micros(spark: SparkSession, text: str) -> int:
+    """Microseconds of an interval text, as ``window`` and ``withWatermark`` take it."""
+    base = "timestamp_ntz'1970-01-01 00:00:00'"
+    return spark.sql(f"SELECT ({base} + cast(:text AS interval)) - {base}", args={"text": text}).first()[0] // dt.timedelta(microseconds=1)
+
+
 def stream_window_counts(stream: DataFrame, key: str, ts: str, length: str, slide: str, delay: str,
                          threshold: int, name: str = "stream_window_counts",
-                         out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                         out: str | None = None, checkpoint: str | None = None, buckets: int = 8, compact_every: int = 20) -> DataFrame:
     """Sliding event-time windows per key; windows reaching ``threshold``.
 
     The watermark bounds the state: a window that ended ``delay`` before the
     newest event of earlier batches is dropped from it, and so are events that
-    arrive for it later; its last written count stays in the result."""
-    w = (stream.withWatermark(ts, delay)
-         .groupBy(F.col(key), F.window(ts, length, slide).alias("w"))
-         .agg(F.count(F.lit(1)).alias("n")))
-    return run_update(w, [key, "w"], name, out, checkpoint).where(F.col("n") >= threshold)
+    arrive for it later; its last written count stays in the result.
+
+    Windows overlap, so the stream keeps and writes the counts of the panes they are made of (as long as the greatest
+    common divisor of length and slide), one group an event at most instead of one per window; the result adds each window's
+    panes up. A pane stays in the state until its last window is dropped. An event that comes when some windows of its pane have
+    been dropped counts in the later ones alone: the sink keeps a pane's counts under the first window they hold for."""
+    spark = stream.sparkSession
+    out, checkpoint = _places(spark, name, out, checkpoint)
+    long, step, late = (_span_micros(spark, x) for x in (length, slide, delay))
+    wide = math.gcd(long, step)
+    # the first and the last window of a pane, by their starts
+    least = F.col(PANE) + (wide - long)
+    first, last = least + F.pmod(-least, F.lit(step)), F.col(PANE) - F.pmod(F.col(PANE), F.lit(step))
+    keys = (key, PANE, FIRST)
+    state = KeyedState(out, keys, buckets, compact_every, newest(keys, ["n", SEEN]))
+    panes = (stream.withWatermark(ts, f"{late + long - wide} microseconds")
+             .groupBy(F.col(key), F.window(ts, f"{wide} microseconds").alias("_w"))
+             .agg(F.count(F.lit(1)).alias("n"), F.max(ts).alias(SEEN)))
+    kept = panes.select(F.col(key), F.unix_micros("_w.start").alias(PANE), F.col("n"), F.unix_micros(SEEN).alias(SEEN))
+    schema = StructType([stream.schema[key], *[StructField(c, LongType()) for c in (PANE, FIRST, "n", SEEN)]])
+
+    def seen(session: SparkSession, epoch: int) -> int:
+        """The newest event, in microseconds, of the batches up to ``epoch``."""
+        found = read_or_none(session, f"{out}/{NEWEST}/{BATCH}={epoch}") if epoch >= 0 else None
+        return -(1 << 62) if found is None else found.first()[0]
+
+    def sink(batch: DataFrame, epoch: int) -> None:
+        session = batch.sparkSession
+        # Spark holds events of a batch against the watermark that the batch before it worked with: that of the batches before both
+        passed = max(seen(session, epoch - 2) // 1000 - late // 1000, 0) * 1000
+        opened = F.lit((passed - long) // step * step + step)  # the first window that ends after the watermark
+        state.append(batch.withColumn(FIRST, F.greatest(first, opened)).where(F.col(FIRST) <= last).select(*schema.fieldNames()), epoch)
+        rows = read_or_none(session, f"{out}/delta/{BATCH}={epoch}")
+        top = None if rows is None else rows.agg(F.max(SEEN)).first()[0]
+        so_far = seen(session, epoch - 1)
+        session.range(1).select(F.lit(so_far if top is None else max(top, so_far)).cast("bigint").alias(SEEN)).write.mode("overwrite").parquet(
+            f"{out}/{NEWEST}/{BATCH}={epoch}")
+
+    q = (kept.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    # a pane's counts hold for the windows up to the first of its next counts; a key's rows are as many as the panes it has events in
+    after = F.lead(FIRST).over(Window.partitionBy(key, PANE).orderBy(FIRST))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # not fewer: a row becomes as many as its pane has windows
+    rows = state.read(spark, schema).repartition(parts, key).withColumn("_to", F.least(F.coalesce(after - step, last), last))
+    counts = (rows.select(key, F.explode(F.sequence(FIRST, "_to", F.lit(step))).alias("_s"), "n")
+              .groupBy(key, "_s").agg(F.sum("n").alias("n")).where(F.col("n") >= threshold))
+    return counts.select(key, F.struct(F.timestamp_micros("_s").alias("start"), F.timestamp_micros(F.col("_s") + long).alias("end")).alias("w"), "n")
 
 
 def stream_bursts(stream: DataFrame, key: str, ts: str, id_col: str, delay_seconds: int, span_seconds: int = 60,
