@@ -149,8 +149,9 @@ def enriched_panel(spark: SparkSession, sf_dir: str, top_k: int = S.DEFAULT_TOP_
                    lists: tuple[str, ...] = G.LISTS) -> DataFrame:
     """Landed panel + games features (fill blanks / overwrite) + created lookups."""
     def games(parts: int) -> DataFrame:
-        return G.games_agg(B.games_rows(spark, sf_dir, with_pos=False, partitions=parts), with_lists=with_lists,
-                           order=B.games_order(), lists=lists)
+        # without lists only the hours and what the order reads
+        rows = B.games_rows(spark, sf_dir, with_pos=False, partitions=parts, values=B.GAME_VALUES if with_lists else ("hours", "view_minutes"))
+        return G.games_agg(rows, with_lists=with_lists, order=B.games_order(), lists=lists)
     return enrich_panel(landed_panel(spark, sf_dir, top_k=top_k, look_up_created=True, games=games), None,
                         overwrite=overwrite, status_filter=status_filter)
 

@@ -38,6 +38,7 @@ NULL_PRIORITY = 5    # live rows whose orders all have this priority digit carry
 URGENT_PRIORITY = 1  # seed "mature" flag: some order of this priority digit
 PAGE_SIZE = 100               # leaderboard rows per landed page
 GAMES_PAGE_SIZE = 10          # games rows per landed page
+GAME_VALUES = ("hours", "peak_viewers", "avg_viewers", "view_minutes")
 BOARD_STRIDE = 1 << 40        # page numbers of board P follow all that board O can have
 
 
@@ -180,19 +181,22 @@ def games_order():
     return F.struct((-F.col("view_minutes")).alias("v"), F.col("game").alias("g"))
 
 
-def games_rows(spark: SparkSession, sf_dir: str, with_pos: bool = True, partitions: int | None = None) -> DataFrame:
+def games_rows(spark: SparkSession, sf_dir: str, with_pos: bool = True, partitions: int | None = None,
+               values: tuple[str, ...] = GAME_VALUES) -> DataFrame:
     """Per (channel, month, game) rows with the position of the game in its table.
 
     hours = sum of quantities, avg_viewers = mean extended price,
     peak_viewers = floor(max price), view_minutes = sum of prices.
     With ``partitions`` the rows lie by channel, over that many tasks: a channel has a row per month and game at most. They
-    are written first, so that the shuffles of the lines are gone from the disk before the panel is made.
+    are written first, so that the shuffles of the lines are gone from the disk before the panel is made; what is written
+    cannot be pruned later, so ``values`` names those that are read (without a position).
     """
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     p = table(spark, sf_dir, "part", "p_partkey", "p_brand")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(p, li.l_partkey == p.p_partkey)
+    # parts first: a line then goes on with its brand, and meets the wider order where it is reduced
+    j = (li.join(p, li.l_partkey == p.p_partkey)
+           .join(o, li.l_orderkey == o.o_orderkey)
            .withColumn("ms", F.trunc(F.to_date("o_orderdate"), "month")))
     g = j.groupBy("o_custkey", "ms", "p_brand").agg(
         S.sum_2dp("l_quantity").alias("hours"),
@@ -201,9 +205,9 @@ def games_rows(spark: SparkSession, sf_dir: str, with_pos: bool = True, partitio
         S.sum_2dp("l_extendedprice").alias("view_minutes"),
     )
     if partitions:
-        g = written(g, "games").repartition(partitions, "o_custkey")
+        g = written(g.select("o_custkey", "ms", "p_brand", *values), "games").repartition(partitions, "o_custkey")
     g = g.select(F.col("o_custkey").alias("channel_id"), *month_cols(F.col("ms")),
-                 F.col("p_brand").alias("game"), "hours", "peak_viewers", "avg_viewers", "view_minutes")
+                 F.col("p_brand").alias("game"), *values)
     if not with_pos:
         return g
     # partitioned on the (channel_id, month_key) that consumers group by

@@ -12,6 +12,7 @@ from panelkit.operators import merge as M
 from panelkit.operators import ordering as OD
 from panelkit.operators import scaffold as SC
 from panelkit.plans import panel as P
+from panelkit.sources import bindings as B
 
 MONTHS = [dt.date(2024, 3, 1), dt.date(2024, 4, 1)]
 
@@ -63,3 +64,11 @@ def test_lines_are_shuffled_before_the_panel_is_made(spark):
     """The enriched panel reads its games from a written step: the shuffles of the lines have gone by then."""
     plan = P.enriched_panel(spark, SMALL, lists=("all_games",))._jdf.queryExecution().executedPlan().toString()
     assert "lineitem.parquet" not in plan and "/games-" in plan
+
+
+def test_games_rows_are_the_same_with_parts_joined_first_and_written(spark):
+    lazy = B.games_rows(spark, SMALL, with_pos=False)
+    for values in (B.GAME_VALUES, ("hours", "view_minutes")):
+        by_channel = B.games_rows(spark, SMALL, with_pos=False, partitions=3, values=values)
+        assert by_channel.columns == [c for c in lazy.columns if c not in B.GAME_VALUES or c in values]
+        assert rows(by_channel) == rows(lazy, *by_channel.columns)
